@@ -6,6 +6,7 @@ from .registry import ORACLE, QUERIES, query
 
 _MODULES = [
     "q_text",
+    "q_rows",
 ]
 
 for _m in _MODULES:
