@@ -7,6 +7,7 @@ from .registry import ORACLE, QUERIES, query
 _MODULES = [
     "q_text",
     "q_rows",
+    "q_relational",
 ]
 
 for _m in _MODULES:
