@@ -8,6 +8,7 @@ _MODULES = [
     "q_text",
     "q_rows",
     "q_relational",
+    "q_io",
 ]
 
 for _m in _MODULES:
