@@ -9,6 +9,7 @@ _MODULES = [
     "q_rows",
     "q_relational",
     "q_io",
+    "q_udfs",
 ]
 
 for _m in _MODULES:
