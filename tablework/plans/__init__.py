@@ -10,6 +10,7 @@ _MODULES = [
     "q_relational",
     "q_io",
     "q_udfs",
+    "q_streams",
 ]
 
 for _m in _MODULES:
