@@ -11,6 +11,7 @@ _MODULES = [
     "q_io",
     "q_udfs",
     "q_streams",
+    "q_graph",
 ]
 
 for _m in _MODULES:
