@@ -12,6 +12,7 @@ _MODULES = [
     "q_udfs",
     "q_streams",
     "q_graph",
+    "q_features",
 ]
 
 for _m in _MODULES:
