@@ -13,6 +13,7 @@ _MODULES = [
     "q_streams",
     "q_graph",
     "q_features",
+    "q_models",
 ]
 
 for _m in _MODULES:
