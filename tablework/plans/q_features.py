@@ -91,7 +91,12 @@ def ft_tf_idf(spark, sf):
     return e.withColumn("tfidf", F.round("tfidf", 6))
 
 
-@query("ft_dct")
+@query("ft_dct", """
+SELECT vec_id,
+       round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))) / 8.0, 6) AS c0,
+       round(sqrt(2.0 / 64) * list_sum(list_transform(embedding,
+             lambda x, i: CAST(x AS DOUBLE) * cos(pi() * (2 * (i - 1) + 1) / 128.0))), 6) AS c1
+FROM embeddings""")
 def ft_dct(spark, sf):
     e = load(spark, sf, "embeddings").select("vec_id", fx.from_array("embedding").alias("v"))
     out = mf.DCT(inverse=False, inputCol="v", outputCol="dct").transform(e)
@@ -119,7 +124,8 @@ def ft_hasher(spark, sf):
     return h.select(*_LI_KEYS, F.size(F.filter(fx.to_array("h"), lambda x: x != 0)).alias("nnz"))
 
 
-@query("ft_hashing_tf")
+@query("ft_hashing_tf", """
+SELECT conv_id, turn, CAST(len(string_split(text, ' ')) AS DOUBLE) AS n FROM conversations""")
 def ft_hashing_tf(spark, sf):
     toks = _conv_tokens(spark, sf)
     h = mf.HashingTF(inputCol="tokens", outputCol="h", numFeatures=1024).transform(toks)
@@ -232,7 +238,17 @@ def ft_assembler(spark, sf):
     return fx.spread(li.select(*_LI_KEYS, "v"), "v", ["f0", "f1", "f2"])
 
 
-@query("ft_vector_indexer")
+@query("ft_vector_indexer", """
+WITH li AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_linenumber AS DOUBLE) AS ln, l_tax,
+                   l_quantity FROM lineitem),
+k AS (SELECT count(DISTINCT ln) AS k0, count(DISTINCT l_tax) AS k1, count(DISTINCT l_quantity) AS k2 FROM li),
+r AS (SELECT *, dense_rank() OVER (ORDER BY ln) - 1 AS r0, dense_rank() OVER (ORDER BY l_tax) - 1 AS r1,
+             dense_rank() OVER (ORDER BY l_quantity) - 1 AS r2 FROM li)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       round(CASE WHEN k0 <= 10 THEN r0 ELSE ln END, 6) AS i0,
+       round(CASE WHEN k1 <= 10 THEN r1 ELSE l_tax END, 6) AS i1,
+       round(CASE WHEN k2 <= 10 THEN r2 ELSE l_quantity END, 6) AS i2
+FROM r, k""")
 def ft_vector_indexer(spark, sf):
     li = load(spark, sf, "lineitem").select(*_LI_KEYS, F.col("l_linenumber").cast("double").alias("ln"),
                                             "l_tax", "l_quantity")

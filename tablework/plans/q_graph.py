@@ -147,7 +147,22 @@ def graph_scc(spark, sf):
     return nation_graph(spark, sf).strongly_connected_components().select("id", "component")
 
 
-@query("graph_lpa")
+def _lpa_sql(iters: int = 5) -> str:
+    parts = ["und AS (SELECT src, dst FROM edges UNION ALL SELECT dst, src FROM edges)",
+             "l0 AS (SELECT id, id AS label FROM vertices)"]
+    for k in range(1, iters + 1):
+        parts.append(
+            f"m{k} AS (SELECT u.dst AS id, l.label, count(*) AS n FROM und u JOIN l{k - 1} l ON l.id = u.src "
+            f"GROUP BY 1, 2)")
+        parts.append(
+            f"b{k} AS (SELECT id, label FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY n DESC, label) "
+            f"AS rn FROM m{k}) WHERE rn = 1)")
+        parts.append(
+            f"l{k} AS (SELECT l.id, coalesce(b.label, l.label) AS label FROM l{k - 1} l LEFT JOIN b{k} b USING (id))")
+    return f"WITH {G},\n" + ",\n".join(parts) + f"\nSELECT id, label FROM l{iters}"
+
+
+@query("graph_lpa", _lpa_sql())
 def graph_lpa(spark, sf):
     return nation_graph(spark, sf).label_propagation(max_iter=5).select("id", "label")
 
