@@ -185,8 +185,9 @@ class Graph:
             frontier = nxt
         dist = known.groupBy(F.col("_v").alias("id")).agg(
             F.map_from_entries(F.array_sort(F.collect_list(F.struct("_lm", "_d")))).alias("distances"))
-        return (self.vertices.join(dist, "id", "left")
-                .withColumn("distances", F.coalesce("distances", F.create_map().cast("map<bigint,int>"))))
+        id_type = self.vertices.schema["id"].dataType.simpleString()
+        empty = F.map_from_arrays(F.array().cast(f"array<{id_type}>"), F.array().cast("array<int>"))
+        return self.vertices.join(dist, "id", "left").withColumn("distances", F.coalesce("distances", empty))
 
     # --- components (G12-G14) -----------------------------------------------------------
     def _undirected(self) -> DataFrame:
@@ -221,7 +222,7 @@ class Graph:
         spark = self.vertices.sparkSession
         remaining = self.vertices.select("id")
         edges = self.edges.select("src", "dst").filter(F.col("src") != F.col("dst")).distinct()
-        done = spark.createDataFrame([], "id long, component long")
+        done = self.vertices.select("id", F.col("id").alias("component")).limit(0)
         for outer in range(max_iter):
             if remaining.limit(1).count() == 0:
                 break

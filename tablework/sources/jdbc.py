@@ -47,15 +47,17 @@ def upsert_batch(df: DataFrame, url: str, table: str, key: list[str], properties
     # Spark-side: delete-then-insert by key through a staging table.
     stage = f"{table}{stage_suffix}"
     write(df, url, stage, mode="overwrite", properties=props)
-    conds = " AND ".join(f"t.{k} = s.{k}" for k in key)
+    # Spark's JDBC writer creates quoted (case-preserving) column names.
+    conds = " AND ".join(f'{table}."{k}" = s."{k}"' for k in key)
+    collist = ", ".join(f'"{c}"' for c in cols)
     spark = df.sparkSession
     jvm = spark.sparkContext._jvm
     conn = jvm.java.sql.DriverManager.getConnection(url, _jprops(jvm, props))
     try:
         conn.setAutoCommit(False)
         st = conn.createStatement()
-        st.executeUpdate(f"DELETE FROM {table} t WHERE EXISTS (SELECT 1 FROM {stage} s WHERE {conds})")
-        st.executeUpdate(f"INSERT INTO {table} ({', '.join(cols)}) SELECT {', '.join(cols)} FROM {stage}")
+        st.executeUpdate(f"DELETE FROM {table} WHERE EXISTS (SELECT 1 FROM {stage} s WHERE {conds})")
+        st.executeUpdate(f"INSERT INTO {table} ({collist}) SELECT {collist} FROM {stage}")
         st.close()
         conn.commit()
     finally:
