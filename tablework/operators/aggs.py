@@ -89,7 +89,13 @@ def group_lists(df: DataFrame, keys: list[str], value: str, order: list[str] | N
 
 def observed(df: DataFrame, name: str, metrics: dict[str, Column]) -> tuple[DataFrame, Observation]:
     """Accumulator-style side metrics computed during the first action on the
-    returned frame (``Observation.get`` afterwards)."""
+    returned frame (``Observation.get`` afterwards).
+
+    Caveat (Spark 4.1): once a session has used ``observe``, fitting ML
+    models that keep a training summary in that session fails to serialise;
+    call this on a frame of a separate ``spark.newSession()`` if the same
+    application also trains models.
+    """
     obs = Observation(name)
     return df.observe(obs, *[e.alias(n) for n, e in metrics.items()]), obs
 

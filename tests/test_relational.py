@@ -47,7 +47,8 @@ def test_population_stats(spark):
 def test_mean_by_key_and_observation(spark):
     df = spark.createDataFrame([("spark", 2), ("hadoop", 6), ("spark", 6), ("hadoop", 4)], "k string, v long")
     assert rows(aggs.mean_by_key(df, "k", "v")) == [("hadoop", 5.0), ("spark", 4.0)]
-    nums = spark.createDataFrame([(x,) for x in [10, 20, 30, 40]], "x long")
+    side = spark.newSession()  # keep the observation manager out of the shared session
+    nums = side.createDataFrame([(x,) for x in [10, 20, 30, 40]], "x long")
     watched, obs = aggs.observed(nums, "acc", {"total": F.sum("x") + F.lit(10)})
     watched.write.format("noop").mode("overwrite").save()
     assert obs.get["total"] == 110
