@@ -23,6 +23,13 @@ CHECKPOINT_EVERY = 4
 _TERM = re.compile(r"^\s*(!?)\s*\((\w*)\)\s*-\s*\[(\w*)\]\s*->\s*\((\w*)\)\s*$")
 
 
+def _materialize(df: DataFrame) -> DataFrame:
+    """Write an algorithm's input once (reliable checkpoint) so that rounds
+    read it back instead of re-deriving it from the source tables."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _cut(df: DataFrame, i: int, every: int = CHECKPOINT_EVERY) -> DataFrame:
     """Truncate lineage every ``every`` rounds (reliable checkpoint)."""
     if i % every == every - 1:
@@ -146,7 +153,8 @@ class Graph:
             return hit0.select(F.struct(*vcols).alias("from"), F.struct(*vcols).alias("to"))
         paths = starts.select(F.struct(*vcols).alias("from"), F.col("id").alias("_start"), F.col("id").alias("_cur"))
         visited = starts.select(F.col("id").alias("_start"), F.col("id").alias("_seen"))
-        es = edges.select(F.col("src").alias("_src"), F.col("dst").alias("_dst"), F.struct(*ecols).alias("_e"))
+        es = _materialize(edges.select(F.col("src").alias("_src"), F.col("dst").alias("_dst"),
+                                       F.struct(*ecols).alias("_e")))
         for k in range(max_path_length):
             step = paths.join(es, paths._cur == es._src).drop("_src")
             step = step.join(visited, (step._start == visited._start) & (step._dst == visited._seen),
@@ -173,7 +181,7 @@ class Graph:
             F.col("id").alias("_lm"), F.col("id").alias("_v"), F.lit(0).alias("_d"))
         known = lm
         frontier = lm
-        rev = self.edges.select(F.col("dst").alias("_v"), F.col("src").alias("_nv")).distinct()
+        rev = _materialize(self.edges.select(F.col("dst").alias("_v"), F.col("src").alias("_nv")).distinct())
         for i in range(10_000):
             nxt = (frontier.join(rev, "_v").select("_lm", F.col("_nv").alias("_v"), (F.col("_d") + 1).alias("_d"))
                    .join(known.select("_lm", "_v"), ["_lm", "_v"], "left_anti")
@@ -201,8 +209,8 @@ class Graph:
         Min-label propagation; each round is a join + two-phase min
         aggregate, so a hub vertex costs one partial row per task.
         """
-        und = self._undirected()
-        labels = self.vertices.select("id", F.col("id").alias("component"))
+        und = _materialize(self._undirected())
+        labels = _materialize(self.vertices.select("id", F.col("id").alias("component")))
         for i in range(max_iter):
             cand = (und.join(labels.withColumnRenamed("id", "src"), "src")
                     .groupBy(F.col("dst").alias("id")).agg(F.min("component").alias("_c")))
@@ -220,8 +228,8 @@ class Graph:
         """SCCs by forward colouring + backward sweep; ``component`` is the
         smallest vertex id of the component."""
         spark = self.vertices.sparkSession
-        remaining = self.vertices.select("id")
-        edges = self.edges.select("src", "dst").filter(F.col("src") != F.col("dst")).distinct()
+        remaining = _materialize(self.vertices.select("id"))
+        edges = _materialize(self.edges.select("src", "dst").filter(F.col("src") != F.col("dst")).distinct())
         done = self.vertices.select("id", F.col("id").alias("component")).limit(0)
         for outer in range(max_iter):
             if remaining.limit(1).count() == 0:
@@ -267,9 +275,9 @@ class Graph:
         """Synchronous LPA over both edge directions: every vertex takes the
         most frequent neighbour label (ties: smallest label); vertices
         without neighbours keep their own."""
-        und = self.edges.select("src", "dst").union(
-            self.edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-        labels = self.vertices.select("id", F.col("id").alias("label"))
+        und = _materialize(self.edges.select("src", "dst").union(
+            self.edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))))
+        labels = _materialize(self.vertices.select("id", F.col("id").alias("label")))
         for i in range(max_iter):
             msgs = und.join(labels.withColumnRenamed("id", "src"), "src") \
                 .groupBy(F.col("dst").alias("id"), "label").agg(F.count(F.lit(1)).alias("_n"))
@@ -305,9 +313,9 @@ class Graph:
         """Rank vectors keyed by ``(source, id)``.  Plain PageRank is the one
         vector ``source = 0`` over all vertices; personalised vectors start
         at their source and only hold vertices they reach (absent = 0)."""
-        we = self._weighted_edges()
+        we = _materialize(self._weighted_edges())
         if sources is None:
-            base = self.vertices.select(F.lit(0).cast("long").alias("source"), "id")
+            base = _materialize(self.vertices.select(F.lit(0).cast("long").alias("source"), "id"))
             ranks = base.withColumn("rank", F.lit(1.0))
             restart_rows = base.withColumn("_r", F.lit(reset))
         else:

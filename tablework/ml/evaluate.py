@@ -43,6 +43,19 @@ def regression_metric(df: DataFrame, label: str, prediction: str, metric: str =
                                 F.col(prediction).cast("double").alias(prediction)))
 
 
+def regression_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction",
+                       digits: int = 6) -> DataFrame:
+    """RMSE, R² and MAE in one aggregate pass (same definitions as
+    ``RegressionEvaluator``: R² against the label mean)."""
+    y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
+    a = df.agg(F.count(F.lit(1)).alias("n"), F.sum((y - p) * (y - p)).alias("sse"),
+               F.sum(F.abs(y - p)).alias("sae"), F.var_pop(y).alias("vy"))
+    sst = F.col("vy") * F.col("n")  # numerically stable total sum of squares
+    return a.select(F.round(F.sqrt(F.col("sse") / F.col("n")), digits).alias("rmse"),
+                    F.round(F.lit(1.0) - F.col("sse") / sst, digits).alias("r2"),
+                    F.round(F.col("sae") / F.col("n"), digits).alias("mae"))
+
+
 def metrics_frame(spark, values: dict[str, float], digits: int = 6) -> DataFrame:
     """One-row DataFrame of named metric values (rounded)."""
     return spark.createDataFrame([tuple(round(float(v), digits) for v in values.values())],

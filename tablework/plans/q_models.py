@@ -255,8 +255,7 @@ def eval_regression(spark, sf):
     p = load(spark, sf, "part")
     d = li.join(p, li.l_partkey == p.p_partkey).select(
         F.col("l_extendedprice").alias("label"), (F.col("l_quantity") * F.col("p_retailprice")).alias("prediction"))
-    return evaluate.metrics_frame(spark, {m: evaluate.regression_metric(d, "label", "prediction", m)
-                                          for m in ("rmse", "r2", "mae")})
+    return evaluate.regression_metrics(d, "label", "prediction")
 
 
 # --- tuning (rows-only) ----------------------------------------------------------------
