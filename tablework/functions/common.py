@@ -22,3 +22,18 @@ def ts_str(c: Column | str, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
 
 def join_array(c: Column | str, sep: str = ",") -> Column:
     return F.array_join(col(c), sep)
+
+
+def spread(df, min_partitions: int | None = None):
+    """Redistribute a batch input that has fewer partitions than the cluster
+    has cores before CPU-heavy row work (splitting, exploding, regexes).
+
+    Large inputs already arrive in many splits and pass through unchanged;
+    streaming inputs are never touched.
+    """
+    if df.isStreaming:
+        return df
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

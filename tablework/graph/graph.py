@@ -13,7 +13,7 @@ import re
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, scratch_path
@@ -281,9 +281,11 @@ class Graph:
         for i in range(max_iter):
             msgs = und.join(labels.withColumnRenamed("id", "src"), "src") \
                 .groupBy(F.col("dst").alias("id"), "label").agg(F.count(F.lit(1)).alias("_n"))
-            w = Window.partitionBy("id").orderBy(F.col("_n").desc(), F.col("label"))
-            best = msgs.withColumn("_r", F.row_number().over(w)).filter("_r = 1").select(
-                "id", F.col("label").alias("_best"))
+            # most frequent label, ties to the smallest: min over (-count, label),
+            # an aggregate with a partial stage, so a hub vertex is not one task
+            best = msgs.groupBy("id").agg(
+                F.min(F.struct((-F.col("_n")).alias("k"), F.col("label").alias("l"))).alias("_b")) \
+                .select("id", F.col("_b.l").alias("_best"))
             labels = labels.join(best, "id", "left").select(
                 "id", F.coalesce("_best", "label").alias("label"))
             labels = _cut(labels, i)

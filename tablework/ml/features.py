@@ -29,7 +29,7 @@ def to_array(c: str | Column) -> Column:
     return vector_to_array(F.col(c) if isinstance(c, str) else c)
 
 
-def spread(df: DataFrame, vec: str, names: list[str], digits: int | None = 6) -> DataFrame:
+def slots(df: DataFrame, vec: str, names: list[str], digits: int | None = 6) -> DataFrame:
     """Vector column → one double column per slot (rounded)."""
     arr = to_array(vec)
     cols = [(F.round(arr[i], digits) if digits is not None else arr[i]).alias(n) for i, n in enumerate(names)]

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.common import spread
+
 
 def words(df: DataFrame, col: str = "text", sep: str = " ", out: str = "word",
           drop_empty: bool = False, keep: list[str] | None = None) -> DataFrame:
@@ -15,7 +17,8 @@ def words(df: DataFrame, col: str = "text", sep: str = " ", out: str = "word",
     """
     pattern = _literal_regex(sep)
     tok = F.explode(F.split(F.col(col), pattern)).alias(out)
-    res = df.select(*(keep or []), tok)
+    keep = [c for c in (keep or []) if c != col]
+    res = spread(df.select(*keep, col)).select(*keep, tok)
     if drop_empty:
         res = res.filter(F.col(out) != "")
     return res

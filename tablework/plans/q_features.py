@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml import feature as mf
 from pyspark.sql import functions as F
 
+from ..functions.common import spread
 from ..ml import features as fx
 from ..tables import load
 from .registry import query
@@ -33,7 +34,7 @@ def ft_bucketizer(spark, sf):
 
 
 def _doc_features(spark, sf):
-    d = load(spark, sf, "documents")
+    d = spread(load(spark, sf, "documents"))  # text features are CPU-heavy per row
     lab = load(spark, sf, "labels")
     return d.join(lab, "doc_id").select(
         "doc_id", F.col("quality").cast("double").alias("label"), "lang", "source",
@@ -100,7 +101,7 @@ FROM embeddings""")
 def ft_dct(spark, sf):
     e = load(spark, sf, "embeddings").select("vec_id", fx.from_array("embedding").alias("v"))
     out = mf.DCT(inverse=False, inputCol="v", outputCol="dct").transform(e)
-    return fx.spread(out.select("vec_id", "dct"), "dct", ["c0", "c1"])
+    return fx.slots(out.select("vec_id", "dct"), "dct", ["c0", "c1"])
 
 
 _ASSEMBLED = ["l_quantity", "l_discount", "l_tax"]
@@ -113,7 +114,7 @@ FROM lineitem""")
 def ft_elementwise(spark, sf):
     li = fx.assemble(load(spark, sf, "lineitem").select(*_LI_KEYS, *_ASSEMBLED), _ASSEMBLED, "v")
     out = fx.elementwise(li, "v", [1.0, 2.0, 3.0], "p")
-    return fx.spread(out.select(*_LI_KEYS, "p"), "p", ["q", "d2", "t3"])
+    return fx.slots(out.select(*_LI_KEYS, "p"), "p", ["q", "d2", "t3"])
 
 
 @query("ft_hasher")
@@ -160,7 +161,7 @@ SELECT c_custkey, round(c_acctbal / max(abs(c_acctbal)) OVER (), 6) AS a0,
        round(c_nationkey / max(abs(c_nationkey)) OVER (), 6) AS a1 FROM customer""")
 def ft_maxabs(spark, sf):
     out = fx.scale(_cust_vec(spark, sf), "v", "s", "maxabs")
-    return fx.spread(out.select("c_custkey", "s"), "s", ["a0", "a1"])
+    return fx.slots(out.select("c_custkey", "s"), "s", ["a0", "a1"])
 
 
 @query("ft_minmax", """
@@ -171,7 +172,7 @@ SELECT c_custkey,
 FROM customer""")
 def ft_minmax(spark, sf):
     out = fx.scale(_cust_vec(spark, sf), "v", "s", "minmax", min=0.0, max=1.0)
-    return fx.spread(out.select("c_custkey", "s"), "s", ["a0", "a1"])
+    return fx.slots(out.select("c_custkey", "s"), "s", ["a0", "a1"])
 
 
 @query("ft_standard", """
@@ -181,7 +182,7 @@ SELECT c_custkey,
 FROM customer""")
 def ft_standard(spark, sf):
     out = fx.scale(_cust_vec(spark, sf), "v", "s", "standard", withMean=True, withStd=True)
-    return fx.spread(out.select("c_custkey", "s"), "s", ["a0", "a1"])
+    return fx.slots(out.select("c_custkey", "s"), "s", ["a0", "a1"])
 
 
 @query("ft_ngram", """
@@ -201,7 +202,7 @@ FROM embeddings""")
 def ft_normalizer(spark, sf):
     e = load(spark, sf, "embeddings").select("vec_id", fx.from_array("embedding").alias("v"))
     out = fx.scale(e, "v", "n", "normalizer", p=2.0)
-    return fx.spread(out.select("vec_id", "n"), "n", ["n0", "n1"])
+    return fx.slots(out.select("vec_id", "n"), "n", ["n0", "n1"])
 
 
 @query("ft_onehot", f"""
@@ -218,7 +219,7 @@ def ft_onehot(spark, sf):
 def ft_pca(spark, sf):
     e = load(spark, sf, "embeddings").select("vec_id", fx.from_array("embedding").alias("v"))
     out = mf.PCA(k=2, inputCol="v", outputCol="pc").fit(e).transform(e)
-    return fx.spread(out.select("vec_id", "pc"), "pc", ["pc0", "pc1"])
+    return fx.slots(out.select("vec_id", "pc"), "pc", ["pc0", "pc1"])
 
 
 @query("ft_tokenizer", r"""
@@ -235,7 +236,7 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(l_quantity, 6) AS f
        round(l_discount, 6) AS f1, round(l_tax, 6) AS f2 FROM lineitem""")
 def ft_assembler(spark, sf):
     li = fx.assemble(load(spark, sf, "lineitem").select(*_LI_KEYS, *_ASSEMBLED), _ASSEMBLED, "v")
-    return fx.spread(li.select(*_LI_KEYS, "v"), "v", ["f0", "f1", "f2"])
+    return fx.slots(li.select(*_LI_KEYS, "v"), "v", ["f0", "f1", "f2"])
 
 
 @query("ft_vector_indexer", """
@@ -254,4 +255,4 @@ def ft_vector_indexer(spark, sf):
                                             "l_tax", "l_quantity")
     v = fx.assemble(li, ["ln", "l_tax", "l_quantity"], "v")
     m = mf.VectorIndexer(maxCategories=10, inputCol="v", outputCol="vi").fit(v)
-    return fx.spread(m.transform(v).select(*_LI_KEYS, "vi"), "vi", ["i0", "i1", "i2"])
+    return fx.slots(m.transform(v).select(*_LI_KEYS, "vi"), "vi", ["i0", "i1", "i2"])

@@ -6,7 +6,7 @@ from pyspark.ml import evaluation as ev
 from pyspark.ml import feature as mf
 from pyspark.sql import functions as F
 
-from ..functions.common import r
+from ..functions.common import r, spread
 from ..ml import evaluate, features as fx, models, recommend, tuning
 from ..operators import order, splits
 from ..tables import load
@@ -18,7 +18,7 @@ NUMERIC_DOC = ["n_spaces", "n_lines", "n_digits", "n_chars"]
 
 def _docs(spark, sf):
     """documents ⋈ labels with numeric text features and a hash split."""
-    d = load(spark, sf, "documents")
+    d = spread(load(spark, sf, "documents"))  # text features are CPU-heavy per row
     lab = load(spark, sf, "labels")
     df = d.join(lab, "doc_id").select(
         "doc_id", F.col("quality").cast("double").alias("label"), "lang", "source",

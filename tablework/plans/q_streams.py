@@ -175,8 +175,7 @@ def stream_tumbling_purchases(spark, sf):
 @query("stream_running_count", "SELECT user_id, count(*) AS count FROM events GROUP BY user_id")
 def stream_running_count(spark, sf):
     ev = _events_stream(spark, sf, files=4).select("user_id")
-    run = state.running_state(ev, "user_id", "count")
-    return streams.drain(run, "update", keys=["user_id"])
+    return streams.drain(state.running_count(ev, "user_id"), "update", keys=["user_id"])
 
 
 @query("stream_seeded_state", """

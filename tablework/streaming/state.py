@@ -1,9 +1,13 @@
 """Keyed running state across micro-batches (R11, ``updateStateByKey``).
 
-Built on ``transformWithStateInPandas`` with a value state per key (RocksDB
-state store, checkpointed with the query).  ``update(old, batch_pdf)``
-returns the new state value or ``None`` to delete the key; the processor
-emits the new value of every key that received rows in the batch.
+Plain running aggregates (``running_count``) are Spark's own streaming
+aggregation: JVM-side, two-phase, state in the state store.  Custom or
+seeded state (``running_state``) is built on ``transformWithStateInPandas``
+with a value state per key (RocksDB state store, checkpointed with the
+query).  ``update(old, rows_pdf)`` is folded over the key's rows one Arrow
+batch at a time (so a hot key never has all its rows in memory at once) and
+returns the new value or ``None`` to delete the key; the processor emits the
+new value of every key that received rows in the micro-batch.
 """
 
 from __future__ import annotations
@@ -32,9 +36,9 @@ class RunningValue(StatefulProcessor):
         self.state = handle.getValueState("value", f"value {self.state_type}")
 
     def handleInputRows(self, key, rows, timerValues):
-        old = self.state.get()[0] if self.state.exists() else None
-        batch = pd.concat(list(rows), ignore_index=True)
-        new = self.update(old, batch)
+        new = self.state.get()[0] if self.state.exists() else None
+        for chunk in rows:
+            new = self.update(new, chunk)
         if new is None:
             self.state.clear()
             return
@@ -48,6 +52,14 @@ class RunningValue(StatefulProcessor):
         pass
 
 
+def running_count(df: DataFrame, key: str, out: str = "count") -> DataFrame:
+    """Running count per key across micro-batches (built-in streaming
+    aggregation; run it in ``update`` or ``complete`` mode)."""
+    from pyspark.sql import functions as F
+
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias(out))
+
+
 def running_state(df: DataFrame, key: str, out: str = "count", key_type: str = "long",
                   update: Callable = _count_update, state_type: str = "long",
                   initial: DataFrame | None = None) -> DataFrame:
