@@ -73,11 +73,15 @@ def _batch_writer(out: str, fmt: str = "parquet"):
 def run_stream(df: DataFrame, out: str | None = None, mode: str = "append",
                checkpoint: str | None = None, trigger: dict | None = None,
                foreach_batch: Callable[[DataFrame, int], None] | None = None,
-               query_name: str | None = None) -> tuple[StreamingQuery, str]:
+               query_name: str | None = None, sink: str | None = None,
+               **sink_options) -> tuple[StreamingQuery, str]:
     """Start ``df`` as a streaming query; returns ``(query, out_path)``.
 
     ``trigger`` is passed to ``DataStreamWriter.trigger`` (default
     ``{"availableNow": True}``; e.g. ``{"processingTime": "8 seconds"}``).
+    ``sink`` names a built-in sink instead of the replay-safe default, e.g.
+    ``"console"`` (with ``truncate``/``numRows``) or ``"memory"`` (needs
+    ``query_name``) for interactive inspection.
     """
     spark = df.sparkSession
     out = out or scratch_path(spark, "stream-out")
@@ -86,7 +90,11 @@ def run_stream(df: DataFrame, out: str | None = None, mode: str = "append",
     w = w.trigger(**(trigger or {"availableNow": True}))
     if query_name:
         w = w.queryName(query_name)
-    if foreach_batch is not None:
+    if sink is not None:
+        w = w.format(sink)
+        for k, v in sink_options.items():
+            w = w.option(k, v)
+    elif foreach_batch is not None:
         w = w.foreachBatch(foreach_batch)
     elif mode == "append":
         w = w.format("parquet").option("path", out)
@@ -147,12 +155,18 @@ def sliding_agg(df: DataFrame, ts: str, keys: list[str], agg: Column, length: st
     return df.groupBy(win.alias("window"), *keys).agg(agg)
 
 
-def per_batch(fn: Callable[[DataFrame], DataFrame], out: str) -> Callable[[DataFrame, int], None]:
-    """``transform(func)`` / per-batch reduce: apply ``fn`` to each micro-batch
-    and store its result tagged with the batch id (replay-safe overwrite)."""
+def per_batch(fn: Callable[[DataFrame], DataFrame], out: str, fmt: str = "parquet",
+              **options) -> Callable[[DataFrame, int], None]:
+    """``transform(func)`` / per-batch reduce / per-batch snapshots: apply
+    ``fn`` to each micro-batch and store its result tagged with the batch id
+    (replay-safe overwrite).  ``fmt="text"`` writes one text snapshot folder
+    per batch, like saving each batch's state as text files."""
     def write(batch: DataFrame, batch_id: int) -> None:
         # The folder name carries the batch id (read back as a partition column).
-        fn(batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        w = fn(batch).write.mode("overwrite").format(fmt)
+        for k, v in options.items():
+            w = w.option(k, v)
+        w.save(f"{out}/batch_id={batch_id}")
     return write
 
 

@@ -101,3 +101,15 @@ def test_partition_discovery(spark):
     assert {"key=0", "key=1"} <= set(os.listdir(p.replace("file:", "")))
     back = io.read(spark, "parquet", p)
     assert back.filter("key = 1").count() == 10
+
+
+def test_schema_inference_reads(spark):
+    p = scratch_path(spark, "infer")
+    rows_in = spark.createDataFrame([(1, 2.5, "a"), (2, 3.0, "b")], "i long, d double, s string")
+    io.write(rows_in, "json", f"{p}/json")
+    j = io.read(spark, "json", f"{p}/json")
+    assert dict(j.dtypes) == {"i": "bigint", "d": "double", "s": "string"}
+    io.write(rows_in, "csv", f"{p}/csv", header="true")
+    c = io.read(spark, "csv", f"{p}/csv", header="true", inferSchema="true")
+    assert dict(c.dtypes) == {"i": "int", "d": "double", "s": "string"}
+    assert rows(c) == [(1, 2.5, "a"), (2, 3.0, "b")]

@@ -83,3 +83,31 @@ def test_rate_source_runs(spark):
     time.sleep(4)
     q.stop()
     assert spark.read.parquet(out).count() >= 5
+
+
+def test_text_snapshots_per_batch(spark):
+    data = spark.range(0, 30).select((F.col("id") % 3).alias("k"), F.col("id").alias("t"))
+    d = streams.split_to_files(data, "t", 3)
+    src = streams.file_stream(spark, d, "parquet", spark.read.parquet(d).schema, max_files_per_trigger=1)
+    counts = state.running_count(src.select("k"), "k")
+    out = scratch_path(spark, "snapshots")
+    fb = streams.per_batch(lambda b: b.select(F.format_string("(%d, %d)", "k", "count").alias("value")), out,
+                           fmt="text")
+    q, _ = streams.run_stream(counts, out, "complete", foreach_batch=fb)
+    q.awaitTermination()
+    snaps = spark.read.text(out)
+    last = snaps.agg(F.max("batch_id")).first()[0]
+    assert sorted(r["value"] for r in snaps.filter(F.col("batch_id") == last).collect()) == \
+        ["(0, 10)", "(1, 10)", "(2, 10)"]
+    assert snaps.select("batch_id").distinct().count() == 3
+
+
+def test_console_and_memory_sinks(spark):
+    ev = streams.table_stream(spark, SF_SMALL, "events", event_time="ts")
+    q, _ = streams.run_stream(ev.groupBy("event_type").count(), mode="complete", sink="memory",
+                              query_name="tw_event_counts")
+    q.awaitTermination()
+    assert spark.table("tw_event_counts").count() == 5
+    q2, _ = streams.run_stream(ev.select("event_id"), mode="append", sink="console", numRows=2,
+                               truncate="false")
+    q2.awaitTermination()
