@@ -59,7 +59,8 @@ def test_bfs(g):
 
 def test_components(g):
     cc = dict(rows(g.connected_components().select("id", "component")))
-    assert len({cc[x] for x in "abcdef"}) == 1 and cc["g"] != cc["a"]
+    assert cc == {**{x: "a" for x in "abcdef"}, "g": "g"}
+    assert dict(rows(g.connected_components(method="propagate").select("id", "component"))) == cc
     scc = dict(rows(g.strongly_connected_components().select("id", "component")))
     groups = {}
     for k, c in scc.items():
@@ -96,3 +97,17 @@ def test_save_load(g, spark, tmp_path):
     g.save(p)
     back = Graph.load(spark, p)
     assert back.vertices.count() == 7 and back.edges.count() == 8
+
+
+def test_components_long_chain_and_forest(spark):
+    """Star contraction on a 200-vertex path plus a separate triangle and an
+    isolated vertex matches the expected minimum labels."""
+    from pyspark.sql import functions as F
+    n = 200
+    v = spark.range(0, n + 4).select(F.col("id"))
+    chain = spark.range(0, n - 1).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
+    tri = spark.createDataFrame([(n, n + 1), (n + 1, n + 2), (n + 2, n)], "src long, dst long")
+    g2 = Graph(v, chain.union(tri))
+    cc = dict(rows(g2.connected_components().select("id", "component")))
+    assert all(cc[i] == 0 for i in range(n))
+    assert cc[n] == cc[n + 1] == cc[n + 2] == n and cc[n + 3] == n + 3
