@@ -164,9 +164,16 @@ SELECT user_id AS district, strftime(time_bucket(INTERVAL 1 MINUTE, ts), '%Y-%m-
        count(*) AS count
 FROM events WHERE event_type = 'purchase' GROUP BY 1, 2""")
 def stream_tumbling_purchases(spark, sf):
-    ev = _events_stream(spark, sf).filter(F.col("event_type") == "purchase") \
-        .withColumnRenamed("user_id", "district")
-    agg = streams.sliding_agg(ev, "ts", ["district"], F.count(F.lit(1)).alias("count"), "1 minute")
+    """Purchases per district per 1-minute window over a JSON file source
+    with an explicit schema, read at most 2 files per micro-batch."""
+    ev = load(spark, sf, "events").select("ts", F.col("event_type").alias("action"),
+                                          F.col("user_id").alias("district"))
+    d = streams.split_to_files(ev, "ts", 6, fmt="json")
+    schema = "ts timestamp_ntz, action string, district long"
+    src = streams.file_stream(spark, d, "json", schema, max_files_per_trigger=2) \
+        .withColumn("ts", F.col("ts").cast("timestamp"))
+    buys = src.filter(F.col("action") == "purchase")
+    agg = streams.sliding_agg(buys, "ts", ["district"], F.count(F.lit(1)).alias("count"), "1 minute")
     out = agg.select("district", streams.window_start().alias("window_start"), "count") \
              .orderBy("window_start", "district")
     return streams.drain(out, "complete")

@@ -56,11 +56,12 @@ def table_stream(spark: SparkSession, sf_dir: str, table: str, max_files_per_tri
     return df
 
 
-def split_to_files(df: DataFrame, order_col: str, n: int, out: str | None = None) -> str:
-    """Write ``df`` as ``n`` range-partitioned parquet files (a replayable
+def split_to_files(df: DataFrame, order_col: str, n: int, out: str | None = None,
+                   fmt: str = "parquet") -> str:
+    """Write ``df`` as ``n`` range-partitioned files in ``fmt`` (a replayable
     sequence of input files for multi-batch stream tests and backfills)."""
     out = out or scratch_path(df.sparkSession, "stream-input")
-    df.repartitionByRange(n, order_col).sortWithinPartitions(order_col).write.parquet(out)
+    df.repartitionByRange(n, order_col).sortWithinPartitions(order_col).write.format(fmt).save(out)
     return out
 
 

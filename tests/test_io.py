@@ -74,6 +74,16 @@ def test_jdbc_roundtrip(spark):
                       props)
     jdbc.upsert_batch(spark.createDataFrame([(2, "z")], "id int, name string"), url, "tw_kv", ["id"], props)
     assert rows(jdbc.read(spark, url, "tw_kv", props)) == [(1, "x"), (2, "z")]
+    # the same upsert driven by a stream: replaying a batch leaves the same table
+    from tablework.streaming import state, streams
+    data = spark.range(0, 12).select((F.col("id") % 3).cast("int").alias("id"), F.col("id").alias("t"))
+    d = streams.split_to_files(data, "t", 3)
+    src = streams.file_stream(spark, d, "parquet", spark.read.parquet(d).schema, max_files_per_trigger=1)
+    counts = state.running_count(src.select("id"), "id").select("id", F.col("count").cast("string").alias("name"))
+    q, _ = streams.run_stream(counts, mode="update",
+                              foreach_batch=lambda b, _i: jdbc.upsert_batch(b, url, "tw_kv", ["id"], props))
+    q.awaitTermination()
+    assert rows(jdbc.read(spark, url, "tw_kv", props)) == [(0, "4"), (1, "4"), (2, "4")]
 
 
 def test_hadoop_input_format(spark, tmp_path):
