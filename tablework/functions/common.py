@@ -11,8 +11,15 @@ def col(c: Column | str) -> Column:
 
 
 def r(c: Column | str, digits: int = 4) -> Column:
-    """Round a double for engine-independent comparison."""
-    return F.round(col(c).cast("double"), digits)
+    """Round a double to ``digits`` places as ``round(x * 10^d) / 10^d``.
+
+    This is the binary-exact rounding of IEEE engines: the result depends only
+    on the double itself, so engines agree even when the value sits on an
+    exact decimal tie (plain ``F.round`` rounds the shortest decimal string
+    half-up, which can differ on such ties).
+    """
+    p = float(10 ** digits)
+    return F.round(col(c).cast("double") * F.lit(p), 0) / F.lit(p)
 
 
 def ts_str(c: Column | str, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:

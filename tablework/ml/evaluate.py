@@ -12,6 +12,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.common import r
+
 
 def error_report(df: DataFrame, label: str = "label", prediction: str = "prediction",
                  out: str = "error") -> DataFrame:
@@ -51,9 +53,9 @@ def regression_metrics(df: DataFrame, label: str = "label", prediction: str = "p
     a = df.agg(F.count(F.lit(1)).alias("n"), F.sum((y - p) * (y - p)).alias("sse"),
                F.sum(F.abs(y - p)).alias("sae"), F.var_pop(y).alias("vy"))
     sst = F.col("vy") * F.col("n")  # numerically stable total sum of squares
-    return a.select(F.round(F.sqrt(F.col("sse") / F.col("n")), digits).alias("rmse"),
-                    F.round(F.lit(1.0) - F.col("sse") / sst, digits).alias("r2"),
-                    F.round(F.col("sae") / F.col("n"), digits).alias("mae"))
+    return a.select(r(F.sqrt(F.col("sse") / F.col("n")), digits).alias("rmse"),
+                    r(F.lit(1.0) - F.col("sse") / sst, digits).alias("r2"),
+                    r(F.col("sae") / F.col("n"), digits).alias("mae"))
 
 
 def metrics_frame(spark, values: dict[str, float], digits: int = 6) -> DataFrame:

@@ -14,6 +14,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.common import r
+
 
 def assemble(df: DataFrame, cols: list[str], out: str = "features", handle_invalid: str = "error") -> DataFrame:
     return mf.VectorAssembler(inputCols=cols, outputCol=out, handleInvalid=handle_invalid).transform(df)
@@ -32,7 +34,7 @@ def to_array(c: str | Column) -> Column:
 def slots(df: DataFrame, vec: str, names: list[str], digits: int | None = 6) -> DataFrame:
     """Vector column → one double column per slot (rounded)."""
     arr = to_array(vec)
-    cols = [(F.round(arr[i], digits) if digits is not None else arr[i]).alias(n) for i, n in enumerate(names)]
+    cols = [(r(arr[i], digits) if digits is not None else arr[i]).alias(n) for i, n in enumerate(names)]
     return df.select(*[c for c in df.columns if c != vec], *cols)
 
 

@@ -11,22 +11,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..functions.common import col
+from ..functions.common import col, r
 
 
 def stats(df: DataFrame, c: str, population: bool = True, digits: int = 6) -> DataFrame:
     """count, mean, stdev, min, max, sum of one column (RDD ``stats()`` is
     population stdev; ``describe`` is sample)."""
     sd = F.stddev_pop if population else F.stddev_samp
-    return df.agg(F.count(c).alias("count"), F.round(F.avg(c), digits).alias("mean"),
-                  F.round(sd(c), digits).alias("stdev"), F.min(c).alias("min"),
-                  F.max(c).alias("max"), F.round(F.sum(c), digits).alias("sum"))
+    return df.agg(F.count(c).alias("count"), r(F.avg(c), digits).alias("mean"),
+                  r(sd(c), digits).alias("stdev"), F.min(c).alias("min"),
+                  F.max(c).alias("max"), r(F.sum(c), digits).alias("sum"))
 
 
 def describe(df: DataFrame, c: str, digits: int = 4) -> DataFrame:
     """``describe(c)`` as (summary, value) with numeric values (sample stdev)."""
-    a = df.agg(F.count(c).cast("double").alias("count"), F.round(F.avg(c), digits).alias("mean"),
-               F.round(F.stddev_samp(c), digits).alias("stddev"),
+    a = df.agg(F.count(c).cast("double").alias("count"), r(F.avg(c), digits).alias("mean"),
+               r(F.stddev_samp(c), digits).alias("stddev"),
                F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max"))
     return a.unpivot([], ["count", "mean", "stddev", "min", "max"], "summary", "value")
 
@@ -41,7 +41,7 @@ def reduce_by_key(df: DataFrame, key: str, value: str, out: str = "total") -> Da
 
 
 def mean_by_key(df: DataFrame, key: str, value: str, out: str = "mean", digits: int = 6) -> DataFrame:
-    return df.groupBy(key).agg(F.round(F.avg(value), digits).alias(out))
+    return df.groupBy(key).agg(r(F.avg(value), digits).alias(out))
 
 
 def count_by(df: DataFrame, *keys: str, out: str = "count") -> DataFrame:
@@ -63,7 +63,7 @@ def crosstab(df: DataFrame, a: str, b: str, values: list | None = None) -> DataF
 
 def pivot_mean(df: DataFrame, row: str, column: str, value: str, values: list,
                digits: int = 4) -> DataFrame:
-    t = df.groupBy(row).pivot(column, values).agg(F.round(F.avg(value), digits))
+    t = df.groupBy(row).pivot(column, values).agg(r(F.avg(value), digits))
     return t
 
 

@@ -12,7 +12,7 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.common import col
+from ..functions.common import col, r
 
 
 def cast_all(df: DataFrame, to: str = "double", cols: list[str] | None = None,
@@ -48,7 +48,7 @@ def decode(df: DataFrame, c: str, mapping: dict, out: str | None = None,
 
 def denormalise(df: DataFrame, scales: dict[str, float], digits: int = 4) -> DataFrame:
     """Multiply normalised columns back to their natural units."""
-    return df.withColumns({c: F.round(F.col(c) * F.lit(float(s)), digits) for c, s in scales.items()})
+    return df.withColumns({c: r(F.col(c) * F.lit(float(s)), digits) for c, s in scales.items()})
 
 
 def fold_conditions(conds: list[Column], out: str = "n_true") -> Column:

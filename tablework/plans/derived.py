@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.common import r
 from ..tables import load
 
 
@@ -15,7 +16,7 @@ def ratings(spark: SparkSession, sf: str) -> DataFrame:
     li = load(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     return (j.groupBy(F.col("o_custkey").alias("user"), F.col("l_partkey").alias("item"))
-            .agg(F.round(F.avg("l_quantity"), 4).alias("rating"), F.min("o_orderdate").alias("ts")))
+            .agg(r(F.avg("l_quantity"), 4).alias("rating"), F.min("o_orderdate").alias("ts")))
 
 
 RATINGS_SQL = """

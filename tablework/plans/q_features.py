@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import feature as mf
 from pyspark.sql import functions as F
 
-from ..functions.common import spread
+from ..functions.common import r, spread
 from ..ml import features as fx
 from ..tables import load
 from .registry import query
@@ -89,7 +89,7 @@ def ft_tf_idf(spark, sf):
     cv = fx.count_vectorizer(vocab, "tokens", "tf").transform(toks)
     idf = mf.IDF(inputCol="tf", outputCol="tfidf").fit(cv).transform(cv)
     e = fx.sparse_entries(idf, "tfidf", ["conv_id", "turn"], vocab, "term", "tfidf")
-    return e.withColumn("tfidf", F.round("tfidf", 6))
+    return e.withColumn("tfidf", r("tfidf", 6))
 
 
 @query("ft_dct", """

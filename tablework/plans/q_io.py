@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.common import r
 from ..session import scratch_path
+
 from ..sources import catalog, io
 from ..tables import load, path
 from .registry import query
@@ -122,7 +124,7 @@ def bucketed_table(spark, sf):
     t = spark.table(name)
     # Grouping on the bucket column reuses the bucket layout: no exchange.
     return t.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders"),
-                                      F.round(F.sum("o_totalprice"), 4).alias("total"))
+                                      r(F.sum("o_totalprice"), 4).alias("total"))
 
 
 @query("custom_partition", """

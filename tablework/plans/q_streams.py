@@ -112,7 +112,7 @@ def stream_transform(spark, sf):
 
     def fn(b):
         return b.transform(lambda d: d.filter(F.col("value") > 90)
-                           .select("event_id", "user_id", F.round("value", 2).alias("value")))
+                           .select("event_id", "user_id", r("value", 2).alias("value")))
 
     return streams.drain(ev, "append", batch_fn=fn).drop("batch_id")
 
