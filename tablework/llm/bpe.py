@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import map_text
+from .common import as_bytes, map_text
 
 #: Unicode white space, as in the pattern languages of the public tokenizers.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -185,8 +185,8 @@ def encode(df: DataFrame, data: bytes, pattern: str, text: str = "text", keep: l
     def make():
         codec = _codec(data, pattern)
 
-        def step(texts: list[bytes]) -> list[pa.Array]:
-            ids = [codec.encode(t.decode("utf-8", "replace")) for t in texts]
+        def step(texts: pa.Array) -> list[pa.Array]:
+            ids = [codec.encode(t.decode("utf-8", "replace")) for t in as_bytes(texts)]
             out = [lists(ids)]
             if with_decoded:
                 out.append(pa.array([codec.decode(np.frombuffer(i, np.int32)) for i in ids], pa.binary()))

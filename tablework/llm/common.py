@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -77,12 +78,12 @@ def slices(batch: pa.RecordBatch, text: int, limit: int = SLICE_BYTES) -> Iterat
 
 
 def map_text(df: DataFrame, text: str, outputs: T.StructType, make_step: Callable,
-             keep: list[str] | None = None) -> DataFrame:
+             keep: list[str] | None = None, limit: int = SLICE_BYTES) -> DataFrame:
     """Add columns computed from a text column, slice by slice, in Python workers.
 
-    ``make_step()`` runs once per task and returns a function from a list of UTF-8
-    texts (``bytes``) to one Arrow array for each field of ``outputs``.  ``keep``
-    names the input columns to return (all, if none are given).
+    ``make_step()`` runs once per task and returns a function from an Arrow array of
+    texts (about ``limit`` bytes of them) to one Arrow array for each field of ``outputs``.
+    ``keep`` names the input columns to return (all, if none are given).
     """
     names = others(df, outputs.names)
     if keep is not None:
@@ -97,13 +98,59 @@ def map_text(df: DataFrame, text: str, outputs: T.StructType, make_step: Callabl
     def run(batches):
         step = make_step()
         for batch in batches:
-            for part in slices(batch, 0):
-                cols = step(part.column(0).cast(pa.binary()).to_pylist())
-                yield pa.RecordBatch.from_arrays(part.columns[1:] + list(cols), names=schema.names)
+            for part in slices(batch, 0, limit):
+                yield pa.RecordBatch.from_arrays(part.columns[1:] + list(step(part.column(0))), names=schema.names)
 
     return src.mapInArrow(run, schema)
 
 
+def as_bytes(texts: pa.Array) -> list[bytes]:
+    return texts.cast(pa.binary()).to_pylist()
+
+
+def coded_words(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Words of all but ASCII white space: the texts' words one after another as places in a list of
+    the distinct ones, each text's first place (and the end of the last), and that list.
+
+    With ``lower``, A-Z are lower-cased.
+    """
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
+    coded = parts.flatten().dictionary_encode()
+    codes, at = coded.indices.to_numpy(), parts.offsets.to_numpy()
+    names = as_bytes(coded.dictionary)
+    at = at - at[0]
+    if b"" in names:  # white space at a text's ends
+        real = codes != names.index(b"")
+        at = np.concatenate([[0], np.cumsum(real)])[at]
+        codes = codes[real]
+    return codes, at, names
+
+
+class Memory:
+    """Values by key for a bounded number of keys; those not asked for lately are forgotten first."""
+
+    def __init__(self, entries: int):
+        self.entries, self.young, self.old = entries, {}, {}
+
+    def lookup(self, keys: list, make: Callable[[list], list]) -> list:
+        """Values of distinct ``keys``; ``make`` computes those not remembered."""
+        young, old = self.young, self.old
+        found = [young.get(k) for k in keys]
+        gone = [i for i, v in enumerate(found) if v is None]
+        new = []
+        for i in gone:
+            v = old.get(keys[i])
+            if v is None:
+                new.append(i)
+            else:
+                found[i] = young[keys[i]] = v
+        for i, v in zip(new, make([keys[i] for i in new]) if new else []):
+            found[i] = young[keys[i]] = v
+        if len(young) > self.entries // 2:
+            self.old, self.young = young, {}
+        return found
+
+
 def literal_bounds(df: DataFrame, key: str, parts: int, per_part: int = 64) -> list:
     """At most ``parts - 1`` ascending values of ``key`` that cut ``df`` into parts of about equal size.
 

@@ -17,47 +17,48 @@ entries alike.  The rare tokens of each text are joined with the distributed cou
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, staged
+from .common import coded_words, slices, staged
 
 #: The end token; words are never empty.
 END = b""
-FLUSH = 150_000
 
 
-def tokens(text: bytes) -> list[bytes]:
-    """Words of all but ASCII white space, A-Z lower-cased, and the end token."""
-    found = text.lower().split()
-    found.append(END)
-    return found
+#: Bytes of text whose distinct tokens are handled together.
+SLICE = 16 << 20
+
+
+def coded_tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """All texts' tokens one after another as places in a list of the distinct ones, each text's start, and that list.
+
+    Tokens are words of all but ASCII white space, A-Z lower-cased, then the end token.
+    """
+    codes, at, names = coded_words(texts, lower=True)
+    if b"" in names:
+        names[names.index(b"")] = b" "  # never counted: what white space at a text's ends left in the list
+    n = len(texts)
+    flat = np.full(len(codes) + n, len(names), np.int64)
+    word = np.ones(len(flat), bool)
+    word[at[1:] + np.arange(n)] = False
+    flat[word] = codes
+    return flat, at[:-1] + np.arange(n), [*names, END]
 
 
 def count_tokens(texts: DataFrame) -> DataFrame:
     """(token, n) over all rows of ``texts`` (text)."""
     def run(batches):
-        seen = Counter()
-
-        def flush():
-            out = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())],
-                                             names=["token", "n"])
-            seen.clear()
-            return out
-
         for batch in batches:
-            for part in slices(batch, 0):
-                for text in part.column(0).cast(pa.binary()).to_pylist():
-                    seen.update(tokens(text))
-                if len(seen) >= FLUSH:
-                    yield flush()
-        if seen:
-            yield flush()
+            for part in slices(batch, 0, SLICE):
+                flat, _, names = coded_tokens(part.column(0))
+                n = np.bincount(flat, minlength=len(names))
+                seen = np.flatnonzero(n)
+                yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in seen], pa.binary()), pa.array(n[seen], pa.int64())],
+                                                 names=["token", "n"])
 
     return texts.mapInArrow(run, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
@@ -70,12 +71,11 @@ class Numbers:
         self.of = {t: i for i, t in enumerate(names)}
         self.end = self.of.get(END, -1)
 
-    def rows(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-        """All texts' token numbers one after another, and each text's start."""
+    def rows(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+        """``coded_tokens`` with the tokens' numbers in front."""
+        flat, starts, names = coded_tokens(texts)
         get = self.of.get
-        flat = np.array([get(t, -1) for words in texts for t in words], np.int64)
-        sizes = np.array([len(w) for w in texts], np.int64)
-        return flat, np.cumsum(sizes) - sizes
+        return np.array([get(t, -1) for t in names], np.int64)[flat], starts, flat, names
 
 
 def contexts(flat: np.ndarray, starts: np.ndarray, end: int, k: int, base: int) -> np.ndarray:
@@ -116,8 +116,8 @@ def count_entries(texts: DataFrame, numbers: Numbers, k: int, candidates: np.nda
             return code, np.bincount(where, n, len(code)).astype(np.int64)
 
         for batch in batches:
-            for part in slices(batch, 0):
-                flat, starts = numbers.rows([tokens(t) for t in part.column(0).cast(pa.binary()).to_pylist()])
+            for part in slices(batch, 0, SLICE):
+                flat, starts, _, _ = numbers.rows(part.column(0))
                 code = contexts(flat, starts, numbers.end, k, base)
                 at = np.flatnonzero((code >= 0) & (flat >= 0))
                 at = at[nexts[flat[at]]]
@@ -262,24 +262,22 @@ def score(df: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 5
     def judge(batches):
         part, row = TaskContext.get().partitionId() << 33, 0
         for batch in batches:
-            for piece in slices(batch, 0):
-                texts = [tokens(t) for t in piece.column(0).cast(pa.binary()).to_pylist()]
-                flat, starts = tree.numbers.rows(texts)
+            for piece in slices(batch, 0, SLICE):
+                flat, starts, codes, names = tree.numbers.rows(piece.column(0))
                 logs = tree.log_probs(flat, starts)
                 common = flat >= 0
                 root = np.zeros(len(flat))
                 root[common] = tree.log_root[flat[common]]
-                rows = [part + row + i for i in range(len(texts))]
-                row += len(texts)
-                sizes = [len(t) for t in texts]
-                rare = {"row": [], "token": [], "n": []}
+                count = piece.num_rows
+                rows = (part + row + np.arange(count)).tolist()
+                row += count
+                sizes = np.diff(np.append(starts, len(flat))).tolist()
                 place = np.flatnonzero(~common)
                 owner = np.searchsorted(starts, place, side="right") - 1
-                for (o, t), n in Counter((o, texts[o][i]) for o, i in zip(owner.tolist(), (place - starts[owner]).tolist())).items():
-                    rare["row"].append(rows[o])
-                    rare["token"].append(t)
-                    rare["n"].append(n)
-                more, none = len(rare["row"]), [None] * len(texts)
+                pairs, times = np.unique(owner * len(names) + codes[place], return_counts=True)
+                rare = {"row": (part + row - count + pairs // len(names)).tolist(),
+                        "token": [names[i] for i in (pairs % len(names)).tolist()], "n": times.tolist()}
+                more, none = len(rare["row"]), [None] * count
                 gone = [None] * more
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(rows + rare["row"], pa.int64()),

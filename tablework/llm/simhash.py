@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .blocks import grouped_batches, in_blocks, spanning_links
-from .common import map_text, shuffle_partitions, staged
+from .common import as_bytes, map_text, shuffle_partitions, staged
 from .components import components
 
 BITS = 64
@@ -58,7 +58,7 @@ def add_fingerprints(df: DataFrame, text: str = "text", shingle: int = 3, out: s
     """Add ``out`` (long): the fingerprint's 64 bits.  A null or empty text has fingerprint zero."""
     def make():
         def step(texts):
-            found = np.array([fingerprint(t, shingle) for t in texts], np.uint64)
+            found = np.array([fingerprint(t, shingle) for t in as_bytes(texts)], np.uint64)
             return [pa.array(found.view(np.int64))]
         return step
     return map_text(df, text, T.StructType([T.StructField(out, T.LongType())]), make, keep)
