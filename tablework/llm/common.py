@@ -126,6 +126,19 @@ def coded_words(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.nd
     return codes, at, names
 
 
+def strung(values: list[bytes], codes: np.ndarray, at: np.ndarray) -> list[bytes]:
+    """For each text the 32-bit ``values`` of its ``codes`` one after another; ``at`` as of ``coded_words``."""
+    sizes = np.array([len(v) // 4 for v in values], np.int64)
+    flat = np.frombuffer(b"".join(values), "<u4")
+    first = np.cumsum(sizes) - sizes
+    # a code's first place in ``flat``, then one place on for each further value
+    count = sizes[codes]
+    ends = np.cumsum(count)
+    made = flat[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(first[codes] - (ends - count), count)]
+    cuts = np.concatenate([[0], ends])[at]
+    return [made[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
+
+
 class Memory:
     """Values by key for a bounded number of keys; those not asked for lately are forgotten first."""
 
@@ -135,10 +148,9 @@ class Memory:
     def lookup(self, keys: list, make: Callable[[list], list]) -> list:
         """Values of distinct ``keys``; ``make`` computes those not remembered."""
         young, old = self.young, self.old
-        found = [young.get(k) for k in keys]
-        gone = [i for i, v in enumerate(found) if v is None]
+        found = list(map(young.get, keys))
         new = []
-        for i in gone:
+        for i in [i for i, v in enumerate(found) if v is None]:
             v = old.get(keys[i])
             if v is None:
                 new.append(i)
