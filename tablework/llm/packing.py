@@ -18,6 +18,7 @@ partition's number; the same input splits give the same result after a retry.
 from __future__ import annotations
 
 import hashlib
+import re
 from array import array
 from bisect import bisect_right, insort
 
@@ -28,13 +29,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import free_name, others, slices
+from .common import Memory, coded_words, free_name, slices, strung
 
-CACHE_ENTRIES = 400_000
+#: Words, and runs of letters or other signs, that a worker remembers.
+WORDS_KEPT, RUNS_KEPT = 300_000, 1_000_000
+#: Words of these characters are cut into the tokenizer's units here; all others are left to it whole.
+_PLAIN = re.compile(r"[!-&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+_RUNS = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+#: Bytes of text whose distinct words are looked up together.
+SLICE = 16 << 20
 
 
 class WordIds:
-    """Ids of texts under a tokenizer that drops white space: words are looked up once and remembered."""
+    """Ids of texts under a tokenizer that lower-cases, drops white space and encodes words apart.
+
+    Each distinct word of a slice of text is looked up once.  A word that is not
+    remembered is cut into runs of letters, digits and other signs, the units the
+    tokenizer works on, which repeat far more often than words with their
+    punctuation do; only runs that are not remembered are tokenized.
+    """
 
     def __init__(self, data: bytes):
         from tokenizers import Tokenizer
@@ -42,51 +55,35 @@ class WordIds:
         self.tokenizer = Tokenizer.from_str(data.decode())
         special = [(t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special]
         self.mark = next((x for x in special if x[0].startswith("<|")), None)
-        self.known: dict[bytes, bytes] = {}
+        self.words, self.runs = Memory(WORDS_KEPT), Memory(RUNS_KEPT)
 
-    def learn(self, words: set[bytes]) -> None:
-        if len(self.known) + len(words) > CACHE_ENTRIES:
-            self.known.clear()
-        new = list(words)
-        for i in range(0, len(new), 1024):
-            self.known.update(zip(new[i:i + 1024], self._encode(new[i:i + 1024])))
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text without white space.  Special tokens part texts, so plain ones go as one with marks between."""
+        out = []
+        for i in range(0, len(texts), 1024):
+            part = texts[i:i + 1024]
+            if self.mark is None or any("<|" in t or "|>" in t for t in part):
+                got = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
+                out += [array("I", e.ids).tobytes() for e in got]
+                continue
+            ids = np.array(self.tokenizer.encode(f" {self.mark[0]} ".join(part), add_special_tokens=False).ids, "<u4")
+            start = 0
+            for end in [*np.flatnonzero(ids == self.mark[1]).tolist(), len(ids)]:
+                out.append(ids[start:end].tobytes())
+                start = end + 1
+        return out
 
-    def _encode(self, words: list[bytes]) -> list[bytes]:
-        """Ids of each word.  White space and special tokens part words, so plain words go as one text with marks between."""
+    def _new_words(self, words: list[bytes]) -> list[bytes]:
         texts = [w.decode("utf-8", "replace") for w in words]
-        if self.mark is None or any("<|" in t or "|>" in t for t in texts):
-            got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-            return [array("I", e.ids).tobytes() for e in got]
-        ids = np.array(self.tokenizer.encode(f" {self.mark[0]} ".join(texts), add_special_tokens=False).ids, "<u4")
-        ends = [*np.flatnonzero(ids == self.mark[1]).tolist(), len(ids)]
-        out, start = [], 0
-        for end in ends:
-            out.append(ids[start:end].tobytes())
-            start = end + 1
-        return out
+        runs = [_RUNS.findall(t.lower()) if _PLAIN.fullmatch(t) and "<|" not in t and "|>" not in t else [t] for t in texts]
+        distinct = list({r for rs in runs for r in rs})
+        ids = dict(zip(distinct, self.runs.lookup(distinct, self._encode)))
+        return [b"".join([ids[r] for r in rs]) for rs in runs]
 
-    def batch(self, texts: list[bytes]) -> list[bytes]:
+    def batch(self, texts: pa.Array) -> list[bytes]:
         """32-bit ids of each text, in native order."""
-        split = [t.split() for t in texts]
-        missing = set().union(*split) - self.known.keys()
-        if len(missing) > CACHE_ENTRIES // 2:  # more words than are remembered: text by text
-            return [self._long(words) for words in split]
-        if missing:
-            short = {w for w in missing if len(w) <= 256}
-            self.learn(short)
-            still = set().union(*split) - self.known.keys()  # long words, and those that a fresh table lost
-            extra = dict(zip(still, self._encode(list(still)))) if still else {}
-            get = (self.known | extra).__getitem__ if len(extra) > 1000 else lambda w: self.known.get(w) or extra.get(w, b"")
-            return [b"".join(map(get, words)) for words in split]
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
-
-    def _long(self, words: list[bytes]) -> bytes:
-        out = []
-        for i in range(0, len(words), 50_000):
-            part = words[i:i + 50_000]
-            got = dict(zip(new := list(set(part)), self._encode(new)))
-            out.append(b"".join(map(got.__getitem__, part)))
-        return b"".join(out)
+        codes, at, names = coded_words(texts)
+        return strung(self.words.lookup(names, self._new_words), codes, at)
 
 
 _ids: dict[str, WordIds] = {}
@@ -244,9 +241,8 @@ def pack(df: DataFrame, data: bytes, text: str = "text", key: str = "doc_id", en
         packer, row = Packer(tiers, pool, emit), 0
         for batch in batches:
             key_type = batch.column(1).type
-            for piece in slices(batch, 0):
-                texts = piece.column(0).cast(pa.binary()).to_pylist()
-                for doc, ids in zip(piece.column(1).to_pylist(), words.batch(texts)):
+            for piece in slices(batch, 0, SLICE):
+                for doc, ids in zip(piece.column(1).to_pylist(), words.batch(piece.column(0))):
                     ids += end
                     waiting[row] = [doc, ids, len(ids) // 4]
                     packer.add(row, len(ids) // 4)
