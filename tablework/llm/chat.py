@@ -1,8 +1,8 @@
 """Chat formatting with a grammar round trip.
 
 A turn is rendered as ``### <role>: <text></turn>`` and a newline.  Inside a role or
-text, a backslash in front of ``###``, ``</turn>`` or another backslash makes it
-ordinary; in a role also in front of ``: ``.  The parser is deterministic: it reads
+text, a backslash in front of a ``#`` that begins ``###``, of ``</turn>`` or of another
+backslash makes it ordinary; in a role also in front of ``: ``.  The parser is deterministic: it reads
 up to the first mark that no backslash guards and drops the guards.
 
 The formatter first renders what it was given as it stands, reparses it, and compares
@@ -27,8 +27,8 @@ from .common import others, shuffle_partitions
 HEAD, MID, TAIL = "### ", ": ", "</turn>\n"
 _ROLE = re.compile(r"### ((?:[^\\:]++|\\.|:(?! ))*+): ", re.S)
 _TEXT = re.compile(r"((?:[^\\<]++|\\.|<(?!/turn>))*+)</turn>\n", re.S)
-_GUARD_TEXT = re.compile(r"\\|###|</turn>")
-_GUARD_ROLE = re.compile(r"\\|###|</turn>|: |:$")
+_GUARD_TEXT = re.compile(r"\\|#(?=##)|</turn>")
+_GUARD_ROLE = re.compile(r"\\|#(?=##)|</turn>|: |:$")
 _UNGUARD = re.compile(r"\\(.)", re.S)
 
 
