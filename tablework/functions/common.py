@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -31,16 +31,29 @@ def join_array(c: Column | str, sep: str = ",") -> Column:
     return F.array_join(col(c), sep)
 
 
-def spread(df, min_partitions: int | None = None):
-    """Redistribute a batch input that has fewer partitions than the cluster
-    has cores before CPU-heavy row work (splitting, exploding, regexes).
+def literal_cuts(df: DataFrame, key: list[str], parts: int, per_part: int = 64, seed: int = 7) -> list[tuple]:
+    """At most ``parts - 1`` ascending key tuples that cut ``df`` into parts of about equal size.
 
-    Large inputs already arrive in many splits and pass through unchanged;
-    streaming inputs are never touched.
+    They come from a bounded random sample of ``parts * per_part`` keys and are
+    plain values from then on, so every evaluation of a plan that uses them
+    deals rows alike.  Null keys sort first and are never a cut.
     """
-    if df.isStreaming:
-        return df
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    got = df.select(*key).dropna().orderBy(F.rand(seed)).limit(parts * per_part).collect()
+    keys = sorted(tuple(r) for r in got)
+    return sorted({keys[len(keys) * i // parts] for i in range(1, parts)}) if keys else []
+
+
+def cut_rank(df: DataFrame, key: list[str], cuts: list[tuple]) -> Column:
+    """Number of ``cuts`` at or below each row's key tuple, found in two steps."""
+    if not cuts:
+        return F.lit(0)
+    fields = ", ".join(f"`_{i}`: {df.schema[c].dataType.simpleString()}" for i, c in enumerate(key))
+    row = F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(key)])
+
+    def literal(some: list[tuple]) -> Column:
+        return F.array(*[F.struct(*[F.lit(v) for v in cut]) for cut in some]).cast(f"array<struct<{fields}>>")
+
+    wide = max(1, round(len(cuts) ** 0.5))
+    coarse = F.size(F.filter(literal(cuts[::wide]), lambda c: c <= row))
+    base = F.greatest(coarse - 1, F.lit(0)) * wide
+    return base + F.size(F.filter(F.slice(literal(cuts), base + 1, wide), lambda c: c <= row))

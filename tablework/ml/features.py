@@ -57,6 +57,24 @@ def top_vocabulary(tokens: DataFrame, col: str, k: int, min_df: int = 1, id_col:
     return [r["_t"] for r in g.orderBy(F.col("_n").desc(), F.col("_t")).limit(k).collect()]
 
 
+def term_counts(tokens: DataFrame, keys: list[str], col: str, term: str = "term", out: str = "tf") -> DataFrame:
+    """Bag of words over every term, in long form: (``keys``, term, count)."""
+    return (tokens.select(*keys, F.explode(col).alias(term)).groupBy(*keys, term)
+            .agg(F.count(F.lit(1)).alias(out)))
+
+
+def tf_idf(tokens: DataFrame, keys: list[str], col: str, term: str = "term", out: str = "tfidf") -> DataFrame:
+    """tf * ln((m + 1) / (df + 1)) for every term of every document, m documents in all.
+
+    The document frequencies are a table of their own, joined on the term;
+    nothing is collected but m.
+    """
+    tf = term_counts(tokens, keys, col, term, "_tf")
+    df = tf.groupBy(term).agg(F.count(F.lit(1)).alias("_df"))
+    m = tokens.count()
+    return tf.join(df, term).select(*keys, term, (F.col("_tf") * F.log(F.lit(m + 1.0) / (F.col("_df") + 1.0))).alias(out))
+
+
 def count_vectorizer(vocabulary: list[str], in_col: str, out_col: str) -> mf.CountVectorizerModel:
     """Bag of words over a given vocabulary (fitted models use the same)."""
     return mf.CountVectorizerModel.from_vocabulary(vocabulary, inputCol=in_col, outputCol=out_col)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.common import col, r
+from ..session import stage
 
 
 def stats(df: DataFrame, c: str, population: bool = True, digits: int = 6) -> DataFrame:
@@ -53,18 +54,24 @@ def count_if_many(df: DataFrame, conds: dict[str, Column]) -> DataFrame:
     return df.agg(*[F.count_if(c).alias(n) for n, c in conds.items()])
 
 
-def crosstab(df: DataFrame, a: str, b: str, values: list | None = None) -> DataFrame:
+def pair_counts(df: DataFrame, a: str, b: str, out: str = "count") -> DataFrame:
+    """Pair-wise frequencies in long form (``a``, ``b``, count): any number of categories."""
+    return df.groupBy(a, b).agg(F.count(F.lit(1)).alias(out))
+
+
+def crosstab(df: DataFrame, a: str, b: str) -> DataFrame:
     """Pair-wise frequency table; first column ``{a}_{b}``, missing pairs 0.
-    Give ``values`` (the column categories) to skip the distinct-values job."""
-    t = df.groupBy(a).pivot(b, values).agg(F.count(F.lit(1)))
+
+    The columns are all values of ``b`` in the data (Spark raises beyond
+    ``spark.sql.pivotMaxValues``; use ``pair_counts`` there)."""
+    t = df.groupBy(a).pivot(b).agg(F.count(F.lit(1)))
     t = t.fillna(0, subset=[c for c in t.columns if c != a])
     return t.withColumnRenamed(a, f"{a}_{b}").withColumn(f"{a}_{b}", F.col(f"{a}_{b}").cast("string"))
 
 
-def pivot_mean(df: DataFrame, row: str, column: str, value: str, values: list,
-               digits: int = 4) -> DataFrame:
-    t = df.groupBy(row).pivot(column, values).agg(r(F.avg(value), digits))
-    return t
+def pivot_mean(df: DataFrame, row: str, column: str, value: str, digits: int = 4) -> DataFrame:
+    """Mean of ``value`` for each ``row``, one column for each value of ``column`` in the data."""
+    return df.groupBy(row).pivot(column).agg(r(F.avg(value), digits))
 
 
 def group_lists(df: DataFrame, keys: list[str], value: str, order: list[str] | None = None,
@@ -72,14 +79,16 @@ def group_lists(df: DataFrame, keys: list[str], value: str, order: list[str] | N
     """``groupBy(f)`` into sorted lists, in chunks of at most ``chunk`` items.
 
     The position of each value inside its group comes from a global
-    range-partitioned numbering (``ordered_index``) minus the group's first
-    position, so a hot group is spread over many tasks and no list grows
-    with the data.  Output: keys, ``chunk`` number, ``n`` and the list.
+    numbering (``ordered_index``) minus the group's first position, so a hot
+    group is spread over many tasks and no list grows with the data.
+    ``keys`` and ``order`` together must name a row uniquely.  Output: keys,
+    ``chunk`` number, ``n`` and the list.
     """
     from .splits import ordered_index
 
     order = order or [value]
-    idx = ordered_index(df.select(*keys, *{value, *order}), [*keys, *order], "_i")
+    cols = list(dict.fromkeys([*keys, *order, value]))
+    idx = stage(ordered_index(df.select(*cols), [*keys, *order], "_i"), "group-lists")
     start = idx.groupBy(*keys).agg(F.min("_i").alias("_s"))
     pos = idx.join(start, keys).withColumn("chunk", ((F.col("_i") - F.col("_s")) / chunk).cast("long"))
     return (pos.groupBy(*keys, "chunk")
@@ -100,13 +109,15 @@ def observed(df: DataFrame, name: str, metrics: dict[str, Column]) -> tuple[Data
     return df.observe(obs, *[e.alias(n) for n, e in metrics.items()]), obs
 
 
-def global_agg(df: DataFrame, **aggs: Column) -> DataFrame:
-    return df.agg(*[e.alias(n) for n, e in aggs.items()])
-
-
 def distinct(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return (df.select(*cols) if cols else df).distinct()
 
 
 def count_distinct(df: DataFrame, cols: dict[str, str]) -> DataFrame:
-    return df.agg(*[F.count_distinct(col(c)).alias(n) for n, c in cols.items()])
+    """Distinct counts of several columns, each as an aggregate of its own
+    (no row is multiplied by the number of columns), side by side in one row."""
+    res = None
+    for name, c in cols.items():
+        n = df.select(col(c).alias("_v")).distinct().agg(F.count("_v").alias(name)).withColumn("_k", F.lit(1))
+        res = n if res is None else res.join(n, "_k")
+    return res.drop("_k")

@@ -1,42 +1,31 @@
 """Joins (J01-J12) and set operations.
 
-Join strategy is left to Catalyst/AQE (sort-merge for big × big, broadcast
-when the statistics or the runtime size are under the threshold).  An
-explicit broadcast is only requested behind a row-count check of the small
-side; above the bound the plain join is used.
+Join strategy is left to Catalyst/AQE: sort-merge for big × big, broadcast
+when the statistics or the runtime size are under the byte threshold, split
+partitions for skewed keys.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.  Runs a job that stops
-    after ``max_rows + 1`` rows, so the check itself is bounded."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
 
 def join(a: DataFrame, b: DataFrame, on, how: str = "inner") -> DataFrame:
     """``how``: inner, left, right, full, left_anti, left_semi."""
     return a.join(b, on=on, how=how)
 
 
-def enrich(df: DataFrame, dim: DataFrame, on, how: str = "left",
-           max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, checked: bool | None = None) -> DataFrame:
-    """Map-side lookup of ``dim`` attributes (the broadcast-variable pattern).
+def enrich(df: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame:
+    """Look-up of ``dim`` attributes (the broadcast-variable pattern).
 
-    ``dim`` is broadcast only when it has at most ``max_broadcast_rows`` rows
-    (``checked=True`` asserts a bound already known, e.g. a fixed-size
-    dimension); otherwise the shuffle join is kept.
+    Spark ships ``dim`` to the executors when its size in bytes is under
+    ``spark.sql.autoBroadcastJoinThreshold``, by statistics or as measured at
+    run time, and shuffles otherwise.
     """
-    ok = checked if checked is not None else fits(dim, max_broadcast_rows)
-    return df.join(F.broadcast(dim) if ok else dim, on=on, how=how)
+    return df.join(dim, on=on, how=how)
 
 
 def subtract(a: DataFrame, b: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -74,7 +63,3 @@ def cogroup(a: DataFrame, b: DataFrame, key: str, va: str, vb: str, chunk: int =
     from .aggs import group_lists
 
     return group_lists(tag_sides(a, b, key, va, vb), [key, "side"], "v", chunk=chunk)
-
-
-def conds_and(*cs: Column) -> Column:
-    return reduce(lambda x, y: x & y, cs)

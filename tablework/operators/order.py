@@ -47,9 +47,12 @@ def lookup(df: DataFrame, key: str, value, out: list[str] | None = None) -> Data
     return res.select(*out) if out else res
 
 
-def as_map(df: DataFrame, key: str, value: str, out: str = "m") -> DataFrame:
-    """``collectAsMap``: one map of ``key -> value``.  Use it on a table that
-    is already aggregated to a bounded key set (one row per category)."""
+def as_map(df: DataFrame, key: str, value: str, out: str = "m", max_keys: int = 10_000) -> DataFrame:
+    """``collectAsMap``: one map of ``key -> value`` of a table that is already
+    aggregated to a bounded key set (one row per category).  More than
+    ``max_keys`` rows raise, before anything is gathered in one task."""
+    if len(df.select(key).take(max_keys + 1)) > max_keys:
+        raise ValueError(f"more than {max_keys} keys; keep the table, or aggregate it further")
     entries = F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), F.col(value).alias("v"))))
     return df.agg(F.map_from_entries(entries).alias(out))
 

@@ -1,10 +1,12 @@
 """Row numbering and data splits.
 
 ``ordered_index`` gives every row its 0-based position in a total order
-without funnelling the data through one task: rows are range-partitioned on
-the order key, sorted inside each partition, numbered locally, and shifted
-by the row count of all earlier partitions (a table with one row per
-partition, so its broadcast is bounded by the partition count).
+without funnelling the data through one task: rows are dealt into ranges by
+literal cuts of the order key, numbered inside each range, and shifted by the
+row count of all earlier ranges (a table with one row per range, so its
+broadcast is bounded by the number of ranges).  The cuts are values, not a
+sampled partitioning, so counts and numbers agree however often and with
+whatever columns the plan is evaluated.
 """
 
 from __future__ import annotations
@@ -12,49 +14,64 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_LOW33 = (1 << 33) - 1
+from ..functions.common import cut_rank, literal_cuts
+from ..session import stage
 
 
 def _num_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def ordered_index(df: DataFrame, order: list[str | Column], out: str = "idx",
-                  partitions: int | None = None, with_total: str | None = None) -> DataFrame:
-    """Append ``out`` = 0-based rank of each row in ``order``.
+def ordered_index(df: DataFrame, order: list[str], out: str = "idx", partitions: int | None = None,
+                  with_total: str | None = None) -> DataFrame:
+    """Append ``out`` = 0-based rank of each row in ascending ``order`` (nulls first).
 
     ``order`` must be a total order (unique key) for the result to be
     deterministic.  With ``with_total`` the total row count is added too.
+    All other columns of ``df`` are carried along.
     """
     n = partitions or _num_partitions(df)
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    # monotonically_increasing_id = partition id << 33 | position in partition
-    ranged = ranged.withColumn("_pid", F.shiftright("_mid", 33)) \
-                   .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(_LOW33)))
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    w = Window.orderBy("_pid")
+    ranged = df.withColumn("_range", cut_rank(df, order, literal_cuts(df, order, n)))
+    local = ranged.withColumn("_pos", F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1)
+    counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_cnt"))
+    w = Window.orderBy("_range")  # one row for each range
     offsets = counts.select(
-        "_pid",
+        "_range",
         F.coalesce(F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         .alias("_off"),
         F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
         .alias("_total"))
-    res = ranged.join(F.broadcast(offsets), "_pid").withColumn(out, F.col("_off") + F.col("_pos"))
+    res = local.join(F.broadcast(offsets), "_range").withColumn(out, F.col("_off") + F.col("_pos"))
     if with_total:
         res = res.withColumn(with_total, F.col("_total"))
-    return res.drop("_mid", "_pid", "_pos", "_off", "_total")
+    return res.drop("_range", "_pos", "_off", "_total")
+
+
+def running_sum(df: DataFrame, key: str, value: str, out: str, partitions: int | None = None) -> DataFrame:
+    """Append ``out`` = sum of ``value`` over all rows with a smaller ``key`` (unique), 0 for the first."""
+    n = partitions or _num_partitions(df)
+    ranged = df.withColumn("_range", cut_rank(df, [key], literal_cuts(df, [key], n)))
+    w = Window.partitionBy("_range").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.withColumn("_loc", F.coalesce(F.sum(value).over(w), F.lit(0)))
+    totals = ranged.groupBy("_range").agg(F.sum(value).alias("_t"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
+    offsets = totals.select("_range", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off"))
+    return (local.join(F.broadcast(offsets), "_range").withColumn(out, F.col("_off") + F.col("_loc"))
+            .drop("_range", "_loc", "_off"))
 
 
 def random_split(df: DataFrame, weights: list[float], seed: int | None = None,
                  out: str = "split") -> DataFrame:
-    """``randomSplit`` labelled into one frame (split number in ``out``)."""
-    parts = df.randomSplit(weights, seed)
-    res = None
-    for i, p in enumerate(parts):
-        p = p.withColumn(out, F.lit(i))
-        res = p if res is None else res.unionByName(p)
-    return res
+    """Random weighted split in one pass: a seeded number per row, labelled by
+    the range of cumulated weights it falls into (split number in ``out``)."""
+    total = float(sum(weights))
+    bounds = [sum(weights[:i + 1]) / total for i in range(len(weights) - 1)]
+    draw = F.rand(seed) if seed is not None else F.rand()
+    drawn = df.withColumn("_draw", draw)
+    label = F.lit(len(weights) - 1)
+    for i, hi in reversed(list(enumerate(bounds))):
+        label = F.when(F.col("_draw") < hi, F.lit(i)).otherwise(label)
+    return drawn.withColumn(out, label).drop("_draw")
 
 
 def hash_bucket(key: Column | str, buckets: int = 100) -> Column:
@@ -91,14 +108,17 @@ def leave_n_out(df: DataFrame, user: str, order: list[str], key: list[str],
                 start: int, stop: int, out: str = "is_test") -> DataFrame:
     """Mark each user's ratings number ``start..stop`` (in ``order``) as test.
 
-    Only the first ``stop`` rows per user are ranked: Spark's group-limit
-    pushes a partial top-``stop`` below the shuffle, so even a user owning a
-    third of all rows costs ``stop`` rows per task in the exchange.  The
-    test rows are then flagged on the full table by a key join.
+    The input is staged once on shared storage.  Only the first ``stop`` rows
+    per user are ranked: Spark's group-limit pushes a partial top-``stop``
+    below the shuffle, so even a user owning a third of all rows costs
+    ``stop`` rows per task in the exchange.  The test rows are then flagged
+    on the staged table by a key join.
     """
+    rows = stage(df, "leave-n-out")
     w = Window.partitionBy(user).orderBy(*order)
-    test = (df.withColumn("_rn", F.row_number().over(w))
+    test = (rows.select(user, *[c for c in dict.fromkeys([*order, *key]) if c != user])
+            .withColumn("_rn", F.row_number().over(w))
             .filter(F.col("_rn") <= stop)
             .filter(F.col("_rn") >= start)
             .select(*key).withColumn(out, F.lit(True)))
-    return df.join(test, on=key, how="left").withColumn(out, F.coalesce(F.col(out), F.lit(False)))
+    return rows.join(test, on=key, how="left").withColumn(out, F.coalesce(F.col(out), F.lit(False)))

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.common import spread
-
 
 def words(df: DataFrame, col: str = "text", sep: str = " ", out: str = "word",
           drop_empty: bool = False, keep: list[str] | None = None) -> DataFrame:
@@ -18,7 +16,7 @@ def words(df: DataFrame, col: str = "text", sep: str = " ", out: str = "word",
     pattern = _literal_regex(sep)
     tok = F.explode(F.split(F.col(col), pattern)).alias(out)
     keep = [c for c in (keep or []) if c != col]
-    res = spread(df.select(*keep, col)).select(*keep, tok)
+    res = df.select(*keep, tok)
     if drop_empty:
         res = res.filter(F.col(out) != "")
     return res
@@ -45,12 +43,6 @@ def split_list(df: DataFrame, col: str = "text", sep: str = " ", out: str = "tok
     return df.withColumn(out, F.split(F.col(col), _literal_regex(sep)))
 
 
-def tokenize_lower(c: Column | str) -> Column:
-    """Lower-case then split on single whitespace characters (Tokenizer)."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.split(F.lower(c), r"\s")
-
-
 def _literal_regex(sep: str) -> str:
     import re
     return re.escape(sep)

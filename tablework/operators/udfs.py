@@ -10,10 +10,12 @@ from __future__ import annotations
 from functools import cache
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
+from ..session import stage
+
 
 def _token_count(s: str | None) -> int | None:
     return None if s is None else len(s.split(" "))
@@ -74,10 +76,13 @@ def subtract_mean(pdf: pd.DataFrame) -> pd.DataFrame:
     return pdf.assign(v=pdf.v - pdf.v.mean())
 
 
-def vectorized(fn, return_type: str):
-    """Wrap a ``pd.Series -> pd.Series`` function as a pandas UDF."""
-    return F.pandas_udf(fn, returnType=return_type)
-
+def per_partition(df: DataFrame, action, schema: str) -> DataFrame:
+    """Run ``action`` once per partition and keep what it reports.
 
-def call(udf, *cols: str | Column) -> Column:
-    return udf(*[F.col(c) if isinstance(c, str) else c for c in cols])
+    ``action`` gets an iterator over the partition's Arrow-backed pandas
+    batches (open a connection or file before the loop, close it after) and
+    yields report rows of ``schema``.  The report is written to the shared
+    checkpoint folder by Spark's committer, which keeps one attempt of each
+    task; an action with effects of its own must therefore be safe to repeat.
+    """
+    return stage(df.mapInPandas(action, schema), "per-partition")

@@ -19,6 +19,25 @@ def ratings(spark: SparkSession, sf: str) -> DataFrame:
             .agg(r(F.avg("l_quantity"), 4).alias("rating"), F.min("o_orderdate").alias("ts")))
 
 
+def doc_features(spark: SparkSession, sf: str) -> DataFrame:
+    """Labelled documents with numeric text features (``label`` = quality)."""
+    d = load(spark, sf, "documents").join(load(spark, sf, "labels"), "doc_id")
+    return d.select(
+        "doc_id", F.col("quality").cast("double").alias("label"), "lang", "source",
+        (F.length("text") - F.length(F.replace("text", F.lit(" "), F.lit("")))).cast("double").alias("n_spaces"),
+        (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))).cast("double").alias("n_lines"),
+        F.length(F.regexp_replace("text", "[^0-9]", "")).cast("double").alias("n_digits"),
+        F.col("n_chars").cast("double").alias("n_chars"))
+
+
+def rating_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """The (user, item) pairs of ``ratings`` alone."""
+    o = load(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    li = load(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
+    return (li.join(o, li.l_orderkey == o.o_orderkey)
+            .select(F.col("o_custkey").alias("user"), F.col("l_partkey").alias("item")).distinct())
+
+
 RATINGS_SQL = """
 ratings AS (
   SELECT o_custkey AS "user", l_partkey AS item, round(avg(l_quantity), 4) AS rating,

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.ml import feature as mf
+from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import functions as F
 
-from ..functions.common import r, spread
+from ..functions.common import r
 from ..ml import features as fx
 from ..tables import load
+from .derived import doc_features
 from .registry import query
 
 _LI_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -33,20 +35,9 @@ def ft_bucketizer(spark, sf):
     return fx.bucketize(li, "l_quantity", splits, "bucket").drop("l_quantity")
 
 
-def _doc_features(spark, sf):
-    d = spread(load(spark, sf, "documents"))  # text features are CPU-heavy per row
-    lab = load(spark, sf, "labels")
-    return d.join(lab, "doc_id").select(
-        "doc_id", F.col("quality").cast("double").alias("label"), "lang", "source",
-        (F.length("text") - F.length(F.replace("text", F.lit(" "), F.lit("")))).cast("double").alias("n_spaces"),
-        (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))).cast("double").alias("n_lines"),
-        F.length(F.regexp_replace("text", "[^0-9]", "")).cast("double").alias("n_digits"),
-        F.col("n_chars").cast("double").alias("n_chars"))
-
-
 @query("ft_chisq")
 def ft_chisq(spark, sf):
-    d = _doc_features(spark, sf)
+    d = doc_features(spark, sf)
     stages = [mf.StringIndexer(inputCols=["lang", "source"], outputCols=["lang_i", "source_i"]),
               mf.Bucketizer(splits=[0, 1, 5, 20, float("inf")], inputCol="n_lines", outputCol="lines_b"),
               mf.VectorAssembler(inputCols=["lang_i", "source_i", "lines_b"], outputCol="cat"),
@@ -57,8 +48,34 @@ def ft_chisq(spark, sf):
     return out.select("doc_id", fx.to_array("selected")[0].alias("selected"))
 
 
+_CHISQ_SQL = """
+WITH d AS (SELECT quality AS y, lang, source, length(text) - length(replace(text, chr(10), '')) AS lines
+           FROM documents JOIN labels USING (doc_id)),
+v AS (SELECT 0 AS feature, lang AS v, y FROM d UNION ALL SELECT 1, source, y FROM d
+      UNION ALL SELECT 2, CASE WHEN lines < 1 THEN '0' WHEN lines < 5 THEN '1' WHEN lines < 20 THEN '2' ELSE '3' END, y
+      FROM d),
+n AS (SELECT count(*)::DOUBLE AS n FROM d),
+rows_ AS (SELECT feature, v, count(*) AS a FROM v GROUP BY ALL),
+cols_ AS (SELECT feature, y, count(*) AS b FROM v GROUP BY ALL),
+cells AS (SELECT feature, v, y, count(*) AS o FROM v GROUP BY ALL)
+SELECT feature, round(sum((coalesce(o, 0) - a * b / n) ** 2 / (a * b / n)), 6) AS statistic,
+       CAST((count(DISTINCT v) - 1) * (count(DISTINCT y) - 1) AS INTEGER) AS degrees
+FROM rows_ JOIN cols_ USING (feature) LEFT JOIN cells USING (feature, v, y), n GROUP BY feature"""
+
+
+@query("ft_chisq_stat", _CHISQ_SQL)
+def ft_chisq_stat(spark, sf):
+    """Pearson's statistic of each categorical feature against the label."""
+    stages = [mf.StringIndexer(inputCols=["lang", "source"], outputCols=["lang_i", "source_i"]),
+              mf.Bucketizer(splits=[0, 1, 5, 20, float("inf")], inputCol="n_lines", outputCol="lines_b"),
+              mf.VectorAssembler(inputCols=["lang_i", "source_i", "lines_b"], outputCol="cat")]
+    _, out = fx.fit_transform(stages, doc_features(spark, sf))
+    t = ChiSquareTest.test(out, "cat", "label", flatten=True)
+    return t.select(F.col("featureIndex").alias("feature"), r("statistic", 6).alias("statistic"),
+                    F.col("degreesOfFreedom").cast("int").alias("degrees"))
+
+
 _TOK_SQL = "tok AS (SELECT conv_id, turn, unnest(string_split(text, ' ')) AS term FROM conversations)"
-_VOCAB_SQL = "vocab AS (SELECT term FROM tok GROUP BY term ORDER BY count(*) DESC, term LIMIT 50)"
 
 
 def _conv_tokens(spark, sf):
@@ -66,42 +83,32 @@ def _conv_tokens(spark, sf):
 
 
 @query("ft_count_vector", f"""
-WITH {_TOK_SQL}, {_VOCAB_SQL}
-SELECT conv_id, turn, term, CAST(count(*) AS DOUBLE) AS count
-FROM tok WHERE term IN (SELECT term FROM vocab) GROUP BY conv_id, turn, term""")
+WITH {_TOK_SQL} SELECT conv_id, turn, term, count(*) AS count FROM tok GROUP BY conv_id, turn, term""")
 def ft_count_vector(spark, sf):
-    toks = _conv_tokens(spark, sf)
-    vocab = fx.top_vocabulary(toks, "tokens", 50)
-    cv = fx.count_vectorizer(vocab, "tokens", "tf").transform(toks)
-    return fx.sparse_entries(cv, "tf", ["conv_id", "turn"], vocab, "term", "count")
+    return fx.term_counts(_conv_tokens(spark, sf), ["conv_id", "turn"], "tokens", out="count")
 
 
 @query("ft_tf_idf", f"""
-WITH {_TOK_SQL}, {_VOCAB_SQL},
-tf AS (SELECT conv_id, turn, term, count(*) AS tf FROM tok WHERE term IN (SELECT term FROM vocab) GROUP BY ALL),
+WITH {_TOK_SQL},
+tf AS (SELECT conv_id, turn, term, count(*) AS tf FROM tok GROUP BY ALL),
 df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
 m AS (SELECT count(*) AS m FROM conversations)
 SELECT conv_id, turn, term, round(tf * ln((m + 1.0) / (df + 1.0)), 6) AS tfidf
 FROM tf JOIN df USING (term), m""")
 def ft_tf_idf(spark, sf):
-    toks = _conv_tokens(spark, sf)
-    vocab = fx.top_vocabulary(toks, "tokens", 50)
-    cv = fx.count_vectorizer(vocab, "tokens", "tf").transform(toks)
-    idf = mf.IDF(inputCol="tf", outputCol="tfidf").fit(cv).transform(cv)
-    e = fx.sparse_entries(idf, "tfidf", ["conv_id", "turn"], vocab, "term", "tfidf")
+    e = fx.tf_idf(_conv_tokens(spark, sf), ["conv_id", "turn"], "tokens")
     return e.withColumn("tfidf", r("tfidf", 6))
 
 
 @query("ft_dct", """
-SELECT vec_id,
-       round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))) / 8.0, 6) AS c0,
-       round(sqrt(2.0 / 64) * list_sum(list_transform(embedding,
-             lambda x, i: CAST(x AS DOUBLE) * cos(pi() * (2 * (i - 1) + 1) / 128.0))), 6) AS c1
-FROM embeddings""")
+SELECT vec_id, CAST(k AS INTEGER) AS k, round(sqrt(2.0 / 64) * CASE WHEN k = 0 THEN sqrt(0.5) ELSE 1.0 END
+       * list_sum(list_transform(embedding, lambda x, i: CAST(x AS DOUBLE) * cos(pi() * (2 * (i - 1) + 1) * k / 128.0))),
+       5) AS c
+FROM embeddings, range(64) t(k)""")
 def ft_dct(spark, sf):
     e = load(spark, sf, "embeddings").select("vec_id", fx.from_array("embedding").alias("v"))
     out = mf.DCT(inverse=False, inputCol="v", outputCol="dct").transform(e)
-    return fx.slots(out.select("vec_id", "dct"), "dct", ["c0", "c1"])
+    return out.select("vec_id", F.posexplode(fx.to_array("dct")).alias("k", "c")).withColumn("c", r("c", 5))
 
 
 _ASSEMBLED = ["l_quantity", "l_discount", "l_tax"]
@@ -119,20 +126,30 @@ def ft_elementwise(spark, sf):
 
 @query("ft_hasher")
 def ft_hasher(spark, sf):
+    """All non-zero slots of the hashed features (compared with a brute-force hash in the tests)."""
     li = load(spark, sf, "lineitem").select(*_LI_KEYS, "l_quantity", "l_returnflag", "l_linestatus")
     h = mf.FeatureHasher(inputCols=["l_quantity", "l_returnflag", "l_linestatus", "l_linenumber"],
                          outputCol="h", numFeatures=64, categoricalCols=["l_linenumber"]).transform(li)
-    return h.select(*_LI_KEYS, F.size(F.filter(fx.to_array("h"), lambda x: x != 0)).alias("nnz"))
+    return fx.sparse_entries(h, "h", _LI_KEYS, index="slot", value="value")
 
 
 @query("ft_hashing_tf", """
 SELECT conv_id, turn, CAST(len(string_split(text, ' ')) AS DOUBLE) AS n FROM conversations""")
 def ft_hashing_tf(spark, sf):
-    toks = _conv_tokens(spark, sf)
-    h = mf.HashingTF(inputCol="tokens", outputCol="h", numFeatures=1024).transform(toks)
+    h = _hashed_terms(spark, sf)
     return h.select("conv_id", "turn", F.aggregate(fx.to_array("h"), F.lit(0.0), lambda a, x: a + x).alias("n"))
 
 
+@query("ft_hashing_tf_slots")
+def ft_hashing_tf_slots(spark, sf):
+    """All non-zero slots of the hashed term counts (compared with a brute-force hash in the tests)."""
+    return fx.sparse_entries(_hashed_terms(spark, sf), "h", ["conv_id", "turn"], index="slot", value="count")
+
+
+def _hashed_terms(spark, sf):
+    return mf.HashingTF(inputCol="tokens", outputCol="h", numFeatures=1024).transform(_conv_tokens(spark, sf))
+
+
 _SEG_RANK = """seg AS (SELECT c_mktsegment, row_number() OVER (ORDER BY count(*) DESC, c_mktsegment) - 1 AS idx
             FROM customer GROUP BY c_mktsegment)"""
 
@@ -195,14 +212,13 @@ def ft_ngram(spark, sf):
 
 
 @query("ft_normalizer", """
-SELECT vec_id,
-       round(CAST(embedding[1] AS DOUBLE) / sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))), 6) AS n0,
-       round(CAST(embedding[2] AS DOUBLE) / sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))), 6) AS n1
-FROM embeddings""")
+WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings)
+SELECT vec_id, CAST(k AS INTEGER) AS slot, round(v[k + 1] / sqrt(list_dot_product(v, v)), 6) AS value
+FROM e, range(64) t(k)""")
 def ft_normalizer(spark, sf):
     e = load(spark, sf, "embeddings").select("vec_id", fx.from_array("embedding").alias("v"))
     out = fx.scale(e, "v", "n", "normalizer", p=2.0)
-    return fx.slots(out.select("vec_id", "n"), "n", ["n0", "n1"])
+    return out.select("vec_id", F.posexplode(fx.to_array("n")).alias("slot", "value")).withColumn("value", r("value", 6))
 
 
 @query("ft_onehot", f"""

@@ -44,19 +44,23 @@ def sql_on_file(spark, sf):
 
 
 @query("merge_schema", """
-SELECT o_orderkey, o_totalprice AS price, NULL::BIGINT AS o_custkey, 'F' AS status
-FROM orders WHERE o_orderstatus = 'F'
-UNION ALL
-SELECT o_orderkey, NULL::DOUBLE AS price, o_custkey, 'O' AS status FROM orders WHERE o_orderstatus = 'O'""")
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_totalprice END AS price,
+       CASE WHEN o_orderstatus = 'O' THEN o_custkey END AS o_custkey,
+       CASE WHEN o_orderstatus NOT IN ('F', 'O') THEN o_orderpriority END AS priority,
+       CASE WHEN o_orderstatus IN ('F', 'O') THEN o_orderstatus ELSE 'other' END AS status
+FROM orders""")
 def merge_schema(spark, sf):
+    """Partitions written with different columns, read back under one schema."""
     o = load(spark, sf, "orders")
     base = scratch_path(spark, "merge-schema")
     io.write(o.filter("o_orderstatus = 'F'").select("o_orderkey", F.col("o_totalprice").alias("price")),
              "parquet", f"{base}/status=F")
     io.write(o.filter("o_orderstatus = 'O'").select("o_orderkey", "o_custkey"),
              "parquet", f"{base}/status=O")
+    io.write(o.filter("o_orderstatus NOT IN ('F', 'O')").select("o_orderkey", F.col("o_orderpriority").alias("priority")),
+             "parquet", f"{base}/status=other")
     return io.read(spark, "parquet", base, mergeSchema="true") \
-        .select("o_orderkey", "price", "o_custkey", "status")
+        .select("o_orderkey", "price", "o_custkey", "priority", "status")
 
 
 @query("partition_roundtrip", """

@@ -6,27 +6,21 @@ from pyspark.ml import evaluation as ev
 from pyspark.ml import feature as mf
 from pyspark.sql import functions as F
 
-from ..functions.common import r, spread
+from ..functions.common import r
 from ..ml import evaluate, features as fx, models, recommend, tuning
 from ..operators import order, splits
+from ..session import stage
 from ..tables import load
-from .derived import RATINGS_SQL, ratings
+from .derived import RATINGS_SQL, doc_features, ratings
 from .registry import query
 
 NUMERIC_DOC = ["n_spaces", "n_lines", "n_digits", "n_chars"]
 
 
 def _docs(spark, sf):
-    """documents ⋈ labels with numeric text features and a hash split."""
-    d = spread(load(spark, sf, "documents"))  # text features are CPU-heavy per row
-    lab = load(spark, sf, "labels")
-    df = d.join(lab, "doc_id").select(
-        "doc_id", F.col("quality").cast("double").alias("label"), "lang", "source",
-        (F.length("text") - F.length(F.replace("text", F.lit(" "), F.lit("")))).cast("double").alias("n_spaces"),
-        (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))).cast("double").alias("n_lines"),
-        F.length(F.regexp_replace("text", "[^0-9]", "")).cast("double").alias("n_digits"),
-        F.col("n_chars").cast("double").alias("n_chars"))
-    return splits.hash_split(df, "doc_id", [8.0, 2.0])
+    """Labelled documents with numeric text features and a hash split, derived
+    from the texts once and staged: fits, folds and grid points read them back."""
+    return stage(splits.hash_split(doc_features(spark, sf), "doc_id", [8.0, 2.0]), "doc-features")
 
 
 def _train_test(df):
@@ -48,7 +42,7 @@ def _lines(spark, sf):
                                             "l_discount", "l_tax", "l_extendedprice")
     p = load(spark, sf, "part").select("p_partkey", "p_retailprice", F.col("p_size").cast("double"))
     df = li.join(p, li.l_partkey == p.p_partkey).withColumnRenamed("l_extendedprice", "label")
-    return splits.hash_split(df, "l_orderkey", [8.0, 2.0])
+    return stage(splits.hash_split(df, "l_orderkey", [8.0, 2.0]), "line-features")
 
 
 _LINE_FEATURES = ["l_quantity", "l_discount", "l_tax", "p_retailprice", "p_size"]
@@ -216,7 +210,14 @@ def eval_auc(spark, sf):
     return evaluate.metrics_frame(spark, {"auc": evaluate.binary_metric(d, "label", "score")})
 
 
-@query("eval_auc_pr")
+@query("eval_auc_pr", """
+WITH d AS (SELECT quality AS y, CAST(n_chars AS DOUBLE) AS s FROM documents JOIN labels USING (doc_id)),
+t AS (SELECT s, sum(y) AS p, count(*) - sum(y) AS n FROM d GROUP BY s),
+c AS (SELECT s, sum(p) OVER (ORDER BY s DESC) AS tp, sum(n) OVER (ORDER BY s DESC) AS fp FROM t),
+q AS (SELECT s, tp::DOUBLE / (SELECT sum(y) FROM d) AS rec, tp::DOUBLE / (tp + fp) AS prec FROM c),
+w AS (SELECT rec, prec, lag(rec, 1, 0.0) OVER (ORDER BY s DESC) AS rec0,
+             coalesce(lag(prec) OVER (ORDER BY s DESC), prec) AS prec0 FROM q)
+SELECT round(sum((rec - rec0) * (prec + prec0) / 2), 6) AS auc_pr FROM w""")
 def eval_auc_pr(spark, sf):
     d = load(spark, sf, "documents").join(load(spark, sf, "labels"), "doc_id").select(
         F.col("quality").cast("double").alias("label"), F.col("n_chars").cast("double").alias("score"))
@@ -312,43 +313,54 @@ def tune_best(spark, sf):
 # --- recommendation --------------------------------------------------------------------
 
 def _ratings_split(spark, sf):
-    rt = ratings(spark, sf).select("user", "item", F.col("rating").cast("float").alias("rating"))
-    pair_key = F.col("user") * 7919 + F.col("item")
-    return rt.withColumn("split", F.when(splits.hash_bucket(pair_key, 10) < 8, 0).otherwise(1))
+    """Ratings by dense 32-bit user and item numbers with a hash split, and the two number tables."""
+    rt = stage(ratings(spark, sf).select(F.col("user").alias("user_id"), F.col("item").alias("item_id"),
+                                         F.col("rating").cast("float").alias("rating")), "ratings")
+    users, items = recommend.index_ids(rt, "user_id", "user"), recommend.index_ids(rt, "item_id", "item")
+    pair_key = F.col("user_id") * 7919 + F.col("item_id")
+    rt = recommend.with_ids(rt, users, items).withColumn("split", F.when(splits.hash_bucket(pair_key, 10) < 8, 0).otherwise(1))
+    return stage(rt, "ratings-indexed"), users, items
+
+
+def _named(df, users, items):
+    """Numbers back to ids."""
+    return df.join(users, "user").join(items, "item").drop("user", "item") \
+        .withColumnsRenamed({"user_id": "user", "item_id": "item"})
 
 
 @query("als_fit")
 def als_fit(spark, sf):
-    rt = _ratings_split(spark, sf)
+    rt, _, _ = _ratings_split(spark, sf)
     model = recommend.als(rank=5, max_iter=5).fit(rt)
-    return model.transform(rt).select("user", "item", r("prediction").alias("prediction"))
+    return model.transform(rt).select(F.col("user_id").alias("user"), F.col("item_id").alias("item"),
+                                      r("prediction").alias("prediction"))
 
 
-def _active_users(rt, k=10):
-    counts = rt.groupBy("user").agg(F.count(F.lit(1)).alias("n"))
-    return order.top_k(counts, k, [("n", "desc"), "user"]).select("user")
+def _active(rt, c, k=10):
+    counts = rt.groupBy(c, f"{c}_id").agg(F.count(F.lit(1)).alias("n"))
+    return order.top_k(counts, k, [("n", "desc"), f"{c}_id"]).select(c)
 
 
 @query("als_top_items")
 def als_top_items(spark, sf):
-    rt = _ratings_split(spark, sf)
+    rt, users, items = _ratings_split(spark, sf)
     model = recommend.als(rank=5, max_iter=5).fit(rt)
-    top = recommend.top_items(model, _active_users(rt), 5)
+    top = _named(recommend.top_items(model, _active(rt, "user"), 5), users, items)
     titles = load(spark, sf, "part").select(F.col("p_partkey").alias("item"), F.col("p_name").alias("title"))
     return top.join(titles, "item", "left").select("user", "item", "title", r("score").alias("score"))
 
 
 @query("als_top_users")
 def als_top_users(spark, sf):
-    rt = _ratings_split(spark, sf)
+    rt, users, items = _ratings_split(spark, sf)
     model = recommend.als(rank=5, max_iter=5).fit(rt)
-    items = order.top_k(rt.groupBy("item").agg(F.count(F.lit(1)).alias("n")), 10, [("n", "desc"), "item"])
-    return recommend.top_users(model, items.select("item"), 5).withColumn("score", r("score"))
+    top = _named(recommend.top_users(model, _active(rt, "item"), 5), users, items)
+    return top.select("item", "user", r("score").alias("score"))
 
 
 @query("als_rmse")
 def als_rmse(spark, sf):
-    rt = _ratings_split(spark, sf)
+    rt, _, _ = _ratings_split(spark, sf)
     train, test = rt.filter("split = 0"), rt.filter("split = 1")
     model = recommend.als(rank=5, max_iter=5).fit(train)
     return recommend.rmse(model, test).withColumn("rmse", r("rmse"))
@@ -356,7 +368,7 @@ def als_rmse(spark, sf):
 
 @query("als_tune")
 def als_tune(spark, sf):
-    rt = _ratings_split(spark, sf)
+    rt, _, _ = _ratings_split(spark, sf)
     e = ev.RegressionEvaluator(labelCol="rating", predictionCol="prediction", metricName="rmse")
     est = recommend.als(max_iter=5)
     t = tuning.tvs([], est, {"rank": [4, 8], "regParam": [0.05, 0.1]}, e, 0.8)
@@ -364,6 +376,116 @@ def als_tune(spark, sf):
     return tuning.best(tuning.results(spark, m, m.validationMetrics), e.isLargerBetter())
 
 
+# --- invariants of fitted results, exact in SQL -----------------------------------------
+
+_BUCKET = "((({k}) * 2654435761 + 12345) % 4294967296) % {n}"
+
+
+def _holds(name: str, source: str, floor: str):
+    """Register ``<name>_holds``: rows scored, rows outside the label set, and whether the fit reaches a floor."""
+    sql = f"SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_odd, true AS {floor} FROM {source}"
+
+    def deco(fn):
+        return query(f"{name}_holds", sql)(fn)
+    return deco
+
+
+_TEST_DOCS = f"documents JOIN labels USING (doc_id) WHERE {_BUCKET.format(k='doc_id', n=100)} >= 80"
+_TEST_VECS = f"embeddings WHERE {_BUCKET.format(k='vec_id', n=100)} >= 80"
+_TEST_LINES = f"lineitem JOIN part ON l_partkey = p_partkey WHERE {_BUCKET.format(k='l_orderkey', n=100)} >= 80"
+
+
+def _class_check(pred, labels: list[float], floor: float):
+    """(n_rows, n_odd, beats_floor): ``floor`` is an accuracy that guessing would reach."""
+    hit = F.avg((F.col("prediction") == F.col("label")).cast("double"))
+    return pred.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(~F.col("prediction").isin(labels)).alias("n_odd"),
+                    (hit > floor).alias("beats_guess"))
+
+
+def _value_check(pred):
+    """(n_rows, n_odd, bounded): the mean squared error is at most a tenth above the labels' variance,
+    which always guessing their mean would reach."""
+    return pred.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.isnan("prediction") | F.col("prediction").isNull()).alias("n_odd"),
+                    (F.avg((F.col("prediction") - F.col("label")) ** 2) < 1.1 * F.var_pop("label")).alias("bounded"))
+
+
+def _doc_model(kind: str, spark, sf, scaled: bool = False, **params):
+    train, test = _train_test(_docs(spark, sf))
+    est = models.estimator(kind, **params)
+    stages = [_assembler(NUMERIC_DOC, "raw"), mf.StandardScaler(inputCol="raw", outputCol="features")] if scaled \
+        else [_assembler(NUMERIC_DOC)]
+    return models.fit_predict([*stages, est], train, test)[1]
+
+
+@_holds("ml_tree_binary", _TEST_DOCS, "beats_guess")
+def ml_tree_binary_holds(spark, sf):
+    return _class_check(_doc_model("tree_classifier", spark, sf, maxDepth=5, seed=42), [0.0, 1.0], 0.5)
+
+
+@_holds("ml_forest_binary", _TEST_DOCS, "beats_guess")
+def ml_forest_binary_holds(spark, sf):
+    return _class_check(_doc_model("forest_classifier", spark, sf, numTrees=10, maxDepth=5, seed=42), [0.0, 1.0], 0.5)
+
+
+@_holds("ml_logistic", _TEST_DOCS, "beats_guess")
+def ml_logistic_holds(spark, sf):
+    return _class_check(_doc_model("logistic", spark, sf, scaled=True, maxIter=50, regParam=0.01), [0.0, 1.0], 0.5)
+
+
+@_holds("ml_svm", _TEST_DOCS, "beats_guess")
+def ml_svm_holds(spark, sf):
+    return _class_check(_doc_model("svm", spark, sf, scaled=True, maxIter=50, regParam=0.01), [0.0, 1.0], 0.5)
+
+
+@_holds("ml_tree_multi", _TEST_VECS, "beats_guess")
+def ml_tree_multi_holds(spark, sf):
+    train, test = _train_test(_embeddings(spark, sf))
+    est = models.estimator("tree_classifier", maxDepth=8, impurity="entropy", maxBins=32, seed=42)
+    return _class_check(models.fit_predict([est], train, test)[1], [float(i) for i in range(10)], 0.0)
+
+
+def _line_model(kind: str, spark, sf, **params):
+    train, test = _train_test(_lines(spark, sf))
+    return models.fit_predict([_assembler(_LINE_FEATURES), models.estimator(kind, **params)], train, test)[1]
+
+
+@_holds("ml_tree_regression", _TEST_LINES, "bounded")
+def ml_tree_regression_holds(spark, sf):
+    return _value_check(_line_model("tree_regressor", spark, sf, maxDepth=6, maxBins=32, seed=42))
+
+
+@_holds("ml_forest_regression", _TEST_LINES, "bounded")
+def ml_forest_regression_holds(spark, sf):
+    return _value_check(_line_model("forest_regressor", spark, sf, numTrees=10, maxDepth=6, seed=42))
+
+
+@_holds("ml_gbt", _TEST_LINES, "bounded")
+def ml_gbt_holds(spark, sf):
+    return _value_check(_line_model("gbt_regressor", spark, sf, maxIter=10, maxDepth=4, seed=42))
+
+
+@query("als_fit_holds", f"""
+WITH {RATINGS_SQL} SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_odd, true AS bounded FROM ratings""")
+def als_fit_holds(spark, sf):
+    rt, _, _ = _ratings_split(spark, sf)
+    pred = recommend.als(rank=5, max_iter=5).fit(rt).transform(rt).withColumnRenamed("rating", "label")
+    return _value_check(pred)
+
+
+@query("als_top_items_holds", f"""
+WITH {RATINGS_SQL},
+act AS (SELECT "user", count(*) AS n FROM ratings GROUP BY "user" ORDER BY n DESC, "user" LIMIT 10)
+SELECT "user", 5 AS n_items FROM act""")
+def als_top_items_holds(spark, sf):
+    """Every asked user gets five different items with a title."""
+    rt, users, items = _ratings_split(spark, sf)
+    model = recommend.als(rank=5, max_iter=5).fit(rt)
+    top = _named(recommend.top_items(model, _active(rt, "user"), 5), users, items)
+    parts = load(spark, sf, "part").select(F.col("p_partkey").alias("item"))
+    return top.join(parts, "item").select("user", "item").distinct().groupBy("user") \
+        .agg(F.count(F.lit(1)).cast("int").alias("n_items"))
+
+
 @query("csc_layout", f"""
 WITH {RATINGS_SQL}, c AS (SELECT item, count(*) AS nnz FROM ratings GROUP BY item)
 SELECT item, nnz, coalesce(sum(nnz) OVER (ORDER BY item ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS indptr

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.common import r
-from ..operators import aggs, joins, order, splits
+from ..operators import aggs, joins, order, rows, splits
+from ..session import stage
 from ..tables import load
-from .derived import RATINGS_SQL, ratings
+from .derived import RATINGS_SQL, rating_pairs, ratings
 from .registry import query
 
 # --- joins ---------------------------------------------------------------------
@@ -22,36 +23,40 @@ def join_inner(spark, sf):
 
 
 def _left_right(spark, sf):
-    c = load(spark, sf, "customer").filter("c_mktsegment = 'BUILDING'").select("c_custkey", "c_name")
-    o = load(spark, sf, "orders").filter("o_totalprice > 400000").select("o_orderkey", "o_custkey")
+    c = load(spark, sf, "customer").select("c_custkey", "c_name")
+    o = load(spark, sf, "orders").select("o_orderkey", "o_custkey")
     return c, o
 
 
 @query("join_left", """
-SELECT c_custkey, o_orderkey
-FROM (SELECT * FROM customer WHERE c_mktsegment = 'BUILDING') c
-LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > 400000) o ON c_custkey = o_custkey""")
+SELECT c_custkey, o_orderkey FROM customer LEFT JOIN orders ON c_custkey = o_custkey""")
 def join_left(spark, sf):
     c, o = _left_right(spark, sf)
     return joins.join(c, o, c.c_custkey == o.o_custkey, "left").select("c_custkey", "o_orderkey")
 
 
 @query("join_right", """
-SELECT c_custkey, o_orderkey
-FROM (SELECT * FROM customer WHERE c_mktsegment = 'BUILDING') c
-RIGHT JOIN (SELECT * FROM orders WHERE o_totalprice > 400000) o ON c_custkey = o_custkey""")
+SELECT o_orderkey, c_custkey, s_name FROM (
+  SELECT o_orderkey, o_custkey, c_custkey FROM customer RIGHT JOIN orders ON c_custkey = o_custkey) t
+  LEFT JOIN supplier ON s_suppkey = o_custkey""")
 def join_right(spark, sf):
     c, o = _left_right(spark, sf)
-    return joins.join(c, o, c.c_custkey == o.o_custkey, "right").select("c_custkey", "o_orderkey")
+    s = load(spark, sf, "supplier").select("s_suppkey", "s_name")
+    right = joins.join(c, o, c.c_custkey == o.o_custkey, "right")
+    # a right join with the small table on its left: most orders find no supplier of that number
+    return joins.join(s, right, s.s_suppkey == right.o_custkey, "right").select("o_orderkey", "c_custkey", "s_name")
 
 
 @query("join_full", """
-SELECT c_custkey, o_orderkey
-FROM (SELECT * FROM customer WHERE c_mktsegment = 'BUILDING') c
-FULL JOIN (SELECT * FROM orders WHERE o_totalprice > 400000) o ON c_custkey = o_custkey""")
+SELECT c_custkey, s_suppkey, o_orderkey FROM (
+  SELECT c_custkey, s_suppkey FROM customer FULL JOIN supplier ON c_nationkey = s_nationkey AND c_custkey = s_suppkey) t
+  FULL JOIN orders ON c_custkey = o_custkey""")
 def join_full(spark, sf):
-    c, o = _left_right(spark, sf)
-    return joins.join(c, o, c.c_custkey == o.o_custkey, "full").select("c_custkey", "o_orderkey")
+    c = load(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    s = load(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
+    o = load(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    both = joins.join(c, s, (c.c_nationkey == s.s_nationkey) & (c.c_custkey == s.s_suppkey), "full")
+    return joins.join(both, o, both.c_custkey == o.o_custkey, "full").select("c_custkey", "s_suppkey", "o_orderkey")
 
 
 @query("join_anti", """
@@ -87,16 +92,13 @@ def enrich_title(spark, sf):
 
 @query("join_composite", f"""
 WITH {RATINGS_SQL},
-lines AS (SELECT o_custkey AS "user", l_partkey AS item, count(*) AS n_lines
-          FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL)
-SELECT "user", item, rating, n_lines FROM ratings JOIN lines USING ("user", item)""")
+pick AS (SELECT DISTINCT user_id AS "user", CAST(json_extract(props, '$.k') AS BIGINT) AS item FROM events)
+SELECT "user", item, rating FROM ratings JOIN pick USING ("user", item)""")
 def join_composite(spark, sf):
-    o = load(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    li = load(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
-    lines = (li.join(o, li.l_orderkey == o.o_orderkey)
-             .groupBy(F.col("o_custkey").alias("user"), F.col("l_partkey").cast("long").alias("item"))
-             .agg(F.count(F.lit(1)).alias("n_lines")))
-    return ratings(spark, sf).select("user", "item", "rating").join(lines, ["user", "item"])
+    """Ratings joined on (user, item) with the pairs of an event's user and the number in its properties."""
+    pick = load(spark, sf, "events").select(
+        F.col("user_id").alias("user"), rows.json_field("props", "k bigint")["k"].cast("long").alias("item")).distinct()
+    return ratings(spark, sf).select("user", "item", "rating").join(pick, ["user", "item"])
 
 
 @query("join_sql", """
@@ -136,7 +138,7 @@ _COGROUP_SQL = """
 WITH t AS (
   SELECT o_custkey, 'left' AS side, o_orderkey AS v FROM orders WHERE o_orderstatus = 'F'
   UNION ALL
-  SELECT o_custkey, 'right' AS side, o_orderkey AS v FROM orders WHERE o_orderstatus = 'O'),
+  SELECT o_custkey, 'right' AS side, o_orderkey AS v FROM orders WHERE o_orderstatus <> 'F'),
 c AS (SELECT *, (row_number() OVER (PARTITION BY o_custkey, side ORDER BY v) - 1) // 1000 AS chunk FROM t)
 SELECT o_custkey, side, chunk, count(*) AS n, string_agg(CAST(v AS VARCHAR), ',' ORDER BY v) AS items
 FROM c GROUP BY o_custkey, side, chunk"""
@@ -145,7 +147,7 @@ FROM c GROUP BY o_custkey, side, chunk"""
 @query("cogroup_lists", _COGROUP_SQL)
 def cogroup_lists(spark, sf):
     o = load(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderstatus")
-    res = joins.cogroup(o.filter("o_orderstatus = 'F'"), o.filter("o_orderstatus = 'O'"),
+    res = joins.cogroup(o.filter("o_orderstatus = 'F'"), o.filter("o_orderstatus <> 'F'"),
                         "o_custkey", "o_orderkey", "o_orderkey")
     return res.withColumn("items", F.array_join("items", ","))
 
@@ -216,22 +218,29 @@ WITH {RATINGS_SQL}
 SELECT count(DISTINCT "user") AS n_users, count(DISTINCT item) AS n_items, count(*) AS n_ratings
 FROM ratings""")
 def agg_count_distinct(spark, sf):
-    rt = ratings(spark, sf)
-    return rt.agg(F.count_distinct("user").alias("n_users"), F.count_distinct("item").alias("n_items"),
-                  F.count(F.lit(1)).alias("n_ratings"))
+    pairs = stage(rating_pairs(spark, sf), "rating-pairs")  # the narrow fact, derived once
+    n = pairs.agg(F.count(F.lit(1)).alias("n_ratings"))
+    return aggs.count_distinct(pairs, {"n_users": "user", "n_items": "item"}).withColumn("_k", F.lit(1)) \
+        .join(n.withColumn("_k", F.lit(1)), "_k").drop("_k")
 
 
 @query("group_lists", """
-WITH c AS (SELECT o_orderstatus, o_orderkey,
-                  (row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) - 1) // 1000 AS chunk
-           FROM orders)
-SELECT o_orderstatus, chunk, count(*) AS n,
-       string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS items
-FROM c GROUP BY o_orderstatus, chunk""")
+WITH c AS (SELECT l_returnflag, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
+                  (row_number() OVER (PARTITION BY l_returnflag
+                     ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity) - 1) // 1000 AS chunk
+           FROM lineitem)
+SELECT l_returnflag, chunk, count(*) AS n, round(list_sum(list(l_quantity)), 4) AS total,
+       min(l_orderkey) AS first_order, max(l_orderkey) AS last_order
+FROM c GROUP BY l_returnflag, chunk""")
 def group_lists(spark, sf):
-    o = load(spark, sf, "orders")
-    res = aggs.group_lists(o, ["o_orderstatus"], "o_orderkey", chunk=1000)
-    return res.withColumn("items", F.array_join("items", ","))
+    """Whole line items, listed by flag in chunks of 1,000 in key order."""
+    li = load(spark, sf, "lineitem").withColumn("line", F.struct("l_orderkey", "l_quantity"))
+    res = aggs.group_lists(li, ["l_returnflag"], "line",
+                           order=["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"], chunk=1000)
+    return res.select("l_returnflag", "chunk", "n",
+                      r(F.aggregate("items", F.lit(0.0), lambda a, x: a + x["l_quantity"])).alias("total"),
+                      F.array_min("items")["l_orderkey"].alias("first_order"),
+                      F.array_max("items")["l_orderkey"].alias("last_order"))
 
 
 @query("reduce_by_key", """
@@ -275,7 +284,13 @@ SELECT l_returnflag AS l_returnflag_l_linestatus,
        count(*) FILTER (WHERE l_linestatus = 'O') AS "O"
 FROM lineitem GROUP BY l_returnflag""")
 def crosstab(spark, sf):
-    return aggs.crosstab(load(spark, sf, "lineitem"), "l_returnflag", "l_linestatus", ["F", "O"])
+    return aggs.crosstab(load(spark, sf, "lineitem"), "l_returnflag", "l_linestatus")
+
+
+@query("pair_counts", """
+SELECT p_type, p_size, count(*) AS count FROM part GROUP BY p_type, p_size""")
+def pair_counts(spark, sf):
+    return aggs.pair_counts(load(spark, sf, "part"), "p_type", "p_size")
 
 
 @query("pivot_mean", """
@@ -286,7 +301,7 @@ SELECT o_orderpriority,
 FROM orders GROUP BY o_orderpriority""")
 def pivot_mean(spark, sf):
     return aggs.pivot_mean(load(spark, sf, "orders"), "o_orderpriority", "o_orderstatus",
-                           "o_totalprice", ["F", "O", "P"])
+                           "o_totalprice")
 
 
 @query("describe_col", """
@@ -403,6 +418,18 @@ def random_split(spark, sf):
     return splits.random_split(o, [8.0, 1.0, 1.0], seed=42)
 
 
+@query("random_split_holds", """
+SELECT split, true AS near_share, (SELECT count(*) FROM orders) AS n_all, (SELECT count(*) FROM orders) AS n_keys
+FROM (VALUES (0), (1), (2)) t(split)""")
+def random_split_holds(spark, sf):
+    """Every row is in exactly one part, and each part has about its share."""
+    drawn = stage(splits.random_split(load(spark, sf, "orders").select("o_orderkey"), [8.0, 1.0, 1.0], seed=42), "drawn")
+    n = drawn.agg(F.count(F.lit(1)).alias("n_all"), F.count_distinct("o_orderkey").alias("n_keys")).withColumn("_k", F.lit(1))
+    parts = drawn.groupBy("split").agg(F.count(F.lit(1)).alias("n")).withColumn("_k", F.lit(1)).join(n, "_k")
+    share = F.when(F.col("split") == 0, 0.8).otherwise(0.1)
+    return parts.select("split", (F.abs(F.col("n") / F.col("n_all") - share) < 0.03).alias("near_share"), "n_all", "n_keys")
+
+
 @query("hash_split", """
 SELECT o_orderkey,
        CASE WHEN ((o_orderkey * 2654435761 + 12345) % 4294967296) % 100 < 80 THEN 0
@@ -415,11 +442,12 @@ def hash_split(spark, sf):
 
 @query("kfold_slices", f"""
 WITH {RATINGS_SQL}
-SELECT "user", item,
+SELECT "user", item, rating,
        CAST(floor((row_number() OVER (ORDER BY "user", item) - 1) * 5 / count(*) OVER ()) AS INTEGER) AS fold
 FROM ratings""")
 def kfold_slices(spark, sf):
-    return splits.kfold(ratings(spark, sf).select("user", "item"), ["user", "item"], 5)
+    """Contiguous folds of whole ratings (payload columns included)."""
+    return splits.kfold(stage(ratings(spark, sf), "ratings"), ["user", "item"], 5).drop("ts")
 
 
 @query("leave_n_out", f"""

@@ -156,13 +156,12 @@ def clean_missing(spark, sf):
 
 
 @query("label_shift", """
-SELECT vec_id, label - 1 AS label, round(CAST(embedding[1] AS DOUBLE), 4) AS f0,
-       len(embedding) AS n_features
-FROM embeddings""")
+SELECT vec_id, label - 1 AS label, CAST(k AS INTEGER) AS slot, round(CAST(embedding[k + 1] AS DOUBLE), 4) AS feature
+FROM embeddings, range(64) t(k)""")
 def label_shift(spark, sf):
     e = load(spark, sf, "embeddings")
-    return e.select("vec_id", (F.col("label") - 1).alias("label"), r(F.col("embedding")[0]).alias("f0"),
-                    F.size("embedding").alias("n_features"))
+    return e.select("vec_id", (F.col("label") - 1).alias("label"), F.posexplode("embedding").alias("slot", "f")) \
+        .select("vec_id", "label", "slot", r("f").alias("feature"))
 
 
 @query("zip_on_key", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")

@@ -37,13 +37,14 @@ def explode_words(spark, sf):
 
 @query("split_nested", """
 SELECT conv_id, turn, len(string_split(text, ' ')) AS n_tokens,
-       string_split(text, ' ')[1] AS first_token
+       array_to_string(string_split(text, ' '), chr(31)) AS tokens
 FROM conversations
 """)
 def split_nested(spark, sf):
+    """Each row keeps its tokens as one list (rendered with unit separators)."""
     df = text.split_list(load(spark, sf, "conversations"), "text", out="tokens")
     return df.select("conv_id", "turn", F.size("tokens").alias("n_tokens"),
-                     F.col("tokens")[0].alias("first_token"))
+                     F.array_join("tokens", "\x1f").alias("tokens"))
 
 
 @query("filter_blank", """

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from ..functions.common import r
@@ -38,3 +39,20 @@ def grouped_map_center(spark, sf):
     li = load(spark, sf, "lineitem").select("l_suppkey", "l_orderkey", "l_quantity")
     res = udfs.center_by_group(li, "l_suppkey", "l_quantity", "v")
     return res.select("l_suppkey", "l_orderkey", r("v").alias("v"))
+
+
+def _report(batches):
+    """One row per partition: what a writer with one connection per partition would have sent."""
+    n, total = 0, 0.0
+    for pdf in batches:
+        n += len(pdf)
+        total += float((pdf["o_totalprice"] * 100).round().sum())
+    yield pd.DataFrame({"n": [n], "cents": [total]})
+
+
+@query("partition_action", """
+SELECT count(*) AS n, CAST(sum(round(o_totalprice * 100)) AS BIGINT) AS cents FROM orders""")
+def partition_action(spark, sf):
+    o = load(spark, sf, "orders").select("o_totalprice")
+    rep = udfs.per_partition(o, _report, "n long, cents double")
+    return rep.agg(F.sum("n").alias("n"), F.sum("cents").cast("long").alias("cents"))

@@ -7,11 +7,13 @@ DataFrame (or a session) from the caller.  ``get_session`` exists for tests,
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+#: Paths handed out by ``scratch_path`` and not yet cleared.
+_SCRATCH: list[str] = []
 
 # Settings applied by ``get_session``.  On a cluster these come from the
 # cluster's spark-defaults; the values here suit local[N] runs.
@@ -52,12 +54,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names shared storage (HDFS/S3/...) and is read
-    as-is.  Only when it is unset (local tests) a folder is created here.
+    as it is; without it a cluster session raises, since a folder on the
+    driver's disk is invisible to executors.  Only a local session gets a
+    temporary folder of its own.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not is_local(spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="tablework-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
@@ -65,6 +71,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def is_local(master: str) -> bool:
+    """Whether a master URL runs everything in the driver's process."""
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, unique path under the shared checkpoint folder.
 
@@ -72,15 +83,27 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     outputs so that every task on every executor sees the same data.
     """
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{label}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(f"{base}/{label}-{uuid.uuid4().hex[:12]}")
+    return _SCRATCH[-1]
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once under the shared checkpoint folder and read it back,
+    so that several uses do not derive it again and see the same rows."""
+    p = scratch_path(df.sparkSession, label)
+    df.write.parquet(p)
+    return df.sparkSession.read.schema(df.schema).parquet(p)
 
 
-def local_dir(path: str) -> str:
-    """Filesystem path for a ``file:`` or bare path (used only by tests)."""
-    p = path[len("file:"):] if path.startswith("file:") else path
-    os.makedirs(p, exist_ok=True)
-    return p
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete what ``scratch_path`` handed out in this application; returns the number of paths.
+
+    Call it when no DataFrame that reads them is used any more.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _SCRATCH:
+        p = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        n += bool(p.getFileSystem(conf).delete(p, True))
+    return n

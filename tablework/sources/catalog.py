@@ -35,12 +35,6 @@ def refresh(spark: SparkSession, table: str) -> None:
     spark.catalog.refreshTable(table)
 
 
-def safe_identifier(name: str) -> str:
-    if not re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*", name):
-        raise ValueError(f"bad identifier {name!r}")
-    return name
-
-
 @contextmanager
 def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
     """``persist`` for the duration of a block, then ``unpersist``."""

@@ -7,7 +7,7 @@ never a machine-local temporary folder.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -105,32 +105,44 @@ def key_partition(df: DataFrame, key: str, n: int, out: str = "part") -> DataFra
     return df.withColumn(out, F.pmod(F.col(key), F.lit(n)).cast("int"))
 
 
-def text_lines(spark: SparkSession, path: str, min_partitions: int | None = None,
-               whole_text: bool = False) -> DataFrame:
-    """``textFile``: one row per line in column ``value``."""
+def text_lines(spark: SparkSession, path: str, whole_text: bool = False) -> DataFrame:
+    """``textFile``: one row per line in column ``value``.  The number of
+    partitions follows ``spark.sql.files.maxPartitionBytes``."""
     r = spark.read.format("text")
     if whole_text:
         r = r.option("wholetext", "true")
-    df = r.load(path)
-    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
-        df = df.repartition(min_partitions)
-    return df
+    return r.load(path)
 
 
 def hadoop_file(spark: SparkSession, path: str, input_format: str, key_class: str, value_class: str,
-                conf: dict | None = None) -> DataFrame:
+                conf: dict | None = None, key_converter: str | None = None,
+                value_converter: str | None = None) -> DataFrame:
     """Any Hadoop ``InputFormat`` as a ``(key, value)`` string DataFrame.
 
     This is the one RDD entry point: an InputFormat is an RDD-level API.
+    ``key_converter``/``value_converter`` name JVM classes that turn writables
+    into plain values; the rows get an explicit schema, so no job infers it.
     """
-    rdd = spark.sparkContext.newAPIHadoopFile(path, input_format, key_class, value_class, conf=conf)
-    return rdd.map(lambda kv: (str(kv[0]), str(kv[1]))).toDF(["key", "value"])
+    rdd = spark.sparkContext.newAPIHadoopFile(path, input_format, key_class, value_class, keyConverter=key_converter,
+                                              valueConverter=value_converter, conf=conf)
+    raw = spark.createDataFrame(rdd, _raw_schema(key_class, value_class))
+    return raw.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
 
 
-def bounded_pandas(df: DataFrame, n: int):
-    """``toPandas`` of at most ``n`` rows (never an unbounded collect)."""
-    return df.limit(n).toPandas()
+#: SQL types of the writables that Spark converts by itself.
+_WRITABLES = {"Text": "string", "LongWritable": "long", "IntWritable": "int", "VIntWritable": "int",
+              "DoubleWritable": "double", "FloatWritable": "float", "BooleanWritable": "boolean",
+              "BytesWritable": "binary", "NullWritable": "string"}
+
 
+def _raw_schema(key_class: str, value_class: str) -> str:
+    key, value = (_WRITABLES.get(c.rsplit(".", 1)[-1], "string") for c in (key_class, value_class))
+    return f"key {key}, value {value}"
 
-def col_list(cols: list[str | Column]) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in cols]
+
+def bounded_pandas(df: DataFrame, n: int):
+    """``toPandas`` of a DataFrame with at most ``n`` rows; more rows raise."""
+    got = df.limit(n + 1).toPandas()
+    if len(got) > n:
+        raise ValueError(f"more than {n} rows; aggregate or raise the bound")
+    return got

@@ -20,16 +20,6 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(path(sf_dir, name))
 
 
-def load_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: load(spark, sf_dir, t) for t in TABLES}
-
-
-def register_views(spark: SparkSession, sf_dir: str) -> None:
-    """Register every table as a session temp view (for SQL operators)."""
-    for t in TABLES:
-        load(spark, sf_dir, t).createOrReplaceTempView(t)
-
-
 def events_ltz(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` with ``ts`` as a session-zone TIMESTAMP (watermarks reject NTZ)."""
     return load(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))

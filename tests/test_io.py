@@ -17,7 +17,7 @@ def test_csv_json_text_orc_roundtrips(spark):
     lines = spark.createDataFrame([("a b",), ("",), ("c",)], "value string")
     p = scratch_path(spark, "txt")
     io.write(lines, "text", p)
-    assert rows(io.text_lines(spark, p, min_partitions=2)) == rows(lines)
+    assert rows(io.text_lines(spark, p)) == rows(lines)
 
 
 def test_write_modes(spark):

@@ -1,8 +1,9 @@
 import pandas as pd
+import pytest
 from pyspark.ml import feature as mf
 from pyspark.sql import Row
 
-from tablework.ml import models
+from tablework.ml import models, recommend
 from tablework.session import scratch_path
 from tablework.sources import io
 
@@ -15,8 +16,45 @@ def test_row_reflection_and_pandas(spark):
     assert rows(df.filter("age > 35")) == [("bob", 41)]
     pdf = pd.DataFrame({"x": [1, 2, 3]})
     assert rows(spark.createDataFrame(pdf)) == [(1,), (2,), (3,)]
-    small = io.bounded_pandas(spark.range(100), 5)
-    assert len(small) == 5
+    assert len(io.bounded_pandas(spark.range(100), 100)) == 100
+    with pytest.raises(ValueError, match="more than 5"):
+        io.bounded_pandas(spark.range(100), 5)
+
+
+def test_checkpoint_folder_rule(spark, tmp_path):
+    """A cluster session without a shared folder is refused; what was written can be cleared."""
+    from tablework import session
+    assert session.is_local("local[4]") and session.is_local("local")
+    assert not session.is_local("local-cluster[3,2,1000]") and not session.is_local("spark://host:7077")
+
+    class Bare:
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+            class _Conf:
+                get = staticmethod(lambda key, default=None: default)
+            getConf = staticmethod(lambda: Bare.sparkContext._Conf)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Bare)
+    kept, session._SCRATCH[:] = list(session._SCRATCH), []
+    df = session.stage(spark.range(7), "rule")
+    assert df.count() == 7 and session.clear_scratch(spark) == 1
+    session._SCRATCH[:] = kept
+
+
+def test_als_takes_ids_beyond_32_bits(spark):
+    big = 3_000_000_000
+    data = [(big + u, f"item{i}", float((u * i) % 5)) for u in range(6) for i in range(5)]
+    rt = spark.createDataFrame(data, "user_id long, item_id string, rating float")
+    users, items = recommend.index_ids(rt, "user_id", "user"), recommend.index_ids(rt, "item_id", "item")
+    numbered = recommend.with_ids(rt, users, items)
+    model = recommend.als(rank=2, max_iter=2).fit(numbered)
+    scored = model.transform(numbered).select("user_id", "item_id", "prediction")
+    assert scored.count() == 30 and scored.agg({"user_id": "max"}).first()[0] == big + 5
 
 
 def test_foreach_partition_side_effect(spark):
