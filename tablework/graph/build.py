@@ -2,51 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession, Window
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from ..session import stage
 from ..tables import load
 from .graph import Graph
 
 
-def nation_graph(spark: SparkSession, sf: str, top: int = 3) -> Graph:
-    """Trade graph: vertices are nations (attributes ``name``, ``region`` and
-    ``customers``); each supplier nation points at its ``top`` customer
-    nations by line-item count (ties by nation id, self-trade excluded).
-    The strongest edge of each nation is a ``friend``, the others ``follow``.
+def order_graph(spark: SparkSession, sf: str) -> Graph:
+    """Who orders after whom: vertices are customers (attributes ``name``,
+    ``region`` and ``orders``); a customer points at each other customer who
+    placed the very next order (``weight`` = how often).  An edge between two
+    customers of one market segment is a ``friend``, any other a ``follow``.
+
+    Every order takes part, so the graph grows with the tables.  Both tables
+    are staged once on shared storage; the algorithms read them from there.
     """
-    li = load(spark, sf, "lineitem").select("l_orderkey", "l_suppkey")
-    s = load(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
     o = load(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    c = load(spark, sf, "customer").select("c_custkey", "c_nationkey")
-    pairs = (li.join(s, li.l_suppkey == s.s_suppkey).join(o, li.l_orderkey == o.o_orderkey)
-             .join(c, o.o_custkey == c.c_custkey)
-             .filter(F.col("s_nationkey") != F.col("c_nationkey"))
-             .groupBy(F.col("s_nationkey").cast("long").alias("src"), F.col("c_nationkey").cast("long").alias("dst"))
-             .agg(F.count(F.lit(1)).alias("weight")))
-    w = Window.partitionBy("src").orderBy(F.col("weight").desc(), F.col("dst"))
-    edges = (pairs.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= top)
-             .withColumn("relationship", F.when(F.col("_rn") == 1, "friend").otherwise("follow"))
-             .drop("_rn"))
-    cust = c.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("customers"))
-    n = load(spark, sf, "nation")
-    vertices = (n.join(cust, n.n_nationkey == cust.c_nationkey, "left")
-                .select(F.col("n_nationkey").cast("long").alias("id"), F.col("n_name").alias("name"),
-                        F.col("n_regionkey").alias("region"),
-                        F.coalesce("customers", F.lit(0)).alias("customers")))
-    return Graph(vertices, edges)
-
-
-NATION_GRAPH_SQL = """
+    c = load(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    n = load(spark, sf, "nation").select("n_nationkey", "n_regionkey")
+    nxt = o.select((F.col("o_orderkey") - 1).alias("o_orderkey"), F.col("o_custkey").alias("dst"))
+    pairs = (o.join(nxt, "o_orderkey").filter(F.col("o_custkey") != F.col("dst"))
+             .groupBy(F.col("o_custkey").alias("src"), "dst").agg(F.count(F.lit(1)).alias("weight")))
+    seg = c.select("c_custkey", "c_mktsegment")
+    edges = (pairs.join(seg.toDF("src", "_s"), "src").join(seg.toDF("dst", "_d"), "dst")
+             .select("src", "dst", "weight",
+                     F.when(F.col("_s") == F.col("_d"), "friend").otherwise("follow").alias("relationship")))
+    placed = o.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("orders"))
+    vertices = (c.join(placed, "c_custkey", "left").join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+                .select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
+                        F.col("n_regionkey").alias("region"), F.coalesce("orders", F.lit(0)).alias("orders")))
+    return Graph(stage(vertices, "graph-vertices"), stage(edges, "graph-edges"))
+
+
+ORDER_GRAPH_SQL = """
 pair AS (
-  SELECT s_nationkey AS src, c_nationkey AS dst, count(*) AS n
-  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN orders ON l_orderkey = o_orderkey
-       JOIN customer ON o_custkey = c_custkey
-  WHERE s_nationkey <> c_nationkey GROUP BY 1, 2),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY n DESC, dst) AS rn FROM pair),
-edges AS (SELECT CAST(src AS BIGINT) AS src, CAST(dst AS BIGINT) AS dst, n AS weight,
-                 CASE WHEN rn = 1 THEN 'friend' ELSE 'follow' END AS relationship
-          FROM ranked WHERE rn <= 3),
-vertices AS (SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS name, n_regionkey AS region,
-                    (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey) AS customers
-             FROM nation)"""
+  SELECT a.o_custkey AS src, b.o_custkey AS dst, count(*) AS weight
+  FROM orders a JOIN orders b ON b.o_orderkey = a.o_orderkey + 1
+  WHERE a.o_custkey <> b.o_custkey GROUP BY 1, 2),
+edges AS (SELECT src, dst, weight,
+                 CASE WHEN s.c_mktsegment = d.c_mktsegment THEN 'friend' ELSE 'follow' END AS relationship
+          FROM pair JOIN customer s ON s.c_custkey = src JOIN customer d ON d.c_custkey = dst),
+vertices AS (SELECT c_custkey AS id, c_name AS name, n_regionkey AS region, coalesce(n, 0) AS orders
+             FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
+             LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) ON o_custkey = c_custkey)"""

@@ -2,9 +2,11 @@
 
 A graph is a pair of DataFrames: ``vertices`` (``id`` + attributes) and
 ``edges`` (``src``, ``dst`` + attributes).  Every algorithm is a sequence of
-joins and aggregations.  Iterative algorithms run one small count per round
-on the driver to test convergence and cut their lineage with a reliable
-``checkpoint()`` (to the shared ``spark.checkpoint.dir``) every few rounds.
+joins and aggregations.  Iterative algorithms run until nothing changes any
+more (or raise at a limit that the caller set).  They test that with one small
+count per round and cut their lineage with a reliable ``checkpoint()`` to the
+shared ``spark.checkpoint.dir``: in every round that runs an action, else
+every few rounds.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, scratch_path
+from ..session import ensure_checkpoint_dir
 
 CHECKPOINT_EVERY = 4
 
@@ -83,7 +85,7 @@ class Graph:
 
     # --- motifs (G05-G08, G10) -------------------------------------------------------
     def find(self, pattern: str) -> DataFrame:
-        """Motif search, e.g. ``"(a)-[e]->(b); (b)-[e2]->(a)"``.
+        """Motif search, e.g. ``"(x)-[p]->(y); !(y)-[]->(x)"``.
 
         Named vertices/edges become struct columns; ``()``/``[]`` are
         anonymous; a term prefixed with ``!`` must not match (anti join).
@@ -170,9 +172,8 @@ class Graph:
             paths, visited = _cut(paths, k), _cut(visited, k)
             if paths.limit(1).count() == 0:
                 break
-        spark = self.vertices.sparkSession
-        schema = "from struct<id:long>, to struct<id:long>"
-        return spark.createDataFrame([], schema)
+        none = self.vertices.limit(0)
+        return none.select(F.struct(*vcols).alias("from"), F.struct(*vcols).alias("to"))
 
     def shortest_paths(self, landmarks: list) -> DataFrame:
         """Hops from every vertex to each landmark along edge direction;
@@ -182,7 +183,8 @@ class Graph:
         known = lm
         frontier = lm
         rev = _materialize(self.edges.select(F.col("dst").alias("_v"), F.col("src").alias("_nv")).distinct())
-        for i in range(10_000):
+        i = 0
+        while True:
             nxt = (frontier.join(rev, "_v").select("_lm", F.col("_nv").alias("_v"), (F.col("_d") + 1).alias("_d"))
                    .join(known.select("_lm", "_v"), ["_lm", "_v"], "left_anti")
                    .groupBy("_lm", "_v").agg(F.min("_d").alias("_d")))
@@ -190,7 +192,7 @@ class Graph:
             if nxt.limit(1).count() == 0:
                 break
             known = _cut(known.unionByName(nxt), i)
-            frontier = nxt
+            frontier, i = nxt, i + 1
         dist = known.groupBy(F.col("_v").alias("id")).agg(
             F.map_from_entries(F.array_sort(F.collect_list(F.struct("_lm", "_d")))).alias("distances"))
         id_type = self.vertices.schema["id"].dataType.simpleString()
@@ -203,7 +205,7 @@ class Graph:
         return e.union(e.select(F.col("dst").alias("src"), F.col("src").alias("dst"))) \
                 .filter(F.col("src") != F.col("dst")).distinct()
 
-    def connected_components(self, max_iter: int = 1_000, method: str = "star") -> DataFrame:
+    def connected_components(self, method: str = "star") -> DataFrame:
         """Weakly connected components; ``component`` = smallest vertex id.
 
         ``method="star"`` (default) alternates the large-star and small-star
@@ -214,30 +216,25 @@ class Graph:
         costs one partial row per task.
         """
         if method == "propagate":
-            return self._components_by_propagation(max_iter)
+            return self._components_by_propagation()
         und = self._undirected()
         # undirected edges stored once as (hi, lo) with hi > lo
         edges = _materialize(und.filter(F.col("src") > F.col("dst"))
                              .select(F.col("src").alias("hi"), F.col("dst").alias("lo")))
-        for i in range(max_iter):
-            if self._is_star_forest(edges):
-                break
-            edges = _cut(self._small_star(self._large_star(edges)), i, 1)
+        before = None
+        while before != (now := self._signature(edges)):
+            before = now
+            edges = _materialize(self._small_star(self._large_star(edges)))
         # at the fixed point every component is a star around its minimum
         comp = edges.groupBy(F.col("hi").alias("id")).agg(F.min("lo").alias("_c"))
         return self.vertices.join(comp, "id", "left") \
             .withColumn("component", F.coalesce("_c", "id")).drop("_c")
 
     @staticmethod
-    def _is_star_forest(edges: DataFrame) -> bool:
-        """Fixed point of the star rewrites: no vertex is both a centre (lo)
-        and a leaf (hi), and every leaf hangs off exactly one centre."""
-        centres = edges.select(F.col("lo").alias("v"))
-        leaves = edges.select(F.col("hi").alias("v"))
-        both = centres.join(leaves, "v", "left_semi").select("v")
-        multi = edges.groupBy(F.col("hi").alias("v")).agg(F.count(F.lit(1)).alias("_n")) \
-            .filter(F.col("_n") > 1).select("v")
-        return both.union(multi).limit(1).count() == 0
+    def _signature(edges: DataFrame) -> tuple:
+        """Number of edges and two sums over their hashes: equal for equal edge sets."""
+        return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("hi", "lo")),
+                               F.bit_xor(F.xxhash64("lo", "hi", F.lit(1)))).first())
 
     @staticmethod
     def _large_star(edges: DataFrame) -> DataFrame:
@@ -256,15 +253,15 @@ class Graph:
         moved = j.filter(F.col("lo") != F.col("_m")).select(F.col("lo").alias("hi"), F.col("_m").alias("lo"))
         return moved.union(m.select("hi", F.col("_m").alias("lo"))).distinct()
 
-    def _components_by_propagation(self, max_iter: int) -> DataFrame:
+    def _components_by_propagation(self) -> DataFrame:
         und = _materialize(self._undirected())
         labels = _materialize(self.vertices.select("id", F.col("id").alias("component")))
-        for i in range(max_iter):
+        while True:
             cand = (und.join(labels.withColumnRenamed("id", "src"), "src")
                     .groupBy(F.col("dst").alias("id")).agg(F.min("component").alias("_c")))
             new = (labels.join(cand, "id", "left")
                    .select("id", F.least("component", F.coalesce("_c", "component")).alias("component")))
-            new = _cut(new, i, 2)
+            new = _materialize(new)
             changed = new.join(labels.withColumnRenamed("component", "_old"), "id") \
                 .filter(F.col("component") != F.col("_old")).limit(1).count()
             labels = new
@@ -272,52 +269,63 @@ class Graph:
                 break
         return self.vertices.join(labels, "id")
 
-    def strongly_connected_components(self, max_iter: int = 1_000) -> DataFrame:
-        """SCCs by forward colouring + backward sweep; ``component`` is the
-        smallest vertex id of the component."""
-        spark = self.vertices.sparkSession
+    def strongly_connected_components(self) -> DataFrame:
+        """Strongly connected components; ``component`` is the smallest vertex id of each.
+
+        Vertices without an edge in or out among the remaining ones are
+        components of their own and are peeled off first.  The others are
+        coloured forward with the smallest id that reaches them, and swept
+        backward from each colour's root; both loops run to their end.
+        """
         remaining = _materialize(self.vertices.select("id"))
         edges = _materialize(self.edges.select("src", "dst").filter(F.col("src") != F.col("dst")).distinct())
-        done = self.vertices.select("id", F.col("id").alias("component")).limit(0)
-        for outer in range(max_iter):
+        done = _materialize(self.vertices.select("id", F.col("id").alias("component")).limit(0))
+        while True:
+            while True:  # peel
+                inner = (edges.select(F.col("src").alias("id")).distinct()
+                         .join(edges.select(F.col("dst").alias("id")).distinct(), "id"))
+                peeled = _materialize(remaining.join(inner, "id", "left_anti"))
+                if peeled.limit(1).count() == 0:
+                    break
+                done = _materialize(done.unionByName(peeled.select("id", F.col("id").alias("component"))))
+                remaining = _materialize(remaining.join(peeled, "id", "left_anti"))
+                edges = _materialize(self._between(edges, remaining))
             if remaining.limit(1).count() == 0:
-                break
-            ids = remaining
-            e = (edges.join(ids.withColumnRenamed("id", "src"), "src", "left_semi")
-                 .join(ids.withColumnRenamed("id", "dst"), "dst", "left_semi"))
-            e = _cut(e, 0, 1)
-            color = ids.select("id", F.col("id").alias("color"))
-            for i in range(max_iter):     # forward: colour = min id that reaches v
-                cand = (e.join(color.withColumnRenamed("id", "src"), "src")
+                return self.vertices.join(done, "id")
+            color = remaining.select("id", F.col("id").alias("color"))
+            while True:  # forward: colour = min id that reaches v
+                cand = (edges.join(color.withColumnRenamed("id", "src"), "src")
                         .groupBy(F.col("dst").alias("id")).agg(F.min("color").alias("_c")))
-                new = color.join(cand, "id", "left").select(
-                    "id", F.least("color", F.coalesce("_c", "color")).alias("color"))
-                new = _cut(new, i, 2)
-                changed = new.join(color.withColumnRenamed("color", "_o"), "id") \
-                    .filter(F.col("color") != F.col("_o")).limit(1).count()
-                color = new
+                new = _materialize(color.join(cand, "id", "left").select(
+                    "id", F.least("color", F.coalesce("_c", "color")).alias("color"),
+                    (F.coalesce("_c", "color") < F.col("color")).alias("_moved")))
+                changed = new.filter("_moved").limit(1).count()
+                color = new.drop("_moved")
                 if changed == 0:
                     break
             # backward: members of root r's colour class that reach r
-            members = color.filter(F.col("id") == F.col("color"))
-            frontier = members
-            ce = (e.join(color.withColumnRenamed("id", "src").withColumnRenamed("color", "_cs"), "src")
-                  .join(color.withColumnRenamed("id", "dst").withColumnRenamed("color", "_cd"), "dst")
-                  .filter(F.col("_cs") == F.col("_cd")).select("src", "dst", F.col("_cs").alias("color")))
-            ce = _cut(ce, 0, 1)
-            for i in range(max_iter):
-                nxt = (frontier.withColumnRenamed("id", "dst").join(ce, ["dst", "color"])
-                       .select(F.col("src").alias("id"), "color").distinct()
-                       .join(members.select("id"), "id", "left_anti"))
-                nxt = _cut(nxt, 0, 1)
-                if nxt.limit(1).count() == 0:
+            members = frontier = _materialize(color.filter(F.col("id") == F.col("color")))
+            ce = _materialize(
+                edges.join(color.select(F.col("id").alias("src"), F.col("color").alias("_cs")), "src")
+                .join(color.select(F.col("id").alias("dst"), F.col("color").alias("_cd")), "dst")
+                .filter(F.col("_cs") == F.col("_cd")).select("src", "dst", F.col("_cs").alias("color")))
+            while True:
+                frontier = _materialize(
+                    frontier.withColumnRenamed("id", "dst").join(ce, ["dst", "color"])
+                    .select(F.col("src").alias("id"), "color").distinct()
+                    .join(members.select("id"), "id", "left_anti"))
+                if frontier.limit(1).count() == 0:
                     break
-                members = _cut(members.unionByName(nxt), i)
-                frontier = nxt
-            found = members.select("id", F.col("color").alias("component"))
-            done = _cut(done.unionByName(found), outer, 1)
-            remaining = _cut(remaining.join(found, "id", "left_anti"), outer, 1)
-        return self.vertices.join(done, "id")
+                members = _materialize(members.unionByName(frontier))
+            done = _materialize(done.unionByName(members.select("id", F.col("color").alias("component"))))
+            remaining = _materialize(remaining.join(members, "id", "left_anti"))
+            edges = _materialize(self._between(edges, remaining))
+
+    @staticmethod
+    def _between(edges: DataFrame, ids: DataFrame) -> DataFrame:
+        """Edges whose both ends are in ``ids``."""
+        return (edges.join(ids.withColumnRenamed("id", "src"), "src", "left_semi")
+                .join(ids.withColumnRenamed("id", "dst"), "dst", "left_semi").select("src", "dst"))
 
     def label_propagation(self, max_iter: int = 5) -> DataFrame:
         """Synchronous LPA over both edge directions: every vertex takes the
@@ -349,52 +357,57 @@ class Graph:
                  tol: float | None = None) -> DataFrame:
         """PageRank: start 1.0; rank = reset + (1-reset) * sum(rank_u / outdeg_u);
         ranks are finally scaled to sum to the vertex count (mass lost at
-        sinks is restored).  ``tol`` iterates until the largest change is
-        below it instead of a fixed ``max_iter``."""
-        return self._rank(reset_probability, max_iter, tol, None)
+        sinks is restored).  With ``tol`` it runs until the largest change is
+        below it, and raises if that takes more than ``max_iter`` rounds
+        (no limit if that is None); else it runs ``max_iter`` rounds."""
+        if tol is None and max_iter is None:
+            raise ValueError("give max_iter or tol")
+        # dealt by source once; every round joins the ranks to it
+        we = _materialize(self._weighted_edges().repartition("src"))
+        base = _materialize(self.vertices.select("id"))
+        ranks = base.withColumn("rank", F.lit(1.0))
+        i = 0
+        while True:
+            contrib = (we.join(ranks.withColumnRenamed("id", "src"), "src")
+                       .groupBy(F.col("dst").alias("id")).agg(F.sum(F.col("rank") * F.col("weight")).alias("_s")))
+            new = base.join(contrib, "id", "left").select(
+                "id", (F.lit(reset_probability) + F.lit(1 - reset_probability) * F.coalesce("_s", F.lit(0.0))).alias("rank"))
+            i += 1
+            if tol is None:
+                ranks = _cut(new, i - 1)
+                if i >= max_iter:
+                    break
+                continue
+            new = _materialize(new)
+            delta = new.join(ranks.withColumnRenamed("rank", "_o"), "id") \
+                .agg(F.max(F.abs(F.col("rank") - F.col("_o")))).first()[0]
+            ranks = new
+            if delta is None or delta < tol:
+                break
+            if max_iter is not None and i >= max_iter:
+                raise RuntimeError(f"PageRank still changes by {delta} after {i} rounds; the tolerance is {tol}")
+        ranks = _materialize(ranks)
+        n, total = ranks.agg(F.count(F.lit(1)), F.sum("rank")).first()
+        return self.vertices.join(ranks.select("id", (F.col("rank") * F.lit(n / total if total else 1.0)).alias("pagerank")), "id")
 
     def personalized_pagerank(self, source_ids: list, reset_probability: float = 0.15,
                               max_iter: int = 10) -> DataFrame:
         """One PageRank per source (``source`` column): restarts jump to the
-        source only; each source's ranks are scaled to sum to 1."""
-        return self._rank(reset_probability, max_iter, None, source_ids)
-
-    def _rank(self, reset: float, max_iter, tol, sources) -> DataFrame:
-        """Rank vectors keyed by ``(source, id)``.  Plain PageRank is the one
-        vector ``source = 0`` over all vertices; personalised vectors start
-        at their source and only hold vertices they reach (absent = 0)."""
-        we = _materialize(self._weighted_edges())
-        if sources is None:
-            base = _materialize(self.vertices.select(F.lit(0).cast("long").alias("source"), "id"))
-            ranks = base.withColumn("rank", F.lit(1.0))
-            restart_rows = base.withColumn("_r", F.lit(reset))
-        else:
-            seeds = self.vertices.filter(F.col("id").isin(sources)).select(F.col("id").alias("source"), "id")
-            ranks = seeds.withColumn("rank", F.lit(1.0))
-            restart_rows = seeds.withColumn("_r", F.lit(reset))
-        iters = max_iter if tol is None else 10_000
-        for i in range(iters):
+        source only; each source's ranks are scaled to sum to 1.  A vector
+        only holds the vertices that it reaches (absent = 0)."""
+        we = _materialize(self._weighted_edges().repartition("src"))
+        seeds = self.vertices.filter(F.col("id").isin(source_ids)).select(F.col("id").alias("source"), "id")
+        ranks = seeds.withColumn("rank", F.lit(1.0))
+        restart = seeds.withColumn("_r", F.lit(reset_probability))
+        for i in range(max_iter):
             contrib = (we.join(ranks.withColumnRenamed("id", "src"), "src")
                        .groupBy("source", F.col("dst").alias("id"))
                        .agg(F.sum(F.col("rank") * F.col("weight")).alias("_s")))
-            new = restart_rows.join(contrib, ["source", "id"], "full").select(
-                "source", "id",
-                (F.coalesce("_r", F.lit(0.0)) + F.lit(1 - reset) * F.coalesce("_s", F.lit(0.0))).alias("rank"))
-            new = _cut(new, i)
-            if tol is not None:
-                delta = new.join(ranks.withColumnRenamed("rank", "_o"), ["source", "id"], "full") \
-                    .agg(F.max(F.abs(F.coalesce("rank", F.lit(0.0)) - F.coalesce("_o", F.lit(0.0))))).first()[0]
-                ranks = new
-                if delta is not None and delta < tol:
-                    break
-            else:
-                ranks = new
-        total = ranks.groupBy("source").agg(F.sum("rank").alias("_t"), F.count(F.lit(1)).alias("_n"))
-        factor = (F.col("_n") / F.col("_t")) if sources is None else (F.lit(1.0) / F.col("_t"))
-        scaled = ranks.join(total, "source").select("source", "id", (F.col("rank") * factor).alias("pagerank"))
-        if sources is None:
-            return self.vertices.join(scaled.drop("source"), "id")
-        return scaled
+            ranks = _cut(restart.join(contrib, ["source", "id"], "full").select(
+                "source", "id", (F.coalesce("_r", F.lit(0.0)) + F.lit(1 - reset_probability)
+                                 * F.coalesce("_s", F.lit(0.0))).alias("rank")), i)
+        total = ranks.groupBy("source").agg(F.sum("rank").alias("_t"))
+        return ranks.join(total, "source").select("source", "id", (F.col("rank") / F.col("_t")).alias("pagerank"))
 
     # --- local structure (G18, G19) --------------------------------------------------------
     def triangle_count(self) -> DataFrame:
@@ -442,7 +455,3 @@ class Graph:
             parts.append(trip.select(F.col("dst.id").alias("id"), to_dst.alias("msg")))
         msgs = reduce(lambda a, b: a.unionByName(b), parts)
         return msgs.groupBy("id").agg(agg(F.col("msg")).alias("msg"))
-
-
-def scratch_graph_path(spark) -> str:
-    return scratch_path(spark, "graph")

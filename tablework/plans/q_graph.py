@@ -1,43 +1,43 @@
-"""Graph queries (G01-G19, F09) over the nation trade graph."""
+"""Graph queries (G01-G19, F09) over the graph of customers and their successive orders."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from ..functions.common import r
-from ..graph.build import NATION_GRAPH_SQL as G
-from ..graph.build import nation_graph
+from ..graph.build import ORDER_GRAPH_SQL as G
+from ..graph.build import order_graph
 from ..operators import order
 from ..operators.rows import fold_conditions
 from .registry import query
 
 
 def _with(body: str) -> str:
-    """Prefix the nation-graph CTEs (``body`` may add CTEs after a comma)."""
+    """Prefix the graph's CTEs (``body`` may add CTEs after a comma)."""
     return f"WITH {G}\n{body}"
 
 
 @query("graph_edges", _with("SELECT src, dst, weight, relationship FROM edges"))
 def graph_edges(spark, sf):
-    return nation_graph(spark, sf).edges
+    return order_graph(spark, sf).edges
 
 
 @query("graph_in_degree", _with('SELECT dst AS id, count(*) AS "inDegree" FROM edges GROUP BY dst'))
 def graph_in_degree(spark, sf):
-    return nation_graph(spark, sf).in_degrees
+    return order_graph(spark, sf).in_degrees
 
 
 @query("graph_out_degree", _with('SELECT src AS id, count(*) AS "outDegree" FROM edges GROUP BY src'))
 def graph_out_degree(spark, sf):
-    return nation_graph(spark, sf).out_degrees
+    return order_graph(spark, sf).out_degrees
 
 
 @query("graph_attr", _with("""
-SELECT (SELECT min(customers) FROM vertices) AS min_customers,
+SELECT (SELECT min(orders) FROM vertices) AS min_orders,
        (SELECT count(*) FROM edges WHERE relationship = 'follow') AS n_follow"""))
 def graph_attr(spark, sf):
-    g = nation_graph(spark, sf)
-    m = g.vertices.groupBy().min("customers").withColumnRenamed("min(customers)", "min_customers")
+    g = order_graph(spark, sf)
+    m = g.vertices.groupBy().min("orders").withColumnRenamed("min(orders)", "min_orders")
     n = g.edges.filter("relationship = 'follow'").agg(F.count(F.lit(1)).alias("n_follow"))
     # two one-row aggregates side by side
     return m.withColumn("_k", F.lit(1)).join(n.withColumn("_k", F.lit(1)), "_k").drop("_k")
@@ -46,7 +46,7 @@ def graph_attr(spark, sf):
 @query("motif_mutual", _with("""
 SELECT e.src AS a_id, e.dst AS b_id FROM edges e JOIN edges e2 ON e.src = e2.dst AND e.dst = e2.src"""))
 def motif_mutual(spark, sf):
-    m = nation_graph(spark, sf).find("(a)-[e]->(b); (b)-[e2]->(a)")
+    m = order_graph(spark, sf).find("(a)-[e]->(b); (b)-[e2]->(a)")
     return m.select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id"))
 
 
@@ -54,7 +54,7 @@ def motif_mutual(spark, sf):
 SELECT e1.src AS a_id, e1.dst AS b_id, e2.dst AS c_id
 FROM edges e1 JOIN edges e2 ON e1.dst = e2.src WHERE e1.src <> e2.dst"""))
 def motif_two_hop(spark, sf):
-    m = nation_graph(spark, sf).find("(a)-[]->(b); (b)-[]->(c)").filter("a.id != c.id")
+    m = order_graph(spark, sf).find("(a)-[]->(b); (b)-[]->(c)").filter("a.id != c.id")
     return m.select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id"), F.col("c.id").alias("c_id"))
 
 
@@ -62,7 +62,7 @@ def motif_two_hop(spark, sf):
 SELECT e.src AS a_id, e.dst AS b_id FROM edges e
 WHERE NOT EXISTS (SELECT 1 FROM edges r WHERE r.src = e.dst AND r.dst = e.src)"""))
 def motif_no_return(spark, sf):
-    m = nation_graph(spark, sf).find("(a)-[]->(b); !(b)-[]->(a)")
+    m = order_graph(spark, sf).find("(a)-[]->(b); !(b)-[]->(a)")
     return m.select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id"))
 
 
@@ -73,7 +73,7 @@ WHERE (CASE WHEN ab.relationship = 'friend' THEN 1 ELSE 0 END)
     + (CASE WHEN bc.relationship = 'friend' THEN 1 ELSE 0 END)
     + (CASE WHEN cd.relationship = 'friend' THEN 1 ELSE 0 END) >= 2"""))
 def motif_chain_state(spark, sf):
-    m = nation_graph(spark, sf).find("(a)-[ab]->(b); (b)-[bc]->(c); (c)-[cd]->(d)")
+    m = order_graph(spark, sf).find("(a)-[ab]->(b); (b)-[bc]->(c); (c)-[cd]->(d)")
     friends = fold_conditions([F.col(f"{e}.relationship") == "friend" for e in ("ab", "bc", "cd")], "_nf")
     return m.withColumn("_nf", friends).filter("_nf >= 2").select(
         F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id"), F.col("c.id").alias("c_id"),
@@ -82,9 +82,9 @@ def motif_chain_state(spark, sf):
 
 @query("motif_younger", _with("""
 SELECT e.src AS a_id, e.dst AS b_id FROM edges e JOIN vertices a ON a.id = e.src JOIN vertices b ON b.id = e.dst
-WHERE a.customers < b.customers"""))
+WHERE a.orders < b.orders"""))
 def motif_younger(spark, sf):
-    m = nation_graph(spark, sf).find("(a)-[e]->(b)").filter("a.customers < b.customers")
+    m = order_graph(spark, sf).find("(a)-[e]->(b)").filter("a.orders < b.orders")
     return m.select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id"))
 
 
@@ -96,7 +96,7 @@ WHERE v.region < 3 AND EXISTS (
   SELECT 1 FROM edges e JOIN vertices s ON s.id = e.src JOIN vertices d ON d.id = e.dst
   WHERE e.relationship = 'follow' AND s.region < 3 AND d.region < 3 AND (e.src = v.id OR e.dst = v.id))"""))
 def subgraph_filter(spark, sf):
-    g = (nation_graph(spark, sf).filter_vertices("region < 3").filter_edges("relationship = 'follow'")
+    g = (order_graph(spark, sf).filter_vertices("region < 3").filter_edges("relationship = 'follow'")
          .drop_isolated_vertices())
     out = g.out_degrees
     return g.vertices.join(out, "id", "left").select(
@@ -105,27 +105,35 @@ def subgraph_filter(spark, sf):
 
 @query("subgraph_motif", _with("""
 SELECT e.src, e.dst, e.relationship FROM edges e JOIN vertices a ON a.id = e.src JOIN vertices b ON b.id = e.dst
-WHERE a.customers < b.customers AND e.relationship = 'follow'"""))
+WHERE a.orders < b.orders AND e.relationship = 'follow'"""))
 def subgraph_motif(spark, sf):
-    m = nation_graph(spark, sf).find("(a)-[e]->(b)") \
-        .filter("a.customers < b.customers AND e.relationship = 'follow'")
+    m = order_graph(spark, sf).find("(a)-[e]->(b)") \
+        .filter("a.orders < b.orders AND e.relationship = 'follow'")
     return m.select("e.*").select("src", "dst", "relationship")
 
 
+BFS_FROM, BFS_TO = "id = 1", "orders >= 20"
+
+
 @query("graph_bfs", f"""
 WITH RECURSIVE {G},
-walk(start, cur, hops, path, seen) AS (
-  SELECT id, id, 0, CAST(id AS VARCHAR), [id] FROM vertices WHERE region = 0
+lvl(v, d) AS (
+  SELECT id, 0 FROM vertices WHERE {BFS_FROM}
+  UNION SELECT e.dst, l.d + 1 FROM lvl l JOIN edges e ON e.src = l.v WHERE l.d < 10),
+dist AS (SELECT v, min(d) AS d FROM lvl GROUP BY v),
+goal AS (SELECT min(d) AS d FROM dist JOIN vertices ON id = v WHERE {BFS_TO}),
+walk(cur, hops, path) AS (
+  SELECT v, 0, CAST(v AS VARCHAR) FROM dist WHERE d = 0
   UNION ALL
-  SELECT w.start, e.dst, w.hops + 1, w.path || '>' || CAST(e.dst AS VARCHAR), list_append(w.seen, e.dst)
-  FROM walk w JOIN edges e ON e.src = w.cur
-  WHERE w.hops < 10 AND NOT list_contains(w.seen, e.dst)),
-hits AS (SELECT * FROM walk WHERE hops >= 1 AND cur IN (SELECT id FROM vertices WHERE region = 4))
-SELECT start AS from_id, cur AS to_id, hops, path FROM hits WHERE hops = (SELECT min(hops) FROM hits)""")
+  SELECT e.dst, w.hops + 1, w.path || '>' || CAST(e.dst AS VARCHAR)
+  FROM walk w JOIN edges e ON e.src = w.cur JOIN dist x ON x.v = e.dst AND x.d = w.hops + 1
+  WHERE w.hops < (SELECT d FROM goal))
+SELECT (SELECT id FROM vertices WHERE {BFS_FROM}) AS from_id, cur AS to_id, hops, path
+FROM walk JOIN vertices ON id = cur WHERE hops = (SELECT d FROM goal) AND {BFS_TO}""")
 def graph_bfs(spark, sf):
-    p = nation_graph(spark, sf).bfs("region = 0", "region = 4", max_path_length=10)
+    p = order_graph(spark, sf).bfs(BFS_FROM, BFS_TO, max_path_length=10)
     hops = len([c for c in p.columns if c.startswith("e")])
-    ids = [F.col("from.id")] + [F.col(f"v{i}.id") for i in range(1, hops)] + [F.col("to.id")]
+    ids = [F.col("from.id")] + [F.col(f"v{i}.id") for i in range(1, hops)] + ([F.col("to.id")] if hops else [])
     return p.select(F.col("from.id").alias("from_id"), F.col("to.id").alias("to_id"),
                     F.lit(hops).alias("hops"), F.concat_ws(">", *[c.cast("string") for c in ids]).alias("path"))
 
@@ -136,7 +144,7 @@ und AS (SELECT src AS a, dst AS b FROM edges UNION SELECT dst, src FROM edges),
 reach(v, w) AS (SELECT id, id FROM vertices UNION SELECT r.v, u.b FROM reach r JOIN und u ON r.w = u.a)
 SELECT v AS id, min(w) AS component FROM reach GROUP BY v""")
 def graph_cc(spark, sf):
-    return nation_graph(spark, sf).connected_components().select("id", "component")
+    return order_graph(spark, sf).connected_components().select("id", "component")
 
 
 @query("graph_scc", f"""
@@ -144,7 +152,7 @@ WITH RECURSIVE {G},
 dreach(v, w) AS (SELECT id, id FROM vertices UNION SELECT r.v, e.dst FROM dreach r JOIN edges e ON r.w = e.src)
 SELECT x.v AS id, min(x.w) AS component FROM dreach x JOIN dreach y ON x.v = y.w AND x.w = y.v GROUP BY x.v""")
 def graph_scc(spark, sf):
-    return nation_graph(spark, sf).strongly_connected_components().select("id", "component")
+    return order_graph(spark, sf).strongly_connected_components().select("id", "component")
 
 
 def _lpa_sql(iters: int = 5) -> str:
@@ -158,13 +166,13 @@ def _lpa_sql(iters: int = 5) -> str:
             f"b{k} AS (SELECT id, label FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY n DESC, label) "
             f"AS rn FROM m{k}) WHERE rn = 1)")
         parts.append(
-            f"l{k} AS (SELECT l.id, coalesce(b.label, l.label) AS label FROM l{k - 1} l LEFT JOIN b{k} b USING (id))")
+            f"l{k} AS MATERIALIZED (SELECT l.id, coalesce(b.label, l.label) AS label FROM l{k - 1} l LEFT JOIN b{k} b USING (id))")
     return f"WITH {G},\n" + ",\n".join(parts) + f"\nSELECT id, label FROM l{iters}"
 
 
 @query("graph_lpa", _lpa_sql())
 def graph_lpa(spark, sf):
-    return nation_graph(spark, sf).label_propagation(max_iter=5).select("id", "label")
+    return order_graph(spark, sf).label_propagation(max_iter=5).select("id", "label")
 
 
 def _pagerank_sql(iters: int = 10, reset: float = 0.15) -> str:
@@ -174,7 +182,7 @@ def _pagerank_sql(iters: int = 10, reset: float = 0.15) -> str:
         "r0 AS (SELECT id, CAST(1.0 AS DOUBLE) AS rank FROM vertices)"]
     for k in range(1, iters + 1):
         parts.append(
-            f"r{k} AS (SELECT v.id, {reset} + {1 - reset} * coalesce(c.s, 0) AS rank FROM vertices v LEFT JOIN "
+            f"r{k} AS MATERIALIZED (SELECT v.id, {reset} + {1 - reset} * coalesce(c.s, 0) AS rank FROM vertices v LEFT JOIN "
             f"(SELECT we.dst, sum(p.rank * we.weight) AS s FROM r{k - 1} p JOIN we ON we.src = p.id "
             f"GROUP BY we.dst) c ON c.dst = v.id)")
     body = ",\n".join(parts)
@@ -184,13 +192,26 @@ def _pagerank_sql(iters: int = 10, reset: float = 0.15) -> str:
 
 @query("graph_pagerank", _pagerank_sql())
 def graph_pagerank(spark, sf):
-    pr = nation_graph(spark, sf).pagerank(0.15, max_iter=10)
+    pr = order_graph(spark, sf).pagerank(0.15, max_iter=10)
     return pr.select("id", r("pagerank", 6).alias("pagerank"))
 
 
-@query("graph_pagerank_tol")
+def _pagerank_tol_sql(tol: float, most: int = 30, reset: float = 0.15) -> str:
+    """Rounds unrolled up to ``most``; the first whose largest change is below ``tol`` is the result."""
+    inner = _pagerank_sql(most, reset)
+    ctes = inner[:inner.rindex("\nSELECT id, round(rank")]
+    moved = ",\n".join(f"d{k} AS (SELECT {k} AS k, max(abs(a.rank - b.rank)) AS d FROM r{k} a JOIN r{k - 1} b USING (id))"
+                       for k in range(1, most + 1))
+    moves = " UNION ALL ".join(f"SELECT * FROM d{k}" for k in range(1, most + 1))
+    ranks = " UNION ALL ".join(f"SELECT {k} AS k, id, rank FROM r{k}" for k in range(1, most + 1))
+    return (f"{ctes},\n{moved},\nstop AS (SELECT min(k) AS k FROM ({moves}) WHERE d < {tol}),\n"
+            f"last AS (SELECT id, rank FROM ({ranks}) WHERE k = (SELECT k FROM stop))\n"
+            f"SELECT id, round(rank * (SELECT count(*) FROM vertices) / (SELECT sum(rank) FROM last), 6) AS pagerank FROM last")
+
+
+@query("graph_pagerank_tol", _pagerank_tol_sql(0.05))
 def graph_pagerank_tol(spark, sf):
-    pr = nation_graph(spark, sf).pagerank(0.15, max_iter=None, tol=0.01)
+    pr = order_graph(spark, sf).pagerank(0.15, max_iter=None, tol=0.05)
     return pr.select("id", r("pagerank", 6).alias("pagerank"))
 
 
@@ -206,7 +227,7 @@ def _ppr_sql(iters: int = 10, reset: float = 0.15) -> str:
         "p0 AS (SELECT source, id, CAST(1.0 AS DOUBLE) AS rank FROM seeds)"]
     for k in range(1, iters + 1):
         parts.append(
-            f"p{k} AS (SELECT coalesce(c.source, s.source) AS source, coalesce(c.id, s.id) AS id, "
+            f"p{k} AS MATERIALIZED (SELECT coalesce(c.source, s.source) AS source, coalesce(c.id, s.id) AS id, "
             f"coalesce(s.r, 0) + {1 - reset} * coalesce(c.s, 0) AS rank "
             f"FROM (SELECT source, id, {reset} AS r FROM seeds) s FULL JOIN "
             f"(SELECT p.source, we.dst AS id, sum(p.rank * we.weight) AS s FROM p{k - 1} p JOIN we "
@@ -218,7 +239,7 @@ def _ppr_sql(iters: int = 10, reset: float = 0.15) -> str:
 
 @query("graph_ppr", _ppr_sql())
 def graph_ppr(spark, sf):
-    pr = nation_graph(spark, sf).personalized_pagerank(PPR_SOURCES, 0.15, max_iter=10)
+    pr = order_graph(spark, sf).personalized_pagerank(PPR_SOURCES, 0.15, max_iter=10)
     return pr.select("source", "id", r("pagerank", 6).alias("pagerank"))
 
 
@@ -230,13 +251,13 @@ WITH RECURSIVE {G},
 sp(lm, v, d) AS (
   SELECT id, id, 0 FROM vertices WHERE id IN ({", ".join(map(str, LANDMARKS))})
   UNION
-  SELECT s.lm, e.src, s.d + 1 FROM sp s JOIN edges e ON e.dst = s.v WHERE s.d < (SELECT count(*) FROM vertices)),
+  SELECT s.lm, e.src, s.d + 1 FROM sp s JOIN edges e ON e.dst = s.v WHERE s.d < 40),
 dist AS (SELECT lm, v, min(d) AS d FROM sp GROUP BY lm, v)
 SELECT id, coalesce((SELECT string_agg(CAST(lm AS VARCHAR) || '=' || CAST(d AS VARCHAR), ',' ORDER BY lm)
                      FROM dist WHERE v = id), '') AS distances
 FROM vertices""")
 def graph_shortest_paths(spark, sf):
-    sp = nation_graph(spark, sf).shortest_paths(LANDMARKS)
+    sp = order_graph(spark, sf).shortest_paths(LANDMARKS)
     return sp.select("id", order.map_text("distances").alias("distances"))
 
 
@@ -247,14 +268,14 @@ per AS (SELECT v, count(*) AS n FROM (SELECT a AS v FROM tri UNION ALL SELECT b
                                       SELECT c FROM tri) GROUP BY v)
 SELECT id, coalesce(n, 0) AS count FROM vertices LEFT JOIN per ON v = id"""))
 def graph_triangles(spark, sf):
-    return nation_graph(spark, sf).triangle_count().select("id", "count")
+    return order_graph(spark, sf).triangle_count().select("id", "count")
 
 
 @query("graph_messages", _with("""
 SELECT id, sum(msg) AS msg FROM (
-  SELECT e.src AS id, d.customers AS msg FROM edges e JOIN vertices d ON d.id = e.dst
+  SELECT e.src AS id, d.orders AS msg FROM edges e JOIN vertices d ON d.id = e.dst
   UNION ALL
-  SELECT e.dst AS id, s.customers AS msg FROM edges e JOIN vertices s ON s.id = e.src) GROUP BY id"""))
+  SELECT e.dst AS id, s.orders AS msg FROM edges e JOIN vertices s ON s.id = e.src) GROUP BY id"""))
 def graph_messages(spark, sf):
-    g = nation_graph(spark, sf)
-    return g.aggregate_messages(F.sum, to_src=F.col("dst.customers"), to_dst=F.col("src.customers"))
+    g = order_graph(spark, sf)
+    return g.aggregate_messages(F.sum, to_src=F.col("dst.orders"), to_dst=F.col("src.orders"))
