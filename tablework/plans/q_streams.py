@@ -34,7 +34,7 @@ FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents) GROUP BY wo
 def stream_word_count(spark, sf):
     docs = streams.table_stream(spark, sf, "documents")
     counts = text.word_count(docs, "text")
-    return streams.drain(counts, "complete")
+    return streams.drain(counts, "update", keys=["word"])  # a batch writes the words it changed
 
 
 @query("stream_word_count_batch", """
@@ -185,16 +185,44 @@ def stream_running_count(spark, sf):
     return streams.drain(state.running_count(ev, "user_id"), "update", keys=["user_id"])
 
 
-@query("stream_seeded_state", """
-SELECT user_id, count(*) AS count FROM events
-WHERE user_id IN (SELECT user_id FROM events WHERE event_type <> 'signup') GROUP BY user_id""")
+@query("stream_seeded_state", "SELECT user_id, count(*) AS count FROM events GROUP BY user_id")
 def stream_seeded_state(spark, sf):
-    """State seeded from a table (signup counts), then fed by the stream."""
+    """State seeded from a table (signup counts), then fed by the stream; the
+    last state of every key, of seeded keys without new rows too."""
     seed = load(spark, sf, "events").filter(F.col("event_type") == "signup") \
         .groupBy("user_id").agg(F.count(F.lit(1)).alias("count"))
     ev = _events_stream(spark, sf, files=3).filter(F.col("event_type") != "signup").select("user_id")
     run = state.running_state(ev, "user_id", "count", initial=seed)
-    return streams.drain(run, "update", keys=["user_id"])
+    return state.last_state(streams.drain(run, "update", keys=["user_id"]), "user_id", "count", seed)
+
+
+_ARRIVAL = "CAST(least(3, floor(4 * (epoch(ts) - lo) / (hi - lo + 1)) + CASE WHEN event_id % 10 = 0 THEN 2 ELSE 0 END) AS INTEGER)"
+
+
+@query("stream_late_drop", f"""
+WITH b AS (SELECT min(epoch(ts)) AS lo, max(epoch(ts)) AS hi FROM events),
+a AS (SELECT ts, event_type, {_ARRIVAL} AS arrival FROM events, b),
+seen AS (SELECT k AS arrival, (SELECT max(ts) FROM a WHERE a.arrival < k) - INTERVAL 1 HOUR AS mark FROM range(4) t(k))
+SELECT {_HOURLY} AS window_start, event_type, count(*) AS count
+FROM a JOIN seen USING (arrival)
+WHERE mark IS NULL OR time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR > mark GROUP BY 1, 2""")
+def stream_late_drop(spark, sf):
+    """Hourly counts with a one-hour watermark over four arrivals.  Every
+    tenth event comes two arrivals late; those behind the watermark of the
+    arrivals before are dropped."""
+    ev = load(spark, sf, "events").select("ts", "event_type", "event_id")
+    micros = F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1_000_000.0)
+    lo, hi = ev.agg(F.min(micros), F.max(micros)).first()
+    late = F.when(F.col("event_id") % 10 == 0, 2).otherwise(0)
+    arrival = F.least(F.lit(3), F.floor(4 * (micros - F.lit(lo)) / F.lit(hi - lo + 1)) + late).cast("int")
+    rows_ = ev.withColumn("arrival", arrival).withColumn("ts", F.col("ts").cast("timestamp"))
+    arrivals = [rows_.filter(F.col("arrival") == k).select("ts", "event_type") for k in range(4)]
+
+    def build(src):
+        agg = streams.sliding_agg(src, "ts", ["event_type"], F.count(F.lit(1)).alias("count"), "1 hour", watermark="1 hour")
+        return agg.select(streams.window_start().alias("window_start"), "event_type", "count")
+
+    return streams.drain_arrivals(spark, arrivals, build, "update", ["window_start", "event_type"])
 
 
 @query("stream_filter_parquet", """

@@ -39,11 +39,11 @@ class RunningValue(StatefulProcessor):
         new = self.state.get()[0] if self.state.exists() else None
         for chunk in rows:
             new = self.update(new, chunk)
-        if new is None:
+        if new is None:  # the null row tells the sink's reader that the key is gone
             self.state.clear()
-            return
-        self.state.update((new,))
-        yield pd.DataFrame({self.key_name: [key[0]], self.out: [new]})
+        else:
+            self.state.update((new,))
+        yield pd.DataFrame({self.key_name: [key[0]], self.out: pd.array([new], dtype=object)})
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
         self.state.update((initialState[self.out].iloc[0].item(),))
@@ -65,14 +65,32 @@ def running_state(df: DataFrame, key: str, out: str = "count", key_type: str = "
                   initial: DataFrame | None = None) -> DataFrame:
     """Running per-key state; ``initial`` (columns ``key``, ``out``) seeds it.
 
-    The state store provider must be RocksDB (set here for the session if
-    the default provider is configured).
+    The state store provider must be RocksDB: set
+    ``spark.sql.streaming.stateStore.providerClass`` before the query starts
+    (the session defaults do).  ``last_state`` turns the emitted updates into
+    the table of all keys.
     """
     spark = df.sparkSession
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+        raise ValueError(f"keyed state needs spark.sql.streaming.stateStore.providerClass={ROCKSDB}")
     schema = f"{key} {key_type}, {out} {state_type}"
     init = initial.groupBy(key) if initial is not None else None
     return df.groupBy(key).transformWithStateInPandas(
         statefulProcessor=RunningValue(key, out, update, state_type), outputStructType=schema,
         outputMode="Update", timeMode="None", initialState=init)
+
+
+def last_state(updates: DataFrame, key: str, out: str = "count", initial: DataFrame | None = None) -> DataFrame:
+    """The state of every key after a stream has ended.
+
+    ``updates`` holds each updated key's last emitted value (null: deleted);
+    seeded keys of ``initial`` that got no row keep their seed.
+    """
+    from pyspark.sql import functions as F
+
+    if initial is not None:
+        seed = initial.select(key, F.col(out).alias("_seed"))
+        seen = updates.select(key, out, F.lit(True).alias("_seen"))
+        updates = seed.join(seen, key, "full").select(
+            key, F.when(F.col("_seen"), F.col(out)).otherwise(F.col("_seed")).alias(out))
+    return updates.filter(F.col(out).isNotNull())

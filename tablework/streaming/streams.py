@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -118,8 +118,9 @@ def read_result(spark: SparkSession, out: str, mode: str = "append", keys: list[
         return df.join(F.broadcast(last), "batch_id").drop("batch_id")
     if not keys:
         raise ValueError("update mode needs the key columns")
-    w = Window.partitionBy(*keys).orderBy(F.col("batch_id").desc())
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "batch_id")
+    values = [c for c in df.columns if c not in (*keys, "batch_id")]
+    last = df.groupBy(*keys).agg(F.max_by(F.struct(F.lit(1).alias("_one"), *values), "batch_id").alias("_v"))
+    return last.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])
 
 
 def drain(df: DataFrame, mode: str = "append", keys: list[str] | None = None,
@@ -142,6 +143,22 @@ def drain(df: DataFrame, mode: str = "append", keys: list[str] | None = None,
     return read_result(spark, out, mode, keys, schema=df.schema if mode == "append" else None)
 
 
+def drain_arrivals(spark: SparkSession, arrivals: list[DataFrame], build: Callable[[DataFrame], DataFrame],
+                   mode: str = "update", keys: list[str] | None = None) -> DataFrame:
+    """Feed ``arrivals`` to a stream one after another and return the sink's table.
+
+    Each arrival is written to the source folder and the query is run to the
+    end of its input on one checkpoint, so state and watermark carry over as
+    they would between restarts.  ``build`` turns the source stream into the
+    streaming query's DataFrame.
+    """
+    src, out, ckpt = (scratch_path(spark, f"arrivals-{x}") for x in ("in", "out", "ckpt"))
+    for part in arrivals:
+        part.write.mode("append").parquet(src)
+        result = drain(build(file_stream(spark, src, "parquet", part.schema)), mode, keys, out, ckpt)
+    return result
+
+
 def window_start(w: str = "window", fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
     """Window start as text (engine-neutral; session zone)."""
     return F.date_format(F.col(f"{w}.start"), fmt)

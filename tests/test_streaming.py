@@ -10,28 +10,28 @@ from .conftest import SF_SMALL, rows
 
 
 def test_late_data_trace(spark):
-    """Watermark 1 h, 1-hour windows, update mode; input arrives in three
-    steps and the query is driven with ``processAllAvailable`` after each,
-    so the watermark advances between arrivals.  Step 3's 'o' rows are
-    behind the watermark and are dropped."""
-    d = scratch_path(spark, "late-words")
+    """Watermark 30 minutes, half-hour windows, update mode; three arrivals of
+    meter readings.  The third brings one reading that is still in time and
+    two whose window has closed, which are dropped."""
+    d = scratch_path(spark, "late-readings")
     os.makedirs(d, exist_ok=True)
-    batches = [
-        ["n;2018-10-01 08:00:00", "n;2018-10-01 08:10:00", "n;2018-10-01 08:20:00"],
-        ["n;2018-10-01 20:00:00", "w;2018-10-01 10:00:00", "w;2018-10-01 10:50:00"],
-        ["n;2018-10-01 20:00:00", "o;2018-10-01 10:00:00", "o;2018-10-01 10:50:00", "w;2018-10-01 19:00:00"],
+    day = "2031-03-05"
+    arrivals = [
+        [("gas", "06:05"), ("gas", "06:25"), ("water", "06:40")],
+        [("gas", "09:50"), ("water", "06:55"), ("gas", "07:10")],
+        [("water", "09:35"), ("gas", "06:20"), ("water", "08:59")],
     ]
     src = streams.file_stream(spark, d, "csv", "word string, eventTime timestamp", sep=";")
-    agg = streams.sliding_agg(src, "eventTime", ["word"], F.count(F.lit(1)).alias("count"), "1 hour",
-                              watermark="1 hour")
+    agg = streams.sliding_agg(src, "eventTime", ["word"], F.count(F.lit(1)).alias("count"), "30 minutes",
+                              watermark="30 minutes")
     out = scratch_path(spark, "late-out")
     q, out = streams.run_stream(agg.select("word", streams.window_start().alias("start"), "count"), out,
                                 "update", foreach_batch=streams.per_batch(lambda b: b, out),
                                 trigger={"processingTime": "0 seconds"})
     try:
-        for i, lines in enumerate(batches):
+        for i, readings in enumerate(arrivals):
             with open(f"{d}/part-{i}.csv", "w") as f:
-                f.write("\n".join(lines) + "\n")
+                f.write("".join(f"{m};{day} {t}:00\n" for m, t in readings))
             q.processAllAvailable()
     finally:
         q.stop()
@@ -39,10 +39,11 @@ def test_late_data_trace(spark):
     for r in spark.read.parquet(out).collect():
         per_batch.setdefault(r["batch_id"], set()).add((r["word"], r["start"][11:16], r["count"]))
     seq = [per_batch[k] for k in sorted(per_batch) if per_batch[k]]
+    # after the first arrival the watermark is 06:10, after the second 09:20
     assert seq == [
-        {("n", "08:00", 3)},
-        {("n", "20:00", 1), ("w", "10:00", 2)},
-        {("n", "20:00", 2), ("w", "19:00", 1)},
+        {("gas", "06:00", 2), ("water", "06:30", 1)},
+        {("gas", "09:30", 1), ("water", "06:30", 2), ("gas", "07:00", 1)},
+        {("water", "09:30", 1)},
     ]
 
 
@@ -64,6 +65,8 @@ def test_running_state_with_seed_and_restart(spark):
     res = streams.drain(state.running_state(src, "k", "count", initial=seed), "update", keys=["k"],
                         out=out, checkpoint=ckpt)
     assert rows(res) == [(0, 110), (1, 10), (2, 10), (3, 10)]
+    # the table of all keys: a seeded key without new rows keeps its seed
+    assert rows(state.last_state(res, "k", "count", seed)) == [(0, 110), (1, 10), (2, 10), (3, 10), (9, 5)]
     # restart on the same checkpoint: nothing new, same table
     src2 = streams.file_stream(spark, d, "parquet", schema, max_files_per_trigger=1).select("k")
     res2 = streams.drain(state.running_state(src2, "k", "count", initial=seed), "update", keys=["k"],
@@ -71,6 +74,24 @@ def test_running_state_with_seed_and_restart(spark):
     assert rows(res2) == rows(res)
 
 
+def test_state_that_ends_is_gone(spark):
+    """An update function that returns None deletes the key, for later reads too."""
+    def until_two(old, batch):
+        return None if (batch["t"] == 2).any() else (old or 0) + len(batch)
+
+    arrivals = [spark.createDataFrame(x, "k long, t long") for x in ([(1, 0), (2, 0)], [(1, 1)], [(2, 2)])]
+    res = streams.drain_arrivals(spark, arrivals, lambda src: state.running_state(src, "k", "count", update=until_two),
+                                 "update", ["k"])
+    assert rows(state.last_state(res, "k", "count")) == [(1, 2)]
+
+
+def test_update_mode_reads_the_last_batch_of_each_key(spark):
+    out = scratch_path(spark, "updates")
+    for batch, some in enumerate([[(1, "a", 1), (2, "b", 1)], [(1, "c", None)]]):
+        spark.createDataFrame(some, "k long, v string, w long").write.parquet(f"{out}/batch_id={batch}")
+    assert rows(streams.read_result(spark, out, "update", ["k"]), "k", "v", "w") == [(1, "c", None), (2, "b", 1)]
+
+
 def test_kafka_shape(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
     back = streams.decode_kafka(streams.encode_kafka(df, "k", "v"))
