@@ -146,7 +146,11 @@ def candidates(text: Column) -> Column:
                             F.array(*[v.cast("int") for v in votes]).alias("votes"), _shape(s).alias("shape"))
         return judged
 
-    return F.concat(*[F.transform(_matches(text, kind), judge(k, kind)) for k, kind in enumerate(KINDS)])
+    def proposed(c: Column) -> Column:
+        """A match of a base pattern that fails its check is only worth a vote behind a cue word."""
+        return c["base"] | (c["kind"] >= len(BASE)) | (F.get(c["votes"], F.lit(LABELERS.index("cue"))) == 1)
+
+    return F.filter(F.concat(*[F.transform(_matches(text, kind), judge(k, kind)) for k, kind in enumerate(KINDS)]), proposed)
 
 
 class Classifier:
