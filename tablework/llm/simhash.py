@@ -134,10 +134,11 @@ def _value(fp, bits: list[int]):
     return fp.bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask))
 
 
-def plan(fps: DataFrame, distance: int, choices: tuple[int, ...] = (2, 3, 4)) -> list[tuple[list[int], int]]:
+def plan(fps: DataFrame, distance: int, choices: tuple[int, ...] = (1, 2, 3, 4)) -> list[tuple[list[int], int]]:
     """Partitions (bits, threshold) for the distinct fingerprints ``fps``."""
     correlation = bit_groups(fps)
-    cuts = {m: partitions(correlation, m) for m in choices if m <= distance + 1}
+    # one partition of all bits has few enough probes only for the smallest distances
+    cuts = {m: partitions(correlation, m) for m in choices if m <= distance + 1 and (m > 1 or distance < 2)}
     # how many fingerprints share a value: a sum of squares for each partition
     values = F.array(*[F.struct(F.lit(m).alias("m"), F.lit(i).alias("i"), _value(F.col("fp"), bits).alias("v"))
                        for m, groups in cuts.items() for i, bits in enumerate(groups)])
