@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import grouped_batches, in_blocks, merged
-from .common import others, shuffle_partitions, staged
+from .common import shuffle_partitions, staged
 from .components import components
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import literal_bounds, lower_ascii, others, shuffle_partitions, staged
+from .common import free_name, literal_bounds, lower_ascii, others, shuffle_partitions, staged
 
 #: Stands between host and path; sorts below every character of either.
 SEP = "\x00"
@@ -54,8 +54,8 @@ def judge(df: DataFrame, rules: DataFrame, url: str = "url", default: str = "all
 
     ``rules`` has host, path and verdict; hosts are taken in lower case, a null path
     as the empty prefix, rules without a host are ignored.  The longest rule (host
-    and path together, then the longer host) decides; of equal rules ``block``
-    comes first in the alphabet's reverse and wins.  A url without a fitting rule has a null
+    and path together, then the longer host) decides; of rules with the same
+    host and path the verdict that sorts last counts, so ``block`` beats ``allow``.  A url without a fitting rule has a null
     rule and the ``default`` verdict.  Rows that repeat a url are judged once and all
     get the verdict.
     """
@@ -114,11 +114,12 @@ def judge(df: DataFrame, rules: DataFrame, url: str = "url", default: str = "all
              .mapInArrow(sweep, T.StructType([f for f in dealt.schema.fields if f.name != "key"])))
     best = found.groupBy("host", "path").agg(
         F.max(F.struct(F.length("rule").alias("n"), "host_len", "rule", "verdict")).alias("w"))
-    best = staged(best.select(F.col("host").alias("_h"), F.col("path").alias("_p"),
-                              F.col("w.rule").alias("rule"), F.col("w.verdict").alias("verdict")), "url-rules")
     kept = others(df, ["host", "path", "rule", "verdict"])
+    host, path = free_name(df, "host_"), free_name(df, "path_")
+    best = staged(best.select(F.col("host").alias(host), F.col("path").alias(path),
+                              F.col("w.rule").alias("rule"), F.col("w.verdict").alias("verdict")), "url-rules")
     return (urls.select(*[F.col(f"`{c}`") for c in kept], "host", "path")
-            .join(best, (F.col("host") == F.col("_h")) & (F.col("path") == F.col("_p")), "left")
+            .join(best, (F.col("host") == F.col(host)) & (F.col("path") == F.col(path)), "left")
             .select(*[F.col(f"`{c}`") for c in kept], "host", "path", "rule",
                     F.coalesce("verdict", F.lit(default)).alias("verdict")))
 
