@@ -31,14 +31,15 @@ def join_array(c: Column | str, sep: str = ",") -> Column:
     return F.array_join(col(c), sep)
 
 
-def literal_cuts(df: DataFrame, key: list[str], parts: int, per_part: int = 64, seed: int = 7) -> list[tuple]:
+def literal_cuts(df: DataFrame, key: list[str], parts: int, per_part: int = 32, seed: int = 7) -> list[tuple]:
     """At most ``parts - 1`` ascending key tuples that cut ``df`` into parts of about equal size.
 
-    They come from a bounded random sample of ``parts * per_part`` keys and are
-    plain values from then on, so every evaluation of a plan that uses them
-    deals rows alike.  Null keys sort first and are never a cut.
+    They come from a random sample of about ``parts * per_part`` keys, drawn where
+    the rows are, and are plain values from then on, so every evaluation of a
+    plan that uses them deals rows alike.  Null keys sort first and are never a cut.
     """
-    got = df.select(*key).dropna().orderBy(F.rand(seed)).limit(parts * per_part).collect()
+    share = min(1.0, parts * per_part / max(1, df.count()))
+    got = df.select(*key).dropna().sample(share, seed=seed).collect()
     keys = sorted(tuple(r) for r in got)
     return sorted({keys[len(keys) * i // parts] for i in range(1, parts)}) if keys else []
 
