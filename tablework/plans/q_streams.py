@@ -189,6 +189,7 @@ def stream_running_count(spark, sf):
 def stream_seeded_state(spark, sf):
     """State seeded from a table (signup counts), then fed by the stream; the
     last state of every key, of seeded keys without new rows too."""
+    spark = state.state_session(spark)
     seed = load(spark, sf, "events").filter(F.col("event_type") == "signup") \
         .groupBy("user_id").agg(F.count(F.lit(1)).alias("count"))
     ev = _events_stream(spark, sf, files=3).filter(F.col("event_type") != "signup").select("user_id")

@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 #: Paths handed out by ``scratch_path`` and not yet cleared.
 _SCRATCH: list[str] = []
 
+#: The folder of each local application that has no ``spark.checkpoint.dir``.
+_LOCAL_DIRS: dict[str, str] = {}
+
 # Settings applied by ``get_session``.  On a cluster these come from the
 # cluster's spark-defaults; the values here suit local[N] runs.
 LOCAL_DEFAULTS = {
@@ -64,8 +67,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         if not is_local(spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        d = tempfile.mkdtemp(prefix="tablework-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        app = spark.sparkContext.applicationId
+        if app not in _LOCAL_DIRS:
+            _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="tablework-ckpt-")
+        d = _LOCAL_DIRS[app]
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(d)
     return d

@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -60,14 +60,24 @@ def running_count(df: DataFrame, key: str, out: str = "count") -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias(out))
 
 
+def state_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application whose streams keep their state in
+    RocksDB; the settings of ``spark`` itself are not touched."""
+    side = spark.newSession()
+    for key in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
+        if (value := spark.conf.get(key, None)) is not None:
+            side.conf.set(key, value)
+    side.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    return side
+
+
 def running_state(df: DataFrame, key: str, out: str = "count", key_type: str = "long",
                   update: Callable = _count_update, state_type: str = "long",
                   initial: DataFrame | None = None) -> DataFrame:
     """Running per-key state; ``initial`` (columns ``key``, ``out``) seeds it.
 
-    The state store provider must be RocksDB: set
-    ``spark.sql.streaming.stateStore.providerClass`` before the query starts
-    (the session defaults do).  ``last_state`` turns the emitted updates into
+    The state store provider of the stream's session must be RocksDB (the
+    session defaults set it; ``state_session`` gives a session that has it).  ``last_state`` turns the emitted updates into
     the table of all keys.
     """
     spark = df.sparkSession
