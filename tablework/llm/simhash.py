@@ -216,20 +216,23 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: in
     """One row of each group of linked rows, with its columns as they are.
 
     The row with the smallest key stays; of rows that repeat that key, one with the
-    smallest fingerprint and then the smallest text; null keys come last.
+    smallest fingerprint; null keys come last.
     """
-    own = ["id_", "fp_", "key_", "order_"]
+    own = ["key_", "hash_", "order_", "kept_key_", "kept_hash_"]
     while any(c.lower() in own for c in df.columns):
         own = ["_" + c for c in own]
-    id_, fp, key_, order = own
-    docs = staged(add_fingerprints(df.select(F.col(f"`{key}`").alias("id_"), F.col(f"`{text}`").alias("text")), "text",
-                                   shingle, keep=["id_"]), "simhash-docs")
+    key_, hash_, order, kept_key, kept_hash = own
+    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    docs = staged(add_fingerprints(df.select(F.col(f"`{key}`").alias("id_"), body.alias("text"), F.xxhash64(body).alias("hash")),
+                                   "text", shingle, keep=["id_", "hash"]), "simhash-docs")
     best = (docs.join(classes(docs, distance).select("fp", "root"), "fp").groupBy("root")
-            .agg(F.min(F.struct(F.col("id_").isNull().alias("none"), "id_", "fp")).alias("best")))
-    kept = staged(best.select(_named(F.col("best.id_")).alias("k"), F.col("best.fp").alias("f")), "simhash-kept")
-    marked = (add_fingerprints(df, text, shingle, fp).withColumn(key_, _named(F.col(f"`{key}`")))
-              .join(kept, (F.col(key_) == F.col("k")) & (F.col(fp) == F.col("f"))))
-    line = Window.partitionBy(key_, fp).orderBy(F.col(f"`{text}`"))
+            .agg(F.min(F.struct(F.col("id_").isNull().alias("none"), "id_", "fp", "hash")).alias("best")))
+    kept = staged(best.select(_named(F.col("best.id_")).alias(kept_key), F.col("best.hash").alias(kept_hash)),
+                  "simhash-kept")
+    # the hash tells rows that repeat a key apart; the texts themselves pass through one join, without Python
+    marked = (df.withColumn(key_, _named(F.col(f"`{key}`"))).withColumn(hash_, F.xxhash64(body))
+              .join(kept, (F.col(key_) == F.col(kept_key)) & (F.col(hash_) == F.col(kept_hash))))
+    line = Window.partitionBy(key_, hash_).orderBy(F.col(f"`{text}`"))
     return (marked.withColumn(order, F.row_number().over(line)).filter(F.col(order) == 1)
             .select(*[F.col(f"`{c}`") for c in df.columns]))
 
