@@ -88,18 +88,19 @@ def map_text(df: DataFrame, text: str, outputs: T.StructType, make_step: Callabl
     names = others(df, outputs.names)
     if keep is not None:
         names = [c for c in names if c in keep]
-    # the text comes first under a name of its own, so that outputs may replace it
-    own = free_name(df, "text_in")
-    src = df.select(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias(own),
-                    *[F.col(f"`{c}`") for c in names])
-    fields = [src.schema[i + 1] for i in range(len(names))]
-    schema = T.StructType(fields + list(outputs.fields))
+    if text in names and isinstance(df.schema[text].dataType, T.StringType):
+        src, at, first = df.select(*[F.col(f"`{c}`") for c in names]), names.index(text), 0
+    else:  # the text comes first under a name of its own, so that outputs may replace it
+        own = F.col(f"`{text}`").cast("string").alias(free_name(df, "text_in"))
+        src, at, first = df.select(own, *[F.col(f"`{c}`") for c in names]), 0, 1
+    schema = T.StructType(src.schema.fields[first:] + list(outputs.fields))
 
     def run(batches):
         step = make_step()
         for batch in batches:
-            for part in slices(batch, 0, limit):
-                yield pa.RecordBatch.from_arrays(part.columns[1:] + list(step(part.column(0))), names=schema.names)
+            for part in slices(batch, at, limit):
+                made = step(pc.fill_null(part.column(at), ""))
+                yield pa.RecordBatch.from_arrays(part.columns[first:] + list(made), names=schema.names)
 
     return src.mapInArrow(run, schema)
 
@@ -163,15 +164,16 @@ class Memory:
         return found
 
 
-def literal_bounds(df: DataFrame, key: str, parts: int, per_part: int = 64) -> list:
+def literal_bounds(df: DataFrame, key: str, parts: int, per_part: int = 16) -> list:
     """At most ``parts - 1`` ascending values of ``key`` that cut ``df`` into parts of about equal size.
 
-    They come from a bounded random sample (``parts * per_part`` keys); they only deal
-    out work and are literals from then on, so a recomputed task deals alike.
+    They come from a random sample of about ``parts * per_part`` keys, drawn where the rows
+    are; they only deal out work and are literals from then on, so a recomputed task
+    deals alike.
     """
-    got = df.select(F.col(key).alias("k")).orderBy(F.rand(7)).limit(parts * per_part)
-    keys = sorted(r[0] for r in got.collect() if r[0] is not None)
+    rows = df.count()
+    got = df.select(F.col(key).alias("k")).sample(min(1.0, parts * per_part / max(1, rows)), seed=7).collect()
+    keys = sorted(r[0] for r in got if r[0] is not None)
     if not keys:
         return []
-    cuts = [keys[len(keys) * i // parts] for i in range(1, parts)]
-    return sorted(set(cuts))
+    return sorted({keys[len(keys) * i // parts] for i in range(1, parts)})
