@@ -30,7 +30,7 @@ END = b""
 
 
 #: Bytes of text whose distinct tokens are handled together.
-SLICE = 16 << 20
+SLICE = 6 << 20
 
 
 def coded_tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
