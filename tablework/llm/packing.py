@@ -32,12 +32,12 @@ from pyspark.sql import types as T
 from .common import Memory, coded_words, free_name, slices, strung
 
 #: Words, and runs of letters or other signs, that a worker remembers.
-WORDS_KEPT, RUNS_KEPT = 300_000, 1_000_000
+WORDS_KEPT, RUNS_KEPT = 200_000, 400_000
 #: Words of these characters are cut into the tokenizer's units here; all others are left to it whole.
 _PLAIN = re.compile(r"[!-&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 _RUNS = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
 #: Bytes of text whose distinct words are looked up together.
-SLICE = 16 << 20
+SLICE = 8 << 20
 
 
 class WordIds:
