@@ -1,29 +1,36 @@
 """Language-model scoring with a probabilistic suffix tree over tokens.
 
 The tree predicts a text's next token from the longest of its retained contexts that
-ends the tokens before it; a text begins behind an end token.  A context of up to
-``depth`` tokens is a candidate if it is frequent, and is retained if its next-token
-distribution diverges from what its own suffix predicts.  In a retained context the
-frequent next tokens have probabilities of their own, smoothed towards the suffix's;
-all others share what is left in the proportions of the suffix.  The empty context is
-the add-half unigram distribution over the training tokens and one unknown token.
-Everything sums to one.
-
-Unigram counts cover every token and stay a distributed table.  What travels to the
-workers is bounded by shares of the corpus, whatever its size: tokens with at least
-``token_share`` of all training tokens (at most 1 / token_share of them), and contexts and
-entries alike.  The rare tokens of each text are joined with the distributed counts.
+ends the tokens before it; a text begins behind a mark of its own.  Every sequence of up to
+``depth`` + 1 tokens that the training texts have at least ``min_count`` times is counted,
+so the tree grows with the corpus.  A context is retained if its next-token distribution
+diverges from what its own suffix predicts.  In a retained context the next tokens that
+recur have probabilities of their own, smoothed towards the suffix's; all others share
+what is left in the proportions of the suffix.  The empty context is the add-half
+unigram distribution over the training tokens and one unknown token.  Everything sums to one.
+
+A sequence goes by a 64-bit polynomial hash of its tokens' hashes, whatever its length; two of n
+sequences share one with a chance of about n * n / 2^65.  Counts, contexts and entries are
+distributed tables.  A score is a sum: an entry adds to the unigram
+log probability what it gains over its suffix, a retained context without the entry the logarithm of the
+share it leaves.  So each sequence has one weight, and a text's sequences meet the weights part by part
+of the hash range.  Workers receive only the numbers of frequent tokens (at most 1 / token_share) and a
+bit map of fixed size that says which hashes may recur; where it is full, more is shuffled and the result is the same.
 """
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+from math import log
+
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import coded_words, slices, staged
+from .common import coded_words, shuffle_partitions, slices, staged
 
 #: The end token; words are never empty.
 END = b""
@@ -210,22 +217,29 @@ class Tree:
         return out
 
 
+def numbered(counted: DataFrame, token_share: float) -> tuple[Numbers, np.ndarray, np.ndarray, dict]:
+    """The tokens with at least ``token_share`` of all, their counts and unigram probabilities, and totals."""
+    total, distinct = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).collect()[0]
+    totals = {"tokens": total, "distinct": distinct, "least": token_share * total, "mass": total + 0.5 * (distinct + 1)}
+    frequent = counted.filter(F.col("n") >= F.lit(totals["least"])).toArrow()  # at most 1 / token_share rows
+    named = sorted(zip(frequent.column("token").to_pylist(), frequent.column("n").to_pylist()))
+    count = np.array([n for _, n in named], np.int64)
+    return Numbers([t for t, _ in named]), count, (count + 0.5) / totals["mass"], totals
+
+
 def fit(texts: DataFrame, counted: DataFrame, depth: int = 2, token_share: float = 2e-6, context_share: float = 1e-4,
         next_share: float = 1e-5, entry_share: float = 1e-6, least_divergence: float = 0.01, weight: float = 20.0) -> tuple[Tree, dict]:
     """The tree of the training ``texts`` and their stored token counts (token, n), and the counts' totals.
 
+    The tree in the driver's memory, of frequent contexts only; ``score`` uses ``grow_tables``.
     Shares are of all training tokens.  Tokens, contexts and entries below their shares
     are not numbered, extended or listed; their number is thereby bounded by the
     inverse share.  Each length is counted over all texts.
     """
-    total, distinct = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).collect()[0]
-    totals = {"tokens": total, "distinct": distinct, "least": token_share * total, "mass": total + 0.5 * (distinct + 1)}
-    frequent = counted.filter(F.col("n") >= F.lit(totals["least"])).toArrow()  # at most 1 / token_share rows
-    named = sorted(zip(frequent.column("token").to_pylist(), frequent.column("n").to_pylist()))
-    numbers = Numbers([t for t, _ in named])
-    count = np.array([n for _, n in named], np.int64)
-    tree = Tree(numbers, (count + 0.5) / totals["mass"])
-    if not total or len(named) ** (depth + 1) >= 1 << 62:
+    numbers, count, root, totals = numbered(counted, token_share)
+    total = totals["tokens"]
+    tree = Tree(numbers, root)
+    if not total or len(numbers.names) ** (depth + 1) >= 1 << 62:
         return tree, totals
     nexts = count >= next_share * total
     known = np.flatnonzero(count >= context_share * total)
@@ -243,64 +257,388 @@ def fit(texts: DataFrame, counted: DataFrame, depth: int = 2, token_share: float
     return tree, totals
 
 
-def score(df: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 5, held_fold: int = 1, **options) -> DataFrame:
-    """One row per input row: ``key``, held_out, n_tokens, n_known, train_tokens, base_score, score.
+#: Hash of the mark before a text.
+BEGIN = np.uint64(0x9E6C63D0876A9A47)
+#: Factor of the polynomial hash.
+FACTOR = np.uint64(0xD1342543DE82EF95)
+#: The bit map has 2 ** MAP_BITS bits.
+MAP_BITS = 28
+#: Distinct sequences that a worker gathers before it sends them on.
+GATHER = 3_000_000
 
-    Rows whose crc32 of the key as text leaves ``held_fold`` when divided by ``folds`` are held
-    out; the others train (a null key counts as empty text).  ``base_score`` is the add-half
-    unigram log10 probability, ``score`` the suffix tree's; both give the same to a token
-    that training has not seen.  Null texts count as empty and have the end token only;
-    repeated rows are counted and scored each; an empty table gives an empty result.
+
+def hashed(flat: np.ndarray, starts: np.ndarray, names: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the tokens, with the mark in front of each text, and each one's place in its text."""
+    tokens = pd.util.hash_array(np.array(names, object), categorize=False).astype(np.uint64)
+    out = np.insert(tokens[flat], starts, BEGIN)
+    first = starts + np.arange(len(starts))
+    return out, np.arange(len(out)) - np.repeat(first, np.diff(np.append(first, len(out))))
+
+
+def sequences(tokens: np.ndarray, place: np.ndarray, longest: int):
+    """For each length: the places where a sequence ends, its hash, and those of it without its last and without its first token."""
+    code = tokens
+    yield 1, np.arange(len(code)), code, np.zeros(len(code), np.uint64), np.zeros(len(code), np.uint64)
+    for m in range(2, longest + 1):
+        before = np.concatenate([code[:1], code[:-1]])
+        longer = before * FACTOR + tokens
+        ends = np.flatnonzero(place >= m - 1)
+        yield m, ends, longer[ends], before[ends], code[ends]
+        code = longer
+
+
+def may_recur(bits: np.ndarray, code: np.ndarray) -> np.ndarray:
+    at = code >> np.uint64(64 - MAP_BITS)
+    return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+def by_part(code: np.ndarray, shift: int):
+    """(part, from, to) of the sorted hashes; a hash without its last ``shift`` bits is its part."""
+    parts = (code >> np.uint64(shift)).astype(np.int64)
+    first = np.flatnonzero(np.diff(parts, prepend=-1))
+    return zip(parts[first].tolist(), first.tolist(), [*first[1:].tolist(), len(code)])
+
+
+def parted(batches, key):
+    """The rows of each key, one key after another, of rows sorted by it."""
+    at, rows = None, []
+    for batch in batches:
+        for row in batch.to_pylist():
+            if rows and key(row) != at:
+                yield at, rows
+                rows = []
+            at = key(row)
+            rows.append(row)
+    if rows:
+        yield at, rows
+
+
+def packed(x: np.ndarray) -> bytes:
+    """The numbers in as few bytes each as the largest needs, that width first."""
+    x = x.astype(np.uint64)
+    width = max(1, (int(x.max()).bit_length() + 7) // 8)
+    return bytes([width]) + x.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    rows = np.frombuffer(data, np.uint8, offset=1).reshape(-1, data[0])
+    out = np.zeros((len(rows), 8), np.uint8)
+    out[:, :data[0]] = rows
+    return out.view(np.uint64).ravel()
+
+
+def steps(code: np.ndarray, part: int, shift: int) -> bytes:
+    """Sorted hashes of a part, which begins at ``part`` << ``shift``, as the differences of each to the one before."""
+    return packed(np.diff(code, prepend=np.uint64(part) << np.uint64(shift)))
+
+
+def stepped(data: bytes, part: int, shift: int) -> np.ndarray:
+    return np.cumsum(unpacked(data)) + (np.uint64(part) << np.uint64(shift))
+
+
+@contextmanager
+def shuffles_freed(spark):
+    """Shuffle files of the queries inside go when the query ends; what is staged does not need them."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def totalled(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct hashes, the place of one of each, and the sums."""
+    own, first, where = np.unique(code, return_index=True, return_inverse=True)
+    return own, first, np.bincount(where, n, len(own)).astype(np.int64)
+
+
+def recurring_bits(texts: DataFrame, longest: int, part_bits: int, min_count: int) -> np.ndarray:
+    """The bit map of the hashes of all sequences that ``texts`` have at least ``min_count`` times.
+
+    32 bits below a part's tell sequences apart here; one marked in error is counted for nothing.
     """
-    held = F.crc32(F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")).cast("binary")) % folds == held_fold
-    docs = df.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"), F.col(f"`{key}`").alias("id_"), held.alias("held"))
-    train = docs.filter(~F.col("held")).select("text")
-    counted = staged(count_tokens(train), "pst-tokens")
-    tree, totals = fit(train, counted, **options)
+    cut = np.uint64(32 - part_bits)
+
+    def send(batches):
+        held, size = [], 0
+
+        def flush():
+            code, _, n = totalled(np.concatenate([c for c, _ in held]), np.concatenate([m for _, m in held]))
+            rows = [(p, steps(code[a:b], p, 32), packed(np.minimum(n[a:b], min_count))) for p, a, b in by_part(code, 32)]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))],
+                                              names=["part", "code", "n"])
+
+        for batch in batches:
+            for piece in slices(batch, 0, SLICE):
+                tokens, place = hashed(*coded_tokens(piece.column(0)))
+                for _, _, code, _, _ in sequences(tokens, place, longest):
+                    held.append(np.unique(code >> cut, return_counts=True))
+                    size += len(held[-1][0])
+                if size > GATHER:
+                    yield flush()
+                    held, size = [], 0
+        if held:
+            yield flush()
+
+    def mark(batches):
+        width = 1 << MAP_BITS - part_bits
+        for part, rows in parted(batches, lambda r: r["part"]):
+            code, _, n = totalled(np.concatenate([stepped(r["code"], part, 32) for r in rows]), np.concatenate([unpacked(r["n"]) for r in rows]))
+            bits = np.zeros(width, np.uint8)
+            bits[(code[n >= min_count] >> np.uint64(32 + part_bits - MAP_BITS)).astype(np.int64) - part * width] = 1
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([np.packbits(bits, bitorder="little").tobytes()])],
+                                             names=["part", "bits"])
+
+    found = (texts.mapInArrow(send, "part int, code binary, n binary").repartition(1 << part_bits, "part")
+             .sortWithinPartitions("part").mapInArrow(mark, "part int, bits binary").toArrow())
+    out = np.zeros((1 << part_bits, (1 << MAP_BITS - part_bits) // 8), np.uint8)
+    for part, bits in zip(found.column("part").to_pylist(), found.column("bits").to_pylist()):
+        out[part] = np.frombuffer(bits, np.uint8)
+    return out.reshape(-1)
+
+
+def count_sequences(texts: DataFrame, longest: int, part_bits: int, min_count: int, bits) -> DataFrame:
+    """(m, code, ctx, suf, n): the sequences of 1 to ``longest`` tokens found at least ``min_count`` times, with
+    the hashes of them without their last and without their first token."""
+    shift = 64 - part_bits
+
+    def send(batches):
+        seen = bits.value
+        held, size = {}, 0
+
+        def flush():
+            rows = []
+            for m, some in held.items():
+                code, ctx, suf, n = (np.concatenate(x) for x in zip(*some))
+                code, first, n = totalled(code, n)
+                ctx, suf = ctx[first], suf[first]
+                rows += [(p, m, steps(code[a:b], p, shift), *(packed(x[a:b]) for x in (ctx, suf, n))) for p, a, b in by_part(code, shift)]
+            kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 4]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["part", "m", "code", "ctx", "suf", "n"])
+
+        for batch in batches:
+            for piece in slices(batch, 0, SLICE):
+                tokens, place = hashed(*coded_tokens(piece.column(0)))
+                for m, _, code, ctx, suf in sequences(tokens, place, longest):
+                    at = np.flatnonzero(may_recur(seen, code))
+                    if len(at):
+                        own, first, n = np.unique(code[at], return_index=True, return_counts=True)
+                        held.setdefault(m, []).append((own, ctx[at][first], suf[at][first], n))
+                        size += len(own)
+                if size > GATHER * 2 // 3:
+                    yield flush()
+                    held, size = {}, 0
+        if held:
+            yield flush()
+
+    def count(batches):
+        for (part, m), rows in parted(batches, lambda r: (r["part"], r["m"])):
+            ctx, suf, n = (np.concatenate([unpacked(r[c]) for r in rows]) for c in ("ctx", "suf", "n"))
+            code, first, n = totalled(np.concatenate([stepped(r["code"], part, shift) for r in rows]), n)
+            keep = n >= min_count
+            columns = [code[keep], ctx[first[keep]], suf[first[keep]]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(keep.sum(), m, np.int32)), *[pa.array(c.view(np.int64)) for c in columns],
+                                              pa.array(n[keep])], names=["m", "code", "ctx", "suf", "n"])
+
+    return (texts.mapInArrow(send, "part int, m int, code binary, ctx binary, suf binary, n binary")
+            .repartition(1 << part_bits, "part").sortWithinPartitions("part", "m")
+            .mapInArrow(count, "m int, code long, ctx long, suf long, n long"))
+
+
+def grow_tables(counts: DataFrame, mass: float, depth: int, least_divergence: float, weight: float) -> tuple[DataFrame, DataFrame]:
+    """(code, w): what a sequence adds to a text's log10 probability each time the text has it; and of these the contexts of one token.
+
+    ``counts`` as of ``count_sequences``, stored.  A context is retained if it diverges from its suffix by
+    ``least_divergence`` nats and by more than its number of entries would bring by chance; ``weight`` is the
+    weight of the suffix's distribution in a smoothed one.  A sequence that recurs has a recurring
+    context and suffix, so each level finds both in the one before.
+    """
+    # p: natural logarithm of the probability of a sequence's last token after the others
+    known = counts.filter("m = 1").select("code", "n", F.log((F.col("n") + 0.5) / F.lit(mass)).alias("p"))
+    out = []
+    for m in range(2, depth + 2):
+        lower = known.select(F.col("code").alias("suf"), F.col("p").alias("q"))
+        total = known.select(F.col("code").alias("ctx"), F.col("n").alias("total"))
+        rows = staged(counts.filter(F.col("m") == m).select("code", "ctx", "suf", "n").join(lower, "suf").drop("suf").join(total, "ctx"),
+                      "pst-level")
+        share, q = F.col("n") / F.col("total"), F.exp("q")
+        smooth = (F.col("n") + weight * q) / (F.col("total") + weight)
+        rest = lambda c: F.greatest(1 - F.col(c), F.lit(1e-12))
+        tested = (rows.groupBy("ctx").agg(F.first("total").alias("size"), F.count(F.lit(1)).alias("entries"),
+                                          F.sum(share * (F.log(share) - F.col("q"))).alias("gain"), F.sum(share).alias("shares"),
+                                          F.sum(q).alias("lowers"), F.sum(smooth).alias("smooths"))
+                  .withColumn("divergence", F.col("gain") + rest("shares") * F.log(rest("shares") / rest("lowers")))
+                  .filter((F.col("divergence") >= least_divergence) & (F.col("divergence") * F.col("size") >= F.col("entries") + 1))
+                  .select("ctx", F.log(rest("smooths") / rest("lowers")).alias("left")))
+        kept = staged(tested, "pst-contexts")
+        level = staged(rows.join(kept, "ctx", "left").select(
+            "code", "n", F.when(F.col("left").isNull(), F.col("q")).otherwise(F.log(smooth)).alias("p"),
+            (F.log(smooth) - F.col("q") - F.col("left")).alias("w")), "pst-entries")
+        out += [level.filter("w is not null").select("code", (F.col("w") / log(10)).alias("w")),
+                kept.select(F.col("ctx").alias("code"), (F.col("left") / log(10)).alias("w"))]
+        known = level.select("code", "n", "p")
+    weights = out[0]
+    for more in out[1:]:
+        weights = weights.unionByName(more)
+    return weights, out[1]
+
+
+def of_numbers(single: DataFrame, numbers: Numbers) -> np.ndarray:
+    """The weight of each numbered token as a context, 0 where it is none."""
+    own = pd.util.hash_array(np.array(numbers.names, object), categorize=False).astype(np.uint64)
+    order = np.argsort(own)
+    ranked = own[order]
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(find(ranked, batch.column(0).to_numpy().view(np.uint64)) >= 0))
+
+    found = single.mapInArrow(run, "code long, w double").toArrow()  # at most one row for each number
+    out = np.zeros(len(own))
+    out[order[find(ranked, found.column("code").to_numpy().view(np.uint64))]] = found.column("w").to_numpy()
+    return out
+
+
+def judge_texts(docs: DataFrame, numbers: Numbers, root: np.ndarray, weights: DataFrame, single: DataFrame, longest: int,
+                part_bits: int, bits) -> DataFrame:
+    """Stored rows of three kinds: 1 sums of weights (row, tree), 2 texts, 3 a text's tokens without a number (row, token, n)."""
     kind = docs.schema["id_"].dataType.simpleString()
+    schema = (f"part int, kind int, code binary, times binary, at binary, row long, id_ {kind}, held_out boolean, n_tokens long, known long, base double, tree double, "
+              "token binary, n long")
+    log_root, left, shift = np.log10(root), of_numbers(single, numbers), 64 - part_bits
+
+    def table(id_type, **columns):
+        """A batch of ``schema`` with nulls in the columns not given."""
+        size = len(columns["part"])
+        kinds = dict(part=pa.int32(), kind=pa.int32(), code=pa.binary(), times=pa.binary(), at=pa.binary(), row=pa.int64(), id_=id_type, held_out=pa.bool_(),
+                     n_tokens=pa.int64(), known=pa.int64(), base=pa.float64(), tree=pa.float64(), token=pa.binary(), n=pa.int64())
+        made = [columns[c] if isinstance(columns.get(c), pa.Array) else pa.array(columns[c], t) if c in columns else pa.nulls(size, t)
+                for c, t in kinds.items()]
+        return pa.RecordBatch.from_arrays(made, names=list(kinds))
 
     def judge(batches):
-        part, row = TaskContext.get().partitionId() << 33, 0
+        part, row, seen = TaskContext.get().partitionId() << 33, 0, bits.value
         for batch in batches:
             for piece in slices(batch, 0, SLICE):
-                flat, starts, codes, names = tree.numbers.rows(piece.column(0))
-                logs = tree.log_probs(flat, starts)
+                flat, starts, codes, names = numbers.rows(piece.column(0))
                 common = flat >= 0
-                root = np.zeros(len(flat))
-                root[common] = tree.log_root[flat[common]]
+                base = np.zeros(len(flat))
+                base[common] = log_root[flat[common]]
+                tree = np.zeros(len(flat))
+                tree[common] = left[flat[common]]
                 count = piece.num_rows
-                rows = (part + row + np.arange(count)).tolist()
+                first = part + row
                 row += count
-                sizes = np.diff(np.append(starts, len(flat))).tolist()
+                rows = np.arange(first, first + count)
+                ids = piece.column(1)
+                yield table(ids.type, part=rows % (1 << part_bits), kind=np.full(count, 2), row=rows, id_=ids, held_out=piece.column(2),
+                            n_tokens=np.diff(np.append(starts, len(flat))), known=np.add.reduceat(common, starts, dtype=np.int64),
+                            base=np.add.reduceat(base, starts), tree=np.add.reduceat(tree, starts))
                 place = np.flatnonzero(~common)
                 owner = np.searchsorted(starts, place, side="right") - 1
                 pairs, times = np.unique(owner * len(names) + codes[place], return_counts=True)
-                rare = {"row": (part + row - count + pairs // len(names)).tolist(),
-                        "token": [names[i] for i in (pairs % len(names)).tolist()], "n": times.tolist()}
-                more, none = len(rare["row"]), [None] * count
-                gone = [None] * more
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows + rare["row"], pa.int64()),
-                     pa.concat_arrays([piece.column(1), pa.nulls(more, piece.column(1).type)]),
-                     pa.concat_arrays([piece.column(2), pa.nulls(more, pa.bool_())]),
-                     pa.array(sizes + gone, pa.int64()),
-                     pa.array(np.add.reduceat(common, starts, dtype=np.int64).tolist() + gone, pa.int64()),
-                     pa.array(np.add.reduceat(root, starts).tolist() + gone, pa.float64()),
-                     pa.array(np.add.reduceat(logs, starts).tolist() + gone, pa.float64()),
-                     pa.array(none + rare["token"], pa.binary()), pa.array(none + rare["n"], pa.int64())],
-                    names=["row", "id_", "held_out", "n_tokens", "known", "base", "tree", "token", "n"])
-
-    judged = staged(docs.mapInArrow(judge, f"row long, id_ {kind}, held_out boolean, n_tokens long, known long, base double, "
-                                           "tree double, token binary, n long"), "pst-judged")
+                owner = first + pairs // len(names)
+                yield table(ids.type, part=owner % (1 << part_bits), kind=np.full(len(owner), 3), row=owner,
+                            token=[names[i] for i in (pairs % len(names)).tolist()], n=times)
+                tokens, place = hashed(codes, starts, names)
+                text_of = np.cumsum(place == 0) - 1
+                code, owner = [], []
+                for m, ends, some, _, _ in sequences(tokens, place, longest):
+                    hit = may_recur(seen, some)
+                    if m == 1:  # what numbered tokens leave to others is in ``left``
+                        hit &= ~np.insert(common, starts, False)
+                    code.append(some[hit])
+                    owner.append(text_of[ends[hit]])
+                code, owner = np.concatenate(code), np.concatenate(owner)
+                order = np.argsort(code)
+                owner = owner[order]
+                code, begin, times = np.unique(code[order], return_index=True, return_counts=True)
+                begin = np.append(begin, len(owner))
+                sent = [(p, steps(code[a:b], p, shift), packed(times[a:b]), packed(owner[begin[a]:begin[b]])) for p, a, b in by_part(code, shift)]
+                yield table(ids.type, part=[s[0] for s in sent], kind=[1] * len(sent), code=[s[1] for s in sent], times=[s[2] for s in sent],
+                            at=[s[3] for s in sent], row=[first] * len(sent))
+
+    def send_weights(batches):
+        for batch in batches:
+            code, w = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
+            order = np.argsort(code)
+            code, w = code[order], w[order]
+            sent = [(p, steps(code[a:b], p, shift), w[a:b].tobytes()) for p, a, b in by_part(code, shift)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*sent) if sent else [()] * 3, (pa.int32(), pa.binary(), pa.binary()))],
+                                             names=["part", "code", "at"])
+
+    def meet(batches):
+        part, parts, own, w = None, [], None, None
+        for batch in batches:
+            kinds = batch.column(1).to_numpy()
+            plain = batch.filter(pa.array(kinds >= 2))
+            if plain.num_rows:
+                yield plain
+            texts, sums = [], []
+            for i in np.flatnonzero(kinds < 2).tolist():
+                p, k, code, times, at, first = (batch.column(c)[i].as_py() for c in range(6))
+                if p != part:
+                    part, parts, own = p, [], None
+                code = stepped(code, p, shift)
+                if k == 0:
+                    parts.append((code, np.frombuffer(at, np.float64)))
+                    continue
+                if own is None and parts:
+                    code_, w_ = (np.concatenate(x) for x in zip(*parts))
+                    own, where = np.unique(code_, return_inverse=True)
+                    w = np.bincount(where, w_, len(own))
+                if own is None:
+                    continue
+                found = np.repeat(find(own, code), unpacked(times).astype(np.int64))
+                text_, where = np.unique(unpacked(at)[found >= 0], return_inverse=True)
+                texts.append(first + text_.astype(np.int64))
+                sums.append(np.bincount(where, w[found[found >= 0]], len(text_)))
+            if texts:
+                rows, where = np.unique(np.concatenate(texts), return_inverse=True)
+                yield table(batch.column(6).type, part=np.zeros(len(rows), np.int32), kind=np.ones(len(rows), np.int32), row=rows,
+                            tree=np.bincount(where, np.concatenate(sums), len(rows)))
+
+    sent = weights.mapInArrow(send_weights, "part int, code binary, at binary").withColumn("kind", F.lit(0))
+    return staged(docs.mapInArrow(judge, schema).unionByName(sent, allowMissingColumns=True)
+                    .repartition(max(1 << part_bits - 2, shuffle_partitions(docs.sparkSession)), "part").sortWithinPartitions("part", "kind")
+                    .mapInArrow(meet, schema), "pst-judged")
+
+
+def score(df: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 5, held_fold: int = 1, depth: int = 2,
+          min_count: int = 2, least_divergence: float = 0.01, weight: float = 20.0, token_share: float = 2e-6) -> DataFrame:
+    """One row per input row: ``key``, held_out, n_tokens, n_known, train_tokens, base_score, score.
+
+    Rows whose crc32 of the key as text leaves ``held_fold`` when divided by ``folds`` are held
+    out; the others train (a null key counts as empty text).  ``base_score`` is the add-half
+    unigram log10 probability, ``score`` the suffix tree's (see ``grow_tables`` for its options); both give the same to a token
+    that training has not seen.  Null texts count as empty and have the end token only;
+    repeated rows are counted and scored each; an empty table gives an empty result.
+    """
+    held = F.crc32(F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")).cast("binary")) % folds == held_fold
+    docs = df.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"), F.col(f"`{key}`").alias("id_"), held.alias("held"))
+    train = docs.filter(~F.col("held")).select("text")
+    spark, longest = df.sparkSession, depth + 1
+    with shuffles_freed(spark):
+        counted = staged(count_tokens(train), "pst-tokens")
+        numbers, _, root, totals = numbered(counted, token_share)
+        # parts of about two million sequences; the hash deals them evenly
+        part_bits = min(MAP_BITS - 3, max(3, int(totals["tokens"] * longest / 2e6).bit_length()))
+        bits = spark.sparkContext.broadcast(recurring_bits(train, longest, part_bits, min_count))
+        counts = staged(count_sequences(train, longest, part_bits, min_count, bits), "pst-sequences")
+        weights, single = grow_tables(counts, totals["mass"], depth, least_divergence, weight)
+        judged = judge_texts(docs, numbers, root, weights, single, longest, part_bits, bits)
     # tokens below the share: their counts come from the distributed table
     rare = counted.filter(F.col("n") < F.lit(totals["least"])).select(F.col("token").alias("t"), F.col("n").alias("c"))
     c = F.coalesce("c", F.lit(0))
-    looked_up = (judged.filter("token is not null").select("row", "token", "n").join(rare, F.col("token") == F.col("t"), "left")
+    looked_up = (judged.filter("kind = 3").select("row", "token", "n").join(rare, F.col("token") == F.col("t"), "left")
                  .groupBy("row").agg(F.sum(F.col("n") * F.log10((c + 0.5) / F.lit(totals["mass"]))).alias("more"),
                                      F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("more_known"))
                  .withColumnRenamed("row", "r"))
+    gains = judged.filter("kind = 1").groupBy(F.col("row").alias("g")).agg(F.sum("tree").alias("gain"))
     more, more_known = F.coalesce("more", F.lit(0.0)), F.coalesce("more_known", F.lit(0))
-    return (judged.filter("token is null").join(looked_up, F.col("row") == F.col("r"), "left")
+    return (judged.filter("kind = 2").join(looked_up, F.col("row") == F.col("r"), "left").join(gains, F.col("row") == F.col("g"), "left")
             .select(F.col("id_").alias(key), "held_out", "n_tokens", (F.col("known") + more_known).alias("n_known"),
                     F.lit(totals["tokens"]).cast("long").alias("train_tokens"),
-                    (F.col("base") + more).alias("base_score"), (F.col("tree") + more).alias("score")))
+                    (F.col("base") + more).alias("base_score"), (F.col("base") + more + F.col("tree") + F.coalesce("gain", F.lit(0.0))).alias("score")))

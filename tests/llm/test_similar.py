@@ -372,3 +372,54 @@ def test_pst_edge_rows(spark, clashing):
     assert pst.score(clashing.limit(0)).count() == 0
     only_held = clashing.filter("doc_id = 0").withColumn("doc_id", F.lit(next(i for i in range(99) if zlib.crc32(str(i).encode()) % 5 == 1)).cast("long"))
     assert pst.score(only_held).first()["train_tokens"] == 0
+
+
+def brute_tree(texts, depth, least=0.01, weight=20.0):
+    """Score of each text by the definition, with plain counts of every sequence that recurs."""
+    tokens, held, c = brute_unigrams(texts)
+    mass = sum(c.values()) + 0.5 * (len(c) + 1)
+    grams = Counter()
+    for d, ws in tokens.items():
+        ws = [None, *ws]
+        if not held[d]:
+            grams.update(tuple(ws[i:i + m]) for m in range(1, depth + 2) for i in range(len(ws) - m + 1))
+    follow, kept = {}, {}
+    for g, n in grams.items():
+        if len(g) > 1 and n > 1:
+            follow.setdefault(g[:-1], {})[g[-1]] = n
+
+    def prob(ctx, w):
+        if not ctx:
+            return (c[w] + 0.5) / mass
+        lower = prob(ctx[1:], w)
+        if ctx not in kept:
+            return lower
+        probs, gamma = kept[ctx]
+        return probs[w] if w in probs else gamma * lower
+
+    for ctx in sorted(follow, key=len):
+        total, lower = grams[ctx], {w: prob(ctx[1:], w) for w in follow[ctx]}
+        share = {w: n / total for w, n in follow[ctx].items()}
+        rest, rest_lower = (max(1 - sum(x.values()), 1e-12) for x in (share, lower))
+        gain = sum(p * math.log(p / lower[w]) for w, p in share.items()) + rest * math.log(rest / rest_lower)
+        if gain >= least and gain * total >= len(share) + 1:
+            probs = {w: (n + weight * lower[w]) / (total + weight) for w, n in follow[ctx].items()}
+            kept[ctx] = probs, max(1 - sum(probs.values()), 1e-12) / rest_lower
+    out = {}
+    for d, ws in tokens.items():
+        ws = [None, *ws]
+        out[d] = sum(math.log10(prob(tuple(ws[max(0, i - depth):i]), ws[i])) for i in range(1, len(ws)))
+    return out, kept
+
+
+@pytest.mark.parametrize("depth", [2, 3])
+def test_op8_uses_every_recurring_context(spark, depth):
+    rng = random.Random(8)
+    texts = [(i, " ".join(f"w{min(rng.randrange(400), rng.randrange(400))}" for _ in range(120))) for i in range(300)]
+    # each pair of names is rare, and always followed by the same word
+    texts += [(1000 + i, f"w1 w2 name{i // 9} of{i // 9} Town{i // 9} w3") for i in range(900)] + [(5000, ""), (5001, None)]
+    want, kept = brute_tree(texts, depth)
+    out = {r["doc_id"]: r for r in pst.score(spark.createDataFrame(texts, "doc_id long, text string"), depth=depth).collect()}
+    assert len(out) == len(texts) and len(kept) > 200
+    assert all(abs(r["score"] - want[d]) < 1e-6 * max(1, abs(want[d])) for d, r in out.items())
+    assert out[1001]["score"] > out[1001]["base_score"] + 4
