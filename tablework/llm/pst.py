@@ -234,12 +234,15 @@ def fit(texts: DataFrame, counted: DataFrame, depth: int = 2, token_share: float
     The tree in the driver's memory, of frequent contexts only; ``score`` uses ``grow_tables``.
     Shares are of all training tokens.  Tokens, contexts and entries below their shares
     are not numbered, extended or listed; their number is thereby bounded by the
-    inverse share.  Each length is counted over all texts.
+    inverse share.  Each length is counted over all texts.  Raises where a context and its next
+    token do not fit 62 bits; ``score`` has no such limit.
     """
     numbers, count, root, totals = numbered(counted, token_share)
     total = totals["tokens"]
     tree = Tree(numbers, root)
-    if not total or len(numbers.names) ** (depth + 1) >= 1 << 62:
+    if len(numbers.names) ** (depth + 1) >= 1 << 62:
+        raise ValueError(f"contexts of {depth} of {len(numbers.names)} tokens have no 62-bit code; raise token_share, or use score()")
+    if not total:
         return tree, totals
     nexts = count >= next_share * total
     known = np.flatnonzero(count >= context_share * total)

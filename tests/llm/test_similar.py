@@ -423,3 +423,9 @@ def test_op8_uses_every_recurring_context(spark, depth):
     assert len(out) == len(texts) and len(kept) > 200
     assert all(abs(r["score"] - want[d]) < 1e-6 * max(1, abs(want[d])) for d, r in out.items())
     assert out[1001]["score"] > out[1001]["base_score"] + 4
+
+
+def test_fit_says_when_codes_do_not_fit(spark):
+    texts = spark.createDataFrame([(" ".join(f"t{i}" for i in range(40)),)] * 2, "text string")
+    with pytest.raises(ValueError, match="token_share"):
+        pst.fit(texts, pst.staged(pst.count_tokens(texts), "test-counts"), depth=12, token_share=1e-9)
