@@ -6,11 +6,12 @@ subdomains whose path starts with the rule's path; the longest rule wins.
 Host labels are reversed (``www.example.com`` -> ``com.example.www``) and followed by
 a separator and the path.  In that order a rule is the interval of all keys that
 start with its own, and two intervals are nested or apart.  A url asks once for each
-of its host suffixes, so a rule of ``example.com`` meets ``www.example.com`` under the
-key of the suffix ``example.com``.  Keys and rules are dealt by literal bounds into
-ranges, sorted, and swept once with a stack of the rules that are open at a key: the
-top of the stack is the longest rule of that suffix.  A rule whose interval spans
-several ranges is sent to each of them.
+of its host suffixes, so a rule of
+``example.com`` meets ``www.example.com`` under the key of the suffix ``example.com``.
+Distinct keys and rules are dealt by literal bounds into ranges, sorted, and swept once
+with a stack of the rules that are open at a key: the top of the stack is the longest
+rule of that suffix.  A rule whose interval spans several ranges is sent to each of
+them.  What a key has found is joined back to all addresses that asked for it.
 """
 
 from __future__ import annotations
@@ -64,20 +65,19 @@ def judge(df: DataFrame, rules: DataFrame, url: str = "url", default: str = "all
     parts = shuffle_partitions(spark)
     # one row for each distinct address; a very common url is gathered before its shuffle
     asked = staged(urls.select("host", "path").distinct(), "url-keys")
-    labels = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    keys = asked.select("host", "path", F.explode(suffixes).alias("suffix")).select(
-        "host", "path", _key(F.col("suffix"), F.col("path")).alias("key"))
-    bounds = [b[:512] for b in literal_bounds(keys, "key", parts * 4)]
-
     ruled = (rules.filter(F.col("host").isNotNull())
              .select(lower_ascii(F.col("host")).alias("h"), F.coalesce("path", F.lit("")).alias("p"), "verdict")
              .groupBy("h", "p").agg(F.max("verdict").alias("verdict"))
-             .select(F.lit(None).cast("string").alias("host"), F.lit(None).cast("string").alias("path"),
-                     _key(F.col("h"), F.col("p")).alias("key"), F.concat("h", "p").alias("rule"),
+             .select(_key(F.col("h"), F.col("p")).alias("key"), F.concat("h", "p").alias("rule"),
                      F.length("h").alias("host_len"), "verdict"))
+    labels = F.split("host", r"\.")
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    keys = asked.select("host", "path", F.explode(suffixes).alias("suffix")).select(
+        "host", "path", _key(F.col("suffix"), F.col("path")).alias("key"))
+    swept = staged(keys.select("key").distinct(), "url-distinct-keys")
+    bounds = [b[:512] for b in literal_bounds(swept, "key", parts * 4)]
     none = [F.lit(None).cast(t).alias(c) for c, t in (("rule", "string"), ("host_len", "int"), ("verdict", "string"))]
-    dealt = keys.select("host", "path", "key", *none).unionByName(ruled)
+    dealt = swept.select("key", *none).unionByName(ruled)
     schema = T.StructType([T.StructField("part", T.IntegerType()), *dealt.schema.fields])
 
     def deal(batches):
@@ -93,7 +93,7 @@ def judge(df: DataFrame, rules: DataFrame, url: str = "url", default: str = "all
     def sweep(batches):
         part, stack = None, []
         for batch in batches:
-            got = {"host": [], "path": [], "rule": [], "host_len": [], "verdict": []}
+            got = {"key": [], "rule": [], "host_len": [], "verdict": []}
             for r in batch.to_pylist():
                 if r["part"] != part:
                     part, stack = r["part"], []
@@ -102,8 +102,7 @@ def judge(df: DataFrame, rules: DataFrame, url: str = "url", default: str = "all
                 if r["rule"] is not None:
                     stack.append(r)
                 elif stack:
-                    got["host"].append(r["host"])
-                    got["path"].append(r["path"])
+                    got["key"].append(r["key"])
                     for c in ("rule", "host_len", "verdict"):
                         got[c].append(stack[-1][c])
             yield pa.RecordBatch.from_pydict(got, schema=ARROW_HIT)
@@ -111,8 +110,8 @@ def judge(df: DataFrame, rules: DataFrame, url: str = "url", default: str = "all
     # in a range, a rule comes before the keys that it fits, the shorter rule first
     found = (dealt.mapInArrow(deal, schema).repartition(parts, "part")
              .sortWithinPartitions("part", "key", F.col("rule").isNull())
-             .mapInArrow(sweep, T.StructType([f for f in dealt.schema.fields if f.name != "key"])))
-    best = found.groupBy("host", "path").agg(
+             .mapInArrow(sweep, dealt.schema))
+    best = keys.join(found, "key").groupBy("host", "path").agg(
         F.max(F.struct(F.length("rule").alias("n"), "host_len", "rule", "verdict")).alias("w"))
     kept = others(df, ["host", "path", "rule", "verdict"])
     host, path = free_name(df, "host_"), free_name(df, "path_")
@@ -124,7 +123,5 @@ def judge(df: DataFrame, rules: DataFrame, url: str = "url", default: str = "all
                     F.coalesce("verdict", F.lit(default)).alias("verdict")))
 
 
-ARROW_DEALT = pa.schema([("part", pa.int32()), ("host", pa.string()), ("path", pa.string()), ("key", pa.string()),
-                         ("rule", pa.string()), ("host_len", pa.int32()), ("verdict", pa.string())])
-ARROW_HIT = pa.schema([("host", pa.string()), ("path", pa.string()), ("rule", pa.string()),
-                       ("host_len", pa.int32()), ("verdict", pa.string())])
+ARROW_DEALT = pa.schema([("part", pa.int32()), ("key", pa.string()), ("rule", pa.string()), ("host_len", pa.int32()), ("verdict", pa.string())])
+ARROW_HIT = pa.schema([("key", pa.string()), ("rule", pa.string()), ("host_len", pa.int32()), ("verdict", pa.string())])

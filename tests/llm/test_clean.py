@@ -136,6 +136,16 @@ def test_rules_on_random_urls(spark):
     assert {r["verdict"] for r in urlrules.judge(df, rl.limit(0)).collect()} == {"allow"}
 
 
+def test_rules_sweep_each_key_once(spark, monkeypatch):
+    dealt = []
+    monkeypatch.setattr(urlrules, "literal_bounds", lambda df, *a: dealt.append(df) or [])
+    urls = spark.createDataFrame([(i, f"http://h{i}.com/") for i in range(300)], "page_id long, url string")
+    rules = spark.createDataFrame([("com", "/", "block"), ("h7.com", "/", "allow")], "host string, path string, verdict string")
+    got = {r["page_id"]: r["rule"] for r in urlrules.judge(urls, rules).collect()}
+    assert got == {i: "h7.com/" if i == 7 else "com/" for i in range(300)}
+    assert dealt[0].count() == dealt[0].select("key").distinct().count() == 301  # com once, and each host
+
+
 def test_op3_equals_brute_force(spark):
     urls = {r["page_id"]: r["url"] for r in small(spark, "pages").collect()}
     for r in run(spark, "op3_url_rules"):
