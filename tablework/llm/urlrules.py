@@ -6,7 +6,7 @@ subdomains whose path starts with the rule's path; the longest rule wins.
 Host labels are reversed (``www.example.com`` -> ``com.example.www``) and followed by
 a separator and the path.  In that order a rule is the interval of all keys that
 start with its own, and two intervals are nested or apart.  A url asks once for each
-of its host suffixes, so a rule of
+of its host suffixes with at most as many labels as the longest rule host, so a rule of
 ``example.com`` meets ``www.example.com`` under the key of the suffix ``example.com``.
 Distinct keys and rules are dealt by literal bounds into ranges, sorted, and swept once
 with a stack of the rules that are open at a key: the top of the stack is the longest
@@ -50,6 +50,10 @@ def _key(host, path):
     return F.concat(F.array_join(labels, "."), F.lit(SEP), path)
 
 
+def _labels(host):
+    return F.length(host) - F.length(F.replace(host, F.lit("."), F.lit(""))) + 1
+
+
 def judge(df: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow") -> DataFrame:
     """Add ``host``, ``path``, ``rule`` and ``verdict`` to each row.
 
@@ -70,10 +74,10 @@ def judge(df: DataFrame, rules: DataFrame, url: str = "url", default: str = "all
              .groupBy("h", "p").agg(F.max("verdict").alias("verdict"))
              .select(_key(F.col("h"), F.col("p")).alias("key"), F.concat("h", "p").alias("rule"),
                      F.length("h").alias("host_len"), "verdict"))
-    labels = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    keys = asked.select("host", "path", F.explode(suffixes).alias("suffix")).select(
-        "host", "path", _key(F.col("suffix"), F.col("path")).alias("key"))
+    # a suffix with more labels than any rule host can meet no rule
+    most = rules.agg(F.max(_labels(F.col("host")))).first()[0] or 1
+    keys = (asked.select("host", "path", F.explode(F.sequence(F.lit(1), F.least(F.lit(most), _labels(F.col("host"))))).alias("k"))
+            .select("host", "path", _key(F.expr("substring_index(host, '.', -k)"), F.col("path")).alias("key")))
     swept = staged(keys.select("key").distinct(), "url-distinct-keys")
     bounds = [b[:512] for b in literal_bounds(swept, "key", parts * 4)]
     none = [F.lit(None).cast(t).alias(c) for c, t in (("rule", "string"), ("host_len", "int"), ("verdict", "string"))]

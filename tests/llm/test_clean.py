@@ -146,6 +146,14 @@ def test_rules_sweep_each_key_once(spark, monkeypatch):
     assert dealt[0].count() == dealt[0].select("key").distinct().count() == 301  # com once, and each host
 
 
+def test_rules_on_a_host_of_very_many_labels(spark):
+    host = "a." * 50_000
+    urls = spark.createDataFrame([(1, f"http://{host}b.com/x"), (2, f"http://{host}"), (3, "http://b.com")], "page_id long, url string")
+    rules = spark.createDataFrame([("b.com", "/", "block"), ("com", "/x", "allow")], "host string, path string, verdict string")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in urlrules.judge(urls, rules).collect()}
+    assert got == {1: ("b.com/", "block"), 2: (None, "allow"), 3: (None, "allow")}
+
+
 def test_op3_equals_brute_force(spark):
     urls = {r["page_id"]: r["url"] for r in small(spark, "pages").collect()}
     for r in run(spark, "op3_url_rules"):
