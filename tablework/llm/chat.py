@@ -74,17 +74,15 @@ def format_turns(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
                  text: str = "text") -> DataFrame:
     """Each row's turn rendered: ``formatted``, with ``mask_start`` and ``mask_end`` of the text to train on.
 
-    Rows come out in order of (conversation, turn, role, text), a conversation within
-    one partition, so the rendered conversation is the concatenation of its rows.
+    Each row is rendered where it lies, without a shuffle; the rendered conversation is
+    the concatenation of its rows in order of (turn, role, text).
     ``mask_start`` and ``mask_end`` are positions in ``formatted`` (end exclusive); they are
     null for turns of other roles than assistant.  Null roles and texts count as
     empty, a null conversation id as one conversation, and repeated rows as turns of
     their own.  Input columns named like an output are replaced.
     """
     names = others(df, ["formatted", "mask_start", "mask_end"])
-    order = [F.col(f"`{c}`") for c in (conv, turn, role, text)]
-    src = (df.select(*[F.col(f"`{c}`") for c in names])
-           .repartition(shuffle_partitions(df.sparkSession), order[0]).sortWithinPartitions(*order))
+    src = df.select(*[F.col(f"`{c}`") for c in names])
     i_role, i_text = names.index(role), names.index(text)
     schema = T.StructType(src.schema.fields + [T.StructField("formatted", T.StringType()),
                                                T.StructField("mask_start", T.LongType()),
@@ -107,13 +105,33 @@ def format_turns(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
     return src.mapInArrow(run, schema)
 
 
-def read_back(formatted: DataFrame, conv: str = "conv_id") -> DataFrame:
+def read_back(formatted: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role",
+              text: str = "text") -> DataFrame:
     """Parse the rendered turns of ``format_turns`` again and digest each conversation.
 
-    The text under the loss mask is cut from the rendered output by the mask's
-    positions.  Streams over the rows of a partition; only running hashes are held.
+    Turns are parsed, and the text under the loss mask is cut from the rendered output by
+    the mask's positions, where the rows lie.  Only what the digests need is shuffled
+    and sorted by (conversation, turn, role, text), since a running digest needs
+    its conversation's turns in order; it streams over them and holds running hashes only.
     """
-    src = formatted.select(F.col(f"`{conv}`").alias("conv_id"), "formatted", "mask_start", "mask_end")
+    parsed = T.StructType([formatted.schema[conv], *[T.StructField(n, formatted.schema[c].dataType) for n, c in
+                                                     (("o1", turn), ("o2", role), ("o3", text))],
+                           T.StructField("turns", T.StringType()), T.StructField("loss", T.StringType()), T.StructField("size", T.LongType())])
+    order = [F.col(f"`{c}`") for c in (conv, turn, role, text)]
+    parts = formatted.select(*order, "formatted", "mask_start", "mask_end")
+
+    def parse_turns(batches):
+        for batch in batches:
+            turns, loss, size = [], [], []
+            for rendered, a, b in zip(*(batch.column(i).to_pylist() for i in (4, 5, 6))):
+                turns.append("".join(f"{r}\n{t}\n" for r, t, _, _ in parse(rendered)))
+                loss.append(None if a is None else unescape(rendered[a:b]))
+                size.append(len(rendered))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(turns, pa.string()), pa.array(loss, pa.string()),
+                                              pa.array(size, pa.int64())], names=parsed.names)
+
+    src = (parts.mapInArrow(parse_turns, parsed).repartition(shuffle_partitions(formatted.sparkSession), F.col(f"`{conv}`"))
+           .sortWithinPartitions(F.col(f"`{conv}`"), "o1", "o2", "o3").select(F.col(f"`{conv}`").alias("conv_id"), "turns", "loss", "size"))
     schema = T.StructType([src.schema["conv_id"], T.StructField("n_turns", T.LongType()),
                            T.StructField("turns_sha256", T.StringType()), T.StructField("loss_chars", T.LongType()),
                            T.StructField("loss_sha256", T.StringType()), T.StructField("formatted_chars", T.LongType())])
@@ -128,19 +146,17 @@ def read_back(formatted: DataFrame, conv: str = "conv_id") -> DataFrame:
 
         for batch in batches:
             done = []
-            for conv_id, rendered, a, b in zip(*(c.to_pylist() for c in batch.columns)):
+            for conv_id, turn_, loss_, size in zip(*(c.to_pylist() for c in batch.columns)):
                 if state is None or conv_id != at:
                     if state is not None:
                         done.append(closed())
                     at, state = conv_id, [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-                for role, text, _, _ in parse(rendered):
-                    state[0] += 1
-                    state[1].update(f"{role}\n{text}\n".encode())
-                if a is not None:
-                    text = unescape(rendered[a:b])
-                    state[2] += len(text)
-                    state[3].update(text.encode())
-                state[4] += len(rendered)
+                state[0] += 1
+                state[1].update(turn_.encode())
+                if loss_ is not None:
+                    state[2] += len(loss_)
+                    state[3].update(loss_.encode())
+                state[4] += size
             yield pa.RecordBatch.from_pylist(done, schema=arrow_of(batch))
         if state is not None:
             yield pa.RecordBatch.from_pylist([closed()], schema=arrow_of(batch))

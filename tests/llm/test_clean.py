@@ -206,6 +206,15 @@ def test_chat_edge_rows(spark):
     assert chat.read_back(chat.format_turns(df.limit(0))).count() == 0
 
 
+def test_turns_are_rendered_and_parsed_without_a_shuffle(spark):
+    df = spark.createDataFrame([(1, i, "user", "hi") for i in range(40)], "conv_id long, turn long, role string, text string")
+    done = chat.format_turns(df.repartition(4))
+    assert "Exchange hashpartitioning" not in done._jdf.queryExecution().toString()
+    assert done.select(F.spark_partition_id().alias("p")).distinct().count() == 4
+    plan = chat.read_back(done)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 3 and plan.count("hashpartitioning") == 1
+
+
 def test_op4_reads_back_the_source(spark):
     conv = defaultdict(list)
     for r in small(spark, "conversations").collect():
