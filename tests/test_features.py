@@ -146,3 +146,13 @@ def test_evaluators(spark):
     assert abs(evaluate.multiclass_metric(df, "label", "prediction", "accuracy") - 0.75) < 1e-9
     reg = spark.createDataFrame([(1.0, 2.0), (3.0, 3.0)], "label double, prediction double")
     assert abs(evaluate.regression_metric(reg, "label", "prediction", "mae") - 0.5) < 1e-9
+
+
+def test_model_checks_fail_on_guesses(spark):
+    from tablework.plans import q_models
+
+    df = spark.createDataFrame([(float(i % 3 > 1), float(i)) for i in range(30)], "label double, x double")
+    assert not q_models._class_check(df.selectExpr("label", "0D AS prediction"), [0.0, 1.0]).first()["beats_guess"]
+    assert q_models._class_check(df.selectExpr("label", "label AS prediction"), [0.0, 1.0]).first()["beats_guess"]
+    assert not q_models._value_check(df.selectExpr("x AS label", "14.5D AS prediction")).first()["bounded"]
+    assert q_models._value_check(df.selectExpr("x AS label", "x + 1 AS prediction")).first()["bounded"]
