@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -29,6 +30,28 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def staged_apart(df: DataFrame, label: str) -> DataFrame:
+    """``staged`` by a session of its own, in which the shuffle files of a query go when it ends.
+
+    For a plan with large shuffles whose result is all that is read later; the settings of
+    ``df``'s session are copied and stay as they are.
+    """
+    spark = df.sparkSession
+    apart = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if name.startswith("spark.sql.") and spark.conf.isModifiable(name):
+            apart.conf.set(name, value)
+    apart.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+    view = f"apart_{uuid.uuid4().hex}"
+    path = scratch_path(spark, label)
+    df.createGlobalTempView(view)
+    try:
+        apart.table(f"global_temp.{view}").write.parquet(path)
+    finally:
+        spark.catalog.dropGlobalTempView(view)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def staged_rows(spark: SparkSession, rows: list, schema: str, label: str) -> DataFrame:
     """A few driver-side rows as a table."""
     return staged(spark.createDataFrame(rows, schema).coalesce(1), label)

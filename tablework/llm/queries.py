@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..tables import load
-from . import bpe, chat, cws, embed_dedup, packing, pii, pst, simhash, toxicity, urlrules
+from . import (bpe, chat, cws, embed_dedup, infill, packing, passages, pii, pst, simhash, toxicity, urlrules,
+               vector_codes)
 from .common import staged_rows
 
 QUERIES = {}
@@ -144,3 +145,94 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(load(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@_query
+def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.transform(load(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+ORACLE["op11_infill"] = """
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+         sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS d FROM documents),
+numbers AS (
+  SELECT *, len(u)::BIGINT AS n, ('0x' || substr(d, 1, 8))::BIGINT % (len(u) + 1) AS a,
+         ('0x' || substr(d, 9, 8))::BIGINT % (len(u) + 1) AS b,
+         ('0x' || substr(d, 17, 8))::BIGINT AS h3, ('0x' || substr(d, 25, 8))::BIGINT AS h4 FROM cut),
+formed AS (
+  SELECT *, array_to_string(u[1:least(a, b)], '') AS pre, array_to_string(u[least(a, b) + 1:greatest(a, b)], '') AS mid,
+         array_to_string(u[greatest(a, b) + 1:], '') AS suf,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM numbers)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END::BIGINT AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(mid) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM formed
+"""
+
+
+@_query
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, entries = vector_codes.compress(load(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(vector_codes.sha256(entries)).alias("codebooks_sha256"))
+
+
+def _codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Every round as a table: the parts' distances to all entries, the nearest, the moved entries."""
+    out = [f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS id, vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+cut AS MATERIALIZED (
+  SELECT id, p, v[p * (len(v) // {parts}) + 1:(p + 1) * (len(v) // {parts})] AS x FROM kept, range({parts}) r(p)),
+first AS (SELECT id, row_number() OVER (ORDER BY vec_id, v) - 1 AS e FROM kept QUALIFY e < {entries}),
+book0 AS MATERIALIZED (SELECT p, e, x AS y FROM cut JOIN first USING (id))"""]
+    for i in range(rounds + 1):
+        out.append(f"""
+near{i} AS MATERIALIZED (
+  SELECT id, p, any_value(x) AS x, min(struct_pack(d := list_sum(list_transform(list_zip(x, y), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, e := e)) AS best
+  FROM cut JOIN book{i} USING (p) GROUP BY id, p)""")
+        if i < rounds:
+            out.append(f"""
+mean{i} AS (
+  SELECT p, e, list(m ORDER BY j) AS y FROM (
+    SELECT p, best.e AS e, j, floor(sum(x[j]) / count(*))::BIGINT AS m
+    FROM near{i}, (SELECT unnest(range(1, (SELECT max(len(x)) FROM cut) + 1)) AS j) GROUP BY p, best.e, j) GROUP BY p, e),
+book{i + 1} AS MATERIALIZED (SELECT p, e, coalesce(mean{i}.y, book{i}.y) AS y FROM book{i} LEFT JOIN mean{i} USING (p, e))""")
+    return ",".join(out) + f""",
+done AS (SELECT id, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, sum(best.d)::BIGINT AS error FROM near{rounds} GROUP BY id)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(y, ','), ',' ORDER BY p, e)) FROM book{rounds}) AS codebooks_sha256
+FROM done JOIN kept USING (id)
+"""
+
+
+ORACLE["op12_vector_codes"] = _codes_sql()
+
+
+@_query
+def op13_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = passages.remove_repeats(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLE["op13_passages"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+word AS (SELECT id, doc_id, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM docs),
+win AS (
+  SELECT id, doc_id, i, md5(array_to_string(d.w[i:i + 49], ' ')) AS h
+  FROM docs d, LATERAL (SELECT unnest(range(1, len(d.w) - 48)) AS i)),
+least AS (SELECT h, min(doc_id) AS low FROM win GROUP BY h),
+hit AS (SELECT id, i FROM win JOIN least USING (h) WHERE low < doc_id),
+marked AS (
+  SELECT word.id, word.i, word.w, count(hit.i) OVER (PARTITION BY word.id ORDER BY word.i ROWS 49 PRECEDING) > 0 AS gone
+  FROM word LEFT JOIN hit ON word.id = hit.id AND word.i = hit.i),
+done AS (
+  SELECT id, count(*) FILTER (gone) AS n_removed, string_agg(w, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM marked GROUP BY id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM docs LEFT JOIN done USING (id)
+"""
