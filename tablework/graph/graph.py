@@ -11,7 +11,6 @@ every few rounds.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 from functools import reduce
 
@@ -19,11 +18,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from . import motif
 
 CHECKPOINT_EVERY = 4
 
-_TERM = re.compile(r"^\s*(!?)\s*\((\w*)\)\s*-\s*\[(\w*)\]\s*->\s*\((\w*)\)\s*$")
-
 
 def _materialize(df: DataFrame) -> DataFrame:
     """Write an algorithm's input once (reliable checkpoint) so that rounds
@@ -84,55 +82,15 @@ class Graph:
         return Graph(self.vertices.join(ends.distinct(), "id", "left_semi"), self.edges)
 
     # --- motifs (G05-G08, G10) -------------------------------------------------------
-    def find(self, pattern: str) -> DataFrame:
+    def find(self, pattern: str, where: dict[str, str] | None = None, use: dict[str, list[str]] | None = None) -> DataFrame:
         """Motif search, e.g. ``"(x)-[p]->(y); !(y)-[]->(x)"``.
 
         Named vertices/edges become struct columns; ``()``/``[]`` are
         anonymous; a term prefixed with ``!`` must not match (anti join).
+        ``where`` filters names before any join, ``use`` names the
+        attributes wanted of each (all, if not given); see ``motif.find``.
         """
-        terms = [t for t in pattern.split(";") if t.strip()]
-        vcols = self.vertices.columns
-        ecols = self.edges.columns
-        df: DataFrame | None = None
-        bound: set[str] = set()
-        hidden: list[str] = []
-        for i, term in enumerate(terms):
-            m = _TERM.match(term)
-            if not m:
-                raise ValueError(f"bad motif term {term!r}")
-            neg, a, e, b = m.groups()
-            if neg:
-                if not (a in bound and b in bound):
-                    raise ValueError("negated terms need bound end points")
-                ed = self.edges.select(F.col("src").alias("_ns"), F.col("dst").alias("_nd"))
-                df = df.join(ed, (F.col(f"{a}.id") == ed._ns) & (F.col(f"{b}.id") == ed._nd), "left_anti")
-                continue
-            a = a or f"_va{i}"
-            b = b or f"_vb{i}"
-            e = e or f"_e{i}"
-            hidden += [x for x in (a, b, e) if x.startswith("_")]
-            es = self.edges.select(F.struct(*ecols).alias(e))
-            if df is None:
-                df = es
-            else:
-                conds = []
-                if a in bound:
-                    conds.append(F.col(f"{a}.id") == F.col(f"{e}.src"))
-                if b in bound:
-                    conds.append(F.col(f"{b}.id") == F.col(f"{e}.dst"))
-                if conds:
-                    df = df.join(es, reduce(lambda x, y: x & y, conds))
-                else:
-                    raise ValueError("motif terms must be connected")
-            for name, end in ((a, "src"), (b, "dst")):
-                if name not in bound:
-                    vs = self.vertices.select(F.struct(*vcols).alias(name))
-                    df = df.join(vs, F.col(f"{name}.id") == F.col(f"{e}.{end}"))
-                    bound.add(name)
-            if a == b:
-                df = df.filter(F.col(f"{e}.src") == F.col(f"{e}.dst"))
-            bound.add(e)
-        return df.drop(*[h for h in dict.fromkeys(hidden) if h in df.columns])
+        return motif.find(self, pattern, where, use)
 
     # --- traversal (G11, G17) ----------------------------------------------------------
     def bfs(self, from_expr: str | Column, to_expr: str | Column, edge_filter: str | Column | None = None,

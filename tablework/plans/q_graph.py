@@ -46,7 +46,7 @@ def graph_attr(spark, sf):
 @query("motif_mutual", _with("""
 SELECT e.src AS a_id, e.dst AS b_id FROM edges e JOIN edges e2 ON e.src = e2.dst AND e.dst = e2.src"""))
 def motif_mutual(spark, sf):
-    m = order_graph(spark, sf).find("(a)-[e]->(b); (b)-[e2]->(a)")
+    m = order_graph(spark, sf).find("(a)-[e]->(b); (b)-[e2]->(a)", use={})
     return m.select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id"))
 
 
@@ -54,7 +54,7 @@ def motif_mutual(spark, sf):
 SELECT e1.src AS a_id, e1.dst AS b_id, e2.dst AS c_id
 FROM edges e1 JOIN edges e2 ON e1.dst = e2.src WHERE e1.src <> e2.dst"""))
 def motif_two_hop(spark, sf):
-    m = order_graph(spark, sf).find("(a)-[]->(b); (b)-[]->(c)").filter("a.id != c.id")
+    m = order_graph(spark, sf).find("(a)-[]->(b); (b)-[]->(c)", use={}).filter("a.id != c.id")
     return m.select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id"), F.col("c.id").alias("c_id"))
 
 
@@ -62,7 +62,7 @@ def motif_two_hop(spark, sf):
 SELECT e.src AS a_id, e.dst AS b_id FROM edges e
 WHERE NOT EXISTS (SELECT 1 FROM edges r WHERE r.src = e.dst AND r.dst = e.src)"""))
 def motif_no_return(spark, sf):
-    m = order_graph(spark, sf).find("(a)-[]->(b); !(b)-[]->(a)")
+    m = order_graph(spark, sf).find("(a)-[]->(b); !(b)-[]->(a)", use={})
     return m.select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id"))
 
 
@@ -73,18 +73,40 @@ WHERE (CASE WHEN ab.relationship = 'friend' THEN 1 ELSE 0 END)
     + (CASE WHEN bc.relationship = 'friend' THEN 1 ELSE 0 END)
     + (CASE WHEN cd.relationship = 'friend' THEN 1 ELSE 0 END) >= 2"""))
 def motif_chain_state(spark, sf):
-    m = order_graph(spark, sf).find("(a)-[ab]->(b); (b)-[bc]->(c); (c)-[cd]->(d)")
+    m = order_graph(spark, sf).find("(a)-[ab]->(b); (b)-[bc]->(c); (c)-[cd]->(d)",
+                                   use={e: ["relationship"] for e in ("ab", "bc", "cd")})
     friends = fold_conditions([F.col(f"{e}.relationship") == "friend" for e in ("ab", "bc", "cd")], "_nf")
     return m.withColumn("_nf", friends).filter("_nf >= 2").select(
         F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id"), F.col("c.id").alias("c_id"),
         F.col("d.id").alias("d_id"))
 
 
+@query("motif_triangle", _with("""
+SELECT ab.src AS a_id, bc.src AS b_id, ca.src AS c_id, ab.weight + bc.weight + ca.weight AS weight
+FROM edges ab JOIN edges bc ON ab.dst = bc.src JOIN edges ca ON ca.src = bc.dst AND ca.dst = ab.src"""))
+def motif_triangle(spark, sf):
+    m = order_graph(spark, sf).find("(a)-[ab]->(b); (b)-[bc]->(c); (c)-[ca]->(a)", use={e: ["weight"] for e in ("ab", "bc", "ca")})
+    return m.select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id"), F.col("c.id").alias("c_id"),
+                    (F.col("ab.weight") + F.col("bc.weight") + F.col("ca.weight")).alias("weight"))
+
+
+@query("motif_filtered_path", _with("""
+SELECT a.id AS a_id, e3.dst AS d_id, d.name AS d_name, count(*) AS ways
+FROM vertices a JOIN edges e1 ON a.id = e1.src JOIN edges e2 ON e1.dst = e2.src JOIN edges e3 ON e2.dst = e3.src
+JOIN vertices d ON d.id = e3.dst
+WHERE a.orders >= 18 AND e2.relationship = 'friend' AND d.region = 2 GROUP BY 1, 2, 3"""))
+def motif_filtered_path(spark, sf):
+    m = order_graph(spark, sf).find("(b)-[e]->(c); (a)-[]->(b); (c)-[]->(d)",
+                                    where={"a": "orders >= 18", "e": "relationship = 'friend'", "d": "region = 2"}, use={"d": ["name"]})
+    return m.groupBy(F.col("a.id").alias("a_id"), F.col("d.id").alias("d_id"), F.col("d.name").alias("d_name")).agg(
+        F.count(F.lit(1)).alias("ways"))
+
+
 @query("motif_younger", _with("""
 SELECT e.src AS a_id, e.dst AS b_id FROM edges e JOIN vertices a ON a.id = e.src JOIN vertices b ON b.id = e.dst
 WHERE a.orders < b.orders"""))
 def motif_younger(spark, sf):
-    m = order_graph(spark, sf).find("(a)-[e]->(b)").filter("a.orders < b.orders")
+    m = order_graph(spark, sf).find("(a)-[e]->(b)", use={"a": ["orders"], "b": ["orders"]}).filter("a.orders < b.orders")
     return m.select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id"))
 
 

@@ -48,6 +48,77 @@ def test_motifs_match_brute_force(g):
     assert chain.filter(days >= 2).count() == len(want)
 
 
+def test_cyclic_and_filtered_motifs_match_brute_force(spark):
+    """A hub with many spokes each way, loops, parallel edges and an edge to a vertex that is not there."""
+    es = [(0, i, i % 3) for i in range(1, 30)] + [(i, 0, i % 2) for i in range(1, 25)]
+    es += [(i, i % 7 + 1, 1) for i in range(3, 20)] + [(2, 5, 0), (2, 5, 1), (5, 5, 2), (5, 99, 1)]
+    v = spark.createDataFrame([(i, i * 10) for i in range(40)], "id long, age long")
+    g = Graph(v, spark.createDataFrame(es, "src long, dst long, kind long"))
+    es = [e for e in es if e[1] != 99]
+
+    def matches(n, ends, keep=lambda *e: True):
+        """All choices of n edges, by nested loops; ``ends`` has the pattern's vertex names."""
+        out = []
+
+        def step(i, names, chosen):
+            if i == n:
+                if keep(*chosen):
+                    out.append(tuple(names[x] for x in sorted(names)) + tuple(e[2] for e in chosen))
+                return
+            for e in es:
+                a, b = ends[i]
+                new = dict(names)
+                if new.setdefault(a, e[0]) == e[0] and new.setdefault(b, e[1]) == e[1]:
+                    step(i + 1, new, [*chosen, e])
+
+        step(0, {}, [])
+        return sorted(out)
+
+    for pattern, ends in (("(a)-[p]->(b); (b)-[q]->(c); (c)-[r]->(a)", ["ab", "bc", "ca"]),
+                          ("(a)-[p]->(b); (b)-[q]->(c); (a)-[r]->(c)", ["ab", "bc", "ac"]),
+                          ("(a)-[p]->(b); (b)-[q]->(b); (b)-[r]->(c)", ["ab", "bb", "bc"])):
+        m = g.find(pattern, use={e: ["kind"] for e in "pqr"})
+        assert rows(m.select("a.id", "b.id", "c.id", "p.kind", "q.kind", "r.kind")) == matches(3, ends)
+    square = g.find("(a)-[p]->(b); (b)-[q]->(c); (c)-[r]->(d); (d)-[s]->(a)", where={"a": "age between 10 and 60", "q": "kind = 1"})
+    want = matches(4, ["ab", "bc", "cd", "da"], lambda p, q, r, s: 1 <= p[0] <= 6 and q[2] == 1)
+    assert rows(square.select("a.id", "b.id", "c.id", "d.id", "p.kind", "q.kind", "r.kind", "s.kind")) == want
+    assert square.columns == ["a", "p", "b", "q", "c", "r", "d", "s"] and square.select("d.age").count() == len(want)
+    loop = g.find("(a)-[p]->(a)")
+    assert rows(loop.select("a.id", "p.src", "p.kind")) == [(5, 5, 2)]
+    for bad in ("(a)-[p]->(b); (c)-[q]->(d)", "(a)-[p]->(b); (b)-[p]->(c)", "(a)-[]->(b); !(b)-[]->(c)", "(a)->(b)"):
+        with pytest.raises(ValueError):
+            g.find(bad)
+    with pytest.raises(ValueError):
+        g.find("(a)-[]->(b)", where={"z": "id = 1"})
+
+
+def test_reduction_and_closing_keep_tables_small(spark):
+    """A hub of 300 spokes each way has 90,000 wedges, but one triangle; no join may come near the wedges."""
+    es = [(0, i) for i in range(1, 301)] + [(i, 0) for i in range(301, 601)] + [(1, 301)]
+    g = Graph(spark.range(601), spark.createDataFrame(es, "src long, dst long"))
+    m = g.find("(a)-[]->(b); (b)-[]->(c); (c)-[]->(a)")
+    assert sorted(r["a"]["id"] for r in m.collect()) == [0, 1, 301]
+    seen = joined_rows(m._jdf.queryExecution().executedPlan())
+    assert seen and max(seen) < 2000
+
+
+def joined_rows(plan) -> list[int]:
+    """The row counts of all joins of a plan that has run."""
+    out, todo = [], [plan]
+    while todo:
+        p = todo.pop()
+        name = p.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(p.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            todo.append(p.plan())
+        if "Join" in name and p.metrics().contains("numOutputRows"):
+            out.append(p.metrics().apply("numOutputRows").value())
+        kids = p.children()
+        todo += [kids.apply(i) for i in range(kids.size())]
+    return out
+
+
 def test_subgraphs(g):
     s = g.filter_vertices("height < 500").filter_edges("kind = 'day'").drop_isolated_vertices()
     assert edges(s) == {(1, 2), (2, 1), (1, 4), (4, 1)}
