@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions.common import r, ts_str
 from ..operators import rows
+from ..session import scratch_path
+from ..sources import cells
 from ..tables import load
 from .registry import query
 
@@ -321,5 +323,40 @@ def wide_to_cells(spark, sf):
 SELECT CAST(c_custkey AS VARCHAR) AS row, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
        c_mktsegment FROM customer""")
 def cells_to_wide(spark, sf):
-    cells = rows.wide_to_cells(load(spark, sf, "customer"), "c_custkey", CELL_COLUMNS)
-    return rows.cells_to_wide(cells, "row", "column", "value", CELL_COLUMNS)
+    wide = rows.wide_to_cells(load(spark, sf, "customer"), "c_custkey", CELL_COLUMNS)
+    return rows.cells_to_wide(wide, "row", "column", "value", CELL_COLUMNS)
+
+
+def _stored(spark, sf):
+    """A store with the cells of all customers."""
+    p = scratch_path(spark, "cell-store")
+    family = F.when(F.col("column") == "c_nationkey", "place").otherwise("info")
+    cells.put(rows.wide_to_cells(load(spark, sf, "customer"), "c_custkey", CELL_COLUMNS).withColumn("family", family), p)
+    return p
+
+
+@query("cell_store_wide", """
+SELECT CAST(c_custkey AS VARCHAR) AS row, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment FROM customer""")
+def cell_store_wide(spark, sf):
+    return rows.cells_to_wide(cells.scan(spark, _stored(spark, sf)), "row", "column", "value", CELL_COLUMNS)
+
+
+@query("cell_store_scan", """
+SELECT CAST(c_custkey AS VARCHAR) AS row, 'info' AS family, 'c_name' AS "column", c_name AS value FROM customer
+WHERE CAST(c_custkey AS VARCHAR) >= '12' AND CAST(c_custkey AS VARCHAR) < '3'
+UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'info', 'c_mktsegment', c_mktsegment FROM customer
+WHERE CAST(c_custkey AS VARCHAR) >= '12' AND CAST(c_custkey AS VARCHAR) < '3'""")
+def cell_store_scan(spark, sf):
+    return cells.scan(spark, _stored(spark, sf), "12", "3", ["info"]).drop("version")
+
+
+@query("cell_store_latest", """
+SELECT CAST(c_custkey AS VARCHAR) AS row, CASE WHEN n IS NULL THEN c_mktsegment ELSE 'orders ' || n END AS segment FROM customer
+LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) ON o_custkey = c_custkey""")
+def cell_store_latest(spark, sf):
+    """Customers with orders get a newer version of one cell."""
+    p = _stored(spark, sf)
+    placed = load(spark, sf, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+    cells.put(placed.select(F.col("o_custkey").alias("row"), F.lit("info").alias("family"), F.lit("c_mktsegment").alias("column"),
+                            F.concat(F.lit("orders "), F.col("n")).alias("value")), p)
+    return cells.latest(cells.scan(spark, p)).filter("column = 'c_mktsegment'").select("row", F.col("value").alias("segment"))

@@ -100,6 +100,20 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(p)
 
 
+def side_session(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    """Another session of the same application with the SQL settings of ``spark`` and some of its own.
+
+    ``spark`` itself and what runs in it are not touched.
+    """
+    side = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if name.startswith("spark.sql.") and spark.conf.isModifiable(name):
+            side.conf.set(name, value)
+    for name, value in settings.items():
+        side.conf.set(name, value)
+    return side
+
+
 def clear_scratch(spark: SparkSession) -> int:
     """Delete what ``scratch_path`` handed out in this application; returns the number of paths.
 

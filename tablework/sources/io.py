@@ -114,32 +114,6 @@ def text_lines(spark: SparkSession, path: str, whole_text: bool = False) -> Data
     return r.load(path)
 
 
-def hadoop_file(spark: SparkSession, path: str, input_format: str, key_class: str, value_class: str,
-                conf: dict | None = None, key_converter: str | None = None,
-                value_converter: str | None = None) -> DataFrame:
-    """Any Hadoop ``InputFormat`` as a ``(key, value)`` string DataFrame.
-
-    This is the one RDD entry point: an InputFormat is an RDD-level API.
-    ``key_converter``/``value_converter`` name JVM classes that turn writables
-    into plain values; the rows get an explicit schema, so no job infers it.
-    """
-    rdd = spark.sparkContext.newAPIHadoopFile(path, input_format, key_class, value_class, keyConverter=key_converter,
-                                              valueConverter=value_converter, conf=conf)
-    raw = spark.createDataFrame(rdd, _raw_schema(key_class, value_class))
-    return raw.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
-
-
-#: SQL types of the writables that Spark converts by itself.
-_WRITABLES = {"Text": "string", "LongWritable": "long", "IntWritable": "int", "VIntWritable": "int",
-              "DoubleWritable": "double", "FloatWritable": "float", "BooleanWritable": "boolean",
-              "BytesWritable": "binary", "NullWritable": "string"}
-
-
-def _raw_schema(key_class: str, value_class: str) -> str:
-    key, value = (_WRITABLES.get(c.rsplit(".", 1)[-1], "string") for c in (key_class, value_class))
-    return f"key {key}, value {value}"
-
-
 def bounded_pandas(df: DataFrame, n: int):
     """``toPandas`` of a DataFrame with at most ``n`` rows; more rows raise."""
     got = df.limit(n + 1).toPandas()

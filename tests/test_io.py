@@ -1,10 +1,11 @@
 import os
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tablework.session import scratch_path
-from tablework.sources import catalog, io, jdbc
+from tablework.sources import catalog, cells, io, jdbc
 
 from .conftest import SF_SMALL, rows
 
@@ -86,12 +87,67 @@ def test_jdbc_roundtrip(spark):
     assert rows(jdbc.read(spark, url, "tw_kv", props)) == [(0, "4"), (1, "4"), (2, "4")]
 
 
-def test_hadoop_input_format(spark, tmp_path):
-    p = tmp_path / "in.txt"
-    p.write_text("x\ny\n")
-    df = io.hadoop_file(spark, str(p), "org.apache.hadoop.mapreduce.lib.input.TextInputFormat",
-                        "org.apache.hadoop.io.LongWritable", "org.apache.hadoop.io.Text")
-    assert sorted(r["value"] for r in df.collect()) == ["x", "y"]
+CELL = "row string, family string, column string, value string"
+
+
+def under(path):
+    """Files of a store."""
+    root = path.replace("file:", "")
+    return {os.path.relpath(os.path.join(d, f), root) for d, _, names in os.walk(root) for f in names}
+
+
+def test_cell_store_versions_and_scans(spark):
+    p = scratch_path(spark, "store")
+    data = [(f"r{i:03d}", f, c, f"{i}{c}") for i in range(200) for f, c in (("x", "a"), ("x", "b"), ("y", "a"))]
+    cells.put(spark.createDataFrame(data, CELL).repartition(3), p)
+    assert rows(cells.scan(spark, p).drop("version")) == sorted(data)
+    some = cells.scan(spark, p, "r010", "r020", ["y"])
+    assert rows(some, "row") == [(f"r{i:03d}",) for i in range(10, 20)]
+    cells.put(spark.createDataFrame([("r011", "y", "a", "new"), ("zz", "y", "a", None)], CELL), p)
+    assert cells.scan(spark, p).count() == 602
+    now = {(r["row"], r["family"], r["column"]): r["value"] for r in cells.latest(cells.scan(spark, p)).collect()}
+    assert len(now) == 601 and now["r011", "y", "a"] == "new" and now["zz", "y", "a"] is None and now["r012", "y", "a"] == "12a"
+    cells.put(spark.createDataFrame(data[:3], CELL), p, mode="overwrite")
+    assert rows(cells.scan(spark, p).drop("version")) == sorted(data[:3])
+    empty = scratch_path(spark, "store")
+    cells.put(spark.createDataFrame([], CELL), empty)
+    assert cells.scan(spark, empty).count() == 0 and cells.scan(spark, empty + "-none").count() == 0
+
+
+def test_cell_store_pushes_filters(spark):
+    p = scratch_path(spark, "store")
+    cells.put(spark.createDataFrame([(f"r{i:03d}", "xyz"[i % 3], "a", str(i)) for i in range(300)], CELL), p)
+    df = cells.scan(spark, p).filter("row >= 'r100' and row < 'r150' and family in ('x', 'y') and value != '102'")
+    want = [(f"r{i:03d}",) for i in range(100, 150) if i % 3 < 2 and i != 102]
+    assert rows(df, "row") == want
+    assert "row >= " not in df._jdf.queryExecution().optimizedPlan().toString().lower().replace("`", "")
+    assert rows(cells.scan(spark, p).filter("row = 'r007' or row like 'r29%'"), "row") == [("r007",)] + [(f"r29{i}",) for i in range(10)]
+    assert rows(cells.scan(spark, p).filter("row like 'r29%'"), "row") == [(f"r29{i}",) for i in range(10)]
+    reader = cells.CellReader({"path": p, "from_row": "r290", "families": '["x"]'})
+    assert {f.family for f in reader.partitions()} == {"x"} and len(reader.partitions()) < len(cells.CellReader({"path": p}).partitions()) / 2
+
+
+def test_an_aborted_write_leaves_nothing(spark):
+    p = scratch_path(spark, "store")
+    cells.put(spark.createDataFrame([("a", "x", "c", "1")], CELL), p)
+    before = under(p)
+    bad = spark.range(4000).select(F.col("id").cast("string").alias("row"), F.lit("x").alias("family"), F.lit("c").alias("column"),
+                                   F.when(F.col("id") == 3999, F.raise_error(F.lit("broken"))).otherwise(F.lit("v")).alias("value"))
+    with pytest.raises(Exception, match="broken"):
+        cells.put(bad, p)
+    with pytest.raises(Exception, match="without a family"):
+        cells.put(spark.createDataFrame([("a", None, "c", "1")], CELL), p)
+    assert under(p) == before and rows(cells.scan(spark, p).drop("version")) == [("a", "x", "c", "1")]
+    # a task that fails after it has written files takes them with it
+    writer = cells.CellWriter({"path": p}, overwrite=False)
+
+    def batches():
+        yield pa.RecordBatch.from_pylist([{"row": "b", "family": "x", "column": "c", "value": "2"}])
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        writer.write(batches())
+    assert under(p) == before
 
 
 def test_avro_optional(spark):
