@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.common import r
 from ..operators import text
 from ..session import scratch_path
-from ..streaming import state, streams
+from ..streaming import panes, state, streams
 from ..tables import load
 from .registry import query
 
@@ -60,7 +60,7 @@ def stream_mod_count(spark, sf):
     d = streams.split_to_files(load(spark, sf, "orders").select("o_orderkey"), "o_orderkey", 5)
     s = streams.file_stream(spark, d, "parquet", spark.read.parquet(d).schema, max_files_per_trigger=1)
     counts = s.groupBy(F.pmod("o_orderkey", F.lit(10)).cast("int").alias("m")).count()
-    return streams.drain(counts, "complete")
+    return streams.drain(counts, "update", keys=["m"])
 
 
 @query("stream_stateless", """
@@ -136,17 +136,17 @@ _HOURLY = "strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H:%M:%S')"
 @query("stream_count_by_window", f"SELECT {_HOURLY} AS window_start, count(*) AS count FROM events GROUP BY 1")
 def stream_count_by_window(spark, sf):
     ev = _events_stream(spark, sf)
-    agg = streams.sliding_agg(ev, "ts", [], F.count(F.lit(1)).alias("count"), "1 hour")
-    return streams.drain(agg.select(streams.window_start().alias("window_start"), "count"), "complete")
+    agg = streams.sliding_agg(ev, "ts", [], F.count(F.lit(1)).alias("count"), "1 hour", watermark="1 hour")
+    return streams.drain(agg.select(streams.window_start().alias("window_start"), "count"), "update", keys=["window_start"])
 
 
 @query("stream_value_count_by_window", f"""
 SELECT {_HOURLY} AS window_start, event_type, count(*) AS count FROM events GROUP BY 1, 2""")
 def stream_value_count_by_window(spark, sf):
     ev = _events_stream(spark, sf)
-    agg = streams.sliding_agg(ev, "ts", ["event_type"], F.count(F.lit(1)).alias("count"), "1 hour")
+    agg = streams.sliding_agg(ev, "ts", ["event_type"], F.count(F.lit(1)).alias("count"), "1 hour", watermark="1 hour")
     return streams.drain(agg.select(streams.window_start().alias("window_start"), "event_type", "count"),
-                         "complete")
+                         "update", keys=["window_start", "event_type"])
 
 
 @query("stream_watermark_count", f"""
@@ -165,18 +165,19 @@ SELECT user_id AS district, strftime(time_bucket(INTERVAL 1 MINUTE, ts), '%Y-%m-
 FROM events WHERE event_type = 'purchase' GROUP BY 1, 2""")
 def stream_tumbling_purchases(spark, sf):
     """Purchases per district per 1-minute window over a JSON file source
-    with an explicit schema, read at most 2 files per micro-batch."""
+    with an explicit schema, read at most 2 files per micro-batch.  The
+    watermark bounds the state; only the result is sorted."""
     ev = load(spark, sf, "events").select("ts", F.col("event_type").alias("action"),
                                           F.col("user_id").alias("district"))
-    d = streams.split_to_files(ev, "ts", 6, fmt="json")
+    d = streams.in_order_files(ev, "ts", 6, fmt="json")
     schema = "ts timestamp_ntz, action string, district long"
     src = streams.file_stream(spark, d, "json", schema, max_files_per_trigger=2) \
         .withColumn("ts", F.col("ts").cast("timestamp"))
     buys = src.filter(F.col("action") == "purchase")
-    agg = streams.sliding_agg(buys, "ts", ["district"], F.count(F.lit(1)).alias("count"), "1 minute")
-    out = agg.select("district", streams.window_start().alias("window_start"), "count") \
-             .orderBy("window_start", "district")
-    return streams.drain(out, "complete")
+    agg = streams.sliding_agg(buys, "ts", ["district"], F.count(F.lit(1)).alias("count"), "1 minute", watermark="10 minutes")
+    out = streams.drain(agg.select("district", streams.window_start().alias("window_start"), "count"), "update",
+                        keys=["window_start", "district"])
+    return out.orderBy("window_start", "district")
 
 
 @query("stream_running_count", "SELECT user_id, count(*) AS count FROM events GROUP BY user_id")
@@ -226,6 +227,79 @@ def stream_late_drop(spark, sf):
     return streams.drain_arrivals(spark, arrivals, build, "update", ["window_start", "event_type"])
 
 
+def _arrivals(spark, sf, late: bool):
+    """Events in four arrivals by time; with ``late`` every tenth event comes two arrivals late."""
+    ev = load(spark, sf, "events")
+    micros = F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1_000_000.0)
+    lo, hi = ev.agg(F.min(micros), F.max(micros)).first()
+    behind = F.when(F.col("event_id") % 10 == 0, 2).otherwise(0) if late else F.lit(0)
+    arrival = F.least(F.lit(3), F.floor(4 * (micros - F.lit(lo)) / F.lit(hi - lo + 1)) + behind).cast("int")
+    rows_ = ev.withColumn("arrival", arrival).withColumn("ts", F.col("ts").cast("timestamp"))
+    return [rows_.filter(F.col("arrival") == k).drop("arrival", "props") for k in range(4)]
+
+
+_SIX_HOURS, _DAY = 6 * 3600, 24 * 3600
+
+
+@query("stream_window_inverse", f"""
+WITH b AS (SELECT min(epoch(ts)) AS lo, max(epoch(ts)) AS hi FROM events),
+a AS (SELECT user_id, epoch_ms(ts) AS ms, CAST(round(value * 100) AS BIGINT) AS cents, {_ARRIVAL} AS arrival FROM events, b),
+seen AS (SELECT k AS arrival, coalesce((SELECT max(ms) FROM a WHERE a.arrival < k) - 3600000, 0) AS mark FROM range(5) t(k)),
+pane AS (
+  SELECT user_id, ms // {_SIX_HOURS * 1000} * {_SIX_HOURS * 1000} AS p, count(*) AS n, sum(cents) AS total
+  FROM a JOIN seen USING (arrival) WHERE ms >= mark GROUP BY 1, 2),
+full_ AS (
+  SELECT user_id, p - k * {_SIX_HOURS * 1000} AS start, sum(n) AS n, sum(total) AS total FROM pane, range(4) t(k) GROUP BY 1, 2),
+zero AS (
+  SELECT user_id, start + {_SIX_HOURS * 1000} AS start, 0 AS n, 0 AS total FROM full_ f
+  WHERE NOT EXISTS (SELECT 1 FROM full_ g WHERE g.user_id = f.user_id AND g.start = f.start + {_SIX_HOURS * 1000}))
+SELECT user_id, strftime(make_timestamp(start * 1000), '%Y-%m-%d %H:%M:%S') AS window_start, CAST(n AS BIGINT) AS n, CAST(total AS BIGINT) AS total
+FROM (SELECT * FROM full_ UNION ALL SELECT * FROM zero) WHERE start + {_DAY * 1000} <= (SELECT mark FROM seen WHERE arrival = 4)""")
+def stream_window_inverse(spark, sf):
+    """Events and their value (cents) of each user in one-day windows every six hours, by adding the pane that
+    enters and taking away the one that leaves; four arrivals, some events too late.  A user's window
+    that has just become empty is a row with zeros."""
+    spark = state.state_session(spark)
+
+    def build(src):
+        w = panes.inverse_window(src, "user_id", "ts", F.round(F.col("value") * 100), _DAY, _SIX_HOURS, "1 hour")
+        return w.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
+
+    return streams.drain_arrivals(spark, _arrivals(spark, sf, late=True), build, "append")
+
+
+_JOINED = """
+WITH s AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'signup'),
+p AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'),
+m AS (SELECT s.event_id AS signup_id, p.event_id AS purchase_id FROM s JOIN p
+      ON s.user_id = p.user_id AND p.ts >= s.ts AND p.ts <= s.ts + INTERVAL 1 HOUR),
+mark AS (SELECT date_trunc('milliseconds', least((SELECT max(ts) FROM s), (SELECT max(ts) FROM p))) - INTERVAL 2 HOUR AS t)
+SELECT signup_id, purchase_id FROM m
+UNION ALL SELECT event_id, NULL FROM s, mark WHERE ts + INTERVAL 1 HOUR < t AND event_id NOT IN (SELECT signup_id FROM m)"""
+
+
+def _outer_join(spark, sf, how):
+    def build(src):
+        signups, buys = (src.filter(F.col("event_type") == t).select("event_id", "user_id", "ts") for t in ("signup", "purchase"))
+        j = streams.stream_join(signups, buys, "user_id", "ts", "ts", "1 HOUR", "2 hours", how)
+        return j.select(F.col("l.event_id").alias("signup_id"), F.col("r.event_id").alias("purchase_id"))
+
+    return streams.drain_arrivals(spark, _arrivals(spark, sf, late=False), build, "append")
+
+
+@query("stream_left_join", _JOINED)
+def stream_left_join(spark, sf):
+    """Signups with the user's purchases of the next hour, in four arrivals; a signup without one comes out when the
+    watermark has passed that hour."""
+    return _outer_join(spark, sf, "leftOuter")
+
+
+@query("stream_full_join", _JOINED + """
+UNION ALL SELECT NULL, event_id FROM p, mark WHERE ts < t AND event_id NOT IN (SELECT purchase_id FROM m)""")
+def stream_full_join(spark, sf):
+    return _outer_join(spark, sf, "fullOuter")
+
+
 @query("stream_filter_parquet", """
 SELECT word FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents) WHERE length(word) = 5""")
 def stream_filter_parquet(spark, sf):

@@ -65,6 +65,20 @@ def split_to_files(df: DataFrame, order_col: str, n: int, out: str | None = None
     return out
 
 
+def in_order_files(df: DataFrame, order_col: str, n: int, fmt: str = "parquet") -> str:
+    """``split_to_files``, but each range is written by a job of its own, one after another: a file
+    stream, which goes by modification time, then meets them in this order."""
+    from ..functions.common import literal_cuts
+
+    out = scratch_path(df.sparkSession, "stream-input")
+    cuts = [c[0] for c in literal_cuts(df, [order_col], n)]
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        part = df if low is None else df.filter(F.col(order_col) >= F.lit(low))
+        part = part if high is None else part.filter(F.col(order_col) < F.lit(high))
+        part.coalesce(1).write.format(fmt).mode("append").save(out)
+    return out
+
+
 def _batch_writer(out: str, fmt: str = "parquet"):
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").format(fmt).save(f"{out}/batch_id={batch_id}")
@@ -204,7 +218,12 @@ def decode_kafka(df: DataFrame) -> DataFrame:
 def stream_join(left: DataFrame, right: DataFrame, key: str, lts: str, rts: str, within: str,
                 watermark: str, how: str = "inner") -> DataFrame:
     """Time-bounded stream-stream join: ``right.rts`` within ``within`` after
-    ``left.lts`` on the same key.  Watermarks on both sides bound the state."""
+    ``left.lts`` on the same key.  Watermarks on both sides bound the state.
+
+    With ``how`` ``leftOuter`` or ``fullOuter`` a row without a partner comes out with nulls once the
+    watermark (the lesser of both sides') has passed the last time at which one could come: ``within``
+    after a left row, the row's own time for a right one.  Rows that still wait are in the state.
+    """
     lw = left.withWatermark(lts, watermark).alias("l")
     rw = right.withWatermark(rts, watermark).alias("r")
     cond = ((F.col(f"l.{key}") == F.col(f"r.{key}"))

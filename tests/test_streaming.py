@@ -1,10 +1,11 @@
 import os
+import random
 import time
 
 from pyspark.sql import functions as F
 
 from tablework.session import scratch_path
-from tablework.streaming import state, streams
+from tablework.streaming import panes, state, streams
 
 from .conftest import SF_SMALL, rows
 
@@ -74,6 +75,56 @@ def test_running_state_with_seed_and_restart(spark):
     assert rows(res2) == rows(res)
 
 
+def test_windows_by_inverse_match_brute_force_over_arrivals_and_restarts(spark):
+    """Random readings in five arrivals (each a restart on one checkpoint): sums of windows of 40 s every 10 s, zeros
+    where a meter falls silent, nothing behind the watermark, nothing of windows that are still open."""
+    rng = random.Random(6)
+    arrivals = [[(rng.choice(["gas", "water", None]), 1_900_000_000 + 200 * k + rng.choice([rng.randint(0, 190), rng.randint(-60, 190)]),
+                  rng.randint(-9, 9)) for _ in range(25)] for k in range(5)]
+    mark, kept = 0, []
+    for some in arrivals:
+        kept += [r for r in some if r[1] * 1000 >= mark]
+        mark = max([mark, *(r[1] * 1000 - 20_000 for r in some)])
+    want = []
+    for meter in {r[0] for r in kept}:
+        own = [r for r in kept if r[0] == meter]
+        before = 0
+        for start in range(1_899_999_900, 1_900_001_300, 10):
+            inside = [r for r in own if start <= r[1] < start + 40]
+            if (inside or before) and (start + 40) * 1000 <= mark:
+                want.append((meter, start, len(inside), sum(r[2] for r in inside)))
+            before = len(inside)
+    side = state.state_session(spark)
+    frames = [side.createDataFrame(some, "meter string, s long, v long").select("meter", F.timestamp_seconds("s").alias("ts"), "v") for some in arrivals]
+    got = streams.drain_arrivals(side, frames, lambda src: panes.inverse_window(src, "meter", "ts", F.col("v"), 40, 10, "20 seconds"), "append")
+    got = rows(got.select("meter", F.unix_seconds("window_start"), "n", "total"))
+    assert got == sorted(want, key=lambda r: (r[0] is None, r[0] or "", r[1:]))
+    assert any(r[2] == 0 for r in got) and len(kept) < 125
+
+
+def test_outer_stream_join_waits_for_the_watermark(spark):
+    """Calls and answers within 10 minutes, watermark 5 minutes, three arrivals: a call without an answer comes out once its
+    time is over, the last one is still waiting."""
+    def at(kind, key, minute):
+        return (kind, key, f"2031-03-05 {8 + minute // 60:02d}:{minute % 60:02d}:00")
+
+    arrivals = [[at("call", 1, 0), at("call", 2, 1), at("answer", 9, 2)], [at("answer", 1, 8), at("call", 3, 20), at("answer", 8, 30)],
+                [at("call", 4, 60), at("answer", 3, 58), at("answer", 4, 65), at("call", 5, 64)]]
+    frames = [spark.createDataFrame(a, "kind string, k long, ts string").withColumn("ts", F.to_timestamp("ts")) for a in arrivals]
+
+    def build(how):
+        def made(src):
+            calls, answers = (src.filter(F.col("kind") == x).select("k", "ts") for x in ("call", "answer"))
+            j = streams.stream_join(calls, answers, "k", "ts", "ts", "10 MINUTES", "5 minutes", how)
+            return j.select(F.col("l.k").alias("call"), F.col("r.k").alias("answer"))
+        return made
+
+    assert rows(streams.drain_arrivals(spark, frames, build("inner"), "append")) == [(1, 1), (4, 4)]
+    assert rows(streams.drain_arrivals(spark, frames, build("leftOuter"), "append")) == [(1, 1), (2, None), (3, None), (4, 4)]
+    assert rows(streams.drain_arrivals(spark, frames, build("fullOuter"), "append")) == [
+        (1, 1), (2, None), (3, None), (4, 4), (None, 3), (None, 8), (None, 9)]
+
+
 def test_state_that_ends_is_gone(spark):
     """An update function that returns None deletes the key, for later reads too."""
     def until_two(old, batch):
