@@ -7,13 +7,15 @@ from pyspark.ml import feature as mf
 from pyspark.sql import functions as F
 
 from ..functions.common import r
-from ..ml import evaluate, features as fx, models, recommend, tuning
+from ..ml import evaluate, features as fx, inner_product, models, recommend, ridge, tuning
 from ..operators import order, splits
 from ..session import stage
 from ..tables import load
 from .derived import RATINGS_SQL, doc_features, ratings
 from .registry import query
 
+_BUCKET = "((({k}) * 2654435761 + 12345) % 4294967296) % {n}"
+
 NUMERIC_DOC = ["n_spaces", "n_lines", "n_digits", "n_chars"]
 
 
@@ -310,6 +312,60 @@ def tune_best(spark, sf):
     return tuning.best(table, e.isLargerBetter()).drop("seconds")
 
 
+_RIDGE = ["l_quantity", "l_discount", "p_size"]
+_PENALTIES = [0.0, 10.0, 1000.0]
+
+
+def _ridge_sql() -> str:
+    """Ridge for each fold and penalty by Cramer's rule over centred sums."""
+    x = ["l_quantity", "l_discount", "CAST(p_size AS DOUBLE)"]
+    y = "l_extendedprice / 1000"
+    sums = [f"sum({a}) AS s{i}" for i, a in enumerate(x)] + [f"sum({y}) AS sy", f"sum({y} * {y}) AS yy", "count(*) AS n"]
+    sums += [f"sum({x[i]} * {x[j]}) AS x{i}{j}" for i in range(3) for j in range(i, 3)] + [f"sum({a} * {y}) AS xy{i}" for i, a in enumerate(x)]
+    names = [c.rsplit(" AS ", 1)[1] for c in sums]
+    rest = ", ".join(f"t.{c} - g.{c} AS {c}" for c in names)
+    held = ", ".join(f"g.{c} AS v_{c}" for c in names)
+    a = [[f"(x{min(i, j)}{max(i, j)} - s{i} * s{j} / n" + (" + penalty)" if i == j else ")") for j in range(3)] for i in range(3)]
+    b = [f"(xy{i} - s{i} * sy / n)" for i in range(3)]
+
+    def det(m):
+        return (f"({m[0][0]} * ({m[1][1]} * {m[2][2]} - {m[1][2]} * {m[2][1]}) - {m[0][1]} * ({m[1][0]} * {m[2][2]} - {m[1][2]} * {m[2][0]})"
+                f" + {m[0][2]} * ({m[1][0]} * {m[2][1]} - {m[1][1]} * {m[2][0]}))")
+
+    w = ", ".join(f"{det([[b[i] if j == k else a[i][j] for j in range(3)] for i in range(3)])} / {det(a)} AS w{k}" for k in range(3))
+    sse = ("v_yy - 2 * (c * v_sy + w0 * v_xy0 + w1 * v_xy1 + w2 * v_xy2) + c * c * v_n + 2 * c * (w0 * v_s0 + w1 * v_s1 + w2 * v_s2)"
+           " + w0 * w0 * v_x00 + w1 * w1 * v_x11 + w2 * w2 * v_x22 + 2 * (w0 * w1 * v_x01 + w0 * w2 * v_x02 + w1 * w2 * v_x12)")
+    return f"""
+WITH g AS (SELECT CAST({_BUCKET.format(k='l_orderkey', n=5)} AS INTEGER) AS fold, {', '.join(sums)}
+           FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1),
+t AS (SELECT {', '.join(f'sum({c}) AS {c}' for c in names)} FROM g),
+r AS (SELECT fold, penalty, {rest}, {held} FROM g, t, (SELECT unnest({_PENALTIES}) AS penalty)),
+w AS (SELECT *, {w} FROM r),
+c AS (SELECT *, (sy - w0 * s0 - w1 * s1 - w2 * s2) / n AS c FROM w),
+cv AS (SELECT fold, CAST(penalty AS DOUBLE) AS penalty, CAST(n AS BIGINT) AS n_train, round(c, 6) AS intercept, round(w0, 6) AS w_l_quantity,
+              round(w1, 6) AS w_l_discount, round(w2, 6) AS w_p_size, round(sqrt(({sse}) / v_n), 6) AS rmse FROM c)
+"""
+
+
+def _ridge_folds(spark, sf):
+    li = load(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_discount", "l_extendedprice")
+    rows = li.join(load(spark, sf, "part").select("p_partkey", "p_size"), F.col("l_partkey") == F.col("p_partkey"))
+    rows = rows.withColumn("fold", splits.hash_bucket("l_orderkey", 5)).withColumn("price", F.col("l_extendedprice") / 1000)
+    return ridge.cross_validate(rows, _RIDGE, "price", "fold", _PENALTIES)
+
+
+@query("tune_ridge_cv", _ridge_sql() + "SELECT * FROM cv")
+def tune_ridge_cv(spark, sf):
+    """Five folds and three penalties, solved from one scan's sums of products."""
+    return _ridge_folds(spark, sf)
+
+
+@query("tune_ridge_best", _ridge_sql() + """
+SELECT penalty, round(avg(rmse), 5) AS rmse FROM cv GROUP BY penalty ORDER BY avg(rmse), penalty DESC LIMIT 1""")
+def tune_ridge_best(spark, sf):
+    return ridge.best(_ridge_folds(spark, sf)).withColumn("rmse", F.round("rmse", 5))
+
+
 # --- recommendation --------------------------------------------------------------------
 
 def _ratings_split(spark, sf):
@@ -378,9 +434,6 @@ def als_tune(spark, sf):
 
 # --- invariants of fitted results, exact in SQL -----------------------------------------
 
-_BUCKET = "((({k}) * 2654435761 + 12345) % 4294967296) % {n}"
-
-
 def _holds(name: str, source: str, floor: str):
     """Register ``<name>_holds``: rows scored, rows outside the label set, and whether the fit reaches a floor."""
     sql = f"SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_odd, true AS {floor} FROM {source}"
@@ -494,6 +547,49 @@ def als_top_items_holds(spark, sf):
         .agg(F.count(F.lit(1)).cast("int").alias("n_items"))
 
 
+@query("als_top_all_holds", f"""
+WITH {RATINGS_SQL} SELECT count(DISTINCT "user") AS n_users, count(DISTINCT "user") * 5 AS n_rows, CAST(0 AS BIGINT) AS n_unsound,
+       true AS spared FROM ratings""")
+def als_top_all_holds(spark, sf):
+    """Five different items for every user, and not all products computed to find them."""
+    top, computed, pairs = _als_top_all(spark, sf)
+    per = top.groupBy("user").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("item").alias("d"))
+    return per.agg(F.count(F.lit(1)).alias("n_users"), F.sum("n").alias("n_rows"), F.count_if(F.col("d") != 5).alias("n_unsound")) \
+        .withColumn("spared", F.lit(computed < pairs))
+
+
+def _als_top_all(spark, sf):
+    rt, users, items = _ratings_split(spark, sf)
+    model = recommend.als(rank=5, max_iter=5).fit(rt)
+    people, things = (stage(f.withColumnRenamed("id", c), f"factors-{c}") for f, c in ((model.userFactors, "user"), (model.itemFactors, "item")))
+    top, computed = inner_product.top_products(people, things, 5, block=256)
+    return _named(top, users, items), computed, people.count() * things.count()
+
+
+@query("als_top_all")
+def als_top_all(spark, sf):
+    """The best five items of every user of a fitted model."""
+    return _als_top_all(spark, sf)[0].withColumn("score", r("score"))
+
+
+_MIX = ", ".join(f"CAST(sum(CASE WHEN l_returnflag = '{f}' THEN l_quantity ELSE 0 END) AS BIGINT) AS {f}" for f in "ANR")
+
+
+@query("top_products_all", f"""
+WITH u AS (SELECT o_custkey AS "user", {_MIX} FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1),
+i AS (SELECT l_partkey AS item, {_MIX} FROM lineitem GROUP BY 1),
+s AS (SELECT "user", item, CAST(u.A * i.A + u.N * i.N + u.R * i.R AS DOUBLE) AS score FROM u, i)
+SELECT "user", item, score FROM s QUALIFY row_number() OVER (PARTITION BY "user" ORDER BY score DESC, item) <= 5""")
+def top_products_all(spark, sf):
+    """For every customer the five parts whose quantities by return flag have the greatest product with the customer's own."""
+    li = load(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_returnflag", "l_quantity")
+    mix = F.array(*[F.sum(F.when(F.col("l_returnflag") == f, F.col("l_quantity")).otherwise(0.0)) for f in "ANR"]).alias("features")
+    o = load(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    people = li.join(o, li.l_orderkey == o.o_orderkey).groupBy(F.col("o_custkey").alias("user")).agg(mix)
+    things = li.groupBy(F.col("l_partkey").alias("item")).agg(mix)
+    return inner_product.top_products(people, things, 5, block=256)[0]
+
+
 @query("csc_layout", f"""
 WITH {RATINGS_SQL}, c AS (SELECT item, count(*) AS nnz FROM ratings GROUP BY item)
 SELECT item, nnz, coalesce(sum(nnz) OVER (ORDER BY item ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS indptr
