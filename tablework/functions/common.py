@@ -42,19 +42,3 @@ def literal_cuts(df: DataFrame, key: list[str], parts: int, per_part: int = 32,
     got = df.select(*key).dropna().sample(share, seed=seed).collect()
     keys = sorted(tuple(r) for r in got)
     return sorted({keys[len(keys) * i // parts] for i in range(1, parts)}) if keys else []
-
-
-def cut_rank(df: DataFrame, key: list[str], cuts: list[tuple]) -> Column:
-    """Number of ``cuts`` at or below each row's key tuple, found in two steps."""
-    if not cuts:
-        return F.lit(0)
-    fields = ", ".join(f"`_{i}`: {df.schema[c].dataType.simpleString()}" for i, c in enumerate(key))
-    row = F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(key)])
-
-    def literal(some: list[tuple]) -> Column:
-        return F.array(*[F.struct(*[F.lit(v) for v in cut]) for cut in some]).cast(f"array<struct<{fields}>>")
-
-    wide = max(1, round(len(cuts) ** 0.5))
-    coarse = F.size(F.filter(literal(cuts[::wide]), lambda c: c <= row))
-    base = F.greatest(coarse - 1, F.lit(0)) * wide
-    return base + F.size(F.filter(F.slice(literal(cuts), base + 1, wide), lambda c: c <= row))

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.common import col, r
-from ..session import stage
 
 
 def stats(df: DataFrame, c: str, population: bool = True, digits: int = 6) -> DataFrame:
@@ -88,7 +87,7 @@ def group_lists(df: DataFrame, keys: list[str], value: str, order: list[str] | N
 
     order = order or [value]
     cols = list(dict.fromkeys([*keys, *order, value]))
-    idx = stage(ordered_index(df.select(*cols), [*keys, *order], "_i"), "group-lists")
+    idx = ordered_index(df.select(*cols), [*keys, *order], "_i")  # staged
     start = idx.groupBy(*keys).agg(F.min("_i").alias("_s"))
     pos = idx.join(start, keys).withColumn("chunk", ((F.col("_i") - F.col("_s")) / chunk).cast("long"))
     return (pos.groupBy(*keys, "chunk")

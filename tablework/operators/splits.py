@@ -1,12 +1,11 @@
 """Row numbering and data splits.
 
 ``ordered_index`` gives every row its 0-based position in a total order
-without funnelling the data through one task: rows are dealt into ranges by
-literal cuts of the order key, numbered inside each range, and shifted by the
-row count of all earlier ranges (a table with one row per range, so its
-broadcast is bounded by the number of ranges).  The cuts are values, not a
-sampled partitioning, so counts and numbers agree however often and with
-whatever columns the plan is evaluated.
+without funnelling the data through one task: rows are sorted by range in one
+shuffle and staged with their number inside the range, then shifted by the row
+count of all earlier ranges (a table with one row per range, so its broadcast
+is bounded by the number of ranges).  Being written, the numbers agree however
+often and with whatever columns the plan is evaluated.
 """
 
 from __future__ import annotations
@@ -14,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.common import cut_rank, literal_cuts
 from ..session import stage
 
 
@@ -22,6 +20,20 @@ def _num_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def _ranged(df: DataFrame, order: list[str], partitions: int | None) -> tuple[DataFrame, DataFrame]:
+    """``df`` sorted by range and staged, with ``_range`` and the place ``_pos`` in it, and the rows of each range.
+
+    A task numbers the rows that it has sorted as it writes them; from then on the numbers are data.
+    """
+    n = partitions or _num_partitions(df)
+    placed = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+              .withColumn("_m", F.monotonically_increasing_id()))
+    # a row's number has its partition above the lower 33 bits and its place in it below
+    rows = stage(placed, "ranged").withColumn("_range", F.shiftright("_m", 33)) \
+        .withColumn("_pos", F.col("_m").bitwiseAND((1 << 33) - 1)).drop("_m")
+    return rows, rows.groupBy("_range").agg(F.count(F.lit(1)).alias("_cnt"))
+
+
 def ordered_index(df: DataFrame, order: list[str], out: str = "idx", partitions: int | None = None,
                   with_total: str | None = None) -> DataFrame:
     """Append ``out`` = 0-based rank of each row in ascending ``order`` (nulls first).
@@ -30,10 +42,7 @@ def ordered_index(df: DataFrame, order: list[str], out: str = "idx", partitions:
     deterministic.  With ``with_total`` the total row count is added too.
     All other columns of ``df`` are carried along.
     """
-    n = partitions or _num_partitions(df)
-    ranged = df.withColumn("_range", cut_rank(df, order, literal_cuts(df, order, n)))
-    local = ranged.withColumn("_pos", F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1)
-    counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_cnt"))
+    local, counts = _ranged(df, order, partitions)
     w = Window.orderBy("_range")  # one row for each range
     offsets = counts.select(
         "_range",
@@ -49,15 +58,14 @@ def ordered_index(df: DataFrame, order: list[str], out: str = "idx", partitions:
 
 def running_sum(df: DataFrame, key: str, value: str, out: str, partitions: int | None = None) -> DataFrame:
     """Append ``out`` = sum of ``value`` over all rows with a smaller ``key`` (unique), 0 for the first."""
-    n = partitions or _num_partitions(df)
-    ranged = df.withColumn("_range", cut_rank(df, [key], literal_cuts(df, [key], n)))
-    w = Window.partitionBy("_range").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    local = ranged.withColumn("_loc", F.coalesce(F.sum(value).over(w), F.lit(0)))
-    totals = ranged.groupBy("_range").agg(F.sum(value).alias("_t"))
+    rows, _ = _ranged(df, [key], partitions)
+    w = Window.partitionBy("_range").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
+    local = rows.withColumn("_loc", F.coalesce(F.sum(value).over(w), F.lit(0)))
+    totals = rows.groupBy("_range").agg(F.sum(value).alias("_t"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
     offsets = totals.select("_range", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off"))
     return (local.join(F.broadcast(offsets), "_range").withColumn(out, F.col("_off") + F.col("_loc"))
-            .drop("_range", "_loc", "_off"))
+            .drop("_range", "_loc", "_off", "_pos"))
 
 
 def random_split(df: DataFrame, weights: list[float], seed: int | None = None,
