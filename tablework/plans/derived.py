@@ -27,7 +27,17 @@ def doc_features(spark: SparkSession, sf: str) -> DataFrame:
         (F.length("text") - F.length(F.replace("text", F.lit(" "), F.lit("")))).cast("double").alias("n_spaces"),
         (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))).cast("double").alias("n_lines"),
         F.length(F.regexp_replace("text", "[^0-9]", "")).cast("double").alias("n_digits"),
-        F.col("n_chars").cast("double").alias("n_chars"))
+        F.col("n_chars").cast("double").alias("n_chars"), *doc_shares())
+
+
+#: Shares of a text's characters that tell good texts from bad ones.
+SHARES = {"upper_share": "[^A-Z]", "letter_share": "[^A-Za-z]", "sign_share": r"[\w\s.,!?]"}
+
+
+def doc_shares(text: str = "text") -> list:
+    """A column for each of ``SHARES``: what is left without the pattern, over the length."""
+    n = F.greatest(F.length(text), F.lit(1))
+    return [(F.length(F.regexp_replace(text, p, "")) / n).alias(c) for c, p in SHARES.items()]
 
 
 def rating_pairs(spark: SparkSession, sf: str) -> DataFrame:

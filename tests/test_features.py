@@ -5,6 +5,8 @@ from math import log
 from pyspark.ml import feature as mf
 from pyspark.ml.linalg import Vectors
 
+from pyspark.sql import functions as F
+
 from tablework.ml import evaluate, features as fx
 from tablework.plans import QUERIES
 
@@ -148,6 +150,22 @@ def test_evaluators(spark):
     assert abs(evaluate.regression_metric(reg, "label", "prediction", "mae") - 0.5) < 1e-9
 
 
+def test_registered_class_checks_fail_on_constant_predictions(spark, monkeypatch):
+    """Each registered check, on its real test rows, with the commonest label predicted everywhere."""
+    from tablework.plans import QUERIES, q_models
+
+    real = q_models.models.fit_predict
+
+    def constant(stages, train, test=None):
+        model, pred = real(stages, train, test)
+        most = pred.groupBy("label").count().orderBy("count", ascending=False).first()["label"]
+        return model, pred.withColumn("prediction", F.lit(most))
+
+    monkeypatch.setattr(q_models.models, "fit_predict", constant)
+    for name in ("ml_tree_binary", "ml_forest_binary", "ml_logistic", "ml_svm", "ml_pipeline", "ml_score_labels", "ml_tree_multi"):
+        assert not QUERIES[f"{name}_holds"](spark, SF_SMALL).first()["beats_guess"], name
+
+
 def test_model_checks_fail_on_guesses(spark):
     from tablework.plans import q_models
 
