@@ -18,6 +18,7 @@ partition's number; the same input splits give the same result after a retry.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from array import array
 from bisect import bisect_right, insort
@@ -29,24 +30,89 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Memory, coded_words, free_name, slices, strung
+from .common import Memory, free_name, slices, strung
 
-#: Words, and runs of letters or other signs, that a worker remembers.
-WORDS_KEPT, RUNS_KEPT = 200_000, 400_000
-#: Words of these characters are cut into the tokenizer's units here; all others are left to it whole.
-_PLAIN = re.compile(r"[!-&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
-_RUNS = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
-#: Bytes of text whose distinct words are looked up together.
+#: Runs of letters or other signs, and words left whole, that a worker remembers.
+RUNS_KEPT = 400_000
+#: Bytes of text whose distinct runs are looked up together.
 SLICE = 8 << 20
 
 
+def _table(*spans: tuple[int, int]) -> np.ndarray:
+    out = np.zeros(256, bool)
+    for a, b in spans:
+        out[a:b + 1] = True
+    return out
+
+
+_SPACE = _table((0x09, 0x0D), (0x20, 0x20))
+#: Bytes of words that are cut into runs here: ASCII signs but the apostrophe, and the letters of two bytes that begin with C3.
+_PLAIN = _table((0x21, 0x26), (0x28, 0x7E), (0x80, 0x96), (0x98, 0xB6), (0xB8, 0xBF), (0xC3, 0xC3))
+#: 0 for white space, 1 for bytes of letters, 2 for digits, 3 for other signs.
+_KIND = np.full(256, 3, np.uint8)
+_KIND[_SPACE] = 0
+_KIND[_table((0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))] = 1
+_KIND[0x30:0x3A] = 2
+
+
+def coded_runs(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """``coded_words`` for the units that the tokenizer works on: runs of letters, single digits and runs of other
+    signs, lower-cased.
+
+    A word with any other character, or with a part of a special token's marks, is one unit as it stands.
+    """
+    at = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int32)
+    data = texts.buffers()[2] if len(texts) else None
+    b = np.frombuffer(data, np.uint8)[at[0]:at[-1]] if data is not None and at[-1] > at[0] else np.zeros(0, np.uint8)
+    at = at - at[0]
+    first = at[:-1][at[:-1] < at[1:]]  # of texts that have bytes
+    kind = _KIND[b]
+    space = kind == 0
+    begins = np.empty(len(b), bool)
+    begins[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+    begins[first] = True
+    begins &= ~space
+    # upper case: A-Z, and the letters C3 80 to C3 9E; in either way 32 below their lower case
+    big = (b >= 0x41) & (b <= 0x5A)
+    big[1:] |= (b[:-1] == 0xC3) & (b[1:] >= 0x80) & (b[1:] <= 0x9E)
+    low = b + big.view(np.uint8) * np.uint8(32)
+    odd = ~(_PLAIN[b] | space)
+    pair = ((b[:-1] == 0x3C) & (b[1:] == 0x7C)) | ((b[:-1] == 0x7C) & (b[1:] == 0x3E))
+    odd[1:] |= pair
+    if odd.any():
+        word = ~space
+        word[1:] &= space[:-1]
+        word[first] = ~space[first]
+        starts = np.flatnonzero(word)
+        own = np.repeat(np.add.reduceat(odd, starts, dtype=np.int64) > 0, np.diff(np.append(starts, len(b))))
+        whole = np.zeros(len(b), bool)
+        whole[starts[0]:] = own
+        begins &= ~whole | word
+        low = np.where(whole, b, low)
+    keep = ~space
+    offsets = np.flatnonzero(begins[keep])
+    kept = low[keep]
+    units = pa.Array.from_buffers(pa.binary(), len(offsets), [None, pa.py_buffer(np.append(offsets, len(kept)).astype(np.int32)), pa.py_buffer(kept)])
+    coded = units.dictionary_encode()
+    return coded.indices.to_numpy(), np.searchsorted(np.flatnonzero(begins), at), coded.dictionary.to_pylist()
+
+
+#: A unit that the tokenizer would not cut: lower-case letters, a digit, or other signs of ``_PLAIN``.
+_RUN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+|[0-9]|(?!.*(?:<\||\|>))[!-&(-/:-@\[-`{-~]+")
+
+
+def _byte_spelling() -> dict[int, str]:
+    """The character that byte-level vocabularies spell each byte with: printable bytes as they are, the others, in
+    order, as the characters from 256 on."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in own]
+    return {**{b: chr(b) for b in own}, **{b: chr(256 + i) for i, b in enumerate(others)}}
+
+
 class WordIds:
     """Ids of texts under a tokenizer that lower-cases, drops white space and encodes words apart.
 
-    Each distinct word of a slice of text is looked up once.  A word that is not
-    remembered is cut into runs of letters, digits and other signs, the units the
-    tokenizer works on, which repeat far more often than words with their
-    punctuation do; only runs that are not remembered are tokenized.
+    Each distinct run of a slice of text is looked up once; only those not remembered are tokenized.
     """
 
     def __init__(self, data: bytes):
@@ -55,10 +121,31 @@ class WordIds:
         self.tokenizer = Tokenizer.from_str(data.decode())
         special = [(t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special]
         self.mark = next((x for x in special if x[0].startswith("<|")), None)
-        self.words, self.runs = Memory(WORDS_KEPT), Memory(RUNS_KEPT)
+        self.runs = Memory(RUNS_KEPT)
+        # a byte-level model spells every byte as one character
+        spec = json.loads(data)
+        self.spelling = _byte_spelling() if "ByteLevel" in json.dumps(spec["pre_tokenizer"]) and spec["model"]["type"] == "BPE" else None
+
+    def _encode(self, units: list[bytes]) -> list[bytes]:
+        """Ids of each unit: a run goes straight to the model, what is left whole through all of the tokenizer."""
+        if self.spelling is None:
+            return self._encode_whole(units)
+        model, plain, out = self.tokenizer.model, _RUN.fullmatch, []
+        whole = []
+        for u in units:
+            if plain(u):
+                text = u.decode() if u.isascii() else u.decode("latin-1").translate(self.spelling)
+                out.append(array("I", [t.id for t in model.tokenize(text)]).tobytes())
+            else:
+                whole.append(len(out))
+                out.append(b"")
+        for i, ids in zip(whole, self._encode_whole([units[i] for i in whole])):
+            out[i] = ids
+        return out
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text without white space.  Special tokens part texts, so plain ones go as one with marks between."""
+    def _encode_whole(self, units: list[bytes]) -> list[bytes]:
+        """Ids of each unit.  Special tokens part texts, so plain units go as one text with marks between."""
+        texts = [u.decode("utf-8", "replace") for u in units]
         out = []
         for i in range(0, len(texts), 1024):
             part = texts[i:i + 1024]
@@ -73,17 +160,10 @@ class WordIds:
                 start = end + 1
         return out
 
-    def _new_words(self, words: list[bytes]) -> list[bytes]:
-        texts = [w.decode("utf-8", "replace") for w in words]
-        runs = [_RUNS.findall(t.lower()) if _PLAIN.fullmatch(t) and "<|" not in t and "|>" not in t else [t] for t in texts]
-        distinct = list({r for rs in runs for r in rs})
-        ids = dict(zip(distinct, self.runs.lookup(distinct, self._encode)))
-        return [b"".join([ids[r] for r in rs]) for rs in runs]
-
     def batch(self, texts: pa.Array) -> list[bytes]:
         """32-bit ids of each text, in native order."""
-        codes, at, names = coded_words(texts)
-        return strung(self.words.lookup(names, self._new_words), codes, at)
+        codes, at, names = coded_runs(texts)
+        return strung(self.runs.lookup(names, self._encode), codes, at)
 
 
 _ids: dict[str, WordIds] = {}
