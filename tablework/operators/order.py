@@ -19,9 +19,18 @@ def _key(c: str | Column | tuple) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def sort(df: DataFrame, keys: list) -> DataFrame:
-    """Total sort; keys are names, Columns or ``(name, "asc"|"desc")``."""
-    return df.orderBy(*[_key(k) for k in keys])
+def sort(df: DataFrame, keys: list, position: str | None = None) -> DataFrame:
+    """Total sort; keys are names, Columns or ``(name, "asc"|"desc")``.
+
+    With ``position`` every row also gets its 0-based place in the order (give a unique tie-break key): rows are
+    numbered as the range sort writes them, so the order stays with the rows wherever they go.
+    """
+    ks = [_key(k) for k in keys]
+    if position is None:
+        return df.orderBy(*ks)
+    from .splits import ordered_index
+
+    return ordered_index(df, ks, position).orderBy(position)
 
 
 def top_k(df: DataFrame, k: int, keys: list) -> DataFrame:
@@ -30,11 +39,16 @@ def top_k(df: DataFrame, k: int, keys: list) -> DataFrame:
 
 
 def secondary_sort(df: DataFrame, keys: list, partitions: int | None = None,
-                   global_order: bool = True) -> DataFrame:
+                   global_order: bool = True, position: str | None = None) -> DataFrame:
     """Composite-key sort.  With ``global_order=False`` the output is only
     range-partitioned on the first key and sorted inside partitions, which
-    is what a file writer needs and avoids a final single-stream merge."""
+    is what a file writer needs and avoids a final single-stream merge.
+    ``position`` is as in ``sort``, without the final sort."""
     ks = [_key(k) for k in keys]
+    if position is not None:
+        from .splits import ordered_index
+
+        return ordered_index(df, ks, position, partitions)
     if global_order:
         return df.orderBy(*ks)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

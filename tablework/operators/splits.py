@@ -20,7 +20,7 @@ def _num_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def _ranged(df: DataFrame, order: list[str], partitions: int | None) -> tuple[DataFrame, DataFrame]:
+def _ranged(df: DataFrame, order: list[str | Column], partitions: int | None) -> tuple[DataFrame, DataFrame]:
     """``df`` sorted by range and staged, with ``_range`` and the place ``_pos`` in it, and the rows of each range.
 
     A task numbers the rows that it has sorted as it writes them; from then on the numbers are data.
@@ -34,9 +34,9 @@ def _ranged(df: DataFrame, order: list[str], partitions: int | None) -> tuple[Da
     return rows, rows.groupBy("_range").agg(F.count(F.lit(1)).alias("_cnt"))
 
 
-def ordered_index(df: DataFrame, order: list[str], out: str = "idx", partitions: int | None = None,
+def ordered_index(df: DataFrame, order: list[str | Column], out: str = "idx", partitions: int | None = None,
                   with_total: str | None = None) -> DataFrame:
-    """Append ``out`` = 0-based rank of each row in ascending ``order`` (nulls first).
+    """Append ``out`` = 0-based rank of each row in ``order`` (names ascending, nulls first; columns as they say).
 
     ``order`` must be a total order (unique key) for the result to be
     deterministic.  With ``with_total`` the total row count is added too.

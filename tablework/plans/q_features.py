@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml import feature as mf
 from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import functions as F
 
 from ..functions.common import r
-from ..ml import features as fx
+from ..ml import features as fx, pca
 from ..tables import load
 from .derived import doc_features
 from .registry import query
@@ -238,6 +239,28 @@ def ft_pca(spark, sf):
     return fx.slots(out.select("vec_id", "pc"), "pc", ["pc0", "pc1"])
 
 
+@query("pca_components", """
+WITH v AS (SELECT embedding::DOUBLE[] AS e FROM embeddings),
+x AS (SELECT unnest(range(1, 65)) AS i, unnest(e) AS x FROM v),
+n AS (SELECT count(*) AS n FROM v)
+SELECT 3 AS n_components, (SELECT n FROM n) AS n_rows, round(sum(var), 6) AS total_variance, true AS eigen, true AS orthonormal,
+       true AS falling, true AS captured, true AS signs
+FROM (SELECT i, var_samp(x) AS var FROM x GROUP BY i)""")
+def pca_components(spark, sf):
+    """Three components of the vectors: what makes them the leading ones holds, and the scores of the rows have their variances."""
+    e = load(spark, sf, "embeddings").select("embedding")
+    c = pca.fit(e, "embedding", 3)
+    scores = e.select(c.scores("embedding").alias("s"))
+    found = np.array(scores.agg(*[F.var_samp(F.get("s", F.lit(i))) for i in range(3)]).first())
+    residual = np.abs(c.covariance @ c.vectors.T - c.vectors.T * c.variances).max()
+    most = np.linalg.eigvalsh(c.covariance)[::-1][:3]
+    row = (3, c.n, round(float(np.trace(c.covariance)), 6), bool(residual < 1e-9 * c.variances[0]),
+           bool(np.abs(c.vectors @ c.vectors.T - np.eye(3)).max() < 1e-9), bool((np.diff(c.variances) <= 0).all()),
+           bool(np.abs(found - most).max() < 1e-6 * most[0]), bool((np.take_along_axis(c.vectors, np.abs(c.vectors).argmax(1)[:, None], 1) > 0).all()))
+    return spark.createDataFrame([row], "n_components int, n_rows long, total_variance double, eigen boolean, orthonormal boolean, "
+                                        "falling boolean, captured boolean, signs boolean")
+
+
 @query("ft_tokenizer", r"""
 SELECT conv_id, turn, unnest(string_split_regex(regexp_replace(lower(text), '\s+$', ''), '\s')) AS token
 FROM conversations""")

@@ -637,3 +637,21 @@ SELECT item, nnz, coalesce(sum(nnz) OVER (ORDER BY item ROWS BETWEEN UNBOUNDED P
 FROM c""")
 def csc_layout(spark, sf):
     return recommend.csc_layout(ratings(spark, sf), "user", "item")
+
+
+@query("csc_entries", f"""
+WITH {RATINGS_SQL}
+SELECT row_number() OVER (ORDER BY item, "user") - 1 AS at, row_number() OVER (PARTITION BY item ORDER BY "user") - 1 AS place,
+       item, "user", rating FROM ratings""")
+def csc_entries(spark, sf):
+    """Every entry of the sparse rating matrix with its place in the layout and in its column."""
+    return recommend.csc_entries(ratings(spark, sf), "user", "item", "rating")
+
+
+@query("csc_times", f"""
+WITH {RATINGS_SQL} SELECT "user", round(sum(rating * p_size), 4) AS y FROM ratings JOIN part ON item = p_partkey GROUP BY 1""")
+def csc_times(spark, sf):
+    """The rating matrix times the items' sizes."""
+    layout = recommend.csc_entries(ratings(spark, sf), "user", "item", "rating")
+    size = load(spark, sf, "part").select(F.col("p_partkey").alias("item"), F.col("p_size").cast("double").alias("size"))
+    return recommend.csc_times(layout, size, "user", "item", "rating", "size").withColumn("y", r("y"))

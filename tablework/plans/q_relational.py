@@ -347,19 +347,20 @@ def count_if_two(spark, sf):
 
 # --- sorting, top-k, look-ups ---------------------------------------------------------
 
-@query("sort_key", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey DESC")
+@query("sort_key", """
+SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_orderkey DESC) - 1 AS position FROM orders""")
 def sort_key(spark, sf):
     return order.sort(load(spark, sf, "orders").select("o_orderkey", "o_totalprice"),
-                      [("o_orderkey", "desc")])
+                      [("o_orderkey", "desc")], "position")
 
 
 @query("sort_value", """
-SELECT l_suppkey, round(sum(l_extendedprice), 4) AS revenue FROM lineitem GROUP BY l_suppkey
-ORDER BY revenue DESC""")
+SELECT l_suppkey, revenue, row_number() OVER (ORDER BY revenue DESC, l_suppkey) - 1 AS position
+FROM (SELECT l_suppkey, round(sum(l_extendedprice), 4) AS revenue FROM lineitem GROUP BY l_suppkey)""")
 def sort_value(spark, sf):
     li = load(spark, sf, "lineitem")
     rev = li.groupBy("l_suppkey").agg(r(F.sum("l_extendedprice")).alias("revenue"))
-    return order.sort(rev, [("revenue", "desc")])
+    return order.sort(rev, [("revenue", "desc"), "l_suppkey"], "position")
 
 
 @query("top_k", """
@@ -377,19 +378,20 @@ def bottom_k(spark, sf):
 
 
 @query("sort_multi", """
-SELECT o_orderpriority, o_totalprice, o_orderkey FROM orders
-ORDER BY o_orderpriority, o_totalprice DESC""")
+SELECT o_orderpriority, o_totalprice, o_orderkey,
+       row_number() OVER (ORDER BY o_orderpriority, o_totalprice DESC, o_orderkey) - 1 AS position FROM orders""")
 def sort_multi(spark, sf):
     o = load(spark, sf, "orders").select("o_orderpriority", "o_totalprice", "o_orderkey")
-    return o.orderBy(["o_orderpriority", "o_totalprice"], ascending=[1, 0])
+    return order.sort(o, ["o_orderpriority", ("o_totalprice", "desc"), "o_orderkey"], "position")
 
 
 @query("secondary_sort", """
-SELECT l_quantity, l_extendedprice FROM lineitem ORDER BY l_quantity DESC, l_extendedprice DESC""")
+SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, row_number() OVER (
+  ORDER BY l_quantity DESC, l_extendedprice DESC, l_orderkey, l_linenumber) - 1 AS position FROM lineitem""")
 def secondary_sort(spark, sf):
-    li = load(spark, sf, "lineitem").select("l_quantity", "l_extendedprice")
-    return order.secondary_sort(li, [("l_quantity", "desc"), ("l_extendedprice", "desc")],
-                                global_order=False)
+    li = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
+    return order.secondary_sort(li, [("l_quantity", "desc"), ("l_extendedprice", "desc"), "l_orderkey", "l_linenumber"],
+                                position="position")
 
 
 @query("take_n", "SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 5")

@@ -300,6 +300,27 @@ def stream_full_join(spark, sf):
     return _outer_join(spark, sf, "fullOuter")
 
 
+@query("stream_observed", """
+SELECT count(*) AS n, round(sum(value), 4) AS total, count_if(event_type = 'error') AS n_errors,
+       round(sum(value) / count(*), 6) AS mean, count_if(value > 90) AS n_kept
+FROM events""")
+def stream_observed(spark, sf):
+    """Side metrics of a filtered stream: sum, count and errors over all rows that came in, by micro-batch from the query's
+    progress, then added up; beside them the rows that the stream kept."""
+    d = streams.split_to_files(load(spark, sf, "events"), "ts", 5)
+
+    def build(side):
+        return streams.file_stream(side, d, "parquet", side.read.parquet(d).schema, max_files_per_trigger=1)
+
+    metrics = {"n": F.count(F.lit(1)), "total": F.sum("value"), "n_errors": F.count_if(F.col("event_type") == "error"),
+               "n_kept": F.count_if(F.col("value") > 90)}
+    _, batches = streams.drain_observed(build, spark, metrics)
+    rows_ = spark.createDataFrame([(b["batch"], b["n"], b["total"], b["n_errors"], b["n_kept"]) for b in batches],
+                                  "batch long, n long, total double, n_errors long, n_kept long")
+    return rows_.agg(F.sum("n").alias("n"), r(F.sum("total")).alias("total"), F.sum("n_errors").alias("n_errors"),
+                     r(F.sum("total") / F.sum("n"), 6).alias("mean"), F.sum("n_kept").alias("n_kept"))
+
+
 @query("stream_filter_parquet", """
 SELECT word FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents) WHERE length(word) = 5""")
 def stream_filter_parquet(spark, sf):

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..session import scratch_path
+from ..session import scratch_path, side_session
 from ..tables import path as table_path
 
 
@@ -230,3 +230,30 @@ def stream_join(left: DataFrame, right: DataFrame, key: str, lts: str, rts: str,
             & (F.col(f"r.{rts}") >= F.col(f"l.{lts}"))
             & (F.col(f"r.{rts}") <= F.col(f"l.{lts}") + F.expr(f"INTERVAL {within}")))
     return lw.join(rw, cond, how)
+
+
+def drain_observed(build: Callable[[SparkSession], DataFrame], spark: SparkSession, metrics: dict[str, Column], mode: str = "append",
+                   keys: list[str] | None = None) -> tuple[DataFrame, list[dict]]:
+    """Run a stream to the end of its input while counting beside it, as accumulators would.
+
+    ``build`` makes the stream in the session that it is given; ``metrics`` are aggregates over the rows of each
+    micro-batch.  Returns the sink's table and a dict for each batch with rows: ``batch`` and the metrics, as the query's progress
+    reports them (a batch that is run again reports again under the same number, so the last one counts).
+
+    A session that has observed something cannot serialise the training summaries of models any more, so the
+    stream gets a session of its own.
+    """
+    side = side_session(spark, {"spark.sql.streaming.numRecentProgressUpdates": "100000"})
+    seen = build(side).observe("tablework", *[m.alias(n) for n, m in metrics.items()])
+    query, out = run_stream(seen, None, mode)
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    batches = {}
+    for p in query.recentProgress:
+        got = (p["observedMetrics"] if isinstance(p, dict) else p.observedMetrics).get("tablework")
+        if got is not None:
+            got = got.asDict() if hasattr(got, "asDict") else dict(got)
+            batches[p["batchId"] if isinstance(p, dict) else p.batchId] = got
+    return read_result(side, out, mode, keys, schema=seen.schema if mode == "append" else None), [
+        {"batch": b, **m} for b, m in sorted(batches.items())]

@@ -2,7 +2,7 @@
 import numpy as np
 import pytest
 
-from tablework.ml import inner_product, ridge
+from tablework.ml import inner_product, pca, recommend, ridge
 
 from .conftest import rows
 
@@ -53,3 +53,31 @@ def test_ridge_equals_fits_on_rows(spark):
     assert ridge.best(table).first()["penalty"] == 0.0
     # a feature that is twice another: still a solution
     assert ridge.cross_validate(df.selectExpr("fold", "a", "2 * a as b", "y"), ["a", "b"], "y", "fold", [0.0]).count() == 4
+
+
+def test_components_equal_an_eigendecomposition(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(500, 6)) @ np.diag([5, 3, 3.001, 1, 0.5, 0]) @ rng.normal(size=(6, 6)) + 2
+    df = spark.createDataFrame([(v.tolist(),) for v in x] + [(None,)], "v array<double>").repartition(7)
+    c = pca.fit(df, "v", 3)
+    w, e = np.linalg.eigh(np.cov(x.T))
+    assert c.n == 500 and c.variances == pytest.approx(w[::-1][:3], rel=1e-9)
+    assert np.abs(np.abs(c.vectors @ e[:, ::-1][:, :3]) - np.eye(3)).max() < 1e-6
+    assert all(v[np.abs(v).argmax()] > 0 for v in c.vectors)
+    own = np.array([r["s"] for r in df.filter("v is not null").select(c.scores("v").alias("s")).collect()])
+    assert sorted(own[:, 0]) == pytest.approx(sorted((x - x.mean(0)) @ c.vectors[0]), abs=1e-9)
+    assert pca.fit(df, "v", 6).variances[-1] == pytest.approx(0, abs=1e-9)
+    for bad in (df.limit(0), df.unionAll(spark.createDataFrame([([1.0],)], "v array<double>"))):
+        with pytest.raises(ValueError):
+            pca.fit(bad, "v", 1)
+
+
+def test_sparse_layout_of_a_crowded_column(spark):
+    data = [(u, 1 if u % 3 else u % 7, float(u)) for u in range(200)]
+    lay = recommend.csc_entries(spark.createDataFrame(data, "u long, i long, v double"), "u", "i", "v", 4)
+    ranked = sorted(data, key=lambda e: (e[1], e[0]))
+    place = [sum(1 for f in ranked[:k] if f[1] == e[1]) for k, e in enumerate(ranked)]
+    assert rows(lay, "at", "place", "i", "u", "v") == [(k, p, e[1], e[0], e[2]) for k, (p, e) in enumerate(zip(place, ranked))]
+    x = spark.createDataFrame([(1, 2.0), (0, -1.0)], "i long, w double")
+    got = dict(rows(recommend.csc_times(lay, x, "u", "i", "v", "w")))
+    assert got == {u: v * {1: 2.0, 0: -1.0}[i] for u, i, v in data if i in (0, 1)}

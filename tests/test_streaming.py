@@ -183,3 +183,19 @@ def test_console_and_memory_sinks(spark):
     q2, _ = streams.run_stream(ev.select("event_id"), mode="append", sink="console", numRows=2,
                                truncate="false")
     q2.awaitTermination()
+
+
+def test_observed_batches_and_models_beside_them(spark):
+    """One dict for each micro-batch, and a model with a training summary can still be fitted in the caller's session."""
+    from pyspark.ml.feature import VectorAssembler
+
+    from tablework.ml import models
+
+    data = spark.range(60).select("id", (F.col("id") % 2).cast("double").alias("label"), (F.col("id") % 5).cast("double").alias("x"))
+    d = streams.in_order_files(data, "id", 3)
+    build = lambda side: streams.file_stream(side, d, "parquet", data.schema, max_files_per_trigger=1).filter("id >= 0").select("id", "x")
+    out, batches = streams.drain_observed(build, spark, {"n": F.count(F.lit(1)), "most": F.max("id")})
+    assert out.count() == 60 and len(batches) == 3 and sum(b["n"] for b in batches) == 60
+    assert [b["batch"] for b in batches] == [0, 1, 2] and [b["most"] for b in batches] == sorted(b["most"] for b in batches) and batches[-1]["most"] == 59
+    model, _ = models.fit_predict([VectorAssembler(inputCols=["x"], outputCol="features"), models.estimator("logistic", maxIter=2)], data)
+    assert model.stages[-1].summary.accuracy >= 0
