@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import motif
+from . import chains, motif
 
 CHECKPOINT_EVERY = 4
 
@@ -230,26 +230,29 @@ class Graph:
     def strongly_connected_components(self) -> DataFrame:
         """Strongly connected components; ``component`` is the smallest vertex id of each.
 
-        Vertices without an edge in or out among the remaining ones are
-        components of their own and are peeled off first.  The others are
-        coloured forward with the smallest id that reaches them, and swept
-        backward from each colour's root; both loops run to their end.
+        The graph is first shrunk by peeling and by contracting chains (see
+        ``chains``), in turns, as long as that takes away a tenth of it.
+        What is left is coloured forward with the smallest id that reaches
+        a vertex, and swept backward from each colour's root; both loops
+        run to their end.  Contracted chains are resolved last.
         """
         remaining = _materialize(self.vertices.select("id"))
         edges = _materialize(self.edges.select("src", "dst").filter(F.col("src") != F.col("dst")).distinct())
-        done = _materialize(self.vertices.select("id", F.col("id").alias("component")).limit(0))
+        found = [_materialize(self.vertices.select("id", F.col("id").alias("component")).limit(0))]
+        contracted: list[DataFrame] = []
         while True:
-            while True:  # peel
-                inner = (edges.select(F.col("src").alias("id")).distinct()
-                         .join(edges.select(F.col("dst").alias("id")).distinct(), "id"))
-                peeled = _materialize(remaining.join(inner, "id", "left_anti"))
-                if peeled.limit(1).count() == 0:
+            size = remaining.count()
+            while size:  # shrink
+                alone, remaining, edges = chains.peel(remaining, edges, _materialize)
+                cycles, some, edges, _ = chains.contract(edges, _materialize)
+                found += [alone.select("id", F.col("id").alias("component")), cycles]
+                contracted.append(some)
+                remaining = _materialize(remaining.join(cycles, "id", "left_anti").join(some, "id", "left_anti"))
+                before, size = size, remaining.count()
+                if size > 0.9 * before:
                     break
-                done = _materialize(done.unionByName(peeled.select("id", F.col("id").alias("component"))))
-                remaining = _materialize(remaining.join(peeled, "id", "left_anti"))
-                edges = _materialize(self._between(edges, remaining))
-            if remaining.limit(1).count() == 0:
-                return self.vertices.join(done, "id")
+            if not size:
+                break
             color = remaining.select("id", F.col("id").alias("color"))
             while True:  # forward: colour = min id that reaches v
                 cand = (edges.join(color.withColumnRenamed("id", "src"), "src")
@@ -275,9 +278,14 @@ class Graph:
                 if frontier.limit(1).count() == 0:
                     break
                 members = _materialize(members.unionByName(frontier))
-            done = _materialize(done.unionByName(members.select("id", F.col("color").alias("component"))))
+            found.append(members.select("id", F.col("color").alias("component")))
             remaining = _materialize(remaining.join(members, "id", "left_anti"))
             edges = _materialize(self._between(edges, remaining))
+        done = _materialize(reduce(DataFrame.unionByName, found))
+        for some in reversed(contracted):  # the ends of a chain were found after it was taken away
+            done = _materialize(done.unionByName(chains.resolve(done, some)))
+        least = done.groupBy("component").agg(F.min("id").alias("_least"))
+        return self.vertices.join(done.join(least, "component").select("id", F.col("_least").alias("component")), "id")
 
     @staticmethod
     def _between(edges: DataFrame, ids: DataFrame) -> DataFrame:
@@ -367,6 +375,39 @@ class Graph:
         total = ranks.groupBy("source").agg(F.sum("rank").alias("_t"))
         return ranks.join(total, "source").select("source", "id", (F.col("rank") / F.col("_t")).alias("pagerank"))
 
+    def push_pagerank(self, sources: list, reset_probability: float = 0.15, least: float = 1e-4) -> DataFrame:
+        """Personalised PageRank of many sources by forward push: rows (source, id, pagerank, residual, touched).
+
+        Every source starts with a residual of one.  A vertex with more residual than ``least`` for each of its out-edges
+        keeps the reset share of it and sends the rest along them, in rounds for all sources at once; the others do
+        nothing, so the work for a source is bounded by 1 / (``reset_probability`` * ``least``) edges, whatever
+        the size of the graph.  ``pagerank`` is a lower bound of the fixed point of "reset share of the source plus the rest along
+        the edges" (not scaled; mass that reaches a vertex without out-edges stays there), and no value is off by more
+        than the sum of the source's residuals.  ``touched`` counts the edges that a vertex has sent along.
+        """
+        keep = F.lit(reset_probability)
+        we = _materialize(self._weighted_edges().select("src", "dst", "weight").repartition("src"))
+        degree = _materialize(we.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("_n")))
+        state = (self.vertices.filter(F.col("id").isin(sources))
+                 .select(F.col("id").alias("source"), "id", F.lit(0.0).alias("pagerank"), F.lit(1.0).alias("residual"), F.lit(0).cast("long").alias("touched")))
+        i = 0
+        while True:
+            at = state.join(degree, "id", "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
+            at = at.withColumn("_on", F.col("residual") > least * F.greatest("_n", F.lit(1)))
+            if i % CHECKPOINT_EVERY == 0:
+                at = _materialize(at)
+                if at.filter("_on").limit(1).count() == 0:
+                    return at.select("source", "id", "pagerank", "residual", "touched")
+            sent = (at.filter("_on").select("source", F.col("id").alias("src"), "residual").join(we, "src")
+                    .groupBy("source", F.col("dst").alias("id")).agg(F.sum((1 - keep) * F.col("residual") * F.col("weight")).alias("_got")))
+            kept = at.select("source", "id", (F.col("pagerank") + F.when(F.col("_on"), keep * F.col("residual")).otherwise(0.0)).alias("pagerank"),
+                             F.when(F.col("_on"), 0.0).otherwise(F.col("residual")).alias("residual"),
+                             (F.col("touched") + F.when(F.col("_on"), F.col("_n")).otherwise(0)).alias("touched"))
+            state = kept.join(sent, ["source", "id"], "full").select(
+                "source", "id", F.coalesce("pagerank", F.lit(0.0)).alias("pagerank"),
+                (F.coalesce("residual", F.lit(0.0)) + F.coalesce("_got", F.lit(0.0))).alias("residual"), F.coalesce("touched", F.lit(0)).alias("touched"))
+            i += 1
+
     # --- local structure (G18, G19) --------------------------------------------------------
     def triangle_count(self) -> DataFrame:
         """Triangles through each vertex of the undirected simple graph.

@@ -9,6 +9,7 @@ from ..graph.build import ORDER_GRAPH_SQL as G
 from ..graph.build import order_graph
 from ..operators import order
 from ..operators.rows import fold_conditions
+from ..session import stage
 from .registry import query
 
 
@@ -265,6 +266,28 @@ def graph_ppr(spark, sf):
     return pr.select("source", "id", r("pagerank", 6).alias("pagerank"))
 
 
+PUSH_SOURCES, PUSH_LEAST = list(range(1, 101)), 1e-4
+
+
+@query("graph_ppr_push", _with(f"""
+SELECT id AS source, true AS certified, true AS bounded FROM vertices WHERE id IN ({", ".join(map(str, PUSH_SOURCES))})"""))
+def graph_ppr_push(spark, sf):
+    """For each of a hundred sources: whether what is missing at every vertex, by the equation that PageRank solves, is the residual
+    that the push reports, and whether no vertex could still send and the edges touched are within the bound."""
+    g = order_graph(spark, sf)
+    got = stage(g.push_pagerank(PUSH_SOURCES, 0.15, PUSH_LEAST), "push")
+    we = g.edges.join(g.out_degrees.withColumnRenamed("id", "src"), "src").select("src", "dst", (1 / F.col("outDegree")).alias("w"))
+    into = (got.select("source", F.col("id").alias("src"), "pagerank").join(we, "src")
+            .groupBy("source", F.col("dst").alias("id")).agg(F.sum(F.col("pagerank") * F.col("w")).alias("flow")))
+    both = got.join(into, ["source", "id"], "full").join(g.out_degrees, "id", "left")
+    p, flow = F.coalesce("pagerank", F.lit(0.0)), F.coalesce("flow", F.lit(0.0))
+    missing = F.when(F.col("id") == F.col("source"), 1.0).otherwise(0.0) - (p - 0.85 * flow) / 0.15
+    residual = F.coalesce("residual", F.lit(0.0))
+    return both.groupBy("source").agg(
+        (F.max(F.abs(missing - residual)) < 1e-9).alias("certified"),
+        ((F.max(residual / F.greatest(F.coalesce("outDegree", F.lit(1)), F.lit(1))) <= PUSH_LEAST) & (F.sum("touched") <= 1 / (0.15 * PUSH_LEAST))).alias("bounded"))
+
+
 LANDMARKS = [0, 1]
 
 

@@ -1,7 +1,11 @@
 """A graph of airports: a hub with spokes, a long one-way line, a loop, a pair of its own and a lone field."""
+import random
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tablework.graph import graph
 from tablework.graph.graph import Graph
 
 from .conftest import rows
@@ -207,3 +211,66 @@ def test_save_load(g, spark, tmp_path):
     g.save(p)
     back = Graph.load(spark, p)
     assert back.vertices.count() == len(IDS) and edges(back) == edges(g)
+
+
+def components_by_search(ids, es):
+    """Smallest id of each vertex's strongly connected component, by reachability."""
+    after = {i: set() for i in ids}
+    for a, b in es:
+        after[a].add(b)
+
+    def reach(i):
+        seen, todo = {i}, [i]
+        while todo:
+            for j in after[todo.pop()] - seen:
+                seen.add(j)
+                todo.append(j)
+        return seen
+
+    to = {i: reach(i) for i in ids}
+    return sorted((i, min(j for j in to[i] if i in to[j])) for i in ids)
+
+
+def test_strong_components_of_random_graphs_match_search(spark):
+    rng = random.Random(12)
+    for n, m in ((25, 22), (25, 40), (12, 60)):
+        es = [(rng.randrange(n), rng.randrange(n)) for _ in range(m)]
+        es += [(100, 101), (101, 102), (102, 100), (103, 104), (104, 0), (0, 105), (105, 106), (106, 0)]  # a lone cycle, a way in, a chain round
+        ids = sorted(set(range(n)) | set(range(100, 107)))
+        g = Graph(spark.createDataFrame([(i,) for i in ids], "id long"), spark.createDataFrame(es, "src long, dst long"))
+        assert rows(g.strongly_connected_components(), "id", "component") == components_by_search(ids, es)
+
+
+def test_a_long_line_into_a_ring_takes_few_rounds(spark, monkeypatch):
+    """10,000 vertices in a line, then a ring of 50: rounds are logarithmic in the line."""
+    n = 10_000
+    es = spark.range(n).selectExpr("id as src", "id + 1 as dst").union(spark.range(n, n + 50).selectExpr("id as src", f"if(id = {n + 49}, {n}, id + 1) as dst"))
+    cuts, rounds = [], []
+    real, whole = graph._materialize, graph.chains.contract
+    monkeypatch.setattr(graph, "_materialize", lambda df: cuts.append(1) or real(df))
+    monkeypatch.setattr(graph.chains, "contract", lambda *a: rounds.append((r := whole(*a))[3]) or r)
+    got = Graph(spark.range(n + 50), es).strongly_connected_components()
+    ring = got.filter(f"id >= {n}").select("component").distinct().collect()
+    assert [r[0] for r in ring] == [n] and got.filter(f"id < {n} and component = id").count() == n
+    assert sum(rounds) <= 40 and len(rounds) <= 4
+
+
+def test_push_stays_within_its_bound(spark):
+    rng = np.random.default_rng(3)
+    n, es = 30, {(int(a), int(b)) for a, b in rng.integers(0, 30, (110, 2)) if a != b and a != 7} | {(0, i) for i in range(1, 30)}
+    g = Graph(spark.range(n), spark.createDataFrame(sorted(es), "src long, dst long"))
+    w = np.zeros((n, n))
+    for a, b in es:
+        w[a, b] = 1
+    w /= np.maximum(w.sum(1, keepdims=True), 1)
+    exact = 0.15 * np.linalg.inv(np.eye(n) - 0.85 * w)
+    for least in (1e-2, 1e-4):
+        got = g.push_pagerank([0, 7, 11], 0.15, least).collect()
+        for s in (0, 7, 11):
+            own = {r["id"]: r for r in got if r["source"] == s}
+            bound = sum(r["residual"] for r in own.values())
+            off = [exact[s, v] - (own[v]["pagerank"] if v in own else 0.0) for v in range(n)]
+            assert min(off) > -1e-12 and max(off) <= bound + 1e-12
+            assert sum(r["touched"] for r in own.values()) <= 1 / (0.15 * least)
+            if least == 1e-4:
+                assert max(off) < 0.01
