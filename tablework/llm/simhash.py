@@ -25,7 +25,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -216,7 +216,7 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: in
     """One row of each group of linked rows, with its columns as they are.
 
     The row with the smallest key stays; of rows that repeat that key, one with the
-    smallest fingerprint; null keys come last.
+    smallest fingerprint; of rows alike in key and text, the one whose other columns sort first; null keys come last.
     """
     own = ["key_", "hash_", "order_", "kept_key_", "kept_hash_"]
     while any(c.lower() in own for c in df.columns):
@@ -227,14 +227,29 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: in
                                    "text", shingle, keep=["id_", "hash"]), "simhash-docs")
     best = (docs.join(classes(docs, distance).select("fp", "root"), "fp").groupBy("root")
             .agg(F.min(F.struct(F.col("id_").isNull().alias("none"), "id_", "fp", "hash")).alias("best")))
-    kept = staged(best.select(_named(F.col("best.id_")).alias(kept_key), F.col("best.hash").alias(kept_hash)),
-                  "simhash-kept")
+    times = docs.groupBy(_named(F.col("id_")).alias("k"), F.col("hash").alias("h")).agg(F.count(F.lit(1)).alias(order))
+    kept = staged(best.select(_named(F.col("best.id_")).alias(kept_key), F.col("best.hash").alias(kept_hash))
+                  .join(times, (F.col(kept_key) == F.col("k")) & (F.col(kept_hash) == F.col("h"))).drop("k", "h"), "simhash-kept")
     # the hash tells rows that repeat a key apart; the texts themselves pass through one join, without Python
     marked = (df.withColumn(key_, _named(F.col(f"`{key}`"))).withColumn(hash_, F.xxhash64(body))
               .join(kept, (F.col(key_) == F.col(kept_key)) & (F.col(hash_) == F.col(kept_hash))))
-    line = Window.partitionBy(key_, hash_).orderBy(F.col(f"`{text}`"))
-    return (marked.withColumn(order, F.row_number().over(line)).filter(F.col(order) == 1)
-            .select(*[F.col(f"`{c}`") for c in df.columns]))
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    if kept.filter(F.col(order) > 1).isEmpty():
+        return marked.select(*columns)
+    # copies of a row, key and text alike, become one where they lie, before any shuffle by key
+    ordered = [F.col(f"`{f.name}`") for f in df.schema.fields if _orderable(f.dataType)]
+    copies = marked.filter(F.col(order) > 1).groupBy(key_, hash_).agg(
+        F.min_by(F.struct(*[c.alias(f"c{i}") for i, c in enumerate(columns)]), F.struct(body, *ordered)).alias(order))
+    one = copies.select(*[F.col(f"{order}.c{i}").alias(c) for i, c in enumerate(df.columns)])
+    return marked.filter(F.col(order) == 1).select(*columns).unionByName(one)
+
+
+def _orderable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_orderable(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _orderable(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType))
 
 
 def _named(key):

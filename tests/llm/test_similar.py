@@ -227,6 +227,22 @@ def test_codes_spare_exact_work():
     assert stats["exact"] < 0.02 * stats["pairs"]
 
 
+def test_a_row_that_is_a_third_of_all_is_collapsed_before_its_shuffle(spark):
+    """Copies alike in key and text, some with other columns: one stays, and no exchange by key gets more than one for each task."""
+    words = [f"w{i % 89}x{i}" for i in range(3000)]
+    rows_ = [(5, " ".join(words[:60]), "b", None)] * 200 + [(5, " ".join(words[:60]), "a", 1)] * 3 + [(None, "z", "n", 2)] * 50
+    rows_ += [(100 + i, " ".join(words[60 + i * 25:60 + i * 25 + 40]), "c", i) for i in range(100)]
+    df = spark.createDataFrame(rows_, "doc_id long, text string, source string, n_chars long").repartition(4)
+    kept = simhash.keep_one(df)
+    got = [tuple(r) for r in kept.collect()]
+    assert len([r for r in got if r[0] == 5]) == 1 and (5, " ".join(words[:60]), "a", 1) in got
+    assert len([r for r in got if r[0] is None]) == 1 and len({r[0] for r in got}) == len(got)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "partial_min_by" in plan
+    with_map = df.withColumn("m", F.create_map(F.lit("a"), F.lit(1)))
+    assert simhash.keep_one(with_map).count() == len(got)
+
+
 def test_number_of_tables_keeps_the_chance_to_miss():
     for rows_ in (10, 10_000, 10 ** 7, 10 ** 9):
         signs, tables = embed_dedup.tables_for(rows_, 0.98, 1e-6)
