@@ -105,6 +105,8 @@ class Merger:
     WIDEST = 64
 
     def __init__(self, ranks: dict[bytes, int]):
+        if max(ranks.values()) >= 1 << 20:
+            raise ValueError("pairs are packed into 40 bits: ranks have to be below 2**20")
         self.ranks, self.longest = ranks, max(map(len, ranks))
         self.byte = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         pairs = {}
@@ -197,7 +199,7 @@ class Codec:
         self.cut = regex.compile(f" (?=[^{WHITE}])")
         self.odd = regex.compile(f" [{WHITE}]| $")
         self.pieces = Memory(PIECES_KEPT)
-        self.table = [b""] * (max(self.ranks.values()) + 1)
+        self.table: list[bytes | None] = [None] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
             self.table[rank] = token
 
@@ -239,7 +241,10 @@ class Codec:
         return strung(values, np.concatenate(spans) if spans else codes[:0], np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64))
 
     def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.table.__getitem__, ids.tolist()))
+        parts = [self.table[i] if 0 <= i < len(self.table) else None for i in ids.tolist()]
+        if None in parts:
+            raise ValueError(f"id {ids[parts.index(None)]} is not in the vocabulary")
+        return b"".join(parts)
 
 
 _codecs: dict[str, Codec] = {}

@@ -54,6 +54,15 @@ def test_ties_go_to_the_leftmost_pair():
     assert bpe.merge(b"aaaa", ranks, 3) == [256, 256] and bpe.merge(b"aaaaa", ranks, 3) == [256, 257]
 
 
+def test_ids_and_ranks_outside_the_vocabulary_raise():
+    codec = bpe.Codec(BPE, P.PATTERN)
+    for bad in (-1, len(codec.table), 1 << 30):
+        with pytest.raises(ValueError, match="not in the vocabulary"):
+            codec.decode(np.array([65, bad], np.int64))
+    with pytest.raises(ValueError, match="2\\*\\*20"):
+        bpe.Merger({bytes([b]): b for b in range(256)} | {b"ab": 1 << 20})
+
+
 def test_op1_equals_the_library(spark, encoding):
     got = {r["doc_id"]: r for r in run(spark, "op1_bpe")}
     for r in small(spark, "documents").collect():
