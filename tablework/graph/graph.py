@@ -119,17 +119,16 @@ class Graph:
             step = paths.join(es, paths._cur == es._src).drop("_src")
             step = step.join(visited, (step._start == visited._start) & (step._dst == visited._seen),
                              "left_anti")
-            step = step.withColumnRenamed("_e", f"e{k}")
-            done = step.join(targets, step._dst == targets._tid, "left_semi")
+            step = _materialize(step.withColumnRenamed("_e", f"e{k}"))  # what follows reads the round's one evaluation
+            done = _materialize(step.join(targets, step._dst == targets._tid, "left_semi"))
             if done.limit(1).count() > 0:
                 res = done.join(vstruct, done._dst == vstruct._vid).withColumnRenamed("_v", "to")
                 return res.drop("_start", "_cur", "_dst", "_vid")
-            step = step.join(vstruct, step._dst == vstruct._vid).withColumnRenamed("_v", f"v{k + 1}")
-            paths = step.drop("_cur", "_vid").withColumnRenamed("_dst", "_cur")
-            visited = visited.unionByName(paths.select("_start", F.col("_cur").alias("_seen"))).distinct()
-            paths, visited = _cut(paths, k), _cut(visited, k)
-            if paths.limit(1).count() == 0:
+            if step.limit(1).count() == 0:
                 break
+            paths = step.join(vstruct, step._dst == vstruct._vid).withColumnRenamed("_v", f"v{k + 1}") \
+                .drop("_cur", "_vid").withColumnRenamed("_dst", "_cur")
+            visited = _materialize(visited.unionByName(step.select("_start", F.col("_dst").alias("_seen"))).distinct())
         none = self.vertices.limit(0)
         return none.select(F.struct(*vcols).alias("from"), F.struct(*vcols).alias("to"))
 

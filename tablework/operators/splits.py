@@ -114,19 +114,24 @@ def kfold(df: DataFrame, order: list[str], k: int, out: str = "fold") -> DataFra
 
 def leave_n_out(df: DataFrame, user: str, order: list[str], key: list[str],
                 start: int, stop: int, out: str = "is_test") -> DataFrame:
-    """Mark each user's ratings number ``start..stop`` (in ``order``) as test.
+    """Mark each user's ratings number ``start..stop`` (in ``order``, ties by ``key``) as test.
 
     The input is staged once on shared storage.  Only the first ``stop`` rows
     per user are ranked: Spark's group-limit pushes a partial top-``stop``
     below the shuffle, so even a user owning a third of all rows costs
-    ``stop`` rows per task in the exchange.  The test rows are then flagged
-    on the staged table by a key join.
+    ``stop`` rows per task in the exchange.  What is joined to the staged rows
+    is one row per user, its first and last test row; a rating between them
+    is marked.
     """
     rows = stage(df, "leave-n-out")
-    w = Window.partitionBy(user).orderBy(*order)
-    test = (rows.select(user, *[c for c in dict.fromkeys([*order, *key]) if c != user])
-            .withColumn("_rn", F.row_number().over(w))
-            .filter(F.col("_rn") <= stop)
-            .filter(F.col("_rn") >= start)
-            .select(*key).withColumn(out, F.lit(True)))
-    return rows.join(test, on=key, how="left").withColumn(out, F.coalesce(F.col(out), F.lit(False)))
+    full = list(dict.fromkeys([*order, *key]))
+    at = F.struct(*full)
+    w = Window.partitionBy(user).orderBy(*full)
+    bounds = (rows.select(user, *[c for c in full if c != user])
+              .withColumn("_rn", F.row_number().over(w))
+              .filter(F.col("_rn") <= stop)
+              .filter(F.col("_rn") >= start)
+              .groupBy(F.col(user).alias("_user")).agg(F.min(at).alias("_low"), F.max(at).alias("_high")))
+    between = (at >= F.col("_low")) & (at <= F.col("_high"))
+    return (rows.join(bounds, F.col(user).eqNullSafe(F.col("_user")), "left")
+            .withColumn(out, F.coalesce(between, F.lit(False))).drop("_user", "_low", "_high"))

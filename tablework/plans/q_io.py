@@ -6,11 +6,11 @@ scan the files back, so the value checked is what the reader produced.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from ..functions.common import r
-from ..session import scratch_path
-
+from ..session import scratch_path, stage
 from ..sources import catalog, io
 from ..tables import load, path
 from .registry import query
@@ -159,3 +159,36 @@ def global_view(spark, sf):
     qualified = catalog.global_view(c, catalog.unique_name("cust_nation"))
     other = spark.newSession()  # a second session sees the global view
     return other.sql(f"SELECT n_regionkey, count(*) AS n_customers FROM {qualified} GROUP BY n_regionkey")
+
+
+@query("catalog_refresh", """
+SELECT o_orderstatus, count(*) AS n, true AS listed FROM orders GROUP BY o_orderstatus""")
+def catalog_refresh(spark, sf):
+    """A listed table to whose folder another writer adds files: after a refresh its rows are all there."""
+    o = load(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    name = catalog.unique_name("orders_growing")
+    p = scratch_path(spark, name)
+    io.write(o.filter("o_orderstatus = 'F'"), "parquet", p, mode="error", table=name)
+    spark.table(name).count()  # the table's files are known from now on
+    io.write(o.filter("o_orderstatus != 'F'"), "parquet", p, mode="append")
+    catalog.refresh(spark, name)
+    listed = name in catalog.list_tables(spark)
+    return spark.table(name).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n")).withColumn("listed", F.lit(listed))
+
+
+@query("persist_levels", """
+SELECT c_mktsegment, level, count(*) AS n, round(sum(c_acctbal), 4) AS total, true AS cached_inside, false AS cached_after
+FROM customer, (SELECT unnest(['DISK_ONLY', 'MEMORY_AND_DISK', 'MEMORY_ONLY']) AS level) GROUP BY 1, 2""")
+def persist_levels(spark, sf):
+    """Two passes over a persisted table at each level; it is cached inside the block and not after it."""
+    out = None
+    for level in ("DISK_ONLY", "MEMORY_AND_DISK", "MEMORY_ONLY"):
+        kept = load(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+        with catalog.persisted(kept, getattr(StorageLevel, level)) as c:
+            inside = c.is_cached and c.storageLevel == getattr(StorageLevel, level)
+            n = c.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
+            total = c.groupBy("c_mktsegment").agg(r(F.sum("c_acctbal")).alias("total"))
+            done = stage(n.join(total, "c_mktsegment").withColumn("level", F.lit(level)).withColumn("cached_inside", F.lit(inside)), "persisted")
+        done = done.withColumn("cached_after", F.lit(kept.is_cached))
+        out = done if out is None else out.unionByName(done)
+    return out
