@@ -7,6 +7,7 @@ pickled row-at-a-time transfer.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import cache
 
 import pandas as pd
@@ -71,6 +72,51 @@ def apply_grouped(df: DataFrame, keys: list[str], fn, schema: str) -> DataFrame:
     return df.groupBy(*keys).applyInPandas(fn, schema=schema)
 
 
+def apply_grouped_batches(df: DataFrame, keys: list[str], fn, schema: str, parts: int = 1) -> DataFrame:
+    """Grouped map over an iterator of batches: a group need not fit one frame.
+
+    ``fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]`` sees a group's rows some thousands at a
+    time (``spark.sql.execution.arrow.maxRecordsPerBatch``); the annotations tell Spark which form it is.  With ``parts``
+    each group is dealt by a hash of its rows into so many, each given to ``fn`` apart, so that a key
+    with a great share of the rows is several tasks' work; ``fn`` then yields partial results, and the caller adds
+    them up by ``keys``.
+    """
+    if parts == 1:
+        return df.groupBy(*keys).applyInPandas(fn, schema=schema)
+    part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(parts))
+    return df.groupBy(*keys, part.alias("_part")).applyInPandas(fn, schema=schema)
+
+
+def line_sums(key: str, x: str, y: str):
+    """A grouped-map body for ``apply_grouped_batches``: what a straight line through a group's points needs."""
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        name, sums = None, [0.0] * 5
+        for b in batches:
+            if not len(b):
+                continue
+            name, u, v = b[key].iloc[0], b[x].astype(float), b[y].astype(float)
+            for i, s in enumerate((len(b), u.sum(), v.sum(), (u * u).sum(), (u * v).sum())):
+                sums[i] += float(s)
+        yield pd.DataFrame([(name, *sums)], columns=[key, "n", "sx", "sy", "sxx", "sxy"])
+
+    return fold
+
+
+def fit_lines(df: DataFrame, key: str, x: str, y: str, parts: int = 8) -> DataFrame:
+    """(``key``, n, slope, intercept) of the least-squares line of ``y`` over ``x`` in each group; no slope where x does not vary.
+
+    Rows with a null x or y are left out.
+    """
+    kind = df.schema[key].dataType.simpleString()
+    rows = df.select(key, x, y).dropna(subset=[x, y])
+    sums = apply_grouped_batches(rows, [key], line_sums(key, x, y), f"`{key}` {kind}, n double, sx double, sy double, sxx double, sxy double", parts)
+    total = sums.groupBy(key).agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "sxy")])
+    spread = F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")
+    slope = F.when(spread > 0, (F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")) / spread)
+    return total.withColumn("slope", slope).select(
+        key, F.col("n").cast("long").alias("n"), "slope", ((F.col("sy") - F.col("slope") * F.col("sx")) / F.col("n")).alias("intercept"))
+
+
 def subtract_mean(pdf: pd.DataFrame) -> pd.DataFrame:
     """pandas grouped-map body: ``v - mean(v)`` within the group."""
     return pdf.assign(v=pdf.v - pdf.v.mean())

@@ -41,6 +41,17 @@ def grouped_map_center(spark, sf):
     return res.select("l_suppkey", "l_orderkey", r("v").alias("v"))
 
 
+@query("grouped_map_fit", """
+SELECT l_suppkey, count(*) AS n, round(regr_slope(l_extendedprice, l_quantity), 4) AS slope,
+       round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept
+FROM lineitem GROUP BY l_suppkey""")
+def grouped_map_fit(spark, sf):
+    """A line through each supplier's prices by quantity, by a grouped map over batches of rows."""
+    li = load(spark, sf, "lineitem").select("l_suppkey", "l_quantity", "l_extendedprice")
+    fit = udfs.fit_lines(li, "l_suppkey", "l_quantity", "l_extendedprice")
+    return fit.select("l_suppkey", "n", r("slope").alias("slope"), r("intercept").alias("intercept"))
+
+
 def _report(batches):
     """One row per partition: what a writer with one connection per partition would have sent."""
     n, total = 0, 0.0

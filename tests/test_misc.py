@@ -1,3 +1,5 @@
+from collections.abc import Iterator
+
 import pandas as pd
 import pytest
 from pyspark.ml import feature as mf
@@ -83,3 +85,25 @@ def test_model_save_load_and_explain(spark):
     assert "If (feature" in models.explain(model.stages[-1])
     imp = models.importances(spark, model.stages[-1], ["a", "b"])
     assert abs(sum(r["importance"] for r in imp.collect()) - 1.0) < 1e-9
+
+
+def test_grouped_map_streams_a_group_in_batches(spark):
+    """A key with most of the rows comes in several batches; lines are exact, null keys are a group, a constant x has no slope."""
+    from tablework.operators import udfs
+
+    data = [("hot", float(i), 3.0 * i - 7) for i in range(500)] + [(None, 1.0, 2.0), (None, 2.0, 5.0), ("flat", 4.0, 1.0), ("flat", 4.0, 2.0), ("gone", None, 1.0)]
+    side = spark.newSession()
+    side.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    df = side.createDataFrame(data, "k string, x double, y double")
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sizes = [len(b) for b in batches]
+        yield pd.DataFrame({"batches": [len(sizes)], "most": [max(sizes)]})
+
+    seen = udfs.apply_grouped_batches(df, ["k"], count, "batches long, most long").collect()
+    assert max(r["batches"] for r in seen) >= 10 and max(r["most"] for r in seen) <= 50
+    want = {"hot": (500, 3.0, -7.0), None: (2, 3.0, -1.0), "flat": (2, None, None)}
+    for parts in (1, 8):
+        got = {r["k"]: (r["n"], r["slope"], r["intercept"]) for r in udfs.fit_lines(df, "k", "x", "y", parts).collect()}
+        assert got.keys() == want.keys() and got[None] == pytest.approx(want[None]) and got["flat"] == want["flat"]
+        assert got["hot"] == pytest.approx(want["hot"])
