@@ -20,7 +20,6 @@ bit map of fixed size that says which hashes may recur; where it is full, more i
 
 from __future__ import annotations
 
-from contextlib import contextmanager
 from math import log
 
 import numpy as np
@@ -30,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import coded_words, shuffle_partitions, slices, staged
+from .common import coded_words, shuffle_partitions, slices, staged_apart
 
 #: The end token; words are never empty.
 END = b""
@@ -85,22 +84,6 @@ class Numbers:
         return np.array([get(t, -1) for t in names], np.int64)[flat], starts, flat, names
 
 
-def contexts(flat: np.ndarray, starts: np.ndarray, end: int, k: int, base: int) -> np.ndarray:
-    """Code of the ``k`` tokens before each position, oldest first in base ``base``; -1 if one of them has no number.
-
-    Before a text's first token stands the end token, and nothing before that.
-    """
-    code, valid = np.zeros(len(flat), np.int64), np.ones(len(flat), bool)
-    place = np.arange(len(flat)) - np.repeat(starts, np.diff(np.append(starts, len(flat))))
-    for back in range(k, 0, -1):
-        before = np.full(len(flat), -1, np.int64)
-        before[back:] = flat[:-back] if back < len(flat) else before[back:]
-        before = np.where(place >= back, before, np.where(place == back - 1, end, -1))
-        valid &= before >= 0
-        code = code * base + np.maximum(before, 0)
-    return np.where(valid, code, -1)
-
-
 def find(sorted_codes: np.ndarray, code: np.ndarray) -> np.ndarray:
     """Place of each code, or -1."""
     if not len(sorted_codes):
@@ -109,114 +92,6 @@ def find(sorted_codes: np.ndarray, code: np.ndarray) -> np.ndarray:
     return np.where(sorted_codes[i] == code, i, -1)
 
 
-def count_entries(texts: DataFrame, numbers: Numbers, k: int, candidates: np.ndarray, nexts: np.ndarray) -> DataFrame:
-    """(code, n): how often a candidate context of ``k`` tokens is followed by a token of ``nexts``."""
-    base = len(numbers.names)
-
-    def run(batches):
-        held, size = [], 0
-
-        def flush():
-            code = np.concatenate([c for c, _ in held])
-            n = np.concatenate([m for _, m in held])
-            code, where = np.unique(code, return_inverse=True)
-            return code, np.bincount(where, n, len(code)).astype(np.int64)
-
-        for batch in batches:
-            for part in slices(batch, 0, SLICE):
-                flat, starts, _, _ = numbers.rows(part.column(0))
-                code = contexts(flat, starts, numbers.end, k, base)
-                at = np.flatnonzero((code >= 0) & (flat >= 0))
-                at = at[nexts[flat[at]]]
-                at = at[find(candidates, code[at]) >= 0]
-                held.append(np.unique(code[at] * base + flat[at], return_counts=True))
-                size += len(held[-1][0])
-                if size > 2_000_000:
-                    held, size = [flush()], 0
-                    if len(held[0][0]) > 1_000_000:
-                        yield pa.RecordBatch.from_arrays([pa.array(held[0][0]), pa.array(held[0][1])], names=["code", "n"])
-                        held = []
-        if held:
-            code, n = flush()
-            yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], names=["code", "n"])
-
-    return texts.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-
-
-class Tree:
-    """Retained contexts with their entries, by length; the root holds the frequent tokens' unigram probabilities."""
-
-    def __init__(self, numbers: Numbers, root: np.ndarray):
-        self.numbers, self.base = numbers, len(numbers.names)
-        self.root = root  # probability of each frequent token
-        self.log_root = np.log10(root) if len(root) else root
-        self.codes: list[np.ndarray] = [np.zeros(0, np.int64)]
-        self.gamma: list[np.ndarray] = [np.zeros(0)]
-        self.pairs: list[np.ndarray] = [np.zeros(0, np.int64)]
-        self.probs: list[np.ndarray] = [np.zeros(0)]
-
-    def prob(self, k: int, code: np.ndarray, token: np.ndarray) -> np.ndarray:
-        """Probability of each (frequent) token after the context of ``k`` tokens."""
-        out, p = np.zeros(len(code)), np.ones(len(code))
-        left = np.ones(len(code), bool)
-        for j in range(k, 0, -1):
-            code = code % self.base ** j
-            own = find(self.codes[j], code)
-            entry = np.where(own >= 0, find(self.pairs[j], code * self.base + token), -1)
-            hit = left & (entry >= 0)
-            out[hit] = p[hit] * self.probs[j][entry[hit]]
-            left &= ~hit
-            miss = left & (own >= 0)
-            p[miss] *= self.gamma[j][own[miss]]
-        out[left] = p[left] * self.root[token[left]]
-        return out
-
-    def grow(self, code: np.ndarray, n: np.ndarray, total: np.ndarray, least: float, weight: float) -> None:
-        """Add the contexts of the next length.
-
-        ``code``: context and next token, sorted; ``n``: their count; ``total``: the count of the
-        context.  A context is retained if it diverges from its suffix by ``least`` nats
-        and by more than its number of entries would bring by chance; ``weight`` is the
-        weight of the suffix's distribution in a smoothed one.
-        """
-        k = len(self.codes)
-        context, token = code // self.base, code % self.base
-        lower = self.prob(k - 1, context % self.base ** (k - 1) if k > 1 else context * 0, token)
-        own, first, entries = np.unique(context, return_index=True, return_counts=True)
-        group = np.repeat(np.arange(len(own)), entries)
-        size = total[first].astype(float)
-        share = n / total
-        rest, rest_lower = (np.maximum(1 - np.bincount(group, x, len(own)), 1e-12) for x in (share, lower))
-        divergence = np.bincount(group, share * np.log(share / lower), len(own)) + rest * np.log(rest / rest_lower)
-        keep = (divergence >= least) & (divergence * size >= entries + 1)
-        smooth = (n + weight * lower) / (total + weight)
-        gamma = np.maximum(1 - np.bincount(group, smooth, len(own)), 1e-12) / rest_lower
-        self.codes.append(own[keep])
-        self.gamma.append(gamma[keep])
-        self.pairs.append(code[keep[group]])
-        self.probs.append(smooth[keep[group]])
-
-    def log_probs(self, flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """log10 probability of each token; of a token without a number only what its contexts contribute."""
-        out = np.zeros(len(flat))
-        left = np.ones(len(flat), bool)
-        for k in range(len(self.codes) - 1, 0, -1):
-            if not len(self.codes[k]):
-                continue
-            code = contexts(flat, starts, self.numbers.end, k, self.base)
-            at = np.flatnonzero(left & (code >= 0))
-            own = find(self.codes[k], code[at])
-            at, own = at[own >= 0], own[own >= 0]
-            entry = np.where(flat[at] >= 0, find(self.pairs[k], code[at] * self.base + np.maximum(flat[at], 0)), -1)
-            hit = entry >= 0
-            out[at[hit]] += np.log10(self.probs[k][entry[hit]])
-            left[at[hit]] = False
-            out[at[~hit]] += np.log10(self.gamma[k][own[~hit]])
-        at = np.flatnonzero(left & (flat >= 0))
-        out[at] += self.log_root[flat[at]]
-        return out
-
-
 def numbered(counted: DataFrame, token_share: float) -> tuple[Numbers, np.ndarray, np.ndarray, dict]:
     """The tokens with at least ``token_share`` of all, their counts and unigram probabilities, and totals."""
     total, distinct = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).collect()[0]
@@ -227,39 +102,6 @@ def numbered(counted: DataFrame, token_share: float) -> tuple[Numbers, np.ndarra
     return Numbers([t for t, _ in named]), count, (count + 0.5) / totals["mass"], totals
 
 
-def fit(texts: DataFrame, counted: DataFrame, depth: int = 2, token_share: float = 2e-6, context_share: float = 1e-4,
-        next_share: float = 1e-5, entry_share: float = 1e-6, least_divergence: float = 0.01, weight: float = 20.0) -> tuple[Tree, dict]:
-    """The tree of the training ``texts`` and their stored token counts (token, n), and the counts' totals.
-
-    The tree in the driver's memory, of frequent contexts only; ``score`` uses ``grow_tables``.
-    Shares are of all training tokens.  Tokens, contexts and entries below their shares
-    are not numbered, extended or listed; their number is thereby bounded by the
-    inverse share.  Each length is counted over all texts.  Raises where a context and its next
-    token do not fit 62 bits; ``score`` has no such limit.
-    """
-    numbers, count, root, totals = numbered(counted, token_share)
-    total = totals["tokens"]
-    tree = Tree(numbers, root)
-    if len(numbers.names) ** (depth + 1) >= 1 << 62:
-        raise ValueError(f"contexts of {depth} of {len(numbers.names)} tokens have no 62-bit code; raise token_share, or use score()")
-    if not total:
-        return tree, totals
-    nexts = count >= next_share * total
-    known = np.flatnonzero(count >= context_share * total)
-    known_count = count[known]
-    for k in range(1, depth + 1):
-        if not len(known):
-            break
-        found = (count_entries(texts, numbers, k, known, nexts)
-                 .filter(F.col("n") >= F.lit(max(2.0, entry_share * total))).toArrow())
-        order = np.argsort(found.column("code").to_numpy())
-        code, n = found.column("code").to_numpy()[order], found.column("n").to_numpy()[order]
-        tree.grow(code, n, known_count[find(known, code // tree.base)], least_divergence, weight)
-        longer = (n >= context_share * total) & (code % tree.base != numbers.end)
-        known, known_count = code[longer], n[longer]
-    return tree, totals
-
-
 #: Hash of the mark before a text.
 BEGIN = np.uint64(0x9E6C63D0876A9A47)
 #: Factor of the polynomial hash.
@@ -339,16 +181,9 @@ def stepped(data: bytes, part: int, shift: int) -> np.ndarray:
     return np.cumsum(unpacked(data)) + (np.uint64(part) << np.uint64(shift))
 
 
-@contextmanager
-def shuffles_freed(spark):
-    """Shuffle files of the queries inside go when the query ends; what is staged does not need them."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+def _tasks(df: DataFrame, part_bits: int) -> int:
+    """Tasks for the parts of the hash range: one takes several parts, one after another, where there are very many."""
+    return min(1 << part_bits, max(8 * shuffle_partitions(df.sparkSession), 64))
 
 
 def totalled(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -394,8 +229,8 @@ def recurring_bits(texts: DataFrame, longest: int, part_bits: int, min_count: in
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([np.packbits(bits, bitorder="little").tobytes()])],
                                              names=["part", "bits"])
 
-    found = (texts.mapInArrow(send, "part int, code binary, n binary").repartition(1 << part_bits, "part")
-             .sortWithinPartitions("part").mapInArrow(mark, "part int, bits binary").toArrow())
+    found = staged_apart(texts.mapInArrow(send, "part int, code binary, n binary").repartition(_tasks(texts, part_bits), "part")
+                         .sortWithinPartitions("part").mapInArrow(mark, "part int, bits binary"), "pst-bits").toArrow()
     out = np.zeros((1 << part_bits, (1 << MAP_BITS - part_bits) // 8), np.uint8)
     for part, bits in zip(found.column("part").to_pylist(), found.column("bits").to_pylist()):
         out[part] = np.frombuffer(bits, np.uint8)
@@ -446,7 +281,7 @@ def count_sequences(texts: DataFrame, longest: int, part_bits: int, min_count: i
                                               pa.array(n[keep])], names=["m", "code", "ctx", "suf", "n"])
 
     return (texts.mapInArrow(send, "part int, m int, code binary, ctx binary, suf binary, n binary")
-            .repartition(1 << part_bits, "part").sortWithinPartitions("part", "m")
+            .repartition(_tasks(texts, part_bits), "part").sortWithinPartitions("part", "m")
             .mapInArrow(count, "m int, code long, ctx long, suf long, n long"))
 
 
@@ -464,7 +299,7 @@ def grow_tables(counts: DataFrame, mass: float, depth: int, least_divergence: fl
     for m in range(2, depth + 2):
         lower = known.select(F.col("code").alias("suf"), F.col("p").alias("q"))
         total = known.select(F.col("code").alias("ctx"), F.col("n").alias("total"))
-        rows = staged(counts.filter(F.col("m") == m).select("code", "ctx", "suf", "n").join(lower, "suf").drop("suf").join(total, "ctx"),
+        rows = staged_apart(counts.filter(F.col("m") == m).select("code", "ctx", "suf", "n").join(lower, "suf").drop("suf").join(total, "ctx"),
                       "pst-level")
         share, q = F.col("n") / F.col("total"), F.exp("q")
         smooth = (F.col("n") + weight * q) / (F.col("total") + weight)
@@ -475,8 +310,8 @@ def grow_tables(counts: DataFrame, mass: float, depth: int, least_divergence: fl
                   .withColumn("divergence", F.col("gain") + rest("shares") * F.log(rest("shares") / rest("lowers")))
                   .filter((F.col("divergence") >= least_divergence) & (F.col("divergence") * F.col("size") >= F.col("entries") + 1))
                   .select("ctx", F.log(rest("smooths") / rest("lowers")).alias("left")))
-        kept = staged(tested, "pst-contexts")
-        level = staged(rows.join(kept, "ctx", "left").select(
+        kept = staged_apart(tested, "pst-contexts")
+        level = staged_apart(rows.join(kept, "ctx", "left").select(
             "code", "n", F.when(F.col("left").isNull(), F.col("q")).otherwise(F.log(smooth)).alias("p"),
             (F.log(smooth) - F.col("q") - F.col("left")).alias("w")), "pst-entries")
         out += [level.filter("w is not null").select("code", (F.col("w") / log(10)).alias("w")),
@@ -604,8 +439,8 @@ def judge_texts(docs: DataFrame, numbers: Numbers, root: np.ndarray, weights: Da
                             tree=np.bincount(where, np.concatenate(sums), len(rows)))
 
     sent = weights.mapInArrow(send_weights, "part int, code binary, at binary").withColumn("kind", F.lit(0))
-    return staged(docs.mapInArrow(judge, schema).unionByName(sent, allowMissingColumns=True)
-                    .repartition(max(1 << part_bits - 2, shuffle_partitions(docs.sparkSession)), "part").sortWithinPartitions("part", "kind")
+    return staged_apart(docs.mapInArrow(judge, schema).unionByName(sent, allowMissingColumns=True)
+                    .repartition(_tasks(docs, part_bits), "part").sortWithinPartitions("part", "kind")
                     .mapInArrow(meet, schema), "pst-judged")
 
 
@@ -623,15 +458,14 @@ def score(df: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 5
     docs = df.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"), F.col(f"`{key}`").alias("id_"), held.alias("held"))
     train = docs.filter(~F.col("held")).select("text")
     spark, longest = df.sparkSession, depth + 1
-    with shuffles_freed(spark):
-        counted = staged(count_tokens(train), "pst-tokens")
-        numbers, _, root, totals = numbered(counted, token_share)
-        # parts of about two million sequences; the hash deals them evenly
-        part_bits = min(MAP_BITS - 3, max(3, int(totals["tokens"] * longest / 2e6).bit_length()))
-        bits = spark.sparkContext.broadcast(recurring_bits(train, longest, part_bits, min_count))
-        counts = staged(count_sequences(train, longest, part_bits, min_count, bits), "pst-sequences")
-        weights, single = grow_tables(counts, totals["mass"], depth, least_divergence, weight)
-        judged = judge_texts(docs, numbers, root, weights, single, longest, part_bits, bits)
+    counted = staged_apart(count_tokens(train), "pst-tokens")
+    numbers, _, root, totals = numbered(counted, token_share)
+    # parts of about two million sequences; the hash deals them evenly
+    part_bits = min(MAP_BITS - 3, max(3, int(totals["tokens"] * longest / 2e6).bit_length()))
+    bits = spark.sparkContext.broadcast(recurring_bits(train, longest, part_bits, min_count))
+    counts = staged_apart(count_sequences(train, longest, part_bits, min_count, bits), "pst-sequences")
+    weights, single = grow_tables(counts, totals["mass"], depth, least_divergence, weight)
+    judged = judge_texts(docs, numbers, root, weights, single, longest, part_bits, bits)
     # tokens below the share: their counts come from the distributed table
     rare = counted.filter(F.col("n") < F.lit(totals["least"])).select(F.col("token").alias("t"), F.col("n").alias("c"))
     c = F.coalesce("c", F.lit(0))

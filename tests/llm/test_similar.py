@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -333,44 +334,48 @@ def test_op8_base_and_gain(spark):
     assert gain > 0  # on held-out texts the contexts pay
 
 
-def follow_tree(tree, ids, k):
-    """Probability of each next token after the last ``k`` ids, by the definition."""
-    n = len(tree.numbers.names)
-    code = 0
-    for i in ids[len(ids) - k:]:
-        code = code * n + i
-    return tree.prob(k, np.full(n, code), np.arange(n))
-
-
-def test_distributions_sum_to_one_and_scores_follow_them(spark):
+def test_distributions_sum_to_one(spark):
+    """Behind every context of the training texts, by the weights that scores are made of."""
     rng = random.Random(4)
     grammar = {"a": "bbbc", "b": "cccd", "c": "aaad", "d": "abcd"}
-    data = []
-    for i in range(300):
+    texts = []
+    for i in range(200):
         word, text = "a", []
         for _ in range(rng.randint(3, 30)):
             text.append(word)
             word = rng.choice(grammar[word])
-        data.append((i, " ".join(text) + (" rare%d" % i if i % 9 == 0 else "")))
-    train = spark.createDataFrame(data, "doc_id long, text string").select("text")
-    counted_ = pst.staged(pst.count_tokens(train), "test-counts")
-    tree, totals = pst.fit(train, counted_, depth=3, token_share=1e-3, context_share=1e-3, next_share=1e-3, entry_share=1e-4)
-    assert len(tree.codes[1]) >= 4 and len(tree.codes) >= 3
-    known = tree.root.sum()  # the rest of the mass is with rare tokens and the unknown one
-    for k in (1, 2, 3):
-        for code in tree.codes[k][:20]:
-            n = len(tree.numbers.names)
-            ids = [int(code) // n ** j % n for j in range(k)][::-1]
-            inside = follow_tree(tree, ids, k).sum()
-            # outside, every token has gamma times its share
-            gamma, j = 1.0, k
-            while j:
-                own = pst.find(tree.codes[j], np.array([int(code) % n ** j]))[0]
-                gamma *= tree.gamma[j][own] if own >= 0 else 1.0
-                j -= 1
-            assert abs(inside + gamma * (1 - known) - 1) < 1e-9
-    after_a = follow_tree(tree, [tree.numbers.of[b"a"]], 1)
-    assert after_a[tree.numbers.of[b"b"]] > 0.6 > tree.root[tree.numbers.of[b"b"]]
+        texts.append(" ".join(text) + (f" rare{i}" if i % 9 == 0 else ""))
+    train = spark.createDataFrame([(t,) for t in texts], "text string")
+    longest, part_bits = 3, 3
+    bits = spark.sparkContext.broadcast(pst.recurring_bits(train, longest, part_bits, 2))
+    counts = pst.staged_apart(pst.count_sequences(train, longest, part_bits, 2, bits), "test-sequences")
+    words = [[*t.split(), ""] for t in texts]
+    c = Counter(w for ws in words for w in ws)
+    mass = sum(c.values()) + 0.5 * (len(c) + 1)
+    gain = []  # by the number of tokens in a context; a sequence may be an entry of the first and a context of the second
+    for depth in (1, 2):
+        gain.append({})
+        for r in pst.grow_tables(counts, mass, depth, 0.01, 20.0)[0].collect():
+            gain[-1][r["code"] % (1 << 64)] = gain[-1].get(r["code"] % (1 << 64), 0.0) + r["w"]
+    gain[1] = {code: w - gain[0].get(code, 0.0) for code, w in gain[1].items()}
+    own = pd.util.hash_array(np.array([w.encode() for w in c], object), categorize=False).astype(np.uint64)
+    code_of = dict(zip(c, own.tolist()))
+    code_of[None] = int(pst.BEGIN)
+
+    def code(seq):
+        out = code_of[seq[0]]
+        for w in seq[1:]:
+            out = (out * int(pst.FACTOR) + code_of[w]) % (1 << 64)
+        return out
+
+    seen = {tuple([None, *ws][i:i + m]) for ws in words for m in (1, 2) for i in range(len(ws) + 1 - m)}
+    assert len(seen) > 20
+    for ctx in seen:
+        left = sum(gain[m - 1].get(code(ctx[-m:]), 0.0) for m in range(1, len(ctx) + 1))
+        total = 0.5 / mass * 10 ** left  # the unknown token
+        for w, n in c.items():
+            total += (n + 0.5) / mass * 10 ** (left + sum(gain[m - 1].get(code((*ctx[-m:], w)), 0.0) for m in range(1, len(ctx) + 1)))
+        assert abs(total - 1) < 1e-9, ctx
 
 
 def test_pst_edge_rows(spark, clashing):
@@ -439,9 +444,3 @@ def test_op8_uses_every_recurring_context(spark, depth):
     assert len(out) == len(texts) and len(kept) > 200
     assert all(abs(r["score"] - want[d]) < 1e-6 * max(1, abs(want[d])) for d, r in out.items())
     assert out[1001]["score"] > out[1001]["base_score"] + 4
-
-
-def test_fit_says_when_codes_do_not_fit(spark):
-    texts = spark.createDataFrame([(" ".join(f"t{i}" for i in range(40)),)] * 2, "text string")
-    with pytest.raises(ValueError, match="token_share"):
-        pst.fit(texts, pst.staged(pst.count_tokens(texts), "test-counts"), depth=12, token_share=1e-9)
