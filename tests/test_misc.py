@@ -59,6 +59,25 @@ def test_als_takes_ids_beyond_32_bits(spark):
     assert scored.count() == 30 and scored.agg({"user_id": "max"}).first()[0] == big + 5
 
 
+@pytest.mark.parametrize("name", ["als_fit", "als_rmse"])
+def test_als_queries_take_great_keys(spark, tmp_path, name):
+    """Customer numbers from 438,000 on overflowed the split of the pairs."""
+    from tablework.plans import QUERIES
+
+    big = 3_000_000_000_000_000
+    orders = [(big + n, big + n % 7, "2024-01-01 00:00:00") for n in range(40)]
+    lines = [(big + n, big + (n * 3 + k) % 9, float((n * k) % 5 + 1)) for n in range(40) for k in range(3)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate string").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    pairs = {(big + n % 7, big + (n * 3 + k) % 9) for n in range(40) for k in range(3)}
+    split = {p: ((p[0] * 7919 + p[1]) * 2654435761 + 12345) % 2**32 % 10 < 8 for p in pairs}
+    got = QUERIES[name](spark, str(tmp_path))
+    if name == "als_fit":
+        assert {(r["user"], r["item"]) for r in got.collect()} == pairs
+    else:
+        assert got.first()["n_scored"] == sum(not train for train in split.values()) > 0
+
+
 def test_foreach_partition_side_effect(spark):
     acc = spark.sparkContext.accumulator(0)
 

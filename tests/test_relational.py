@@ -145,6 +145,13 @@ def test_leave_n_out(spark):
     assert a.count() == df.count()
 
 
+def test_hash_bucket_of_any_key(spark):
+    """A key whose product with the multiplier is beyond 64 bits has the bucket of the exact product."""
+    keys = [0, 1, -1, 65_536, 2**32 - 1, -(2**32), 900_000 * 7919 + 1_200_000, 2**63 - 1, -(2**63)]
+    df = spark.createDataFrame([(k,) for k in [*keys, None]], "k long").select("k", splits.hash_bucket("k", 10).alias("b"))
+    assert {r["k"]: r["b"] for r in df.collect()} == {None: None, **{k: (k * 2654435761 + 12345) % 2**32 % 10 for k in keys}}
+
+
 def test_hash_split_stable_across_partitioning(spark):
     df = spark.range(0, 5000)
     s1 = {r["id"]: r["split"] for r in splits.hash_split(df.repartition(3), "id", [8, 1, 1]).collect()}
