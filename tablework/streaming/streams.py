@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..session import scratch_path, side_session
+from ..session import is_folder, scratch_path, side_session
 from ..tables import path as table_path
 
 
@@ -43,14 +43,19 @@ def file_stream(spark: SparkSession, directory: str, fmt: str = "parquet", schem
 
 def table_stream(spark: SparkSession, sf_dir: str, table: str, max_files_per_trigger: int | None = None,
                  event_time: str | None = None) -> DataFrame:
-    """A driver table as a stream (its folder + ``<table>.parquet`` glob).
+    """A driver table as a stream: its folder of files or, of a table in one
+    file, the folder around it + ``<table>.parquet`` glob.
 
     ``event_time`` names a TIMESTAMP_NTZ column to convert to TIMESTAMP, which
     watermarks require.
     """
-    schema = spark.read.parquet(table_path(sf_dir, table)).schema
-    df = file_stream(spark, sf_dir, "parquet", schema, glob=f"{table}.parquet",
-                     max_files_per_trigger=max_files_per_trigger)
+    where = table_path(sf_dir, table)
+    schema = spark.read.parquet(where).schema
+    if is_folder(spark, where):
+        df = file_stream(spark, where, "parquet", schema, max_files_per_trigger=max_files_per_trigger)
+    else:
+        df = file_stream(spark, sf_dir, "parquet", schema, glob=f"{table}.parquet",
+                         max_files_per_trigger=max_files_per_trigger)
     if event_time:
         df = df.withColumn(event_time, F.col(event_time).cast("timestamp"))
     return df

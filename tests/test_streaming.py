@@ -55,6 +55,17 @@ def test_batch_equals_stream(spark):
     assert rows(got) == rows(want)
 
 
+def test_table_in_several_files_streams_whole(spark, tmp_path):
+    """A table that is a folder of files comes whole; a table beside it stays out."""
+    data = spark.range(0, 40).select((F.col("id") % 4).alias("k"), F.col("id").alias("t"))
+    data.repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    data.write.parquet(f"{tmp_path}/orders.parquet")
+    counts = streams.table_stream(spark, str(tmp_path), "events").groupBy("k").count()
+    assert rows(streams.drain(counts, "update", keys=["k"])) == [(k, 10) for k in range(4)]
+    got = streams.drain(streams.table_stream(spark, str(tmp_path), "events", max_files_per_trigger=1))
+    assert sorted(r["t"] for r in got.collect()) == list(range(40))
+
+
 def test_running_state_with_seed_and_restart(spark):
     data = spark.range(0, 40).select((F.col("id") % 4).alias("k"), F.col("id").alias("t"))
     d = streams.split_to_files(data, "t", 4)
