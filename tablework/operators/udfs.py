@@ -87,17 +87,31 @@ def apply_grouped_batches(df: DataFrame, keys: list[str], fn, schema: str, parts
     return df.groupBy(*keys, part.alias("_part")).applyInPandas(fn, schema=schema)
 
 
-def line_sums(key: str, x: str, y: str):
-    """A grouped-map body for ``apply_grouped_batches``: what a straight line through a group's points needs."""
+def line_sums(key: str, x: str, y: str, most: int = 100_000):
+    """A grouped-map body for ``apply_grouped_batches``: what a straight line through each key's points needs.
+
+    A group may hold many keys.  A batch is summed by key at once; sums of more than ``most`` rows are added up before more
+    come, and given out as partial results if there are as many keys.
+    """
+    parts = ["n", "sx", "sy", "sxx", "sxy"]
+
+    def added(frames: list[pd.DataFrame]) -> pd.DataFrame:
+        sums = pd.concat(frames).groupby(key, dropna=False, sort=False)[parts].sum().reset_index()
+        return sums.assign(**{key: sums[key].astype(object).where(sums[key].notna(), None)})
+
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        name, sums = None, [0.0] * 5
+        waiting: list[pd.DataFrame] = []
         for b in batches:
             if not len(b):
                 continue
-            name, u, v = b[key].iloc[0], b[x].astype(float), b[y].astype(float)
-            for i, s in enumerate((len(b), u.sum(), v.sum(), (u * u).sum(), (u * v).sum())):
-                sums[i] += float(s)
-        yield pd.DataFrame([(name, *sums)], columns=[key, "n", "sx", "sy", "sxx", "sxy"])
+            u, v = b[x].astype(float), b[y].astype(float)
+            waiting.append(added([pd.DataFrame({key: b[key], "n": 1.0, "sx": u, "sy": v, "sxx": u * u, "sxy": u * v})]))
+            if sum(map(len, waiting)) > most:
+                waiting = [added(waiting)]
+                if len(waiting[0]) > most:
+                    yield waiting.pop()
+        if waiting:
+            yield added(waiting)
 
     return fold
 
@@ -105,11 +119,14 @@ def line_sums(key: str, x: str, y: str):
 def fit_lines(df: DataFrame, key: str, x: str, y: str, parts: int = 8) -> DataFrame:
     """(``key``, n, slope, intercept) of the least-squares line of ``y`` over ``x`` in each group; no slope where x does not vary.
 
-    Rows with a null x or y are left out.
+    Rows with a null x or y are left out.  A group of the map holds the keys of one bucket, so many small keys cost one call,
+    not one each.
     """
     kind = df.schema[key].dataType.simpleString()
-    rows = df.select(key, x, y).dropna(subset=[x, y])
-    sums = apply_grouped_batches(rows, [key], line_sums(key, x, y), f"`{key}` {kind}, n double, sx double, sy double, sxx double, sxy double", parts)
+    buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    bucket = F.when(F.col(key).isNotNull(), F.pmod(F.xxhash64(key), F.lit(buckets)))  # null keys apart: pandas has none among integers
+    rows = df.select(key, x, y, bucket.alias("_bucket")).dropna(subset=[x, y])
+    sums = apply_grouped_batches(rows, ["_bucket"], line_sums(key, x, y), f"`{key}` {kind}, n double, sx double, sy double, sxx double, sxy double", parts)
     total = sums.groupBy(key).agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "sxy")])
     spread = F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")
     slope = F.when(spread > 0, (F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")) / spread)

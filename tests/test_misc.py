@@ -4,6 +4,7 @@ import pandas as pd
 import pytest
 from pyspark.ml import feature as mf
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from tablework.ml import models, recommend
 from tablework.session import scratch_path
@@ -106,6 +107,26 @@ def test_model_save_load_and_explain(spark):
     assert abs(sum(r["importance"] for r in imp.collect()) - 1.0) < 1e-9
 
 
+def test_lines_of_many_keys_take_few_groups(spark, monkeypatch):
+    """The groups of the map are bounded, however many keys there are; few waiting sums give the same lines."""
+    from tablework.operators import udfs
+
+    df = spark.range(2000).select((F.col("id") % 500).alias("k"), (F.col("id") / 500).cast("int").alias("x"),
+                                  ((F.col("id") / 500).cast("int") * 2 + F.col("id") % 500).alias("y"))
+    grouped, groups = udfs.apply_grouped_batches, []
+    sums = udfs.line_sums
+    monkeypatch.setattr(udfs, "apply_grouped_batches", lambda d, keys, *a: (groups.append(d.select(*keys).distinct().count()), grouped(d, keys, *a))[1])
+    for most in (100_000, 3):
+        monkeypatch.setattr(udfs, "line_sums", lambda *a: sums(*a, most))
+        got = {r["k"]: (r["n"], r["slope"], r["intercept"]) for r in udfs.fit_lines(df, "k", "x", "y").collect()}
+        assert got == {k: (4, pytest.approx(2.0), pytest.approx(k, abs=1e-9)) for k in range(500)}
+    assert max(groups) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    big = 2**60
+    few = spark.createDataFrame([(k, x, 2 * x + 1) for k in (big, big + 1, None) for x in (1, 2)], "k long, x int, y int")
+    got = {r["k"]: r["n"] for r in udfs.fit_lines(few, "k", "x", "y", 1).collect()}
+    assert got == {big: 2, big + 1: 2, None: 2}
+
+
 def test_grouped_map_streams_a_group_in_batches(spark):
     """A key with most of the rows comes in several batches; lines are exact, null keys are a group, a constant x has no slope."""
     from tablework.operators import udfs
