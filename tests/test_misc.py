@@ -49,6 +49,18 @@ def test_checkpoint_folder_rule(spark, tmp_path):
     session._SCRATCH[:] = kept
 
 
+def test_staged_rows_of_a_task_are_bounded(spark):
+    """With a bound the staged files, and the tasks that read them, do not grow with the table."""
+    from tablework import session
+
+    df = spark.range(0, 95, 1, 1)
+    got = session.stage(df, "bounded", most=10)
+    sizes = [r["count"] for r in got.groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) == 10 and max(sizes) == 10 and sorted(r["id"] for r in got.collect()) == list(range(95))
+    assert got.sparkSession.conf.get("spark.sql.files.maxPartitionBytes") == str(16 << 20)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") != str(16 << 20)
+
+
 def test_als_takes_ids_beyond_32_bits(spark):
     big = 3_000_000_000
     data = [(big + u, f"item{i}", float((u * i) % 5)) for u in range(6) for i in range(5)]
