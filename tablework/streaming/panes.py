@@ -1,7 +1,8 @@
 """Sliding windows kept up incrementally: what enters is added, what leaves is subtracted.
 
 A window is made of panes one slide long.  The state of a key is the count and sum of each of its
-panes (a map state), and those of the window emitted last.  When the watermark passes the end of
+panes, and those of the window emitted last: one value, read and written once for a key in a batch,
+since every exchange with the store costs more than the sums do.  When the watermark passes the end of
 the next window, an event-time timer adds the pane that enters and takes away the one that
 leaves, whatever the window's length.  A window whose count has just fallen to zero is emitted
 with a zero, then the key rests, without state, until rows come again.
@@ -9,6 +10,9 @@ with a zero, then the key rests, without state, until rows come again.
 
 from __future__ import annotations
 
+from array import array
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,56 +27,62 @@ class PaneWindow(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.panes = handle.getMapState("panes", "start long", "n long, total long")
-        self.window = handle.getValueState("window", "n long, total long, end long")
+        # panes: start, n and total of one after another
+        self.kept = handle.getValueState("kept", "n long, total long, end long, panes binary")
+
+    def _read(self) -> tuple[int, int, int | None, dict[int, tuple[int, int]]]:
+        if not self.kept.exists():
+            return 0, 0, None, {}
+        n, total, end, packed = self.kept.get()
+        flat = array("q", bytes(packed))
+        return n, total, end, {at: (m, t) for at, m, t in zip(flat[::3], flat[1::3], flat[2::3])}
+
+    def _write(self, n: int, total: int, end: int, panes: dict[int, tuple[int, int]]) -> None:
+        flat = array("q", [x for at, (m, t) in panes.items() for x in (at, m, t)])
+        self.kept.update((n, total, end, flat.tobytes()))
 
     def handleInputRows(self, key, rows, timerValues):
         mark = timerValues.getCurrentWatermarkInMs()
-        new: dict[int, list[int]] = {}
+        new: dict[int, tuple[int, int]] = {}
         for chunk in rows:
-            chunk = chunk[chunk["at_ms"] >= mark]  # what is behind the watermark comes too late
-            if chunk.empty:
-                continue
-            start = chunk["at_ms"] // self.slide * self.slide
-            some = chunk["amount"].groupby(start).agg(["size", "sum"])
-            for at, n, total in some.itertuples():
-                sums = new.setdefault(int(at), [0, 0])
-                sums[0] += int(n)
-                sums[1] += int(total)
-        for at, (n, total) in new.items():
-            old = self.panes.getValue((at,)) if self.panes.containsKey((at,)) else (0, 0)
-            self.panes.updateValue((at,), (old[0] + n, old[1] + total))
+            at, amount = chunk["at_ms"].to_numpy(), chunk["amount"].to_numpy()
+            timely = at >= mark  # what is behind the watermark comes too late
+            starts, place = np.unique(at[timely] // self.slide * self.slide, return_inverse=True)
+            sums = np.zeros(len(starts), np.int64)
+            np.add.at(sums, place, amount[timely])
+            for start, m, t in zip(starts.tolist(), np.bincount(place, minlength=len(starts)).tolist(), sums.tolist()):
+                old = new.get(start, (0, 0))
+                new[start] = (old[0] + m, old[1] + t)
         if new:
+            n, total, end, panes = self._read()
+            for start, (m, t) in new.items():
+                old = panes.get(start, (0, 0))
+                panes[start] = (old[0] + m, old[1] + t)
             first = min(new) + self.slide
-            window = self.window.get() if self.window.exists() else None
-            if window is None or first < window[2]:  # a key that rests waits for its earliest pane
-                if window is not None:
-                    self.handle.deleteTimer(window[2])
-                self.window.update((0, 0, first))
+            if end is None or first < end:  # a key that rests waits for its earliest pane
+                if end is not None:
+                    self.handle.deleteTimer(end)
+                n, total, end = 0, 0, first
                 self.handle.registerTimer(first)
+            self._write(n, total, end, panes)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         mark = timerValues.getCurrentWatermarkInMs()
-        n, total, end = self.window.get()
-        panes = {k[0]: v for k, v in self.panes.iterator()}
+        n, total, end, panes = self._read()
         out = []
         while end is not None and end <= mark:
-            entering, leaving = panes.get(end - self.slide, (0, 0)), panes.pop(end - self.slide - self.length, None)
-            n, total = n + entering[0], total + entering[1]
-            if leaving is not None:
-                self.panes.removeKey((end - self.slide - self.length,))
-                n, total = n - leaving[0], total - leaving[1]
+            entering, leaving = panes.get(end - self.slide, (0, 0)), panes.pop(end - self.slide - self.length, (0, 0))
+            n, total = n + entering[0] - leaving[0], total + entering[1] - leaving[1]
             out.append((key[0], end - self.length, n, total))
             if n:
                 end += self.slide
             else:
                 end = min(panes) + self.slide if panes else None
         if end is None:
-            self.panes.clear()
-            self.window.clear()
+            self.kept.clear()
         else:
-            self.window.update((n, total, end))
+            self._write(n, total, end, panes)
             self.handle.registerTimer(end)
         yield pd.DataFrame(out, columns=[self.key, "start", "n", "total"])
 

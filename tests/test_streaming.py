@@ -2,6 +2,7 @@ import os
 import random
 import time
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tablework.session import scratch_path
@@ -113,6 +114,48 @@ def test_windows_by_inverse_match_brute_force_over_arrivals_and_restarts(spark):
     assert any(r[2] == 0 for r in got) and len(kept) < 125
 
 
+def test_windows_by_inverse_ask_the_store_once_for_all_panes():
+    """A key with rows in many panes reads and writes its state once in a batch, and once when its windows come out."""
+    class Store:
+        calls, value = 0, None
+
+        def exists(self):
+            return self.value is not None
+
+        def get(self):
+            Store.calls += 1
+            return self.value
+
+        def update(self, value):
+            Store.calls += 1
+            self.value = value
+
+        def clear(self):
+            self.value = None
+
+    class Handle:
+        def getValueState(self, name, schema):
+            return Store()
+
+        def getMapState(self, name, schema):
+            raise AssertionError("a call for each pane")
+
+        def registerTimer(self, at):
+            self.timer = at
+
+    class Mark:
+        def __init__(self, at):
+            self.getCurrentWatermarkInMs = lambda: at
+
+    own = panes.PaneWindow("k", 40, 10)
+    own.init(Handle())
+    list(own.handleInputRows(("a",), iter([pd.DataFrame({"at_ms": range(0, 1000, 5), "amount": [1] * 200})]), Mark(0)))
+    list(own.handleInputRows(("a",), iter([pd.DataFrame({"at_ms": range(3, 1000, 5), "amount": [2] * 200})]), Mark(0)))
+    got = next(own.handleExpiredTimer(("a",), Mark(500), None))
+    assert Store.calls <= 5
+    assert got["n"].tolist() == [4, 8, 12] + [16] * 47 and got["total"].tolist() == [6, 12, 18] + [24] * 47
+
+
 def test_outer_stream_join_waits_for_the_watermark(spark):
     """Calls and answers within 10 minutes, watermark 5 minutes, three arrivals: a call without an answer comes out once its
     time is over, the last one is still waiting."""
