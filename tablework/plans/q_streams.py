@@ -37,18 +37,27 @@ def stream_word_count(spark, sf):
     return streams.drain(counts, "update", keys=["word"])  # a batch writes the words it changed
 
 
+def _files_per_batch(df, batches: int) -> int:
+    """Files for each of ``batches``, at least one and together no fewer than the tasks that read ``df``: no task
+    writes more than one of those reads."""
+    return max(1, -(-df.rdd.getNumPartitions() // batches))
+
+
 @query("stream_word_count_batch", """
 SELECT word, count(*) AS n
 FROM (SELECT unnest(string_split(line, ' ')) AS word
       FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents))
 GROUP BY word""")
 def stream_word_count_batch(spark, sf):
-    """New text files arrive one per micro-batch; each batch is counted on
-    its own (``foreachBatch``) and the per-batch counts are summed."""
+    """New text files arrive in four micro-batches; each batch is counted on
+    its own (``foreachBatch``) and the per-batch counts are summed.
+
+    A batch is one file of a small table, and more files the larger the table is."""
     d = scratch_path(spark, "text-arrivals")
-    load(spark, sf, "documents").select("doc_id", "text").repartitionByRange(4, "doc_id") \
-        .select("text").write.option("lineSep", "\n").text(d)
-    lines = streams.file_stream(spark, d, "text", max_files_per_trigger=1, lineSep="\n")
+    docs = load(spark, sf, "documents").select("doc_id", "text")
+    each = _files_per_batch(docs, 4)
+    docs.repartitionByRange(4 * each, "doc_id").select("text").write.option("lineSep", "\n").text(d)
+    lines = streams.file_stream(spark, d, "text", max_files_per_trigger=each, lineSep="\n")
     per = streams.drain(lines, "append",
                         batch_fn=lambda b: text.word_count(b, "value"))
     return per.groupBy("word").agg(F.sum("n").alias("n"))

@@ -156,6 +156,26 @@ def test_windows_by_inverse_ask_the_store_once_for_all_panes():
     assert got["n"].tolist() == [4, 8, 12] + [16] * 47 and got["total"].tolist() == [6, 12, 18] + [24] * 47
 
 
+def test_arrivals_of_text_grow_in_files_not_in_size(spark, tmp_path):
+    """As many files as the table is read by tasks, in four batches."""
+    from tablework import session
+    from tablework.plans import QUERIES, q_streams
+
+    assert [q_streams._files_per_batch(spark.range(0, 40, 1, n), 4) for n in (1, 4, 5, 16)] == [1, 1, 2, 4]
+    data = spark.range(200).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), F.col("id") % 3, F.lit(" a\nb")).alias("text"))
+    data.repartition(10).write.parquet(f"{tmp_path}/documents.parquet")
+    side = spark.newSession()
+    for name, value in (("maxPartitionBytes", "1000"), ("openCostInBytes", "0")):
+        side.conf.set(f"spark.sql.files.{name}", value)
+    before = len(session._SCRATCH)
+    got = QUERIES["stream_word_count_batch"](side, str(tmp_path))
+    assert rows(got) == [("a", 200), ("b", 200), ("w0", 67), ("w1", 67), ("w2", 66)]
+    made = next(p for p in session._SCRATCH[before:] if "text-arrivals" in p)
+    assert side.read.text(made).select(F.input_file_name()).distinct().count() >= 10
+    out = next(p for p in session._SCRATCH[before:] if "stream-out" in p)
+    assert side.read.parquet(out).select("batch_id").distinct().count() == 4
+
+
 def test_outer_stream_join_waits_for_the_watermark(spark):
     """Calls and answers within 10 minutes, watermark 5 minutes, three arrivals: a call without an answer comes out once its
     time is over, the last one is still waiting."""
