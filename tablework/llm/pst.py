@@ -25,18 +25,21 @@ from math import log
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import coded_words, shuffle_partitions, slices, staged_apart
+from .common import coded_words, shuffle_partitions, slices, staged_apart, unstage
 
 #: The end token; words are never empty.
 END = b""
 
 
 #: Bytes of text whose distinct tokens are handled together.
-SLICE = 6 << 20
+SLICE = 4 << 20
+#: Texts that a worker receives at a time.
+TEXTS = 1000
 
 
 def coded_tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
@@ -112,10 +115,13 @@ MAP_BITS = 28
 GATHER = 3_000_000
 
 
-def hashed(flat: np.ndarray, starts: np.ndarray, names: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the tokens, with the mark in front of each text, and each one's place in its text."""
-    tokens = pd.util.hash_array(np.array(names, object), categorize=False).astype(np.uint64)
-    out = np.insert(tokens[flat], starts, BEGIN)
+def hashes(names: list[bytes]) -> np.ndarray:
+    return pd.util.hash_array(np.array(names, object), categorize=False).astype(np.uint64)
+
+
+def hashed(flat: np.ndarray, starts: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the tokens, with the mark in front of each text, and each one's place in its text; ``own`` are the distinct tokens'."""
+    out = np.insert(own[flat], starts, BEGIN)
     first = starts + np.arange(len(starts))
     return out, np.arange(len(out)) - np.repeat(first, np.diff(np.append(first, len(out))))
 
@@ -188,8 +194,23 @@ def _tasks(df: DataFrame, part_bits: int) -> int:
 
 def totalled(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted distinct hashes, the place of one of each, and the sums."""
-    own, first, where = np.unique(code, return_index=True, return_inverse=True)
-    return own, first, np.bincount(where, n, len(own)).astype(np.int64)
+    order, begin = runs(code)
+    first = order[begin]
+    return code[first], first, np.add.reduceat(n[order].astype(np.int64), begin) if len(begin) else np.zeros(0, np.int64)
+
+
+def runs(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order that sorts the hashes, and where in it a new one begins."""
+    order = np.argsort(code)
+    code = code[order]
+    return order, np.flatnonzero(np.diff(code, prepend=~code[:1]))
+
+
+def singles(flat: np.ndarray, own: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the distinct tokens and of the mark, and how often they occur."""
+    n = np.bincount(flat, minlength=len(own))
+    seen = np.flatnonzero(n)
+    return np.append(own[seen], BEGIN), np.append(n[seen], texts)
 
 
 def recurring_bits(texts: DataFrame, longest: int, part_bits: int, min_count: int) -> np.ndarray:
@@ -210,9 +231,14 @@ def recurring_bits(texts: DataFrame, longest: int, part_bits: int, min_count: in
 
         for batch in batches:
             for piece in slices(batch, 0, SLICE):
-                tokens, place = hashed(*coded_tokens(piece.column(0)))
-                for _, _, code, _, _ in sequences(tokens, place, longest):
-                    held.append(np.unique(code >> cut, return_counts=True))
+                flat, starts, names = coded_tokens(piece.column(0))
+                own = hashes(names)
+                for m, _, code, _, _ in sequences(*hashed(flat, starts, own), longest):
+                    if m == 1:
+                        code, n = singles(flat, own, len(starts))
+                        held.append((code >> cut, n))
+                    else:
+                        held.append(np.unique(code >> cut, return_counts=True))
                     size += len(held[-1][0])
                 if size > GATHER:
                     yield flush()
@@ -230,102 +256,230 @@ def recurring_bits(texts: DataFrame, longest: int, part_bits: int, min_count: in
                                              names=["part", "bits"])
 
     found = staged_apart(texts.mapInArrow(send, "part int, code binary, n binary").repartition(_tasks(texts, part_bits), "part")
-                         .sortWithinPartitions("part").mapInArrow(mark, "part int, bits binary"), "pst-bits").toArrow()
+                         .sortWithinPartitions("part").mapInArrow(mark, "part int, bits binary"), "pst-bits", TEXTS).toArrow()
     out = np.zeros((1 << part_bits, (1 << MAP_BITS - part_bits) // 8), np.uint8)
     for part, bits in zip(found.column("part").to_pylist(), found.column("bits").to_pylist()):
         out[part] = np.frombuffer(bits, np.uint8)
     return out.reshape(-1)
 
 
-def count_sequences(texts: DataFrame, longest: int, part_bits: int, min_count: int, bits) -> DataFrame:
+def count_sequences(texts: DataFrame, longest: int, part_bits: int, min_count: int, bits, numbers: Numbers | None = None) -> DataFrame:
     """(m, code, ctx, suf, n): the sequences of 1 to ``longest`` tokens found at least ``min_count`` times, with
-    the hashes of them without their last and without their first token."""
-    shift = 64 - part_bits
+    the hashes of them without their last and without their first token.
+
+    Where the first and the last token have numbers, these are sent: the hash of a sequence and those of its ends tell the other two.
+    """
+    shift, inverse = 64 - part_bits, np.uint64(pow(int(FACTOR), -1, 1 << 64))
+    names_ = numbers.names if numbers else []
+    ends_ = np.append(hashes(names_), BEGIN)  # by number; the mark's is the last
 
     def send(batches):
         seen = bits.value
         held, size = {}, 0
+        get = numbers.of.get if numbers else lambda t, none: none
 
         def flush():
             rows = []
-            for m, some in held.items():
-                code, ctx, suf, n = (np.concatenate(x) for x in zip(*some))
+            for m in list(held):
+                code, n, ctx, suf, one, last = (np.concatenate(x) if x[0] is not None else None for x in zip(*held.pop(m)))
                 code, first, n = totalled(code, n)
-                ctx, suf = ctx[first], suf[first]
-                rows += [(p, m, steps(code[a:b], p, shift), *(packed(x[a:b]) for x in (ctx, suf, n))) for p, a, b in by_part(code, shift)]
-            kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 4]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["part", "m", "code", "ctx", "suf", "n"])
+                if m == 1:
+                    sets = [(code, n, ())]
+                else:
+                    one, last = one[first], last[first]
+                    known = (last >= 0) & (one >= 0) if m > 2 else last >= 0
+                    ctx, suf = ctx[first[~known]], suf[first[~known]]
+                    sets = [(code[known], n[known], (None, None, one[known] if m > 2 else None, last[known])),
+                            (code[~known], n[~known], (ctx, suf))]
+                for code, n, more in sets:
+                    rows += [(p, m, steps(code[a:b], p, shift), packed(n[a:b]), *(None if x is None else packed(x[a:b]) for x in more), *[None] * (4 - len(more)))
+                             for p, a, b in by_part(code, shift)]
+            kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 6]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
+                                              names=["part", "m", "code", "n", "ctx", "suf", "one", "last"])
+
+        def take(texts):
+            flat, starts, names = coded_tokens(texts)
+            own, size = hashes(names), 0
+            number = np.insert(np.array([get(t, -1) for t in names], np.int32)[flat], starts, len(names_))
+            for m, ends, code, ctx, suf in sequences(*hashed(flat, starts, own), longest):
+                if m == 1:
+                    code, n = singles(flat, own, len(starts))
+                    at = may_recur(seen, code)
+                    held.setdefault(m, []).append((code[at], n[at], None, None, None, None))
+                else:
+                    at = np.flatnonzero(may_recur(seen, code))
+                    order, begin = runs(code[at])
+                    first = at[order[begin]]
+                    held.setdefault(m, []).append((code[first], np.diff(begin, append=len(at)), ctx[first], suf[first],
+                                                   number[ends[first] - (m - 1)], number[ends[first]]))
+                size += len(held[m][-1][0])
+            return size
 
         for batch in batches:
             for piece in slices(batch, 0, SLICE):
-                tokens, place = hashed(*coded_tokens(piece.column(0)))
-                for m, _, code, ctx, suf in sequences(tokens, place, longest):
-                    at = np.flatnonzero(may_recur(seen, code))
-                    if len(at):
-                        own, first, n = np.unique(code[at], return_index=True, return_counts=True)
-                        held.setdefault(m, []).append((own, ctx[at][first], suf[at][first], n))
-                        size += len(own)
-                if size > GATHER * 2 // 3:
+                size += take(piece.column(0))
+                if size > GATHER // 2:
                     yield flush()
-                    held, size = {}, 0
-        if held:
+                    size = 0
+        if size:
             yield flush()
 
     def count(batches):
         for (part, m), rows in parted(batches, lambda r: (r["part"], r["m"])):
-            ctx, suf, n = (np.concatenate([unpacked(r[c]) for r in rows]) for c in ("ctx", "suf", "n"))
-            code, first, n = totalled(np.concatenate([stepped(r["code"], part, shift) for r in rows]), n)
+            made = []
+            for r in rows:
+                code, n = stepped(r["code"], part, shift), unpacked(r["n"])
+                if m == 1:
+                    ctx = suf = np.zeros_like(code)
+                elif r["last"] is None:
+                    ctx, suf = unpacked(r["ctx"]), unpacked(r["suf"])
+                else:
+                    last = ends_[unpacked(r["last"]).astype(np.int64)]
+                    ctx = (code - last) * inverse
+                    suf = last if m == 2 else code - ends_[unpacked(r["one"]).astype(np.int64)] * np.uint64(pow(int(FACTOR), m - 1, 1 << 64))
+                made.append((code, n, ctx, suf))
+            code, n, ctx, suf = (np.concatenate(x) for x in zip(*made))
+            code, first, n = totalled(code, n)
             keep = n >= min_count
-            columns = [code[keep], ctx[first[keep]], suf[first[keep]]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(keep.sum(), m, np.int32)), *[pa.array(c.view(np.int64)) for c in columns],
+            first = first[keep]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(first), m, np.int32)), *[pa.array(c.view(np.int64)) for c in (code[keep], ctx[first], suf[first])],
                                               pa.array(n[keep])], names=["m", "code", "ctx", "suf", "n"])
 
-    return (texts.mapInArrow(send, "part int, m int, code binary, ctx binary, suf binary, n binary")
+    return (texts.mapInArrow(send, "part int, m int, code binary, n binary, ctx binary, suf binary, one binary, last binary")
             .repartition(_tasks(texts, part_bits), "part").sortWithinPartitions("part", "m")
             .mapInArrow(count, "m int, code long, ctx long, suf long, n long"))
 
 
-def grow_tables(counts: DataFrame, mass: float, depth: int, least_divergence: float, weight: float) -> tuple[DataFrame, DataFrame]:
+#: Rows that go to the parts of a hash range, sorted by ``code``: ``kind`` 0 is looked up, 1 looks it up.
+DEALT = "part int, kind int, code binary, a binary, b binary, c binary"
+
+
+def gathered(batches, most: int = GATHER // 10):
+    """The rows of several batches as one table, of about ``most`` rows or fewer."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= most:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if size:
+        yield pa.Table.from_batches(held)
+
+
+def dealt(kind: int, code: np.ndarray, shift: int, *others: np.ndarray) -> pa.RecordBatch:
+    """``DEALT`` rows of a column of hashes and up to three more of eight bytes."""
+    order = np.argsort(code)
+    code, others = code[order], [x[order].view(np.uint64) for x in others]
+    rows = [(p, kind, steps(code[a:b], p, shift), *(packed(x[a:b]) for x in others), *[None] * (3 - len(others))) for p, a, b in by_part(code, shift)]
+    kinds = (pa.int32(), pa.int32(), *[pa.binary()] * 4)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 6, kinds)], names=["part", "kind", "code", "a", "b", "c"])
+
+
+def met(batches, shift: int):
+    """For each part with rows that look up: the columns of what they look up, and theirs."""
+    for part, rows in parted(batches, lambda r: r["part"]):
+        sides = []
+        for kind in (0, 1):
+            some = [r for r in rows if r["kind"] == kind]
+            names = [c for c in "abc" if some and some[0][c] is not None]
+            sides.append((np.concatenate([stepped(r["code"], part, shift) for r in some] or [np.zeros(0, np.uint64)]),
+                          *(np.concatenate([unpacked(r[c]) for r in some]) for c in names)))
+        yield sides
+
+
+def grow_tables(counts: DataFrame, mass: float, depth: int, least_divergence: float, weight: float, part_bits: int = 3) -> tuple[DataFrame, DataFrame]:
     """(code, w): what a sequence adds to a text's log10 probability each time the text has it; and of these the contexts of one token.
 
     ``counts`` as of ``count_sequences``, stored.  A context is retained if it diverges from its suffix by
     ``least_divergence`` nats and by more than its number of entries would bring by chance; ``weight`` is the
     weight of the suffix's distribution in a smoothed one.  A sequence that recurs has a recurring
-    context and suffix, so each level finds both in the one before.
+    context and suffix, so each level finds both in the one before: the rows go to the parts of their
+    suffixes' hashes for the probability of the last token there, then to those of their contexts'.
     """
-    # p: natural logarithm of the probability of a sequence's last token after the others
-    known = counts.filter("m = 1").select("code", "n", F.log((F.col("n") + 0.5) / F.lit(mass)).alias("p"))
-    out = []
+    shift, tasks = 64 - part_bits, _tasks(counts, part_bits)
+
+    def together(one: DataFrame, other: DataFrame) -> DataFrame:
+        return one.unionByName(other).repartition(tasks, "part").sortWithinPartitions("part", "kind")
+
+    def sender(kind: int, code: str, *others: str):
+        def send(batches):
+            for table in gathered(batches):
+                code_, *others_ = (table.column(c).to_numpy() for c in (code, *others))
+                yield dealt(kind, code_.view(np.uint64), shift, *others_)
+        return send
+
+    def lend(batches):
+        held, size = [], 0
+        for (code, p), asks in met(batches, shift):
+            if len(asks) > 1:
+                suf, own, ctx, n = asks
+                order = np.argsort(code)
+                held.append((ctx, own, n, p[order][find(code[order], suf)]))
+                size += len(suf)
+            if size > GATHER // 10:
+                yield dealt(1, *(np.concatenate(x) for x in list(zip(*held))[:1]), shift, *(np.concatenate(x) for x in list(zip(*held))[1:]))
+                held, size = [], 0
+        if held:
+            yield dealt(1, *(np.concatenate(x) for x in list(zip(*held))[:1]), shift, *(np.concatenate(x) for x in list(zip(*held))[1:]))
+
+    def tester(m: int):
+        def rows(m_, open_, code, n, p, w):
+            columns = [pa.array(np.full(len(code), m_, np.int32)), pa.array(np.full(len(code), open_)), pa.array(code.view(np.int64)),
+                       pa.array(n), pa.array(p), pa.array(w)]
+            return pa.RecordBatch.from_arrays(columns, names=["m", "open", "code", "n", "p", "w"])
+
+        def rest(share):
+            return np.maximum(1 - share, 1e-12)
+
+        def test(batches):
+            for (code, size, w), asks in met(batches, shift):
+                order = np.argsort(code)
+                code, size, w = code[order], size[order].astype(np.float64), w[order].view(np.float64)
+                if len(asks) > 1:
+                    ctx, own, n, q = asks
+                    q = q.view(np.float64)
+                    order, begin = runs(ctx)
+                    own, n, q, ctx = own[order], n[order], q[order], ctx[order[begin]]
+                    entries = np.diff(begin, append=len(own))
+                    at = find(code, ctx)
+                    total = np.repeat(size[at], entries)
+                    lower, share = np.exp(q), n / total
+                    smooth = (n + weight * lower) / (total + weight)
+                    gain, shares, lowers, smooths = (np.add.reduceat(x, begin) for x in (share * (np.log(share) - q), share, lower, smooth))
+                    divergence = gain + rest(shares) * np.log(rest(shares) / rest(lowers))
+                    kept = (divergence >= least_divergence) & (divergence * size[at] >= entries + 1)
+                    left = np.log(rest(smooths) / rest(lowers))
+                    w[at[kept]] += left[kept]
+                    kept, left = np.repeat(kept, entries), np.repeat(left, entries)
+                    p = np.where(kept, np.log(smooth), q) if m <= depth else np.zeros(len(own))  # the last level has no next
+                    yield rows(m, m <= depth, own, n.view(np.int64) if m <= depth else np.zeros(len(own), np.int64), p, np.where(kept, np.log(smooth) - q - left, 0.0))
+                code, w = code[w != 0], w[w != 0]
+                yield rows(m - 1, False, code, np.zeros(len(code), np.int64), np.zeros(len(code)), w)
+        return test
+
+    # p: natural logarithm of the probability of a sequence's last token after the others; w: what it gains over the suffix
+    known = counts.filter("m = 1").select("code", "n", F.log((F.col("n") + 0.5) / F.lit(mass)).alias("p"), F.lit(0.0).alias("w"))
+    level = None
     for m in range(2, depth + 2):
-        lower = known.select(F.col("code").alias("suf"), F.col("p").alias("q"))
-        total = known.select(F.col("code").alias("ctx"), F.col("n").alias("total"))
-        rows = staged_apart(counts.filter(F.col("m") == m).select("code", "ctx", "suf", "n").join(lower, "suf").drop("suf").join(total, "ctx"),
-                      "pst-level")
-        share, q = F.col("n") / F.col("total"), F.exp("q")
-        smooth = (F.col("n") + weight * q) / (F.col("total") + weight)
-        rest = lambda c: F.greatest(1 - F.col(c), F.lit(1e-12))
-        tested = (rows.groupBy("ctx").agg(F.first("total").alias("size"), F.count(F.lit(1)).alias("entries"),
-                                          F.sum(share * (F.log(share) - F.col("q"))).alias("gain"), F.sum(share).alias("shares"),
-                                          F.sum(q).alias("lowers"), F.sum(smooth).alias("smooths"))
-                  .withColumn("divergence", F.col("gain") + rest("shares") * F.log(rest("shares") / rest("lowers")))
-                  .filter((F.col("divergence") >= least_divergence) & (F.col("divergence") * F.col("size") >= F.col("entries") + 1))
-                  .select("ctx", F.log(rest("smooths") / rest("lowers")).alias("left")))
-        kept = staged_apart(tested, "pst-contexts")
-        level = staged_apart(rows.join(kept, "ctx", "left").select(
-            "code", "n", F.when(F.col("left").isNull(), F.col("q")).otherwise(F.log(smooth)).alias("p"),
-            (F.log(smooth) - F.col("q") - F.col("left")).alias("w")), "pst-entries")
-        out += [level.filter("w is not null").select("code", (F.col("w") / log(10)).alias("w")),
-                kept.select(F.col("ctx").alias("code"), (F.col("left") / log(10)).alias("w"))]
-        known = level.select("code", "n", "p")
-    weights = out[0]
-    for more in out[1:]:
-        weights = weights.unionByName(more)
-    return weights, out[1]
+        asks = counts.filter(F.col("m") == m).select("code", "ctx", "suf", "n").mapInArrow(sender(1, "suf", "code", "ctx", "n"), DEALT)
+        lower = known.select("code", "p").mapInArrow(sender(0, "code", "p"), DEALT)
+        lent = together(asks, lower).mapInArrow(lend, DEALT)
+        whole = known.select("code", "n", "w").mapInArrow(sender(0, "code", "n", "w"), DEALT)
+        tested = together(lent, whole).mapInArrow(tester(m), "m int, open boolean, code long, n long, p double, w double")
+        before = level
+        level = staged_apart(tested if before is None else tested.unionByName(before.filter("not open")), "pst-level")
+        if before is not None:
+            unstage(before)
+        known = level.filter("open").select("code", "n", "p", "w")
+    weights = level.filter("w <> 0").select("m", "code", (F.col("w") / log(10)).alias("w"))
+    return weights.drop("m"), weights.filter("m = 1").drop("m")
 
 
 def of_numbers(single: DataFrame, numbers: Numbers) -> np.ndarray:
     """The weight of each numbered token as a context, 0 where it is none."""
-    own = pd.util.hash_array(np.array(numbers.names, object), categorize=False).astype(np.uint64)
+    own = hashes(numbers.names)
     order = np.argsort(own)
     ranked = own[order]
 
@@ -339,109 +493,161 @@ def of_numbers(single: DataFrame, numbers: Numbers) -> np.ndarray:
     return out
 
 
-def judge_texts(docs: DataFrame, numbers: Numbers, root: np.ndarray, weights: DataFrame, single: DataFrame, longest: int,
-                part_bits: int, bits) -> DataFrame:
-    """Stored rows of three kinds: 1 sums of weights (row, tree), 2 texts, 3 a text's tokens without a number (row, token, n)."""
+def judge_texts(docs: DataFrame, numbers: Numbers, root: np.ndarray, rare: DataFrame, mass: float, weights: DataFrame, single: DataFrame,
+                longest: int, part_bits: int, bits) -> DataFrame:
+    """Stored rows of two kinds: 1 what a part of the hash range adds to a text (row, known, base, tree), 2 texts.
+
+    ``rare`` (token, n) holds the tokens without a number.
+    """
     kind = docs.schema["id_"].dataType.simpleString()
-    schema = (f"part int, kind int, code binary, times binary, at binary, row long, id_ {kind}, held_out boolean, n_tokens long, known long, base double, tree double, "
-              "token binary, n long")
+    schema = (f"part int, kind int, code binary, times binary, at binary, words binary, row long, id_ {kind}, held_out boolean, n_tokens long, "
+              "known long, base double, tree double")
     log_root, left, shift = np.log10(root), of_numbers(single, numbers), 64 - part_bits
 
     def table(id_type, **columns):
         """A batch of ``schema`` with nulls in the columns not given."""
         size = len(columns["part"])
-        kinds = dict(part=pa.int32(), kind=pa.int32(), code=pa.binary(), times=pa.binary(), at=pa.binary(), row=pa.int64(), id_=id_type, held_out=pa.bool_(),
-                     n_tokens=pa.int64(), known=pa.int64(), base=pa.float64(), tree=pa.float64(), token=pa.binary(), n=pa.int64())
+        kinds = dict(part=pa.int32(), kind=pa.int32(), code=pa.binary(), times=pa.binary(), at=pa.binary(), words=pa.binary(), row=pa.int64(),
+                     id_=id_type, held_out=pa.bool_(), n_tokens=pa.int64(), known=pa.int64(), base=pa.float64(), tree=pa.float64())
         made = [columns[c] if isinstance(columns.get(c), pa.Array) else pa.array(columns[c], t) if c in columns else pa.nulls(size, t)
                 for c, t in kinds.items()]
         return pa.RecordBatch.from_arrays(made, names=list(kinds))
 
     def judge(batches):
         part, row, seen = TaskContext.get().partitionId() << 33, 0, bits.value
+        held, since, id_type = [], 0, None
+
+        def flush():
+            code, owner = (np.concatenate(x) for x in zip(*held))
+            held.clear()
+            order, begin = runs(code)
+            code, owner, begin = code[order[begin]], owner[order], np.append(begin, len(code))
+            times = np.diff(begin)
+            sent = [(p, steps(code[a:b], p, shift), packed(times[a:b]), packed(owner[begin[a]:begin[b]])) for p, a, b in by_part(code, shift)]
+            return table(id_type, part=[s[0] for s in sent], kind=[1] * len(sent), code=[s[1] for s in sent], times=[s[2] for s in sent],
+                         at=[s[3] for s in sent], row=[part + since] * len(sent))
+
+        def take(piece):
+            """What is known of a slice's texts and which tokens without a number they have; their sequences are held."""
+            flat, starts, codes, names = numbers.rows(piece.column(0))
+            common = flat >= 0
+            base = np.zeros(len(flat))
+            base[common] = log_root[flat[common]]
+            tree = np.zeros(len(flat))
+            tree[common] = left[flat[common]]
+            count, first = piece.num_rows, part + row
+            rows = np.arange(first, first + count)
+            made = [table(id_type, part=rows % (1 << part_bits), kind=np.full(count, 2), row=rows, id_=piece.column(1), held_out=piece.column(2),
+                          n_tokens=np.diff(np.append(starts, len(flat))), known=np.add.reduceat(common, starts, dtype=np.int64),
+                          base=np.add.reduceat(base, starts), tree=np.add.reduceat(tree, starts))]
+            own = hashes(names)
+            place = np.flatnonzero(~common)
+            if len(place):
+                order = np.lexsort((codes[place], own[codes[place]]))
+                place = place[order]
+                owner = np.searchsorted(starts, place, side="right") - 1
+                begin = np.flatnonzero(np.diff(codes[place], prepend=-1))
+                word, begin = codes[place[begin]], np.append(begin, len(place))
+                times = np.diff(begin)
+                sent = [(p, a, packed(times[a:b]), packed(owner[begin[a]:begin[b]])) for p, a, b in by_part(own[word], shift)]
+                words = [names[i] for i in word.tolist()]  # without blanks
+                words = [b" ".join(words[a:b]) for a, b in zip([s[1] for s in sent], [*[s[1] for s in sent[1:]], len(words)])]
+                made.append(table(id_type, part=[s[0] for s in sent], kind=[1] * len(sent), times=[s[2] for s in sent], at=[s[3] for s in sent],
+                                  words=words, row=[first] * len(sent)))
+            tokens, place = hashed(codes, starts, own)
+            text_of = np.cumsum(place == 0) - 1 + (row - since)
+            for m, ends, some, _, _ in sequences(tokens, place, longest):
+                if m == 1:  # what numbered tokens leave to others is in ``left``
+                    hit = np.flatnonzero(~np.insert(common, starts, False))
+                    hit = hit[may_recur(seen, some[hit])]
+                else:
+                    hit = np.flatnonzero(may_recur(seen, some))
+                held.append((some[hit], text_of[ends[hit]].astype(np.uint32)))
+            return made
+
         for batch in batches:
             for piece in slices(batch, 0, SLICE):
-                flat, starts, codes, names = numbers.rows(piece.column(0))
-                common = flat >= 0
-                base = np.zeros(len(flat))
-                base[common] = log_root[flat[common]]
-                tree = np.zeros(len(flat))
-                tree[common] = left[flat[common]]
-                count = piece.num_rows
-                first = part + row
-                row += count
-                rows = np.arange(first, first + count)
-                ids = piece.column(1)
-                yield table(ids.type, part=rows % (1 << part_bits), kind=np.full(count, 2), row=rows, id_=ids, held_out=piece.column(2),
-                            n_tokens=np.diff(np.append(starts, len(flat))), known=np.add.reduceat(common, starts, dtype=np.int64),
-                            base=np.add.reduceat(base, starts), tree=np.add.reduceat(tree, starts))
-                place = np.flatnonzero(~common)
-                owner = np.searchsorted(starts, place, side="right") - 1
-                pairs, times = np.unique(owner * len(names) + codes[place], return_counts=True)
-                owner = first + pairs // len(names)
-                yield table(ids.type, part=owner % (1 << part_bits), kind=np.full(len(owner), 3), row=owner,
-                            token=[names[i] for i in (pairs % len(names)).tolist()], n=times)
-                tokens, place = hashed(codes, starts, names)
-                text_of = np.cumsum(place == 0) - 1
-                code, owner = [], []
-                for m, ends, some, _, _ in sequences(tokens, place, longest):
-                    hit = may_recur(seen, some)
-                    if m == 1:  # what numbered tokens leave to others is in ``left``
-                        hit &= ~np.insert(common, starts, False)
-                    code.append(some[hit])
-                    owner.append(text_of[ends[hit]])
-                code, owner = np.concatenate(code), np.concatenate(owner)
-                order = np.argsort(code)
-                owner = owner[order]
-                code, begin, times = np.unique(code[order], return_index=True, return_counts=True)
-                begin = np.append(begin, len(owner))
-                sent = [(p, steps(code[a:b], p, shift), packed(times[a:b]), packed(owner[begin[a]:begin[b]])) for p, a, b in by_part(code, shift)]
-                yield table(ids.type, part=[s[0] for s in sent], kind=[1] * len(sent), code=[s[1] for s in sent], times=[s[2] for s in sent],
-                            at=[s[3] for s in sent], row=[first] * len(sent))
+                id_type = piece.column(1).type
+                yield from take(piece)
+                row += piece.num_rows
+                if sum(len(x) for x, _ in held) > GATHER * 2 // 3:
+                    yield flush()
+                    since = row
+        if held:
+            yield flush()
 
     def send_weights(batches):
-        for batch in batches:
-            code, w = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
+        for some in gathered(batches):
+            code, w = some.column(0).to_numpy().view(np.uint64), some.column(1).to_numpy()
             order = np.argsort(code)
             code, w = code[order], w[order]
             sent = [(p, steps(code[a:b], p, shift), w[a:b].tobytes()) for p, a, b in by_part(code, shift)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*sent) if sent else [()] * 3, (pa.int32(), pa.binary(), pa.binary()))],
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*sent), (pa.int32(), pa.binary(), pa.binary()))],
                                              names=["part", "code", "at"])
 
+    def send_words(batches):
+        for some in gathered(batches, GATHER // 10):
+            words, n = some.column(0).to_pylist(), some.column(1).to_numpy()
+            own = hashes(words)
+            order = np.argsort(own)
+            sent = [(p, b" ".join([words[i] for i in order[a:b].tolist()]), n[order[a:b]].tobytes()) for p, a, b in by_part(own[order], shift)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*sent), (pa.int32(), pa.binary(), pa.binary()))],
+                                             names=["part", "words", "at"])
+
     def meet(batches):
-        part, parts, own, w = None, [], None, None
+        part = None
         for batch in batches:
             kinds = batch.column(1).to_numpy()
             plain = batch.filter(pa.array(kinds >= 2))
             if plain.num_rows:
                 yield plain
-            texts, sums = [], []
+            sums, asked = [], []
+
+            def answer():
+                """What the tokens asked for add to the base; those that training has not seen count 0."""
+                words, n = (pa.concat_arrays([x for x, _ in heard]), np.concatenate([x for _, x in heard])) if heard else (pa.array([], pa.binary()), np.zeros(0, np.int64))
+                found = pc.fill_null(pc.index_in(pa.concat_arrays([x for x, _, _ in asked]), value_set=words), -1).to_numpy()
+                c = np.append(n, 0)[found]
+                found = np.repeat(c, np.concatenate([t for _, t, _ in asked]))
+                sums.append((np.concatenate([t for _, _, t in asked]), found > 0, np.log10((found + 0.5) / mass), np.zeros(len(found))))
+                asked.clear()
+
             for i in np.flatnonzero(kinds < 2).tolist():
-                p, k, code, times, at, first = (batch.column(c)[i].as_py() for c in range(6))
+                p, k, code, times, at = (batch.column(c)[i].as_py() for c in range(5))
+                words, first = batch.column(5)[i].as_py(), batch.column(6)[i].as_py()
                 if p != part:
-                    part, parts, own = p, [], None
-                code = stepped(code, p, shift)
-                if k == 0:
-                    parts.append((code, np.frombuffer(at, np.float64)))
-                    continue
-                if own is None and parts:
-                    code_, w_ = (np.concatenate(x) for x in zip(*parts))
-                    own, where = np.unique(code_, return_inverse=True)
-                    w = np.bincount(where, w_, len(own))
-                if own is None:
-                    continue
-                found = np.repeat(find(own, code), unpacked(times).astype(np.int64))
-                text_, where = np.unique(unpacked(at)[found >= 0], return_inverse=True)
-                texts.append(first + text_.astype(np.int64))
-                sums.append(np.bincount(where, w[found[found >= 0]], len(text_)))
-            if texts:
-                rows, where = np.unique(np.concatenate(texts), return_inverse=True)
-                yield table(batch.column(6).type, part=np.zeros(len(rows), np.int32), kind=np.ones(len(rows), np.int32), row=rows,
-                            tree=np.bincount(where, np.concatenate(sums), len(rows)))
+                    if asked:
+                        answer()
+                    part, parts, own, w, heard = p, [], None, None, []
+                if k == 0 and words is not None:
+                    heard.append((pa.array(words.split(b" "), pa.binary()), np.frombuffer(at, np.int64)))
+                elif k == 0:
+                    parts.append((stepped(code, p, shift), np.frombuffer(at, np.float64)))
+                elif words is not None:
+                    asked.append((pa.array(words.split(b" "), pa.binary()), unpacked(times).astype(np.int64), first + unpacked(at).astype(np.int64)))
+                elif parts:
+                    if own is None:
+                        code_, w_ = (np.concatenate(x) for x in zip(*parts))
+                        own, where = np.unique(code_, return_inverse=True)
+                        w = np.append(np.bincount(where, w_, len(own)), 0.0)
+                    text = unpacked(at).astype(np.int64)
+                    found = np.bincount(text, np.repeat(w[find(own, stepped(code, p, shift))], unpacked(times).astype(np.int64)))
+                    text = np.flatnonzero(found)
+                    sums.append((first + text, np.zeros(len(text), bool), np.zeros(len(text)), found[text]))
+            if asked:
+                answer()
+            if sums:
+                text, known, base, tree = (np.concatenate(x) for x in zip(*sums))
+                rows, where = np.unique(text, return_inverse=True)
+                yield table(batch.column(7).type, part=np.zeros(len(rows), np.int32), kind=np.ones(len(rows), np.int32), row=rows,
+                            known=np.bincount(where, known, len(rows)).astype(np.int64), base=np.bincount(where, base, len(rows)),
+                            tree=np.bincount(where, tree, len(rows)))
 
     sent = weights.mapInArrow(send_weights, "part int, code binary, at binary").withColumn("kind", F.lit(0))
-    return staged_apart(docs.mapInArrow(judge, schema).unionByName(sent, allowMissingColumns=True)
-                    .repartition(_tasks(docs, part_bits), "part").sortWithinPartitions("part", "kind")
-                    .mapInArrow(meet, schema), "pst-judged")
+    words = rare.mapInArrow(send_words, "part int, words binary, at binary").withColumn("kind", F.lit(0))
+    return staged_apart(docs.mapInArrow(judge, schema).unionByName(sent, allowMissingColumns=True).unionByName(words, allowMissingColumns=True)
+                        .repartition(_tasks(docs, part_bits), "part").sortWithinPartitions("part", "kind")
+                        .mapInArrow(meet, schema).select("kind", "row", "id_", "held_out", "n_tokens", "known", "base", "tree"), "pst-judged", TEXTS)
 
 
 def score(df: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 5, held_fold: int = 1, depth: int = 2,
@@ -460,22 +666,20 @@ def score(df: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 5
     spark, longest = df.sparkSession, depth + 1
     counted = staged_apart(count_tokens(train), "pst-tokens")
     numbers, _, root, totals = numbered(counted, token_share)
-    # parts of about two million sequences; the hash deals them evenly
-    part_bits = min(MAP_BITS - 3, max(3, int(totals["tokens"] * longest / 2e6).bit_length()))
+    # parts of about eight million sequences; the hash deals them evenly
+    part_bits = min(MAP_BITS - 3, max(3, int(totals["tokens"] * longest / 8e6).bit_length()))
     bits = spark.sparkContext.broadcast(recurring_bits(train, longest, part_bits, min_count))
-    counts = staged_apart(count_sequences(train, longest, part_bits, min_count, bits), "pst-sequences")
-    weights, single = grow_tables(counts, totals["mass"], depth, least_divergence, weight)
-    judged = judge_texts(docs, numbers, root, weights, single, longest, part_bits, bits)
-    # tokens below the share: their counts come from the distributed table
-    rare = counted.filter(F.col("n") < F.lit(totals["least"])).select(F.col("token").alias("t"), F.col("n").alias("c"))
-    c = F.coalesce("c", F.lit(0))
-    looked_up = (judged.filter("kind = 3").select("row", "token", "n").join(rare, F.col("token") == F.col("t"), "left")
-                 .groupBy("row").agg(F.sum(F.col("n") * F.log10((c + 0.5) / F.lit(totals["mass"]))).alias("more"),
-                                     F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("more_known"))
-                 .withColumnRenamed("row", "r"))
-    gains = judged.filter("kind = 1").groupBy(F.col("row").alias("g")).agg(F.sum("tree").alias("gain"))
-    more, more_known = F.coalesce("more", F.lit(0.0)), F.coalesce("more_known", F.lit(0))
-    return (judged.filter("kind = 2").join(looked_up, F.col("row") == F.col("r"), "left").join(gains, F.col("row") == F.col("g"), "left")
-            .select(F.col("id_").alias(key), "held_out", "n_tokens", (F.col("known") + more_known).alias("n_known"),
+    counts = staged_apart(count_sequences(train, longest, part_bits, min_count, bits, numbers), "pst-sequences", TEXTS)
+    weights, single = grow_tables(counts, totals["mass"], depth, least_divergence, weight, part_bits)
+    unstage(counts)
+    rare = counted.filter(F.col("n") < F.lit(totals["least"])).select("token", "n")
+    judged = judge_texts(docs, numbers, root, rare, totals["mass"], weights, single, longest, part_bits, bits)
+    unstage(weights)
+    unstage(counted)
+    more = (judged.filter("kind = 1").groupBy(F.col("row").alias("r"))
+            .agg(*[F.sum(c).alias(f"more_{c}") for c in ("known", "base", "tree")]))
+    base = F.col("base") + F.coalesce("more_base", F.lit(0.0))
+    return (judged.filter("kind = 2").join(more, F.col("row") == F.col("r"), "left")
+            .select(F.col("id_").alias(key), "held_out", "n_tokens", (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
                     F.lit(totals["tokens"]).cast("long").alias("train_tokens"),
-                    (F.col("base") + more).alias("base_score"), (F.col("base") + more + F.col("tree") + F.coalesce("gain", F.lit(0.0))).alias("score")))
+                    base.alias("base_score"), (base + F.col("tree") + F.coalesce("more_tree", F.lit(0.0))).alias("score")))

@@ -12,6 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from tablework import session
 from tablework.llm import blocks, cws, embed_dedup, pst, simhash
 from tablework.llm.components import components
 
@@ -444,3 +445,27 @@ def test_op8_uses_every_recurring_context(spark, depth):
     assert len(out) == len(texts) and len(kept) > 200
     assert all(abs(r["score"] - want[d]) < 1e-6 * max(1, abs(want[d])) for d, r in out.items())
     assert out[1001]["score"] > out[1001]["base_score"] + 4
+
+
+def test_pst_keeps_no_staged_levels(spark):
+    """What is read no more is deleted: the sequences, levels and weights would stand beside the scoring shuffle."""
+    before = set(session._SCRATCH)
+    texts = [(i, f"a b c{i % 7} d{i % 5} a b") for i in range(200)]
+    out = pst.score(spark.createDataFrame(texts, "doc_id long, text string"))
+    paths = [p for p in session._SCRATCH if p not in before]
+    fs = spark.sparkContext._jvm.org.apache.hadoop.fs
+    there = {p.rsplit("/", 1)[1].rsplit("-", 1)[0] for p in paths
+             if fs.Path(p).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(fs.Path(p))}
+    assert there == {"pst-judged", "pst-bits"}
+    assert out.count() == 200  # what is left is all that the result reads
+
+
+def test_pst_sequences_by_numbers(spark):
+    """A sequence whose ends have numbers comes back with the same context and suffix as one sent with their hashes."""
+    texts = [f"a b c{i % 7} d{i % 5} a b" for i in range(60)]
+    train = spark.createDataFrame([(t,) for t in texts], "text string")
+    bits = spark.sparkContext.broadcast(pst.recurring_bits(train, 4, 3, 2))
+    want = Counter(tuple(r) for r in pst.count_sequences(train, 4, 3, 2, bits).collect())
+    assert {m for m, *_ in want} == {1, 2, 3, 4}
+    for names in ([b"a", b"b", b""], [b"a", b"b", b"", *(b"c%d" % i for i in range(7)), *(b"d%d" % i for i in range(5))]):
+        assert Counter(tuple(r) for r in pst.count_sequences(train, 4, 3, 2, bits, pst.Numbers(names)).collect()) == want
