@@ -38,6 +38,8 @@ END = b""
 
 #: Bytes of text whose distinct tokens are handled together.
 SLICE = 4 << 20
+#: The texts are scored in so many shares, one after another: what meets the weights stands on disk for one of them.
+SHARES = 2
 #: Texts that a worker receives at a time.
 TEXTS = 1000
 
@@ -494,10 +496,10 @@ def of_numbers(single: DataFrame, numbers: Numbers) -> np.ndarray:
 
 
 def judge_texts(docs: DataFrame, numbers: Numbers, root: np.ndarray, rare: DataFrame, mass: float, weights: DataFrame, single: DataFrame,
-                longest: int, part_bits: int, bits) -> DataFrame:
+                longest: int, part_bits: int, bits, share: int = 0) -> DataFrame:
     """Stored rows of two kinds: 1 what a part of the hash range adds to a text (row, known, base, tree), 2 texts.
 
-    ``rare`` (token, n) holds the tokens without a number.
+    ``rare`` (token, n) holds the tokens without a number.  ``share`` is the place of these texts among the ``SHARES``.
     """
     kind = docs.schema["id_"].dataType.simpleString()
     schema = (f"part int, kind int, code binary, times binary, at binary, words binary, row long, id_ {kind}, held_out boolean, n_tokens long, "
@@ -514,7 +516,7 @@ def judge_texts(docs: DataFrame, numbers: Numbers, root: np.ndarray, rare: DataF
         return pa.RecordBatch.from_arrays(made, names=list(kinds))
 
     def judge(batches):
-        part, row, seen = TaskContext.get().partitionId() << 33, 0, bits.value
+        part, row, seen = (TaskContext.get().partitionId() * SHARES + share) << 33, 0, bits.value
         held, since, id_type = [], 0, None
 
         def flush():
@@ -673,7 +675,11 @@ def score(df: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 5
     weights, single = grow_tables(counts, totals["mass"], depth, least_divergence, weight, part_bits)
     unstage(counts)
     rare = counted.filter(F.col("n") < F.lit(totals["least"])).select("token", "n")
-    judged = judge_texts(docs, numbers, root, rare, totals["mass"], weights, single, longest, part_bits, bits)
+    judged = None
+    for share in range(SHARES):
+        some = judge_texts(docs.filter(F.pmod(F.xxhash64("text"), F.lit(SHARES)) == share), numbers, root, rare, totals["mass"], weights, single, longest,
+                           part_bits, bits, share)
+        judged = some if judged is None else judged.unionByName(some)
     unstage(weights)
     unstage(counted)
     more = (judged.filter("kind = 1").groupBy(F.col("row").alias("r"))
