@@ -33,6 +33,16 @@ def test_top_products_equal_brute_force(spark):
     assert inner_product.top_products(u.limit(0), i, 5)[0].count() == 0
 
 
+def test_top_products_hold_no_chunk_in_a_row(spark, monkeypatch):
+    """Users and items travel as rows of their own, in memory and in the shuffle, so no batch grows with chunk times blocks."""
+    staged, stage = [], inner_product.stage
+    monkeypatch.setattr(inner_product, "stage", lambda df, label: staged.append((label, df.schema.simpleString())) or stage(df, label))
+    u = spark.createDataFrame([(a, [1.0, float(a)]) for a in range(9)], "user int, features array<double>")
+    i = spark.createDataFrame([(a, [float(a), 2.0]) for a in range(9)], "item int, features array<double>")
+    assert inner_product.top_products(u, i, 2, block=4, chunk=4)[0].count() == 18
+    assert len(staged) > 5 and not [x for x in staged if "array<struct" in x[1]]
+
+
 def test_ridge_equals_fits_on_rows(spark):
     rng = np.random.default_rng(9)
     x = rng.normal(0, [1, 5, 0.1], (400, 3))
