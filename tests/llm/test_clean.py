@@ -276,6 +276,40 @@ def test_held_out_labels_are_not_read(spark):
     assert all(np.array_equal(a, b) for a, b in zip(models[0].filters, models[1].filters))
 
 
+def test_toxicity_learns_from_long_texts(spark):
+    """All toxic texts are longer than 20,000 code points; the word that marks them is learned from them."""
+    rows = [(i, ("the river and " * (1500 if i % 2 else 5)) + "zonk" * (i % 2), i % 2) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, y int")
+    got = toxicity.score(docs, toxicity.fit(docs, docs.selectExpr("doc_id", "y as toxic"))).collect()
+    assert all(r["predicted"] == r["y"] for r in got)
+
+
+@pytest.mark.parametrize("bound", [{"shard_rows": 250}, {"shard_chars": 40_000}])
+def test_toxicity_shards_train_on_all_rows(spark, monkeypatch, bound):
+    """Models of several shards, joined, find what one of them was shown."""
+    seen = [(i, t, y) for i, (t, y, _) in enumerate(made_texts(1500, 1))]
+    docs = spark.createDataFrame(seen + [(0, "zzz repeated", 0), (None, "no key", 0)], "doc_id long, text string, y int").repartition(3)
+    whole = toxicity.fit(docs, docs.selectExpr("doc_id", "y as toxic"))
+    alone = toxicity.train([t for _, t, _ in sorted(seen, key=lambda r: str(r[0]))], [y for _, _, y in sorted(seen, key=lambda r: str(r[0]))], (1.0, 1.0))
+    assert np.array_equal(whole.table, alone.table) and np.array_equal(whole.rest(), alone.rest()) and np.array_equal(whole.thresholds, alone.thresholds)
+    joined = toxicity.fit(docs, docs.selectExpr("doc_id", "y as toxic"), **bound)
+    words = toxicity.Words(joined.buckets).features([w.encode() for _, t, _ in seen for w in t.split()])[0]
+    still = toxicity.Model().table
+    assert (joined.table != still).any(1)[np.unique(words)].sum() >= (alone.table != still).any(1)[np.unique(words)].sum()
+    new = spark.createDataFrame([(t, y) for t, y, _ in made_texts(600, 2)], "text string, y int")
+    assert toxicity.score(new, joined).filter("predicted = y").count() > 0.97 * 600
+    one = toxicity.fit(docs, docs.selectExpr("doc_id", "0 as toxic"), **bound)
+    assert toxicity.score(new, one).filter("predicted = 0").count() == 600
+
+
+def test_toxicity_cut_equals_brute_force(spark):
+    rng = random.Random(4)
+    for n, weights in ((1, (1.0, 1.0)), (40, (1.0, 1.0)), (40, (3.0, 0.5)), (40, (0.0, 1.0))):
+        rows = [(float(i), int(rng.random() < i / n)) for i in range(n)]
+        got = toxicity.cut(spark.createDataFrame(rows, "logit double, y int"), weights)
+        assert got == toxicity.threshold(np.array([s for s, _ in rows]), np.array([y for _, y in rows]), weights)
+
+
 def test_toxicity_edge_rows(spark, clashing):
     one_class = toxicity.train(["a b"], [0], (1.0, 1.0))
     none = toxicity.train([], [], (1.0, 1.0))
