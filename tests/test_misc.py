@@ -91,6 +91,27 @@ def test_als_queries_take_great_keys(spark, tmp_path, name):
         assert got.first()["n_scored"] == sum(not train for train in split.values()) > 0
 
 
+def test_als_tune_has_blocks_for_its_ratings(spark, tmp_path, monkeypatch):
+    """A block is a task's memory, so their number grows with the ratings; ten are enough for few."""
+    from tablework.plans import QUERIES, q_models
+
+    spark.createDataFrame([(n, n % 7, "2024-01-01") for n in range(40)], "o_orderkey long, o_custkey long, o_orderdate string").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(n, n, 1.0 + n % 5) for n in range(40)], "l_orderkey long, l_partkey long, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+
+    class Seen(Exception):
+        pass
+
+    def tvs(stages, est, *rest):
+        raise Seen(est.getNumUserBlocks(), est.getNumItemBlocks())
+
+    monkeypatch.setattr(q_models.tuning, "tvs", tvs)
+    for ratings, blocks in ((recommend.BLOCK_RATINGS, 10), (3, 14)):
+        monkeypatch.setattr(recommend, "BLOCK_RATINGS", ratings)
+        with pytest.raises(Seen) as seen:
+            QUERIES["als_tune"](spark, str(tmp_path))
+        assert seen.value.args == (blocks, blocks)
+
+
 def test_foreach_partition_side_effect(spark):
     acc = spark.sparkContext.accumulator(0)
 
